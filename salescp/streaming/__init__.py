@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+Every job of the original is a bounded batch that waits for completion; it has
+no watermark, event-time window or state.  Nothing is built here on purpose.
+"""
