@@ -94,3 +94,52 @@ FROM inner_sales GROUP BY categoria, year""", "p_type")
 ORACLE["max_by_key"] = with_star("""
 SELECT categoria, year, max(CAST(precio_unitario AS DOUBLE)) AS maximo
 FROM inner_sales GROUP BY categoria, year""", "p_type")
+
+
+def _sse_sql(n: str, sx: str, sxx: str, sy: str, sxy: str, syy: str) -> tuple[str, str]:
+    sxx_c = f"(({sxx}) - ({sx}) * ({sx}) / ({n}))"
+    sxy_c = f"(({sxy}) - ({sx}) * ({sy}) / ({n}))"
+    syy_c = f"(({syy}) - ({sy}) * ({sy}) / ({n}))"
+    return f"CASE WHEN {sxx_c} > 0 THEN {syy_c} - {sxy_c} * {sxy_c} / {sxx_c} END", syy_c
+
+
+def regression_sql(series_select: str, keys: list[str], ratio: float = 0.7, min_points: int = 3,
+                   category: str = "p_type") -> str:
+    """Segmented regression in SQL windows (same formula as operators.regression)."""
+    k = ", ".join(keys)
+    parts = {"n": "c", "sx": "c * x", "sxx": "c * x * x", "sy": "c * md", "sxy": "c * x * md",
+             "syy": "m2 + c * md * md"}
+    prefix = ",\n         ".join(f"sum({e}) OVER w AS l_{p}, sum({e}) OVER t AS t_{p}" for p, e in parts.items())
+    left, _ = _sse_sql(*(f"l_{p}" for p in parts))
+    right, _ = _sse_sql(*(f"t_{p} - l_{p}" for p in parts))
+    whole, whole_syy = _sse_sql(*(f"t_{p}" for p in parts))
+    ctes = f"""series AS ({series_select}),
+daily AS (
+  SELECT {k}, fecha, CAST(count(*) AS DOUBLE) AS c, avg(value) AS mean_d, var_pop(value) * count(*) AS m2
+  FROM series GROUP BY {k}, fecha),
+centred AS (
+  SELECT *, CAST(date_diff('day', min(fecha) OVER t, fecha) AS DOUBLE) AS x,
+         mean_d - sum(c * mean_d) OVER t / sum(c) OVER t AS md
+  FROM daily WINDOW t AS (PARTITION BY {k})),
+sums AS (
+  SELECT {k}, fecha,
+         {prefix}
+  FROM centred
+  WINDOW w AS (PARTITION BY {k} ORDER BY fecha ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         t AS (PARTITION BY {k})),
+errs AS (
+  SELECT {k}, fecha, l_n AS n_left, t_n - l_n AS n_right,
+         {left} AS sse_left, {right} AS sse_right, {whole} AS sse_whole, {whole_syy} AS syy_whole
+  FROM sums)"""
+    body = f"""
+SELECT {k}, fecha AS change_point, 'ok' AS status FROM errs
+WHERE n_left >= {min_points} AND n_right >= {min_points}
+  AND sse_whole > 1e-9 * syy_whole
+  AND sse_left + sse_right < {ratio} * sse_whole"""
+    return with_star(body, category, ctes)
+
+
+REGRESSION_KEYS = ["categoria", "year", "clave_local"]
+REGRESSION_SERIES = ("SELECT categoria, year, clave_local, fecha, CAST(precio_unitario AS DOUBLE) AS value "
+                     "FROM inner_sales")
+ORACLE["segmented_regression"] = regression_sql(REGRESSION_SERIES, REGRESSION_KEYS)

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregate as agg
 from ..operators.enrich import enrich
+from ..operators.regression import segmented_regression
+from ..operators.series import price_series
 from ..params import Filters
 from ..sources import fixtures
 
@@ -24,7 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__.removesuffix("_q")] = fn
     return fn
 
 
@@ -82,3 +84,16 @@ def sum_by_key(spark, sf_dir):
 @query
 def max_by_key(spark, sf_dir):
     return agg.max_by_key(enriched(spark, sf_dir, "type"), ["categoria", "year"], "precio_unitario")
+
+
+REGRESSION_KEYS = ["categoria", "year", "clave_local"]
+
+
+def regression_result(spark, sf_dir):
+    series = price_series(enriched(spark, sf_dir, "type"), REGRESSION_KEYS)
+    return segmented_regression(series, REGRESSION_KEYS)
+
+
+@query
+def segmented_regression_q(spark, sf_dir):
+    return regression_result(spark, sf_dir)
