@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..params import BROADCAST_MAX_ROWS, MIN_POINTS
+from ..session import materialize
 from .enrich import join_side
 
 RESULT_FIELDS = [T.StructField("change_point", T.DateType()), T.StructField("status", T.StringType())]
@@ -205,10 +206,15 @@ def run_dp(hist: DataFrame, key_cols: Sequence[str], schema: T.StructType, min_p
 
 
 def edpelt(series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POINTS,
-           max_seconds: float | None = None, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """ED-PELT per key: (key..., change_point date, status); no row for a series without change."""
+           max_seconds: float | None = None, broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+           reuse: str = "table") -> DataFrame:
+    """ED-PELT per key: (key..., change_point date, status); no row for a series without change.
+
+    The folded points feed both the thresholds and the histogram; `reuse`
+    (see `session.materialize`) makes the fact-table scan happen once.
+    """
     keys = list(key_cols)
-    vc = value_counts(series, keys)
+    vc = materialize(value_counts(series, keys), reuse)
     th = thresholds(vc, keys)
     hist = threshold_histogram(vc, th, keys, broadcast_max_rows)
     return run_dp(hist, keys, result_schema(series, keys), min_points, max_seconds)

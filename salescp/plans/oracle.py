@@ -143,3 +143,168 @@ REGRESSION_KEYS = ["categoria", "year", "clave_local"]
 REGRESSION_SERIES = ("SELECT categoria, year, clave_local, fecha, CAST(precio_unitario AS DOUBLE) AS value "
                      "FROM inner_sales")
 ORACLE["segmented_regression"] = regression_sql(REGRESSION_SERIES, REGRESSION_KEYS)
+
+
+def edpelt_ctes(p: str, pts: str, keys: list[str], allowed: str | None = None, min_points: int = 3) -> str:
+    """CTEs computing ED-PELT in SQL; the result CTE is `{p}_out(keys..., change_point)`.
+
+    `pts` names a CTE with (keys..., fecha, value).  `allowed`, if given, names a
+    CTE with (keys..., fecha): only boundaries right after those dates may hold
+    a change (boundary 0 always may).
+    """
+    k = ", ".join(keys)
+    on = lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in keys)
+    kcols = lambda a: ", ".join(f"{a}.{c}" for c in keys)
+    allowed_join = (f"LEFT JOIN (SELECT DISTINCT {k}, fecha, true AS ok FROM {allowed}) al USING ({k}, fecha)"
+                    if allowed else "")
+    allowed_expr = "coalesce(al.ok, false)" if allowed else "true"
+    L = "CAST(bb.tau - aa.tau AS DOUBLE)"
+    S = "CAST(x[2] - x[1] AS DOUBLE)"
+    f = f"({S} * 0.5::DOUBLE / {L})"
+    term = (f"CASE WHEN x[2] - x[1] = 0 OR x[2] - x[1] = 2 * (bb.tau - aa.tau) THEN 0.0::DOUBLE "
+            f"ELSE {L} * ({f} * ln({f}) + (1.0::DOUBLE - {f}) * ln(1.0::DOUBLE - {f})) END")
+    two_min = 2 * min_points
+    return f"""{p}_nk AS (
+  SELECT {k}, count(*) AS n, CAST(least(count(*), ceil(4.0::DOUBLE * ln(count(*)))) AS BIGINT) AS kq
+  FROM {pts} GROUP BY {k} HAVING count(*) > 2),
+{p}_par AS MATERIALIZED (
+  SELECT *, 3 * ln(n) AS pen, 2.0::DOUBLE * (-ln(2 * n - 1)) / CAST(kq AS DOUBLE) AS fac FROM {p}_nk),
+{p}_ranked AS (
+  SELECT {k}, value, row_number() OVER (PARTITION BY {k} ORDER BY value) - 1 AS rk FROM {pts}),
+{p}_targets AS (
+  SELECT {k}, i, CAST(floor((n - 1) * (1.0::DOUBLE / (1.0::DOUBLE + pow(CAST(2 * n - 1 AS DOUBLE),
+         -(-1.0::DOUBLE + (2 * i + 1.0::DOUBLE) / CAST(kq AS DOUBLE)))))) AS BIGINT) AS rk
+  FROM (SELECT *, unnest(range(kq)) AS i FROM {p}_nk)),
+{p}_th AS MATERIALIZED (
+  SELECT {kcols('t')}, t.i, r.value AS t FROM {p}_targets t JOIN {p}_ranked r ON {on('t', 'r')} AND t.rk = r.rk),
+{p}_daily AS (
+  SELECT {kcols('q')}, q.fecha, th.i,
+         sum(CASE WHEN q.value < th.t THEN 2 WHEN q.value = th.t THEN 1 ELSE 0 END) AS s
+  FROM {pts} q JOIN {p}_th th ON {on('q', 'th')} GROUP BY ALL),
+{p}_cum AS (
+  SELECT {k}, fecha, i, CAST(sum(s) OVER (PARTITION BY {k}, i ORDER BY fecha) AS BIGINT) AS ps FROM {p}_daily),
+{p}_cnt AS (SELECT {k}, fecha, count(*) AS c FROM {pts} GROUP BY ALL),
+{p}_bnd0 AS (
+  SELECT {k}, fecha, row_number() OVER (PARTITION BY {k} ORDER BY fecha) AS b,
+         CAST(sum(c) OVER (PARTITION BY {k} ORDER BY fecha) AS BIGINT) AS tau, {allowed_expr} AS allowed
+  FROM {p}_cnt {allowed_join}),
+{p}_bnd AS MATERIALIZED (
+  SELECT {kcols('b0')}, b0.b, b0.tau, b0.fecha, b0.allowed, list(c.ps ORDER BY c.i) AS pl
+  FROM {p}_bnd0 b0 JOIN {p}_cum c ON {on('b0', 'c')} AND b0.fecha = c.fecha
+  GROUP BY ALL
+  UNION ALL
+  SELECT {k}, 0 AS b, 0 AS tau, NULL AS fecha, true AS allowed,
+         list_transform(range(kq), lambda x: CAST(0 AS BIGINT)) AS pl FROM {p}_nk),
+{p}_seg AS MATERIALIZED (
+  SELECT {kcols('bb')}, bb.b, aa.b AS a,
+         par.fac * list_sum(list_transform(list_zip(aa.pl, bb.pl), lambda x: {term})) AS cost
+  FROM {p}_bnd bb JOIN {p}_bnd aa ON {on('bb', 'aa')} JOIN {p}_par par ON {on('bb', 'par')}
+  WHERE aa.b < bb.b AND bb.tau - aa.tau >= {min_points} AND aa.allowed),
+{p}_fold AS MATERIALIZED (
+  SELECT {k}, b, list(a ORDER BY a) AS aa, list(cost ORDER BY a) AS cc FROM {p}_seg GROUP BY ALL),
+{p}_steps AS MATERIALIZED (
+  SELECT {kcols('bd')}, bd.b, bd.tau, coalesce(fo.aa, []) AS aa, coalesce(fo.cc, []) AS cc, par.pen
+  FROM {p}_bnd bd LEFT JOIN {p}_fold fo ON {on('bd', 'fo')} AND bd.b = fo.b
+  JOIN {p}_par par ON {on('bd', 'par')}
+  WHERE bd.b > 0),
+{p}_dp AS (
+  SELECT {k}, CAST(0 AS BIGINT) AS b, [-pen] AS best, [CAST(-1 AS BIGINT)] AS prev FROM {p}_par
+  UNION ALL
+  SELECT {kcols('d')}, CAST(s.b AS BIGINT),
+         list_append(d.best, CASE WHEN len(s.aa) = 0 THEN 1e300::DOUBLE ELSE list_min(list_transform(
+           range(len(s.aa)), lambda j: {{'tot': CASE WHEN s.aa[j + 1] = 0 AND s.tau < {two_min} THEN s.cc[j + 1]
+                                            ELSE (d.best[s.aa[j + 1] + 1] + s.cc[j + 1]) + s.pen END,
+                                     'a': s.aa[j + 1]}}))['tot'] END),
+         list_append(d.prev, CASE WHEN len(s.aa) = 0 THEN CAST(-1 AS BIGINT) ELSE list_min(list_transform(
+           range(len(s.aa)), lambda j: {{'tot': CASE WHEN s.aa[j + 1] = 0 AND s.tau < {two_min} THEN s.cc[j + 1]
+                                            ELSE (d.best[s.aa[j + 1] + 1] + s.cc[j + 1]) + s.pen END,
+                                     'a': s.aa[j + 1]}}))['a'] END)
+  FROM {p}_dp d JOIN {p}_steps s ON {on('d', 's')} AND s.b = d.b + 1),
+{p}_final AS (
+  SELECT {kcols('d')}, d.prev FROM {p}_dp d
+  JOIN (SELECT {k}, max(b) AS b FROM {p}_bnd GROUP BY ALL) m ON {on('d', 'm')} AND d.b = m.b),
+{p}_trace AS (
+  SELECT {k}, prev, prev[len(prev)] AS cur FROM {p}_final
+  UNION ALL
+  SELECT {k}, prev, prev[cur + 1] FROM {p}_trace WHERE cur > 0),
+{p}_out AS (
+  SELECT {kcols('t')}, bd.fecha AS change_point FROM {p}_trace t
+  JOIN {p}_bnd bd ON {on('t', 'bd')} AND bd.b = t.cur WHERE t.cur > 0)"""
+
+
+def with_star_recursive(body: str, category: str, extra_ctes: str) -> str:
+    return "WITH RECURSIVE " + star_ctes(category) + ",\n" + extra_ctes + "\n" + body
+
+
+EDPELT_KEYS = ["categoria", "year"]
+EDPELT_SERIES = "SELECT categoria, year, fecha, CAST(precio_unitario AS DOUBLE) AS value FROM inner_sales"
+
+ORACLE["edpelt"] = with_star_recursive(
+    "SELECT categoria, year, change_point, 'ok' AS status FROM e_out", "p_brand",
+    f"pts AS ({EDPELT_SERIES}),\n" + edpelt_ctes("e", "pts", EDPELT_KEYS))
+
+ORACLE["edpelt_partial_sums"] = with_star(f"""
+SELECT categoria, year, fecha, CAST(i AS BIGINT) AS i, t AS threshold,
+       CAST(sum(s) OVER (PARTITION BY categoria, year, i ORDER BY fecha) AS BIGINT) AS partial_sum
+FROM p_daily""", "p_brand", f"pts AS ({EDPELT_SERIES}),\n" + edpelt_ctes("p", "pts", EDPELT_KEYS).split(
+    ",\np_cum AS")[0].replace("sum(CASE", "th.t, sum(CASE"))
+
+DIVIDE_SERIES = ("SELECT categoria, year, CAST(((clave_venta % 8) + 8) % 8 AS INTEGER) AS segmento, fecha, "
+                 "CAST(precio_unitario AS DOUBLE) AS value FROM inner_sales")
+DIVIDE_CTES = (f"pts1 AS ({DIVIDE_SERIES}),\n" + edpelt_ctes("d1", "pts1", EDPELT_KEYS + ["segmento"])
+               + ",\ncands AS (SELECT DISTINCT categoria, year, change_point AS fecha FROM d1_out),\n"
+               + f"pts2 AS ({EDPELT_SERIES}),\n" + edpelt_ctes("d2", "pts2", EDPELT_KEYS, allowed="cands"))
+
+ORACLE["divide_pelt_candidates"] = with_star_recursive(
+    "SELECT categoria, year, segmento, change_point, 'ok' AS status FROM d1_out", "p_brand",
+    f"pts1 AS ({DIVIDE_SERIES}),\n" + edpelt_ctes("d1", "pts1", EDPELT_KEYS + ["segmento"]))
+
+ORACLE["divide_pelt_segments"] = with_star_recursive(
+    "SELECT categoria, year, count(DISTINCT segmento) AS n_segments, count(DISTINCT change_point) AS n_candidates "
+    "FROM d1_out GROUP BY categoria, year", "p_brand",
+    f"pts1 AS ({DIVIDE_SERIES}),\n" + edpelt_ctes("d1", "pts1", EDPELT_KEYS + ["segmento"]))
+
+ORACLE["divide_pelt"] = with_star_recursive(
+    "SELECT categoria, year, change_point, 'ok' AS status FROM d2_out", "p_brand", DIVIDE_CTES)
+
+_REG = regression_sql(REGRESSION_SERIES, REGRESSION_KEYS)
+_REG_CTES = _REG[len("WITH "):_REG.rindex("\nSELECT")]
+_REG_BODY = _REG[_REG.rindex("\nSELECT"):]
+REG_RESULT = f"reg AS ({_REG_BODY})"
+HIST_SQL = """hist AS (
+  SELECT categoria, year, strftime(change_point, '%Y-%m-%d') AS token, count(*) AS n
+  FROM {src} GROUP BY ALL)"""
+JSON_SELECT = """
+SELECT categoria, year,
+       '{' || string_agg('"' || token || '": ' || CAST(n AS VARCHAR), ', ' ORDER BY n DESC, token) || '}'
+         AS histogram
+FROM hist GROUP BY categoria, year"""
+
+ORACLE["conclusion_histogram"] = ("WITH " + _REG_CTES + ",\n" + REG_RESULT + ",\n" + HIST_SQL.format(src="reg")
+                                  + "\nSELECT categoria, year, token, n FROM hist")
+ORACLE["conclusion_json"] = "WITH " + _REG_CTES + ",\n" + REG_RESULT + ",\n" + HIST_SQL.format(src="reg") + JSON_SELECT
+
+SUPPLIER_KEYS = ["categoria", "year", "clave_local"]
+SUPPLIER_SERIES = REGRESSION_SERIES
+ORACLE["edpelt_by_supplier"] = with_star_recursive(
+    "SELECT categoria, year, clave_local, change_point, 'ok' AS status FROM s_out", "p_type",
+    f"pts AS ({SUPPLIER_SERIES}),\n" + edpelt_ctes("s", "pts", SUPPLIER_KEYS))
+ORACLE["conclusion_json_edpelt"] = with_star_recursive(
+    JSON_SELECT, "p_type",
+    f"pts AS ({SUPPLIER_SERIES}),\n" + edpelt_ctes("s", "pts", SUPPLIER_KEYS) + ",\n"
+    + HIST_SQL.format(src="s_out"))
+
+PRODUCT_KEYS = ["categoria", "year", "clave_producto"]
+PRODUCT_SERIES = ("SELECT categoria, year, clave_producto, fecha, CAST(precio_unitario AS DOUBLE) AS value "
+                  "FROM inner_sales")
+ORACLE["edpelt_by_product"] = with_star_recursive(
+    "SELECT categoria, year, clave_producto, change_point, 'ok' AS status FROM pp_out", "p_brand",
+    f"pts AS ({PRODUCT_SERIES}),\n" + edpelt_ctes("pp", "pts", PRODUCT_KEYS))
+ORACLE["regression_by_product"] = regression_sql(PRODUCT_SERIES, PRODUCT_KEYS, category="p_brand")
+
+EVENT_SERIES = ("SELECT event_type, CAST(ts AS DATE) AS fecha, CAST(value AS DOUBLE) AS value FROM events "
+                "WHERE ts IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)")
+ORACLE["events_edpelt"] = ("WITH RECURSIVE " + f"pts AS ({EVENT_SERIES}),\n" + edpelt_ctes("ev", "pts", ["event_type"])
+                           + "\nSELECT event_type, change_point, 'ok' AS status FROM ev_out")
+_EVR = regression_sql(EVENT_SERIES, ["event_type"])
+ORACLE["events_regression"] = "WITH " + _EVR[_EVR.index("series AS ("):]

@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import aggregate as agg
+from ..operators import conclude, divide
+from ..operators.edpelt import partial_sums, threshold_histogram, thresholds, value_counts
+from ..operators.edpelt import edpelt
 from ..operators.enrich import enrich
 from ..operators.regression import segmented_regression
 from ..operators.series import price_series
@@ -97,3 +100,107 @@ def regression_result(spark, sf_dir):
 @query
 def segmented_regression_q(spark, sf_dir):
     return regression_result(spark, sf_dir)
+
+
+EDPELT_KEYS = ["categoria", "year"]
+
+
+def edpelt_series(spark, sf_dir, extra=()):
+    return price_series(enriched(spark, sf_dir, "brand"), EDPELT_KEYS, extra=extra)
+
+
+@query
+def edpelt_q(spark, sf_dir):
+    return edpelt(edpelt_series(spark, sf_dir), EDPELT_KEYS)
+
+
+@query
+def edpelt_partial_sums(spark, sf_dir):
+    keys = EDPELT_KEYS
+    vc = value_counts(edpelt_series(spark, sf_dir), keys)
+    th = thresholds(vc, keys)
+    return partial_sums(threshold_histogram(vc, th, keys), th, keys)
+
+
+def divide_series(spark, sf_dir):
+    return edpelt_series(spark, sf_dir, extra=("clave_venta",))
+
+
+@query
+def divide_pelt_candidates(spark, sf_dir):
+    keys = EDPELT_KEYS
+    s = divide_series(spark, sf_dir)
+    return divide.phase1(divide.segment_counts(s, keys), s, keys)
+
+
+@query
+def divide_pelt_segments(spark, sf_dir):
+    keys = EDPELT_KEYS
+    s = divide_series(spark, sf_dir)
+    return divide.segment_summary(divide.phase1(divide.segment_counts(s, keys), s, keys), keys)
+
+
+@query
+def divide_pelt_q(spark, sf_dir):
+    return divide.divide_pelt(divide_series(spark, sf_dir), EDPELT_KEYS)
+
+
+@query
+def conclusion_histogram(spark, sf_dir):
+    return conclude.histogram(regression_result(spark, sf_dir), ["categoria", "year"])
+
+
+@query
+def conclusion_json(spark, sf_dir):
+    return conclude.conclude(regression_result(spark, sf_dir), ["categoria", "year"])
+
+
+SUPPLIER_KEYS = ["categoria", "year", "clave_local"]
+
+
+def edpelt_supplier_result(spark, sf_dir):
+    s = price_series(enriched(spark, sf_dir, "type"), SUPPLIER_KEYS)
+    return edpelt(s, SUPPLIER_KEYS)
+
+
+@query
+def edpelt_by_supplier(spark, sf_dir):
+    return edpelt_supplier_result(spark, sf_dir)
+
+
+@query
+def conclusion_json_edpelt(spark, sf_dir):
+    return conclude.conclude(edpelt_supplier_result(spark, sf_dir), ["categoria", "year"])
+
+
+PRODUCT_KEYS = ["categoria", "year", "clave_producto"]
+
+
+@query
+def edpelt_by_product(spark, sf_dir):
+    """The original jobs' own series key (category, year, product)."""
+    s = price_series(enriched(spark, sf_dir, "brand"), PRODUCT_KEYS)
+    return edpelt(s, PRODUCT_KEYS)
+
+
+@query
+def regression_by_product(spark, sf_dir):
+    s = price_series(enriched(spark, sf_dir, "brand"), PRODUCT_KEYS)
+    return segmented_regression(s, PRODUCT_KEYS)
+
+
+def event_series(spark, sf_dir):
+    ev = fixtures.table(spark, sf_dir, "events")
+    return ev.select("event_type", F.col("ts").cast("date").alias("fecha"), F.col("value").cast("double")).filter(
+        F.col("fecha").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+@query
+def events_edpelt(spark, sf_dir):
+    """Second series source: daily event values per event type."""
+    return edpelt(event_series(spark, sf_dir), ["event_type"])
+
+
+@query
+def events_regression(spark, sf_dir):
+    return segmented_regression(event_series(spark, sf_dir), ["event_type"])

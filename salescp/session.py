@@ -76,3 +76,30 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def materialize(df, how: str = "table"):
+    """Compute `df` once and read it back, so several branches share one scan.
+
+    table:      parquet in the shared checkpoint folder (columnar, cuts lineage,
+                survives executor loss without recomputing the upstream scan);
+    checkpoint: Spark's reliable `DataFrame.checkpoint()` into the same folder;
+    persist:    executor memory/disk cache (lost blocks are recomputed);
+    none:       keep the lazy plan.
+    """
+    if how == "none":
+        return df
+    if how == "persist":
+        from pyspark import StorageLevel
+
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    if how == "checkpoint":
+        return cut_lineage(df, spark)
+    if how != "table":
+        raise ValueError(f"unknown materialization {how!r}")
+    import uuid
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/salescp-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
