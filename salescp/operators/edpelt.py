@@ -130,6 +130,21 @@ def segment_costs(P: np.ndarray, tau: np.ndarray, a_idx: np.ndarray, b: int, fac
     return factor * np.cumsum(term, axis=1)[:, -1]
 
 
+PAIR_TABLE_LIMIT = 2_000_000  # (B+1)^2 * k cells: cost of every pair at once below this
+
+
+def pair_costs(P: np.ndarray, tau: np.ndarray, factor: float) -> np.ndarray:
+    """cost(a, b) for every pair of boundaries (garbage where b <= a; masked by the caller)."""
+    Li = tau[None, :] - tau[:, None]
+    L = Li.astype(np.float64)[:, :, None]
+    S = P[None, :, :] - P[:, None, :]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        fit = S * 0.5 / L
+        term = L * (fit * np.log(fit) + (1 - fit) * np.log(1 - fit))
+    term[(S == 0) | (S == 2 * Li[:, :, None])] = 0.0
+    return factor * np.cumsum(term, axis=2)[:, :, -1]
+
+
 def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
           allowed: np.ndarray | None = None, max_seconds: float | None = None):
     """Exact DP over boundaries 0..B; returns boundary indexes of the changes, or None on time-out.
@@ -145,6 +160,7 @@ def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
     best[0] = -penalty
     ok = np.ones(B + 1, dtype=bool) if allowed is None else np.asarray(allowed, dtype=bool).copy()
     ok[0] = True
+    table = pair_costs(P, tau, factor) if (B + 1) ** 2 * k <= PAIR_TABLE_LIMIT else None
     start = time.monotonic()
     for b in range(1, B + 1):
         if max_seconds is not None and time.monotonic() - start > max_seconds:
@@ -155,7 +171,7 @@ def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
         a_idx = np.nonzero(cand)[0]
         if a_idx.size == 0:
             continue
-        costs = segment_costs(P, tau, a_idx, b, factor)
+        costs = table[a_idx, b] if table is not None else segment_costs(P, tau, a_idx, b, factor)
         totals = (best[a_idx] + costs) + penalty
         if tau[b] < 2 * min_points:
             totals = np.where(a_idx == 0, costs, totals)
@@ -169,28 +185,79 @@ def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
     return out[::-1]
 
 
-def _dp_function(key_cols: Sequence[str], min_points: int, max_seconds: float | None, has_allowed: bool):
+EPOCH = "DATE'1970-01-01'"
+
+
+def _solve_slice(d, j, cnt, allowed, k, min_points, max_seconds):
+    """DP for one key's histogram rows (int day, position, count[, allowed])."""
+    uniq, inv = np.unique(d, return_inverse=True)
+    B = len(uniq)
+    H = np.bincount(inv * (k + 1) + j, weights=cnt, minlength=B * (k + 1)).astype(np.int64).reshape(B, k + 1)
+    P = np.vstack([np.zeros((1, k), dtype=np.int64), np.cumsum(np.cumsum(H, axis=1)[:, :k], axis=0)])
+    tau = np.concatenate([[0], np.cumsum(H.sum(axis=1) // 2)])
+    ok = None
+    if allowed is not None:
+        ok = np.ones(B + 1, dtype=bool)
+        flags = np.zeros(B, dtype=bool)
+        np.logical_or.at(flags, inv, allowed)
+        ok[1:B] = flags[: B - 1]
+    found = solve(P, tau, k, min_points, ok, max_seconds)
+    if found is None:
+        return [None], ["timeout"]
+    return [int(uniq[b - 1]) for b in found], ["ok"] * len(found)
+
+
+def _key_starts(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    """Row indexes where a new key begins (rows are sorted by key)."""
+    change = np.zeros(len(pdf), dtype=bool)
+    change[0] = True
+    for c in keys:
+        col = pdf[c]
+        prev = col.shift()
+        diff = (col != prev).to_numpy()
+        both_null = (col.isna() & prev.isna()).to_numpy()
+        change |= diff & ~both_null
+    return np.flatnonzero(change)
+
+
+def _dp_batches(key_cols: Sequence[str], min_points: int, max_seconds: float | None, has_allowed: bool):
     keys = list(key_cols)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        k = int(pdf["k"].iloc[0])
-        dates, P, tau = boundary_tables(pdf["fecha"].to_numpy(), pdf["j"].to_numpy(), pdf["cnt"].to_numpy(), k)
-        allowed = None
-        if has_allowed:
-            flags = pdf.groupby("fecha")["allowed"].max()
-            allowed = np.concatenate([[True], flags.reindex(dates).fillna(False).to_numpy(dtype=bool)])
-            allowed[-1] = True
-        found = solve(P, tau, k, min_points, allowed, max_seconds)
-        key_vals = {c: pdf[c].iloc[0] for c in keys}
-        if found is None:
-            cps, status = [None], ["timeout"]
-        else:
-            cps, status = [dates[b - 1] for b in found], ["ok"] * len(found)
-        out = pd.DataFrame({c: pd.Series([v] * len(cps), dtype=pdf[c].dtype) for c, v in key_vals.items()})
-        out["change_point"] = pd.Series(cps, dtype="object")
+    def process(pdf: pd.DataFrame) -> pd.DataFrame:
+        starts = _key_starts(pdf, keys)
+        bounds = np.append(starts, len(pdf))
+        d = pdf["d"].to_numpy(np.int64)
+        j = pdf["j"].to_numpy(np.int64)
+        cnt = pdf["cnt"].to_numpy(np.float64)
+        kk = pdf["k"].to_numpy(np.int64)
+        al = pdf["allowed"].to_numpy(bool) if has_allowed else None
+        rows, cps, status = [], [], []
+        for g in range(len(starts)):
+            lo, hi = bounds[g], bounds[g + 1]
+            c, st = _solve_slice(d[lo:hi], j[lo:hi], cnt[lo:hi], None if al is None else al[lo:hi],
+                                 int(kk[lo]), min_points, max_seconds)
+            rows.extend([lo] * len(c))
+            cps.extend(c)
+            status.extend(st)
+        out = pdf.iloc[rows][keys].reset_index(drop=True)
+        out["cp"] = pd.array(cps, dtype="Int32")
         out["status"] = pd.Series(status, dtype="object")
         return out
 
+    def run(batches):
+        carry = None
+        for pdf in batches:
+            if carry is not None:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if len(pdf) == 0:
+                continue
+            last = _key_starts(pdf, keys)[-1]
+            carry = pdf.iloc[last:].reset_index(drop=True)
+            if last > 0:
+                yield process(pdf.iloc[:last].reset_index(drop=True))
+        if carry is not None and len(carry):
+            yield process(carry)
+
     return run
 
 
@@ -199,10 +266,25 @@ def result_schema(series: DataFrame, key_cols: Sequence[str]) -> T.StructType:
 
 
 def run_dp(hist: DataFrame, key_cols: Sequence[str], schema: T.StructType, min_points: int = MIN_POINTS,
-           max_seconds: float | None = None) -> DataFrame:
+           max_seconds: float | None = None, partitions: int | None = None) -> DataFrame:
+    """Per-key DP over the histogram rows.
+
+    Rows are hash-partitioned by key into a fixed number of partitions and
+    sorted by key; `mapInPandas` then walks each Arrow batch key by key (a
+    key cut by a batch edge is carried to the next batch), so the Python side
+    pays per batch, not per key, and holds one batch plus one key at a time.
+    """
+    keys = list(key_cols)
     has_allowed = "allowed" in hist.columns
-    fn = _dp_function(key_cols, min_points, max_seconds, has_allowed)
-    return hist.groupBy(*key_cols).applyInPandas(fn, schema)
+    spark = hist.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = keys + ["k", F.datediff("fecha", F.expr(EPOCH)).alias("d"), F.col("j").cast("long").alias("j"),
+                   F.col("cnt").cast("long").alias("cnt")] + (["allowed"] if has_allowed else [])
+    data = hist.select(*cols).repartition(parts, *keys).sortWithinPartitions(*keys, "d")
+    key_fields = [f for f in schema.fields if f.name in keys]
+    mid = T.StructType(key_fields + [T.StructField("cp", T.IntegerType()), T.StructField("status", T.StringType())])
+    out = data.mapInPandas(_dp_batches(keys, min_points, max_seconds, has_allowed), mid)
+    return out.select(*keys, F.date_add(F.expr(EPOCH), F.col("cp")).alias("change_point"), "status")
 
 
 def edpelt(series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POINTS,

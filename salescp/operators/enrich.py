@@ -6,10 +6,11 @@ join: such a sale is kept with category / department `''`.  For the left form
 the dimension filters are applied to the dimension *before* the join; applied
 after it they would change the result.
 
-Join strategy: a dimension side is broadcast only after a bounded row count
-(`limit(max_rows + 1).count()`) proves it small; otherwise the join is a
-shuffle join, where AQE splits a skewed sales key (one product or store with a
-large share of all rows) into several tasks.
+Join strategy (`join_side`): by default Catalyst and AQE choose, and both only
+broadcast a side whose estimated or measured size is under the broadcast
+threshold; otherwise the join is a shuffle join, where AQE splits a skewed
+sales key (one product or store with a large share of all rows) into several
+tasks.  A forced broadcast is preceded by a bounded row count.
 """
 
 from __future__ import annotations
@@ -37,20 +38,24 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
 def join_side(df: DataFrame, strategy: str = "auto", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Wrap the small side of a join with the hint its checked size allows.
 
-    auto: broadcast when the row count is within `max_rows`, else leave the
-    choice to Catalyst/AQE (shuffle join with skew splitting).
-    broadcast: same check, but an oversize side raises instead of falling back.
+    auto: no hint.  Catalyst broadcasts only when its size estimate (an upper
+    bound for filtered scans and aggregates) is under
+    `spark.sql.autoBroadcastJoinThreshold`, and AQE re-decides with the
+    measured shuffle size at run time; otherwise it is a shuffle join whose
+    skewed partitions AQE splits.  No extra job is run.
+    broadcast: count the side with a bounded `limit(max_rows + 1)` job, then
+    broadcast it, or raise when it is larger.
     shuffle: sort-merge join hint (the reduce-side join of the original).
     """
+    if strategy == "auto":
+        return df
     if strategy == "shuffle":
         return df.hint("shuffle_merge")
-    if strategy not in ("auto", "broadcast"):
+    if strategy != "broadcast":
         raise ValueError(f"unknown join strategy {strategy!r}")
-    if bounded_rows(df, max_rows):
-        return F.broadcast(df)
-    if strategy == "broadcast":
-        raise ValueError(f"dimension has more than {max_rows} rows; refusing to broadcast it")
-    return df
+    if not bounded_rows(df, max_rows):
+        raise ValueError(f"join side has more than {max_rows} rows; refusing to broadcast it")
+    return F.broadcast(df)
 
 
 def dedupe_dimension(dim: DataFrame, key: str = "clave", value: str | None = None,
