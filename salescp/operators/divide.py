@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from ..params import BROADCAST_MAX_ROWS, DIVIDE_SEGMENTS, MIN_POINTS
 from ..session import materialize
 from .edpelt import result_schema, run_dp, threshold_histogram, thresholds
-from .enrich import join_side
 
 SEGMENT = "segmento"
 
@@ -36,11 +35,12 @@ def segment_counts(series: DataFrame, key_cols: Sequence[str], segments: int = D
 
 
 def phase1(vcs: DataFrame, series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POINTS,
-           max_seconds: float | None = None, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+           max_seconds: float | None = None, broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+           reuse: str = "table") -> DataFrame:
     """ED-PELT per (key, segment): (key..., segmento, change_point, status)."""
     skeys = list(key_cols) + [SEGMENT]
     vc = vcs.select(*skeys, "fecha", "value", "c")
-    th = thresholds(vc, skeys)
+    th = materialize(thresholds(vc, skeys), reuse)
     hist = threshold_histogram(vc, th, skeys, broadcast_max_rows)
     schema = result_schema(series.withColumn(SEGMENT, F.lit(0).cast("int")), skeys)
     return run_dp(hist, skeys, schema, min_points, max_seconds)
@@ -61,16 +61,13 @@ def segment_summary(phase1_result: DataFrame, key_cols: Sequence[str]) -> DataFr
 
 def phase2(vcs: DataFrame, cands: DataFrame, series: DataFrame, key_cols: Sequence[str],
            min_points: int = MIN_POINTS, max_seconds: float | None = None,
-           broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+           broadcast_max_rows: int = BROADCAST_MAX_ROWS, reuse: str = "table") -> DataFrame:
     """ED-PELT per key with changes restricted to candidate boundaries."""
     keys = list(key_cols)
     vc = vcs.groupBy(*keys, "fecha", "value").agg(F.sum("c").alias("c"))
-    th = thresholds(vc, keys)
+    th = materialize(thresholds(vc, keys), reuse)
     hist = threshold_histogram(vc, th, keys, broadcast_max_rows)
-    flags = cands.withColumn("allowed", F.lit(True))
-    hist = hist.join(join_side(flags, "auto", broadcast_max_rows), keys + ["fecha"], "left").fillna(
-        False, subset=["allowed"])
-    return run_dp(hist, keys, result_schema(series, keys), min_points, max_seconds)
+    return run_dp(hist, keys, result_schema(series, keys), min_points, max_seconds, allowed=cands)
 
 
 def divide_pelt(series: DataFrame, key_cols: Sequence[str], segments: int = DIVIDE_SEGMENTS,
@@ -83,6 +80,6 @@ def divide_pelt(series: DataFrame, key_cols: Sequence[str], segments: int = DIVI
     """
     keys = list(key_cols)
     vcs = materialize(segment_counts(series, keys, segments, sale_col), reuse)
-    p1 = phase1(vcs, series, keys, min_points, max_seconds, broadcast_max_rows)
-    result = phase2(vcs, candidates(p1, keys), series, keys, min_points, max_seconds, broadcast_max_rows)
+    p1 = phase1(vcs, series, keys, min_points, max_seconds, broadcast_max_rows, reuse)
+    result = phase2(vcs, candidates(p1, keys), series, keys, min_points, max_seconds, broadcast_max_rows, reuse)
     return (result, p1) if with_phase1 else result

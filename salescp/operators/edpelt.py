@@ -83,6 +83,8 @@ def threshold_histogram(vc: DataFrame, th: DataFrame, key_cols: Sequence[str],
                         broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """(key..., n, k, fecha, j, cnt): P_i of a date = sum of cnt over j <= i."""
     keys = list(key_cols)
+    # `th` has one row per key.  Read back from a written table its size is
+    # exact, so it is broadcast only when truly small; else a shuffle join.
     joined = vc.join(join_side(th, "auto", broadcast_max_rows), keys)
     a = F.size(F.filter("ts", lambda t: t <= F.col("value")))
     b = F.size(F.filter("ts", lambda t: t < F.col("value")))
@@ -161,13 +163,18 @@ def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
     ok = np.ones(B + 1, dtype=bool) if allowed is None else np.asarray(allowed, dtype=bool).copy()
     ok[0] = True
     table = pair_costs(P, tau, factor) if (B + 1) ** 2 * k <= PAIR_TABLE_LIMIT else None
+    # Pruning (only without the pair table): a start a dominated at a legal
+    # boundary b, best(a) + cost(a, b) > best(b) + margin, can never beat b at
+    # any boundary >= min_points points after b (the cost is superadditive), so
+    # from there on it is skipped.  The strict margin keeps first-minimum ties.
+    dead_from = np.full(B + 1, np.iinfo(np.int64).max, dtype=np.int64)
     start = time.monotonic()
     for b in range(1, B + 1):
         if max_seconds is not None and time.monotonic() - start > max_seconds:
             return None
         if tau[b] < min_points:
             continue
-        cand = (tau[b] - tau[:b] >= min_points) & ok[:b] & np.isfinite(best[:b])
+        cand = (tau[b] - tau[:b] >= min_points) & ok[:b] & np.isfinite(best[:b]) & (tau[b] < dead_from[:b])
         a_idx = np.nonzero(cand)[0]
         if a_idx.size == 0:
             continue
@@ -177,6 +184,10 @@ def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
             totals = np.where(a_idx == 0, costs, totals)
         m = int(np.argmin(totals))
         best[b], prev[b] = totals[m], a_idx[m]
+        if table is None and ok[b] and b < B:
+            margin = 1e-9 * (abs(best[b]) + penalty + 1.0)
+            beaten = a_idx[totals > best[b] + penalty + margin]
+            dead_from[beaten] = np.minimum(dead_from[beaten], tau[b] + min_points)
     out = []
     cur = prev[B]
     while cur > 0:
@@ -188,19 +199,23 @@ def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
 EPOCH = "DATE'1970-01-01'"
 
 
-def _solve_slice(d, j, cnt, allowed, k, min_points, max_seconds):
-    """DP for one key's histogram rows (int day, position, count[, allowed])."""
-    uniq, inv = np.unique(d, return_inverse=True)
+def _solve_slice(d, j, cnt, k, restricted, min_points, max_seconds):
+    """DP for one key's histogram rows (int day, position, count).
+
+    With `restricted`, rows with position -1 mark the dates after which a
+    change may sit; no other boundary is allowed.
+    """
+    marks = j < 0
+    uniq, inv = np.unique(d[~marks], return_inverse=True)
     B = len(uniq)
-    H = np.bincount(inv * (k + 1) + j, weights=cnt, minlength=B * (k + 1)).astype(np.int64).reshape(B, k + 1)
+    H = np.bincount(inv * (k + 1) + j[~marks], weights=cnt[~marks],
+                    minlength=B * (k + 1)).astype(np.int64).reshape(B, k + 1)
     P = np.vstack([np.zeros((1, k), dtype=np.int64), np.cumsum(np.cumsum(H, axis=1)[:, :k], axis=0)])
     tau = np.concatenate([[0], np.cumsum(H.sum(axis=1) // 2)])
     ok = None
-    if allowed is not None:
+    if restricted:
         ok = np.ones(B + 1, dtype=bool)
-        flags = np.zeros(B, dtype=bool)
-        np.logical_or.at(flags, inv, allowed)
-        ok[1:B] = flags[: B - 1]
+        ok[1:B] = np.isin(uniq[: B - 1], d[marks])
     found = solve(P, tau, k, min_points, ok, max_seconds)
     if found is None:
         return [None], ["timeout"]
@@ -229,13 +244,14 @@ def _dp_batches(key_cols: Sequence[str], min_points: int, max_seconds: float | N
         d = pdf["d"].to_numpy(np.int64)
         j = pdf["j"].to_numpy(np.int64)
         cnt = pdf["cnt"].to_numpy(np.float64)
-        kk = pdf["k"].to_numpy(np.int64)
-        al = pdf["allowed"].to_numpy(bool) if has_allowed else None
+        kk = pdf["k"].fillna(-1).to_numpy(np.int64)
         rows, cps, status = [], [], []
         for g in range(len(starts)):
             lo, hi = bounds[g], bounds[g + 1]
-            c, st = _solve_slice(d[lo:hi], j[lo:hi], cnt[lo:hi], None if al is None else al[lo:hi],
-                                 int(kk[lo]), min_points, max_seconds)
+            k = int(kk[lo:hi].max())
+            if k <= 0:
+                continue
+            c, st = _solve_slice(d[lo:hi], j[lo:hi], cnt[lo:hi], k, has_allowed, min_points, max_seconds)
             rows.extend([lo] * len(c))
             cps.extend(c)
             status.extend(st)
@@ -266,21 +282,30 @@ def result_schema(series: DataFrame, key_cols: Sequence[str]) -> T.StructType:
 
 
 def run_dp(hist: DataFrame, key_cols: Sequence[str], schema: T.StructType, min_points: int = MIN_POINTS,
-           max_seconds: float | None = None, partitions: int | None = None) -> DataFrame:
+           max_seconds: float | None = None, partitions: int | None = None,
+           allowed: DataFrame | None = None) -> DataFrame:
     """Per-key DP over the histogram rows.
 
     Rows are hash-partitioned by key into a fixed number of partitions and
     sorted by key; `mapInPandas` then walks each Arrow batch key by key (a
     key cut by a batch edge is carried to the next batch), so the Python side
     pays per batch, not per key, and holds one batch plus one key at a time.
+
+    `allowed` (key..., fecha): when given, a change may only follow one of
+    these dates.  The rows travel with the histogram as markers (no join).
     """
     keys = list(key_cols)
-    has_allowed = "allowed" in hist.columns
+    has_allowed = allowed is not None
     spark = hist.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = keys + ["k", F.datediff("fecha", F.expr(EPOCH)).alias("d"), F.col("j").cast("long").alias("j"),
-                   F.col("cnt").cast("long").alias("cnt")] + (["allowed"] if has_allowed else [])
-    data = hist.select(*cols).repartition(parts, *keys).sortWithinPartitions(*keys, "d")
+    day = F.datediff("fecha", F.expr(EPOCH)).alias("d")
+    data = hist.select(*keys, F.col("k").cast("int").alias("k"), day, F.col("j").cast("long").alias("j"),
+                       F.col("cnt").cast("long").alias("cnt"))
+    if has_allowed:
+        marks = allowed.select(*keys, F.lit(None).cast("int").alias("k"), day, F.lit(-1).cast("long").alias("j"),
+                               F.lit(0).cast("long").alias("cnt"))
+        data = data.unionByName(marks)
+    data = data.repartition(parts, *keys).sortWithinPartitions(*keys, "d")
     key_fields = [f for f in schema.fields if f.name in keys]
     mid = T.StructType(key_fields + [T.StructField("cp", T.IntegerType()), T.StructField("status", T.StringType())])
     out = data.mapInPandas(_dp_batches(keys, min_points, max_seconds, has_allowed), mid)
@@ -297,6 +322,6 @@ def edpelt(series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POI
     """
     keys = list(key_cols)
     vc = materialize(value_counts(series, keys), reuse)
-    th = thresholds(vc, keys)
+    th = materialize(thresholds(vc, keys), reuse)
     hist = threshold_histogram(vc, th, keys, broadcast_max_rows)
     return run_dp(hist, keys, result_schema(series, keys), min_points, max_seconds)
