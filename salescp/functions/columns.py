@@ -17,7 +17,7 @@ def as_date(df: DataFrame, name: str) -> Column:
         return col
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return col.cast("date")
-    return F.try_to_date(col, F.lit(DATE_FORMAT))
+    return F.try_to_date(col, DATE_FORMAT)
 
 
 def year_text(df: DataFrame, name: str) -> Column:

@@ -45,7 +45,7 @@ def sum_values(df: DataFrame, keys, v: str, name: str = "suma") -> DataFrame:
     """Sum of a value that may be text: non-numeric values are ignored, empty sum is 0."""
     val = F.col(v)
     if dict(df.dtypes)[v] == "string":
-        val = F.try_cast(F.trim(val), "double")
+        val = F.trim(val).try_cast("double")
     return df.groupBy(*_keys(keys)).agg(F.coalesce(F.sum(val.cast("double")), F.lit(0.0)).alias(name))
 
 
