@@ -50,28 +50,88 @@ def value_counts(series: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     return series.groupBy(*key_cols, "fecha", "value").agg(F.count(F.lit(1)).alias("c"))
 
 
-def thresholds(vc: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-    """Per key with n > 2: n, k and the sorted threshold array `ts` (k doubles)."""
-    keys = list(key_cols)
-    vals = vc.groupBy(*keys, "value").agg(F.sum("c").alias("cv"))
+# A key whose distinct values fit in one task is ranked with one window per
+# key; above this the ranks come from a range-partitioned sort.
+WINDOW_RANK_MAX_VALUES = 5_000_000
+
+
+def _ranks_window(vals: DataFrame, keys: list[str]):
+    """Ranks with one window per key: (ranked, totals, None)."""
     w = Window.partitionBy(*keys).orderBy("value")
-    vals = vals.select(
-        *keys, "value",
+    ranked = vals.select(
+        *keys, "value", F.lit(0).alias("part"),
         F.coalesce(F.sum("cv").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("lo"),
         F.sum("cv").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"),
     )
+    totals = ranked.filter(F.col("lo") == 0).select(*keys, "n")
+    return ranked.drop("n"), totals, None
+
+
+def _ranks_range(vals: DataFrame, keys: list[str], partitions: int, reuse: str):
+    """Ranks from a range-partitioned sort: every window holds one range partition.
+
+    The sort is materialized so its sampled bounds are fixed; a key spanning
+    several partitions gets per-partition offsets from a small window over
+    (key, partition) counts.
+    """
+    parted = materialize(vals.repartitionByRange(partitions, *keys, "value")
+                         .withColumn("part", F.spark_partition_id()), reuse)
+    local = Window.partitionBy(*keys, "part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    counts = parted.groupBy(*keys, "part").agg(F.sum("cv").alias("pc"))
+    by_part = Window.partitionBy(*keys).orderBy("part")
+    offsets = counts.select(
+        *keys, "part",
+        F.coalesce(F.sum("pc").over(by_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
+    ranked = parted.select(*keys, "value", "part", "cv",
+                           F.coalesce(F.sum("cv").over(local), F.lit(0)).alias("lo_local"))
+    ranked = ranked.join(offsets, keys + ["part"]).select(
+        *keys, "value", "part", (F.col("off") + F.col("lo_local")).alias("lo"))
+    totals = counts.groupBy(*keys).agg(F.sum("pc").alias("n"))
+    return ranked, totals, offsets
+
+
+def thresholds(vc: DataFrame, key_cols: Sequence[str], strategy: str = "auto",
+               partitions: int | None = None, reuse: str = "table",
+               window_max_values: int = WINDOW_RANK_MAX_VALUES) -> DataFrame:
+    """Per key with n > 2: n, k and the sorted threshold array `ts` (k doubles).
+
+    strategy: "window" (one window per key over its distinct values), "range"
+    (range-partitioned ranks, no window larger than a partition) or "auto"
+    (window unless the widest key has more than `window_max_values` distinct
+    values, checked with one aggregate).
+    """
+    keys = list(key_cols)
+    vals = vc.groupBy(*keys, "value").agg(F.sum("c").alias("cv"))
+    if strategy == "auto":
+        widest = vals.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        strategy = "window" if widest <= window_max_values else "range"
+    if strategy == "window":
+        ranked, totals, offsets = _ranks_window(vals, keys)
+    elif strategy == "range":
+        parts = partitions or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranked, totals, offsets = _ranks_range(vals, keys, parts, reuse)
+    else:
+        raise ValueError(f"unknown rank strategy {strategy!r}")
     n = F.col("n")
-    firsts = vals.filter((F.col("lo") == 0) & (n > 2)).select(
-        *keys, "n", F.least(n, F.ceil(F.lit(4.0) * F.log(n))).cast("int").alias("k"))
+    nk = totals.filter(n > 2).select(*keys, "n", F.least(n, F.ceil(F.lit(4.0) * F.log(n))).cast("int").alias("k"))
     i, k = F.col("i"), F.col("k")
     z = F.lit(-1.0) + (i * 2 + F.lit(1.0)) / k
     p = F.lit(1.0) / (F.lit(1.0) + F.pow(n * 2 - 1, -z))
-    targets = firsts.select(*keys, "n", "k", F.explode(F.sequence(F.lit(0), k - 1)).alias("i")).select(
+    targets = nk.select(*keys, "n", "k", F.explode(F.sequence(F.lit(0), k - 1)).alias("i")).select(
         *keys, "n", "k", "i", F.floor((n - 1) * p).alias("pos"))
-    lookup = vals.filter(n > 2).select(*keys, F.col("lo").alias("pos"), F.lit(0).alias("kind"), "value")
-    asks = targets.select(*keys, "pos", F.lit(1).alias("kind"), "n", "k", "i")
+    if offsets is None:
+        targets = targets.withColumn("part", F.lit(0))
+    else:
+        # route each target rank to the range partition holding it (as-of over offsets)
+        marks = offsets.select(*keys, F.col("off").alias("pos"), F.lit(0).alias("kind"), "part")
+        asks = targets.select(*keys, "pos", F.lit(1).alias("kind"), "n", "k", "i")
+        wo = Window.partitionBy(*keys).orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, 0)
+        targets = marks.unionByName(asks, allowMissingColumns=True).withColumn(
+            "part", F.last("part", ignorenulls=True).over(wo)).filter(F.col("kind") == 1).drop("kind")
+    lookup = ranked.select(*keys, "part", F.col("lo").alias("pos"), F.lit(0).alias("kind"), "value")
+    asks = targets.select(*keys, "part", "pos", F.lit(1).alias("kind"), "n", "k", "i")
     u = lookup.unionByName(asks, allowMissingColumns=True)
-    wl = Window.partitionBy(*keys).orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    wl = Window.partitionBy(*keys, "part").orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, 0)
     picked = u.withColumn("t", F.last("value", ignorenulls=True).over(wl)).filter(F.col("kind") == 1)
     return picked.groupBy(*keys).agg(
         F.first("n").alias("n"), F.first("k").alias("k"),

@@ -22,6 +22,7 @@ from ..operators.enrich import enrich
 from ..operators.regression import segmented_regression
 from ..operators.series import price_series
 from ..params import Filters
+from ..session import materialize
 from ..sources import fixtures
 
 FIXTURE = Filters.fixture()
@@ -117,8 +118,8 @@ def edpelt_q(spark, sf_dir):
 @query
 def edpelt_partial_sums(spark, sf_dir):
     keys = EDPELT_KEYS
-    vc = value_counts(edpelt_series(spark, sf_dir), keys)
-    th = thresholds(vc, keys)
+    vc = materialize(value_counts(edpelt_series(spark, sf_dir), keys))
+    th = materialize(thresholds(vc, keys))
     return partial_sums(threshold_histogram(vc, th, keys), th, keys)
 
 
@@ -130,14 +131,14 @@ def divide_series(spark, sf_dir):
 def divide_pelt_candidates(spark, sf_dir):
     keys = EDPELT_KEYS
     s = divide_series(spark, sf_dir)
-    return divide.phase1(divide.segment_counts(s, keys), s, keys)
+    return divide.phase1(materialize(divide.segment_counts(s, keys)), s, keys)
 
 
 @query
 def divide_pelt_segments(spark, sf_dir):
     keys = EDPELT_KEYS
     s = divide_series(spark, sf_dir)
-    return divide.segment_summary(divide.phase1(divide.segment_counts(s, keys), s, keys), keys)
+    return divide.segment_summary(divide.phase1(materialize(divide.segment_counts(s, keys)), s, keys), keys)
 
 
 @query

@@ -123,3 +123,19 @@ def test_timeout_status_row(spark):
     rows = E.edpelt(df, ["key"], max_seconds=-1).collect()
     assert [(r.change_point, r.status) for r in rows] == [(None, "timeout")]
     assert F is not None
+
+
+@pytest.mark.parametrize("strategy", ["window", "range"])
+def test_threshold_strategies_agree_with_rules(spark, strategy):
+    rng = random.Random(21)
+    series = {}
+    for s in range(6):
+        n = rng.randrange(3, 300) if s else 2000  # one hot key spanning many range partitions
+        series[f"s{s}"] = _random_series(rng, n, shared=True)
+    df = _spark_series(spark, series)
+    vc = E.value_counts(df, ["key"])
+    th = {r.key: r for r in E.thresholds(vc, ["key"], strategy=strategy, partitions=7).collect()}
+    for key, (dates, values) in series.items():
+        k, ts, _ = rules.edpelt_tables(sorted(float(v) for v in values))
+        assert th[key].k == k and th[key].n == len(values)
+        assert list(th[key].ts) == ts, key
