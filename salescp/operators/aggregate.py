@@ -59,7 +59,7 @@ def with_year(df: DataFrame, date_col: str = "fecha", name: str = "year") -> Dat
 
 
 def quantity_by_cat_dep(ventas: DataFrame, productos: DataFrame, locales: DataFrame,
-                        filters: Filters = Filters(), join_strategy: str = "auto") -> DataFrame:
+                        filters: Filters = Filters(), join_strategy: str = "checked") -> DataFrame:
     """Total original quantity per (category, department) over the left joins.
 
     Sales whose product or store is missing or filtered out stay, under `''`.
@@ -69,7 +69,7 @@ def quantity_by_cat_dep(ventas: DataFrame, productos: DataFrame, locales: DataFr
 
 
 def daily_price_by_cat_dep_year(ventas: DataFrame, productos: DataFrame, locales: DataFrame,
-                                filters: Filters = Filters(), join_strategy: str = "auto") -> DataFrame:
+                                filters: Filters = Filters(), join_strategy: str = "checked") -> DataFrame:
     """Sum of unit price per day, keyed by (category, department, year), inner joins."""
     enriched = with_year(enrich(ventas, productos, locales, how="inner", filters=filters,
                                 join_strategy=join_strategy))

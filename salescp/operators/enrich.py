@@ -6,11 +6,10 @@ join: such a sale is kept with category / department `''`.  For the left form
 the dimension filters are applied to the dimension *before* the join; applied
 after it they would change the result.
 
-Join strategy (`join_side`): by default Catalyst and AQE choose, and both only
-broadcast a side whose estimated or measured size is under the broadcast
-threshold; otherwise the join is a shuffle join, where AQE splits a skewed
-sales key (one product or store with a large share of all rows) into several
-tasks.  A forced broadcast is preceded by a bounded row count.
+Join strategy (`join_side`): a dimension is broadcast only after a bounded
+row count (`limit(max_rows + 1).count()`) proves it small; otherwise the join
+is a sort-merge join, where AQE splits a skewed sales key (one product or
+store with a large share of all rows) into several tasks.
 """
 
 from __future__ import annotations
@@ -38,24 +37,27 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
 def join_side(df: DataFrame, strategy: str = "auto", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Wrap the small side of a join with the hint its checked size allows.
 
-    auto: no hint.  Catalyst broadcasts only when its size estimate (an upper
-    bound for filtered scans and aggregates) is under
-    `spark.sql.autoBroadcastJoinThreshold`, and AQE re-decides with the
-    measured shuffle size at run time; otherwise it is a shuffle join whose
-    skewed partitions AQE splits.  No extra job is run.
-    broadcast: count the side with a bounded `limit(max_rows + 1)` job, then
-    broadcast it, or raise when it is larger.
+    checked (dimensions): count the side with a bounded `limit(max_rows + 1)`
+    job; broadcast it when within `max_rows`, else a sort-merge join, whose
+    skewed partitions AQE splits.  The hint also keeps the planner from
+    building the hash table on the fact side when its estimate is small.
+    auto (written intermediate tables, whose size Catalyst knows exactly): no
+    hint; Catalyst broadcasts only under `spark.sql.autoBroadcastJoinThreshold`
+    and AQE re-decides with measured sizes.
+    broadcast: as checked, but an oversize side raises.
     shuffle: sort-merge join hint (the reduce-side join of the original).
     """
     if strategy == "auto":
         return df
     if strategy == "shuffle":
         return df.hint("shuffle_merge")
-    if strategy != "broadcast":
+    if strategy not in ("checked", "broadcast"):
         raise ValueError(f"unknown join strategy {strategy!r}")
-    if not bounded_rows(df, max_rows):
+    if bounded_rows(df, max_rows):
+        return F.broadcast(df)
+    if strategy == "broadcast":
         raise ValueError(f"join side has more than {max_rows} rows; refusing to broadcast it")
-    return F.broadcast(df)
+    return df.hint("shuffle_merge")
 
 
 def dedupe_dimension(dim: DataFrame, key: str = "clave", value: str | None = None,
@@ -101,7 +103,7 @@ def store_filter(locales: DataFrame, filters: Filters = Filters()) -> DataFrame:
 
 
 def enrich(ventas: DataFrame, productos: DataFrame, locales: DataFrame, how: str = "inner",
-           filters: Filters = Filters(), join_strategy: str = "auto",
+           filters: Filters = Filters(), join_strategy: str = "checked",
            broadcast_max_rows: int = BROADCAST_MAX_ROWS, strict: bool = False) -> DataFrame:
     """Sales with `categoria` and `departamento`, filtered.
 

@@ -47,9 +47,10 @@ def split_errors(series: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     w_all = Window.partitionBy(*keys).orderBy("fecha").rowsBetween(Window.unboundedPreceding,
                                                                    Window.unboundedFollowing)
     w_pre = Window.partitionBy(*keys).orderBy("fecha").rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("x", F.datediff("fecha", F.min("fecha").over(w_all)).cast("double")).withColumn(
-        "md", F.col("mean_d") - F.sum(F.col("c") * F.col("mean_d")).over(w_all) / F.sum("c").over(w_all)
-    )
+    first = F.min("fecha").over(w_all)
+    key_mean = F.sum(F.col("c") * F.col("mean_d")).over(w_all) / F.sum("c").over(w_all)
+    d = d.select(*keys, "fecha", "c", "m2", F.datediff("fecha", first).cast("double").alias("x"),
+                 (F.col("mean_d") - key_mean).alias("md"))
     c, x, md = F.col("c").cast("double"), F.col("x"), F.col("md")
     parts = {
         "n": c,
@@ -59,8 +60,9 @@ def split_errors(series: DataFrame, key_cols: Sequence[str]) -> DataFrame:
         "sxy": c * x * md,
         "syy": F.col("m2") + c * md * md,
     }
-    for name, expr in parts.items():
-        d = d.withColumn(f"l_{name}", F.sum(expr).over(w_pre)).withColumn(f"t_{name}", F.sum(expr).over(w_all))
+    sums = [F.sum(e).over(w_pre).alias(f"l_{p}") for p, e in parts.items()]
+    sums += [F.sum(e).over(w_all).alias(f"t_{p}") for p, e in parts.items()]
+    d = d.select(*keys, "fecha", *sums)
     left, _ = _sse(*(F.col(f"l_{p}") for p in parts))
     right, _ = _sse(*(F.col(f"t_{p}") - F.col(f"l_{p}") for p in parts))
     whole, whole_syy = _sse(*(F.col(f"t_{p}") for p in parts))
