@@ -92,16 +92,19 @@ def _ranks_range(vals: DataFrame, keys: list[str], partitions: int, reuse: str):
 
 def thresholds(vc: DataFrame, key_cols: Sequence[str], strategy: str = "auto",
                partitions: int | None = None, reuse: str = "table",
-               window_max_values: int = WINDOW_RANK_MAX_VALUES) -> DataFrame:
+               window_max_values: int = WINDOW_RANK_MAX_VALUES, known_rows: int | None = None) -> DataFrame:
     """Per key with n > 2: n, k and the sorted threshold array `ts` (k doubles).
 
     strategy: "window" (one window per key over its distinct values), "range"
     (range-partitioned ranks, no window larger than a partition) or "auto"
     (window unless the widest key has more than `window_max_values` distinct
-    values, checked with one aggregate).
+    values, checked with one aggregate).  `known_rows`, the row count of `vc`
+    when known, bounds every key's distinct values and can spare the check.
     """
     keys = list(key_cols)
     vals = vc.groupBy(*keys, "value").agg(F.sum("c").alias("cv"))
+    if strategy == "auto" and known_rows is not None and known_rows <= window_max_values:
+        strategy = "window"
     if strategy == "auto":
         widest = vals.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
         strategy = "window" if widest <= window_max_values else "range"
@@ -381,7 +384,7 @@ def edpelt(series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POI
     (see `session.materialize`) makes the fact-table scan happen once.
     """
     keys = list(key_cols)
-    vc = materialize(value_counts(series, keys), reuse)
-    th = materialize(thresholds(vc, keys), reuse)
+    vc, rows = materialize(value_counts(series, keys), reuse, count=True)
+    th = materialize(thresholds(vc, keys, reuse=reuse, known_rows=rows), reuse)
     hist = threshold_histogram(vc, th, keys, broadcast_max_rows)
     return run_dp(hist, keys, result_schema(series, keys), min_points, max_seconds)

@@ -78,7 +78,7 @@ def env_int(name: str, default: int) -> int:
         return default
 
 
-def materialize(df, how: str = "table"):
+def materialize(df, how: str = "table", count: bool = False):
     """Compute `df` once and read it back, so several branches share one scan.
 
     table:      parquet in the shared checkpoint folder (columnar, cuts lineage,
@@ -86,20 +86,33 @@ def materialize(df, how: str = "table"):
     checkpoint: Spark's reliable `DataFrame.checkpoint()` into the same folder;
     persist:    executor memory/disk cache (lost blocks are recomputed);
     none:       keep the lazy plan.
+
+    With `count=True` returns (df, rows); the row count is observed during the
+    write (no extra job) and is None for `none` / `persist`.
     """
     if how == "none":
-        return df
+        return (df, None) if count else df
     if how == "persist":
         from pyspark import StorageLevel
 
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        return (out, None) if count else out
     spark = df.sparkSession
+    obs = None
+    if count:
+        from pyspark.sql import Observation
+        from pyspark.sql import functions as F
+
+        obs = Observation("materialized_rows")
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if how == "checkpoint":
-        return cut_lineage(df, spark)
-    if how != "table":
+        out = cut_lineage(df, spark)
+    elif how == "table":
+        import uuid
+
+        path = f"{checkpoint_dir(spark).rstrip('/')}/salescp-{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        out = spark.read.parquet(path)
+    else:
         raise ValueError(f"unknown materialization {how!r}")
-    import uuid
-
-    path = f"{checkpoint_dir(spark).rstrip('/')}/salescp-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return (out, obs.get["rows"]) if count else out
