@@ -54,10 +54,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (local tests) a fresh private folder is made and
     registered, so `DataFrame.checkpoint()` works in both settings.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(named)
+        return named
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     path = tempfile.mkdtemp(prefix="salescp-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
