@@ -1,0 +1,37 @@
+"""Plan-shape checks: the properties the scale design relies on."""
+
+from conftest import SF_SMALL
+
+from salescp.operators import edpelt as E
+from salescp.operators.regression import segmented_regression
+from salescp.operators.series import price_series
+from salescp.plans.queries import EDPELT_KEYS, REGRESSION_KEYS, enriched
+
+
+def final_plan(df):
+    df.collect()
+    full = df._jdf.queryExecution().executedPlan().toString()
+    return full.split("== Initial Plan ==")[0]
+
+
+def test_enrich_broadcasts_dimensions_not_sales(spark):
+    plan = final_plan(enriched(spark, SF_SMALL, "brand"))
+    assert plan.count("BroadcastHashJoin") >= 2
+    assert "BuildLeft" not in plan
+
+
+def test_regression_is_two_windows_and_no_python(spark):
+    s = price_series(enriched(spark, SF_SMALL, "type"), REGRESSION_KEYS)
+    plan = final_plan(segmented_regression(s, REGRESSION_KEYS))
+    windows = [ln for ln in plan.split("\n") if ln.strip().lstrip(":+- ").startswith("Window [")]
+    assert 1 <= len(windows) <= 2
+    assert "Pandas" not in plan and "BatchEvalPython" not in plan
+
+
+def test_edpelt_reads_folded_table_and_batches_python(spark):
+    s = price_series(enriched(spark, SF_SMALL, "brand"), EDPELT_KEYS)
+    plan = final_plan(E.edpelt(s, EDPELT_KEYS))
+    assert "MapInPandas" in plan
+    assert "FlatMapGroupsInPandas" not in plan
+    assert "lineitem" not in plan  # the fact table was folded and written once
+    assert "REPARTITION_BY_NUM" in plan
