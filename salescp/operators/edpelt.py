@@ -173,17 +173,6 @@ def partial_sums(hist: DataFrame, th: DataFrame, key_cols: Sequence[str]) -> Dat
 
 # --- per-key dynamic program (runs inside applyInPandas) -------------------
 
-def boundary_tables(dates: np.ndarray, j: np.ndarray, cnt: np.ndarray, k: int):
-    """Sorted dates, P (boundaries x k) and tau (points before each boundary)."""
-    uniq, d_idx = np.unique(dates, return_inverse=True)
-    H = np.zeros((len(uniq), k + 1), dtype=np.int64)
-    np.add.at(H, (d_idx, j.astype(np.int64)), cnt.astype(np.int64))
-    per_date = np.cumsum(H, axis=1)[:, :k]
-    P = np.vstack([np.zeros((1, k), dtype=np.int64), np.cumsum(per_date, axis=0)])
-    tau = np.concatenate([[0], np.cumsum(H.sum(axis=1) // 2)])
-    return uniq, P, tau
-
-
 def segment_costs(P: np.ndarray, tau: np.ndarray, a_idx: np.ndarray, b: int, factor: float) -> np.ndarray:
     """cost(a, b) for every a in a_idx; terms summed in index order."""
     L = (tau[b] - tau[a_idx]).astype(np.float64)

@@ -34,7 +34,18 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def join_side(df: DataFrame, strategy: str = "auto", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_rows_many(dfs, max_rows: int) -> list[bool]:
+    """`bounded_rows` for several DataFrames in one job."""
+    limited = [df.limit(max_rows + 1).select(F.lit(i).alias("side")) for i, df in enumerate(dfs)]
+    union = limited[0]
+    for other in limited[1:]:
+        union = union.unionByName(other)
+    counts = {r["side"]: r["count"] for r in union.groupBy("side").count().collect()}
+    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+
+
+def join_side(df: DataFrame, strategy: str = "auto", max_rows: int = BROADCAST_MAX_ROWS,
+              small: bool | None = None) -> DataFrame:
     """Wrap the small side of a join with the hint its checked size allows.
 
     checked (dimensions): count the side with a bounded `limit(max_rows + 1)`
@@ -53,7 +64,9 @@ def join_side(df: DataFrame, strategy: str = "auto", max_rows: int = BROADCAST_M
         return df.hint("shuffle_merge")
     if strategy not in ("checked", "broadcast"):
         raise ValueError(f"unknown join strategy {strategy!r}")
-    if bounded_rows(df, max_rows):
+    if small is None:
+        small = bounded_rows(df, max_rows)
+    if small:
         return F.broadcast(df)
     if strategy == "broadcast":
         raise ValueError(f"join side has more than {max_rows} rows; refusing to broadcast it")
@@ -116,9 +129,12 @@ def enrich(ventas: DataFrame, productos: DataFrame, locales: DataFrame, how: str
     prod = prod.select(F.col("clave").alias("clave_producto"), "categoria")
     stores = stores.select(F.col("clave").alias("clave_local"), "departamento")
     sales = valid_sales(ventas, filters)
+    small = [None, None]
+    if join_strategy in ("checked", "broadcast"):
+        small = bounded_rows_many([prod, stores], broadcast_max_rows)
     out = (
-        sales.join(join_side(prod, join_strategy, broadcast_max_rows), "clave_producto", how)
-        .join(join_side(stores, join_strategy, broadcast_max_rows), "clave_local", how)
+        sales.join(join_side(prod, join_strategy, broadcast_max_rows, small[0]), "clave_producto", how)
+        .join(join_side(stores, join_strategy, broadcast_max_rows, small[1]), "clave_local", how)
     )
     if how == "left":
         out = out.withColumn("categoria", F.coalesce(F.col("categoria"), F.lit(""))).withColumn(

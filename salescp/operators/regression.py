@@ -34,10 +34,11 @@ NOISE_SHARE = 1e-9
 
 
 def _sse(n, sx, sxx, sy, sxy, syy):
-    sxx_c = sxx - sx * sx / n
-    sxy_c = sxy - sx * sy / n
-    syy_c = syy - sy * sy / n
-    return F.when(sxx_c > 0, syy_c - sxy_c * sxy_c / sxx_c), syy_c
+    # try_divide: an empty side (n = 0) gives NULL instead of an ANSI error
+    sxx_c = sxx - F.try_divide(sx * sx, n)
+    sxy_c = sxy - F.try_divide(sx * sy, n)
+    syy_c = syy - F.try_divide(sy * sy, n)
+    return F.when(sxx_c > 0, syy_c - F.try_divide(sxy_c * sxy_c, sxx_c)), syy_c
 
 
 def split_errors(series: DataFrame, key_cols: Sequence[str]) -> DataFrame:
