@@ -51,8 +51,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: `spark.checkpoint.dir` if the cluster set it.
 
-    Only when it is unset (local tests) a fresh private folder is made and
-    registered, so `DataFrame.checkpoint()` works in both settings.
+    Only when it is unset and the master is local (tests) a fresh private
+    folder is made and registered; on a cluster a missing setting is an error,
+    never a machine-local fallback.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -62,6 +63,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return named
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors; "
+                           "intermediate tables are written there")
     path = tempfile.mkdtemp(prefix="salescp-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
