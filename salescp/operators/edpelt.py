@@ -224,8 +224,8 @@ def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
     for b in range(1, B + 1):
         if max_seconds is not None and time.monotonic() - start > max_seconds:
             return None
-        if tau[b] < min_points:
-            continue
+        if tau[b] < min_points or not (ok[b] or b == B):
+            continue  # best(b) of a boundary that may not hold a change is never used
         cand = (tau[b] - tau[:b] >= min_points) & ok[:b] & np.isfinite(best[:b]) & (tau[b] < dead_from[:b])
         a_idx = np.nonzero(cand)[0]
         if a_idx.size == 0:
