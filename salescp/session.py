@@ -100,12 +100,17 @@ def materialize(df, how: str = "table", count: bool = False):
     """
     if how == "none":
         return (df, None) if count else df
+    spark = df.sparkSession
+    if how in ("table", "checkpoint"):
+        try:
+            checkpoint_dir(spark)
+        except RuntimeError:
+            how = "persist"  # no shared folder named: keep the data on the executors instead
     if how == "persist":
         from pyspark import StorageLevel
 
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
         return (out, None) if count else out
-    spark = df.sparkSession
     obs = None
     if count:
         from pyspark.sql import Observation
