@@ -27,8 +27,9 @@ from ..operators.conclude import conclude
 from ..operators.detect import detect
 from ..operators.enrich import enrich
 from ..operators.series import price_series
-from ..params import DEFAULT_DEPARTMENTS, DEFAULT_EXCLUDED_CATEGORY, TIMEOUT_TOKEN, Filters
-from ..session import configure
+from ..params import (DEFAULT_DEPARTMENTS, DEFAULT_EXCLUDED_CATEGORY, MAX_SECONDS_PER_SERIES, TIMEOUT_TOKEN,
+                      Filters)
+from ..session import configure, materialize
 from ..sources import sinks, text
 
 DEFAULT_KEY = ("categoria", "year", "clave_producto")
@@ -61,7 +62,8 @@ def run(spark: SparkSession, job: str, ventas_path: str, productos_path: str, lo
         extra = ("clave_venta",) if job == "divide" else ()
         enriched = agg.with_year(enrich(v, productos, locales, "inner", filters, strict=strict))
         series = price_series(enriched, keys, extra=extra)
-        result = detect(series, keys, DETECTORS[job], max_seconds=max_seconds)
+        # small result, two sinks: write it once rather than run the detector twice
+        result = materialize(detect(series, keys, DETECTORS[job], max_seconds=max_seconds))
         rollup = [c for c in keys if c not in ("clave_producto", "clave_local")]
         if fmt == "parquet":
             sinks.write_parquet(result, f"{out}/detections")
@@ -94,11 +96,12 @@ def main(argv=None) -> None:
     ap.add_argument("--exclude", default=DEFAULT_EXCLUDED_CATEGORY)
     ap.add_argument("--key", default=",".join(DEFAULT_KEY), help="series key columns")
     ap.add_argument("--format", default="text", choices=["text", "parquet"])
-    ap.add_argument("--max-seconds", type=float, default=None, help="time budget per series")
+    ap.add_argument("--max-seconds", type=float, default=MAX_SECONDS_PER_SERIES,
+                    help="time budget per series (0 = none)")
     ap.add_argument("--strict", action="store_true", help="fail on the first bad line or duplicate key")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"salescp-{a.job}").getOrCreate()
     filters = Filters(tuple(x for x in a.departments.split(",") if x), a.exclude or None)
     counts = run(spark, a.job, a.ventas, a.productos, a.locales, a.out, filters, a.key.split(","), a.format,
-                 a.max_seconds, a.strict)
+                 a.max_seconds or None, a.strict)
     print(f"ventas lines: {counts.get('lines')}, rejected: {counts.get('rejected')}")
