@@ -308,3 +308,17 @@ ORACLE["events_edpelt"] = ("WITH RECURSIVE " + f"pts AS ({EVENT_SERIES}),\n" + e
                            + "\nSELECT event_type, change_point, 'ok' AS status FROM ev_out")
 _EVR = regression_sql(EVENT_SERIES, ["event_type"])
 ORACLE["events_regression"] = "WITH " + _EVR[_EVR.index("series AS ("):]
+
+DEPARTMENT_KEYS = ["categoria", "year", "departamento"]
+DEPARTMENT_SERIES = ("SELECT categoria, year, departamento, fecha, CAST(precio_unitario AS DOUBLE) AS value "
+                     "FROM inner_sales")
+DEPARTMENT_SEG_SERIES = ("SELECT categoria, year, departamento, CAST(((clave_venta % 8) + 8) % 8 AS INTEGER) "
+                         "AS segmento, fecha, CAST(precio_unitario AS DOUBLE) AS value FROM inner_sales")
+ORACLE["edpelt_by_department"] = with_star_recursive(
+    "SELECT categoria, year, departamento, change_point, 'ok' AS status FROM dd_out", "p_type",
+    f"pts AS ({DEPARTMENT_SERIES}),\n" + edpelt_ctes("dd", "pts", DEPARTMENT_KEYS))
+ORACLE["divide_pelt_by_department"] = with_star_recursive(
+    "SELECT categoria, year, departamento, change_point, 'ok' AS status FROM q2_out", "p_type",
+    f"pts1 AS ({DEPARTMENT_SEG_SERIES}),\n" + edpelt_ctes("q1", "pts1", DEPARTMENT_KEYS + ["segmento"])
+    + ",\nqc AS (SELECT DISTINCT categoria, year, departamento, change_point AS fecha FROM q1_out),\n"
+    + f"pts2 AS ({DEPARTMENT_SERIES}),\n" + edpelt_ctes("q2", "pts2", DEPARTMENT_KEYS, allowed="qc"))

@@ -205,3 +205,20 @@ def events_edpelt(spark, sf_dir):
 @query
 def events_regression(spark, sf_dir):
     return segmented_regression(event_series(spark, sf_dir), ["event_type"])
+
+
+DEPARTMENT_KEYS = ["categoria", "year", "departamento"]
+
+
+def department_series(spark, sf_dir):
+    return price_series(enriched(spark, sf_dir, "type"), DEPARTMENT_KEYS, extra=("clave_venta",))
+
+
+@query
+def edpelt_by_department(spark, sf_dir):
+    return edpelt(department_series(spark, sf_dir).drop("clave_venta"), DEPARTMENT_KEYS)
+
+
+@query
+def divide_pelt_by_department(spark, sf_dir):
+    return divide.divide_pelt(department_series(spark, sf_dir), DEPARTMENT_KEYS)
