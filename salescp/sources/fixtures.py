@@ -47,13 +47,13 @@ def productos(spark: SparkSession, sf_dir: str, category: str = "brand") -> Data
 def locales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store dimension: (departamento, clave) through nation and region.
 
-    nation (25 rows) and region (5 rows) have a fixed size by the TPC-H
-    definition, so broadcasting them is bounded.
+    No hint: Catalyst sees the exact file sizes of nation and region and
+    broadcasts them only because they are under the broadcast threshold.
     """
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     reg = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = F.broadcast(nat.join(F.broadcast(reg), nat.n_regionkey == reg.r_regionkey))
+    geo = nat.join(reg, nat.n_regionkey == reg.r_regionkey)
     return sup.join(geo, sup.s_nationkey == geo.n_nationkey).select(
         F.col("r_name").alias("departamento"),
         F.col("s_suppkey").alias("clave"),
