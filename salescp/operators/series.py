@@ -18,7 +18,7 @@ from ..functions.columns import as_date, widen_float
 
 def price_series(enriched: DataFrame, key_cols: Sequence[str], date_col: str = "fecha",
                  value_col: str = "precio_unitario", extra: Sequence[str] = ()) -> DataFrame:
-    """(key..., fecha date, value double[, extra...]); points with a bad date are dropped.
+    """(key..., fecha date, value double[, extra...]); points with a bad date or value are dropped.
 
     The value is the unit price as a float widened to double, as the points of
     the original series are.
@@ -26,7 +26,7 @@ def price_series(enriched: DataFrame, key_cols: Sequence[str], date_col: str = "
     value = widen_float(value_col) if dict(enriched.dtypes)[value_col] in ("float", "string") \
         else F.col(value_col).cast("double")
     out = enriched.select(*key_cols, as_date(enriched, date_col).alias("fecha"), value.alias("value"), *extra)
-    return out.filter(F.col("fecha").isNotNull() & F.col("value").isNotNull())
+    return out.filter(F.col("fecha").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def daily_stats(series: DataFrame, key_cols: Sequence[str]) -> DataFrame:
