@@ -37,7 +37,7 @@ def date_text(col: Column | str) -> Column:
 def widen_float(col: Column | str) -> Column:
     """A float read as text and widened to double, as the series points are."""
     c = F.col(col) if isinstance(col, str) else col
-    return c.cast("float").cast("double")
+    return c.try_cast("float").cast("double")  # bad text -> NULL, never an ANSI error
 
 
 def joined_text(col: Column | str, sep: str = ", ") -> Column:
