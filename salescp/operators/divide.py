@@ -36,11 +36,11 @@ def segment_counts(series: DataFrame, key_cols: Sequence[str], segments: int = D
 
 def phase1(vcs: DataFrame, series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POINTS,
            max_seconds: float | None = None, broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-           reuse: str = "table", known_rows: int | None = None) -> DataFrame:
+           reuse: str = "table", known_rows: int | None = None, rank_strategy: str = "auto") -> DataFrame:
     """ED-PELT per (key, segment): (key..., segmento, change_point, status)."""
     skeys = list(key_cols) + [SEGMENT]
     vc = vcs.select(*skeys, "fecha", "value", "c")
-    th = materialize(thresholds(vc, skeys, reuse=reuse, known_rows=known_rows), reuse)
+    th = materialize(thresholds(vc, skeys, rank_strategy, reuse=reuse, known_rows=known_rows), reuse)
     hist = threshold_histogram(vc, th, skeys, broadcast_max_rows)
     schema = result_schema(series.withColumn(SEGMENT, F.lit(0).cast("int")), skeys)
     return run_dp(hist, skeys, schema, min_points, max_seconds)
@@ -62,11 +62,11 @@ def segment_summary(phase1_result: DataFrame, key_cols: Sequence[str]) -> DataFr
 def phase2(vcs: DataFrame, cands: DataFrame, series: DataFrame, key_cols: Sequence[str],
            min_points: int = MIN_POINTS, max_seconds: float | None = None,
            broadcast_max_rows: int = BROADCAST_MAX_ROWS, reuse: str = "table",
-           known_rows: int | None = None) -> DataFrame:
+           known_rows: int | None = None, rank_strategy: str = "auto") -> DataFrame:
     """ED-PELT per key with changes restricted to candidate boundaries."""
     keys = list(key_cols)
     vc = vcs.groupBy(*keys, "fecha", "value").agg(F.sum("c").alias("c"))
-    th = materialize(thresholds(vc, keys, reuse=reuse, known_rows=known_rows), reuse)
+    th = materialize(thresholds(vc, keys, rank_strategy, reuse=reuse, known_rows=known_rows), reuse)
     hist = threshold_histogram(vc, th, keys, broadcast_max_rows)
     return run_dp(hist, keys, result_schema(series, keys), min_points, max_seconds, allowed=cands)
 
@@ -74,14 +74,14 @@ def phase2(vcs: DataFrame, cands: DataFrame, series: DataFrame, key_cols: Sequen
 def divide_pelt(series: DataFrame, key_cols: Sequence[str], segments: int = DIVIDE_SEGMENTS,
                 sale_col: str = "clave_venta", min_points: int = MIN_POINTS, max_seconds: float | None = None,
                 broadcast_max_rows: int = BROADCAST_MAX_ROWS, reuse: str = "table",
-                with_phase1: bool = False):
+                with_phase1: bool = False, rank_strategy: str = "auto"):
     """(key..., change_point, status) of the divide-and-merge detector.
 
     With `with_phase1=True` returns (result, phase-1 result).
     """
     keys = list(key_cols)
     vcs, rows = materialize(segment_counts(series, keys, segments, sale_col), reuse, count=True)
-    p1 = phase1(vcs, series, keys, min_points, max_seconds, broadcast_max_rows, reuse, rows)
+    p1 = phase1(vcs, series, keys, min_points, max_seconds, broadcast_max_rows, reuse, rows, rank_strategy)
     result = phase2(vcs, candidates(p1, keys), series, keys, min_points, max_seconds, broadcast_max_rows, reuse,
-                    rows)
+                    rows, rank_strategy)
     return (result, p1) if with_phase1 else result

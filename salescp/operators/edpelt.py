@@ -366,7 +366,7 @@ def run_dp(hist: DataFrame, key_cols: Sequence[str], schema: T.StructType, min_p
 
 def edpelt(series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POINTS,
            max_seconds: float | None = None, broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-           reuse: str = "table") -> DataFrame:
+           reuse: str = "table", rank_strategy: str = "auto") -> DataFrame:
     """ED-PELT per key: (key..., change_point date, status); no row for a series without change.
 
     The folded points feed both the thresholds and the histogram; `reuse`
@@ -374,6 +374,6 @@ def edpelt(series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POI
     """
     keys = list(key_cols)
     vc, rows = materialize(value_counts(series, keys), reuse, count=True)
-    th = materialize(thresholds(vc, keys, reuse=reuse, known_rows=rows), reuse)
+    th = materialize(thresholds(vc, keys, rank_strategy, reuse=reuse, known_rows=rows), reuse)
     hist = threshold_histogram(vc, th, keys, broadcast_max_rows)
     return run_dp(hist, keys, result_schema(series, keys), min_points, max_seconds)

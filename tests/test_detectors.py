@@ -120,3 +120,14 @@ def test_detect_dispatch_and_user_detector(spark):
     assert [r.change_point for r in detect(df, ["key"], biggest_jump).collect()] == [day(9)]
     with pytest.raises(ValueError):
         detect(df, ["key"], "nope")
+
+
+def test_range_ranks_give_same_changes(spark):
+    s = price_series(enriched(spark, SF_SMALL, "brand"), ["categoria", "year"], extra=("clave_venta",))
+    keys = ["categoria", "year"]
+    win = sorted(map(tuple, edpelt(s.drop("clave_venta"), keys, rank_strategy="window").collect()))
+    rng = sorted(map(tuple, edpelt(s.drop("clave_venta"), keys, rank_strategy="range").collect()))
+    assert win == rng and win
+    dw = sorted(map(tuple, divide.divide_pelt(s, keys, rank_strategy="window").collect()))
+    dr = sorted(map(tuple, divide.divide_pelt(s, keys, rank_strategy="range").collect()))
+    assert dw == dr
