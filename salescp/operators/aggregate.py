@@ -22,27 +22,27 @@ def _keys(keys: Sequence[str] | str) -> list[str]:
 
 
 def average_by_subkey(df: DataFrame, keys, x: str, y: str, name: str = "promedio") -> DataFrame:
-    """Mean of y per (key, x)."""
+    """A1: mean of y per (key, x)."""
     return df.groupBy(*_keys(keys), x).agg(F.avg(F.col(y).cast("double")).alias(name))
 
 
 def count_by_subkey(df: DataFrame, keys, x: str, name: str = "cantidad") -> DataFrame:
-    """Rows per (key, x)."""
+    """A2: rows per (key, x)."""
     return df.groupBy(*_keys(keys), x).agg(F.count(F.lit(1)).alias(name))
 
 
 def sum_by_subkey(df: DataFrame, keys, x: str, y: str, name: str = "suma") -> DataFrame:
-    """Sum of y per (key, x)."""
+    """A3: sum of y per (key, x)."""
     return df.groupBy(*_keys(keys), x).agg(F.sum(F.col(y).cast("double")).alias(name))
 
 
 def sum_by_key(df: DataFrame, keys, y: str, name: str = "suma") -> DataFrame:
-    """Sum of y per key."""
+    """A4: sum of y per key."""
     return df.groupBy(*_keys(keys)).agg(F.sum(F.col(y).cast("double")).alias(name))
 
 
 def sum_values(df: DataFrame, keys, v: str, name: str = "suma") -> DataFrame:
-    """Sum of a value that may be text: non-numeric values are ignored, empty sum is 0."""
+    """A5: sum of a value that may be text; non-numeric values are ignored, empty sum is 0."""
     val = F.col(v)
     if dict(df.dtypes)[v] == "string":
         val = F.trim(val).try_cast("double")
@@ -50,7 +50,7 @@ def sum_values(df: DataFrame, keys, v: str, name: str = "suma") -> DataFrame:
 
 
 def max_by_key(df: DataFrame, keys, y: str, name: str = "maximo") -> DataFrame:
-    """Largest y per key (a true maximum, also for all-negative groups)."""
+    """Largest y per key (a true maximum, also for all-negative groups)."""
     return df.groupBy(*_keys(keys)).agg(F.max(F.col(y).cast("double")).alias(name))
 
 
@@ -60,7 +60,7 @@ def with_year(df: DataFrame, date_col: str = "fecha", name: str = "year") -> Dat
 
 def quantity_by_cat_dep(ventas: DataFrame, productos: DataFrame, locales: DataFrame,
                         filters: Filters = Filters(), join_strategy: str = "checked") -> DataFrame:
-    """Total original quantity per (category, department) over the left joins.
+    """Q1: total original quantity per (category, department) over the left joins.
 
     Sales whose product or store is missing or filtered out stay, under `''`.
     """
@@ -70,7 +70,7 @@ def quantity_by_cat_dep(ventas: DataFrame, productos: DataFrame, locales: DataFr
 
 def daily_price_by_cat_dep_year(ventas: DataFrame, productos: DataFrame, locales: DataFrame,
                                 filters: Filters = Filters(), join_strategy: str = "checked") -> DataFrame:
-    """Sum of unit price per day, keyed by (category, department, year), inner joins."""
+    """Q2: sum of unit price per day, keyed by (category, department, year), inner joins."""
     enriched = with_year(enrich(ventas, productos, locales, how="inner", filters=filters,
                                 join_strategy=join_strategy))
     return sum_by_subkey(enriched, ["categoria", "departamento", "year"], "fecha", "precio_unitario",

@@ -21,7 +21,7 @@ from ..params import TIMEOUT_TOKEN
 
 
 def histogram(results: DataFrame, rollup_cols: Sequence[str]) -> DataFrame:
-    """(rollup..., token, n): occurrences of each change date (or time-out) per rolled-up key."""
+    """(rollup..., token, n), occurrences of each change date (or time-out) per rolled-up key."""
     token = F.when(F.col("status") == "timeout", F.lit(TIMEOUT_TOKEN)).otherwise(date_text("change_point"))
     tokens = results.select(*rollup_cols, F.trim(token).alias("token")).filter(
         F.col("token").isNotNull() & (F.col("token") != ""))
@@ -29,7 +29,7 @@ def histogram(results: DataFrame, rollup_cols: Sequence[str]) -> DataFrame:
 
 
 def histogram_json(hist: DataFrame, rollup_cols: Sequence[str]) -> DataFrame:
-    """(rollup..., histogram): `{"d1": 3, "d2": 1}`, count descending then token."""
+    """(rollup..., histogram), `{"d1": 3, "d2": 1}`, count descending then token."""
     return hist.groupBy(*rollup_cols).agg(
         json_histogram(F.collect_list(F.struct("token", "n"))).alias("histogram"))
 

@@ -29,7 +29,7 @@ SEGMENT = "segmento"
 
 def segment_counts(series: DataFrame, key_cols: Sequence[str], segments: int = DIVIDE_SEGMENTS,
                    sale_col: str = "clave_venta") -> DataFrame:
-    """(key..., segmento, fecha, value, c): folded points with their segment number."""
+    """(key..., segmento, fecha, value, c), folded points with their segment number."""
     seg = series.withColumn(SEGMENT, F.pmod(F.col(sale_col), F.lit(segments)).cast("int"))
     return seg.groupBy(*key_cols, SEGMENT, "fecha", "value").agg(F.count(F.lit(1)).alias("c"))
 
@@ -37,7 +37,7 @@ def segment_counts(series: DataFrame, key_cols: Sequence[str], segments: int = D
 def phase1(vcs: DataFrame, series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POINTS,
            max_seconds: float | None = None, broadcast_max_rows: int = BROADCAST_MAX_ROWS,
            reuse: str = "table", known_rows: int | None = None, rank_strategy: str = "auto") -> DataFrame:
-    """ED-PELT per (key, segment): (key..., segmento, change_point, status)."""
+    """ED-PELT per (key, segment), (key..., segmento, change_point, status)."""
     skeys = list(key_cols) + [SEGMENT]
     vc = vcs.select(*skeys, "fecha", "value", "c")
     th = materialize(thresholds(vc, skeys, rank_strategy, reuse=reuse, known_rows=known_rows), reuse)
@@ -47,13 +47,13 @@ def phase1(vcs: DataFrame, series: DataFrame, key_cols: Sequence[str], min_point
 
 
 def candidates(phase1_result: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-    """Distinct candidate dates per key (time-outs contribute none)."""
+    """Distinct candidate dates per key (time-outs contribute none)."""
     return phase1_result.filter(F.col("status") == "ok").select(
         *key_cols, F.col("change_point").alias("fecha")).distinct()
 
 
 def segment_summary(phase1_result: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-    """Per key: segments that reported a change and distinct candidate dates."""
+    """Per key, segments that reported a change and distinct candidate dates."""
     ok = phase1_result.filter(F.col("status") == "ok")
     return ok.groupBy(*key_cols).agg(
         F.countDistinct(SEGMENT).alias("n_segments"), F.countDistinct("change_point").alias("n_candidates"))
@@ -63,7 +63,7 @@ def phase2(vcs: DataFrame, cands: DataFrame, series: DataFrame, key_cols: Sequen
            min_points: int = MIN_POINTS, max_seconds: float | None = None,
            broadcast_max_rows: int = BROADCAST_MAX_ROWS, reuse: str = "table",
            known_rows: int | None = None, rank_strategy: str = "auto") -> DataFrame:
-    """ED-PELT per key with changes restricted to candidate boundaries."""
+    """ED-PELT per key with changes restricted to candidate boundaries."""
     keys = list(key_cols)
     vc = vcs.groupBy(*keys, "fecha", "value").agg(F.sum("c").alias("c"))
     th = materialize(thresholds(vc, keys, rank_strategy, reuse=reuse, known_rows=known_rows), reuse)

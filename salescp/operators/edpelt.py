@@ -93,7 +93,7 @@ def _ranks_range(vals: DataFrame, keys: list[str], partitions: int, reuse: str):
 def thresholds(vc: DataFrame, key_cols: Sequence[str], strategy: str = "auto",
                partitions: int | None = None, reuse: str = "table",
                window_max_values: int = WINDOW_RANK_MAX_VALUES, known_rows: int | None = None) -> DataFrame:
-    """Per key with n > 2: n, k and the sorted threshold array `ts` (k doubles).
+    """Per key with n > 2, n, k and the sorted threshold array `ts` (k doubles).
 
     strategy: "window" (one window per key over its distinct values), "range"
     (range-partitioned ranks, no window larger than a partition) or "auto"
@@ -144,7 +144,7 @@ def thresholds(vc: DataFrame, key_cols: Sequence[str], strategy: str = "auto",
 
 def threshold_histogram(vc: DataFrame, th: DataFrame, key_cols: Sequence[str],
                         broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """(key..., n, k, fecha, j, cnt): P_i of a date = sum of cnt over j <= i."""
+    """(key..., n, k, fecha, j, cnt); P_i of a date = sum of cnt over j <= i."""
     keys = list(key_cols)
     # `th` has one row per key.  Read back from a written table its size is
     # exact, so it is broadcast only when truly small; else a shuffle join.
@@ -157,7 +157,7 @@ def threshold_histogram(vc: DataFrame, th: DataFrame, key_cols: Sequence[str],
 
 
 def partial_sums(hist: DataFrame, th: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-    """(key..., fecha, i, threshold, partial_sum): P_i at the boundary after each date."""
+    """(key..., fecha, i, threshold, partial_sum); P_i at the boundary after each date."""
     keys = list(key_cols)
     daily = hist.groupBy(*keys, "k", "fecha").agg(F.collect_list(F.struct("j", "cnt")).alias("hs"))
     per_i = daily.select(*keys, "fecha", "hs", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"))
@@ -174,7 +174,7 @@ def partial_sums(hist: DataFrame, th: DataFrame, key_cols: Sequence[str]) -> Dat
 # --- per-key dynamic program (runs inside applyInPandas) -------------------
 
 def segment_costs(P: np.ndarray, tau: np.ndarray, a_idx: np.ndarray, b: int, factor: float) -> np.ndarray:
-    """cost(a, b) for every a in a_idx; terms summed in index order."""
+    """cost(a, b) for every a in a_idx; terms summed in index order."""
     L = (tau[b] - tau[a_idx]).astype(np.float64)
     S = P[b][None, :] - P[a_idx]
     fit = S * 0.5 / L[:, None]
@@ -201,7 +201,7 @@ def pair_costs(P: np.ndarray, tau: np.ndarray, factor: float) -> np.ndarray:
 
 def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
           allowed: np.ndarray | None = None, max_seconds: float | None = None):
-    """Exact DP over boundaries 0..B; returns boundary indexes of the changes, or None on time-out.
+    """Exact DP over boundaries 0..B; boundary indexes of the changes, or None on time-out.
 
     `allowed[b]` (b in 1..B-1) says whether a change may sit on boundary b.
     """
@@ -367,7 +367,7 @@ def run_dp(hist: DataFrame, key_cols: Sequence[str], schema: T.StructType, min_p
 def edpelt(series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POINTS,
            max_seconds: float | None = None, broadcast_max_rows: int = BROADCAST_MAX_ROWS,
            reuse: str = "table", rank_strategy: str = "auto") -> DataFrame:
-    """ED-PELT per key: (key..., change_point date, status); no row for a series without change.
+    """T5 + T12: ED-PELT per key, (key..., change_point date, status); no row for a series without change.
 
     The folded points feed both the thresholds and the histogram; `reuse`
     (see `session.materialize`) makes the fact-table scan happen once.

@@ -75,7 +75,7 @@ def join_side(df: DataFrame, strategy: str = "auto", max_rows: int = BROADCAST_M
 
 def dedupe_dimension(dim: DataFrame, key: str = "clave", value: str | None = None,
                      strict: bool = False) -> DataFrame:
-    """One row per dimension key; the largest value wins so the choice is repeatable.
+    """One row per dimension key; the largest value wins so the choice is repeatable.
 
     `strict=True` raises `DuplicateKeyError` when a key repeats.
     """
@@ -89,7 +89,7 @@ def dedupe_dimension(dim: DataFrame, key: str = "clave", value: str | None = Non
 
 
 def valid_sales(ventas: DataFrame, filters: Filters = Filters()) -> DataFrame:
-    """Sales filter: quantity >= min and min <= price <= max, bounds inclusive.
+    """sales filter, quantity >= min and min <= price <= max, bounds inclusive.
 
     NaN never passes (Spark orders NaN above every number, so it is excluded
     explicitly).
@@ -103,7 +103,7 @@ def valid_sales(ventas: DataFrame, filters: Filters = Filters()) -> DataFrame:
 
 
 def product_filter(productos: DataFrame, filters: Filters = Filters()) -> DataFrame:
-    """Category present and not the excluded one."""
+    """category present and not the excluded one."""
     cond = F.col("categoria").isNotNull()
     if filters.excluded_category is not None:
         cond = cond & (F.col("categoria") != F.lit(filters.excluded_category))
@@ -111,14 +111,14 @@ def product_filter(productos: DataFrame, filters: Filters = Filters()) -> DataFr
 
 
 def store_filter(locales: DataFrame, filters: Filters = Filters()) -> DataFrame:
-    """Department in the chosen list (NULL never matches)."""
+    """department in the chosen list (NULL never matches)."""
     return locales.filter(F.col("departamento").isin(*filters.departments))
 
 
 def enrich(ventas: DataFrame, productos: DataFrame, locales: DataFrame, how: str = "inner",
            filters: Filters = Filters(), join_strategy: str = "checked",
            broadcast_max_rows: int = BROADCAST_MAX_ROWS, strict: bool = False) -> DataFrame:
-    """Sales with `categoria` and `departamento`, filtered.
+    """J1 (how="inner") / J2+J3 (how="left"): sales with `categoria` and `departamento`, filtered.
 
     Returns the sales columns plus `categoria`, `departamento`.
     """

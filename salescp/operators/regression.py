@@ -42,7 +42,7 @@ def _sse(n, sx, sxx, sy, sxy, syy):
 
 
 def split_errors(series: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-    """Per (key, split date d): point counts and fit errors of left, right and whole."""
+    """Per (key, split date d), point counts and fit errors of left, right and whole."""
     keys = list(key_cols)
     d = daily_stats(series, keys)
     w_all = Window.partitionBy(*keys).orderBy("fecha").rowsBetween(Window.unboundedPreceding,
@@ -78,7 +78,7 @@ def split_errors(series: DataFrame, key_cols: Sequence[str]) -> DataFrame:
 
 def segmented_regression(series: DataFrame, key_cols: Sequence[str], ratio: float = REGRESSION_RATIO,
                          min_points: int = MIN_POINTS) -> DataFrame:
-    """Flagged splits: (key..., change_point date, status 'ok'), one row per flag."""
+    """Flagged splits, (key..., change_point date, status 'ok'), one row per flag."""
     e = split_errors(series, key_cols)
     flagged = e.filter(
         (F.col("n_left") >= min_points) & (F.col("n_right") >= min_points)

@@ -18,7 +18,7 @@ from ..functions.columns import as_date, widen_float
 
 def price_series(enriched: DataFrame, key_cols: Sequence[str], date_col: str = "fecha",
                  value_col: str = "precio_unitario", extra: Sequence[str] = ()) -> DataFrame:
-    """(key..., fecha date, value double[, extra...]); points with a bad date or value are dropped.
+    """(key..., fecha date, value double[, extra...]); points with a bad date or value are dropped.
 
     The value is the unit price as a float widened to double, as the points of
     the original series are.

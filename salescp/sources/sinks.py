@@ -31,7 +31,7 @@ def text_lines(df: DataFrame, key_cols: Sequence[str], value_cols: Sequence[str]
 
 def write_text(df: DataFrame, path: str, key_cols: Sequence[str], value_cols: Sequence[str],
                sep: str = "\t", mode: str = "overwrite", single_file: bool = False) -> None:
-    """Text sink; `single_file=True` only for small results such as roll-ups."""
+    """Text sink; `single_file=True` only for small results such as roll-ups."""
     out = text_lines(df, key_cols, value_cols, sep=sep)
     if single_file:
         out = out.coalesce(1)

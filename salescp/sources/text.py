@@ -52,7 +52,7 @@ class Parsed:
 
 def parse_lines(lines: DataFrame, layout, sep: str = FIELD_SEPARATOR, name: str = "table",
                 strict: bool = False) -> Parsed:
-    """Split a one-column (`value`) text DataFrame into typed columns, rejecting bad lines."""
+    """Split a one-column (`value`) text DataFrame into typed columns, rejecting bad lines."""
     parts = F.split(F.col("value"), _regex_literal(sep), -1)
     cols, checks = [], [F.size(parts) >= len(layout)]
     for pos, (col, dtype) in enumerate(layout):
