@@ -8,6 +8,17 @@ Layout:
     streaming/  (none: every job of the original is a bounded batch)
 """
 
+import sys as _sys
+
 from .params import DetectorParams, Filters
 
+# Functions shipped to Python workers (the per-key DP, user detectors) are
+# pickled by value, so executors need no installed copy of this package.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # older cloudpickle: workers import the package
+    pass
+
 __all__ = ["DetectorParams", "Filters"]

@@ -349,7 +349,9 @@ def run_dp(hist: DataFrame, key_cols: Sequence[str], schema: T.StructType, min_p
     keys = list(key_cols)
     has_allowed = allowed is not None
     spark = hist.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # one task per core several times over; on a big cluster the shuffle setting governs
+    parts = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              4 * spark.sparkContext.defaultParallelism)
     day = F.datediff("fecha", F.expr(EPOCH)).alias("d")
     data = hist.select(*keys, F.col("k").cast("int").alias("k"), day, F.col("j").cast("long").alias("j"),
                        F.col("cnt").cast("long").alias("cnt"))

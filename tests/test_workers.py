@@ -1,0 +1,27 @@
+import os
+import subprocess
+import sys
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+SCRIPT = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+import datetime as dt
+from pyspark.sql import SparkSession
+from salescp.operators.edpelt import edpelt
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+d0 = dt.date(2024, 1, 1)
+rows = [("g", d0 + dt.timedelta(days=i), float(i >= 6) + float(i >= 12)) for i in range(18)]
+df = spark.createDataFrame(rows, "key string, fecha date, value double")
+print(sorted(str(r.change_point) for r in edpelt(df, ["key"]).collect()))
+"""
+
+
+def test_python_workers_need_no_installed_package(tmp_path):
+    """The driver may run from anywhere: functions sent to workers travel by value."""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=tmp_path, env=env, capture_output=True, text=True,
+                         timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "['2024-01-06', '2024-01-12']" in out.stdout
