@@ -21,7 +21,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import date_text
+from ..functions.columns import date_text, joined_text
 from ..operators import aggregate as agg
 from ..operators.conclude import conclude
 from ..operators.detect import detect
@@ -40,7 +40,7 @@ def detections_text(result: DataFrame, key_cols) -> DataFrame:
     """One line per series with changes: key fields, then `;`, then the dates."""
     token = F.when(F.col("status") == "timeout", F.lit(TIMEOUT_TOKEN)).otherwise(date_text("change_point"))
     per_key = result.groupBy(*key_cols).agg(F.array_sort(F.collect_list(token)).alias("dates"))
-    return per_key.select(*key_cols, F.array_join("dates", ", ").alias("dates"))
+    return per_key.select(*key_cols, joined_text("dates").alias("dates"))
 
 
 def run(spark: SparkSession, job: str, ventas_path: str, productos_path: str, locales_path: str, out: str,

@@ -9,7 +9,6 @@ missing, which happens in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -79,13 +78,6 @@ def cut_lineage(df, spark: SparkSession | None = None):
     return df.checkpoint(eager=True)
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def materialize(df, how: str = "table", count: bool = False):
     """Compute `df` once and read it back, so several branches share one scan.
 
