@@ -29,7 +29,7 @@ from ..operators.enrich import enrich
 from ..operators.series import price_series
 from ..params import (DEFAULT_DEPARTMENTS, DEFAULT_EXCLUDED_CATEGORY, MAX_SECONDS_PER_SERIES, TIMEOUT_TOKEN,
                       Filters)
-from ..session import configure, materialize
+from ..session import configure, drop_materialized, materialize
 from ..sources import sinks, text
 
 DEFAULT_KEY = ("categoria", "year", "clave_producto")
@@ -104,4 +104,5 @@ def main(argv=None) -> None:
     filters = Filters(tuple(x for x in a.departments.split(",") if x), a.exclude or None)
     counts = run(spark, a.job, a.ventas, a.productos, a.locales, a.out, filters, a.key.split(","), a.format,
                  a.max_seconds or None, a.strict)
+    drop_materialized(spark)  # outputs are written; the intermediate tables are no longer read
     print(f"ventas lines: {counts.get('lines')}, rejected: {counts.get('rejected')}")

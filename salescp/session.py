@@ -78,6 +78,10 @@ def cut_lineage(df, spark: SparkSession | None = None):
     return df.checkpoint(eager=True)
 
 
+# tables written by `materialize` in this driver process, oldest first
+WRITTEN: list[str] = []
+
+
 def materialize(df, how: str = "table", count: bool = False):
     """Compute `df` once and read it back, so several branches share one scan.
 
@@ -117,7 +121,24 @@ def materialize(df, how: str = "table", count: bool = False):
 
         path = f"{checkpoint_dir(spark).rstrip('/')}/salescp-{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(path)
+        WRITTEN.append(path)
         out = spark.read.parquet(path)
     else:
         raise ValueError(f"unknown materialization {how!r}")
     return (out, obs.get["rows"]) if count else out
+
+
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete the tables `materialize` wrote, once nothing reads them any more.
+
+    Goes through the Hadoop FileSystem of each path, so it works on the shared
+    storage a cluster names in `spark.checkpoint.dir`.  Returns how many went.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(WRITTEN.pop())
+        if path.getFileSystem(conf).delete(path, True):
+            dropped += 1
+    return dropped
