@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import BROADCAST_MAX_ROWS, DIVIDE_SEGMENTS, MIN_POINTS
-from ..session import materialize
+from ..session import materialize, materialize_sized
 from .edpelt import result_schema, run_dp, threshold_histogram, thresholds
 
 SEGMENT = "segmento"
@@ -40,8 +40,9 @@ def phase1(vcs: DataFrame, series: DataFrame, key_cols: Sequence[str], min_point
     """ED-PELT per (key, segment), (key..., segmento, change_point, status)."""
     skeys = list(key_cols) + [SEGMENT]
     vc = vcs.select(*skeys, "fecha", "value", "c")
-    th = materialize(thresholds(vc, skeys, rank_strategy, reuse=reuse, known_rows=known_rows), reuse)
-    hist = threshold_histogram(vc, th, skeys, broadcast_max_rows)
+    th, _, th_bytes = materialize_sized(thresholds(vc, skeys, rank_strategy, reuse=reuse, known_rows=known_rows),
+                                        reuse)
+    hist = threshold_histogram(vc, th, skeys, broadcast_max_rows, th_bytes)
     schema = result_schema(series.withColumn(SEGMENT, F.lit(0).cast("int")), skeys)
     return run_dp(hist, skeys, schema, min_points, max_seconds)
 
@@ -66,8 +67,9 @@ def phase2(vcs: DataFrame, cands: DataFrame, series: DataFrame, key_cols: Sequen
     """ED-PELT per key with changes restricted to candidate boundaries."""
     keys = list(key_cols)
     vc = vcs.groupBy(*keys, "fecha", "value").agg(F.sum("c").alias("c"))
-    th = materialize(thresholds(vc, keys, rank_strategy, reuse=reuse, known_rows=known_rows), reuse)
-    hist = threshold_histogram(vc, th, keys, broadcast_max_rows)
+    th, _, th_bytes = materialize_sized(thresholds(vc, keys, rank_strategy, reuse=reuse, known_rows=known_rows),
+                                        reuse)
+    hist = threshold_histogram(vc, th, keys, broadcast_max_rows, th_bytes)
     return run_dp(hist, keys, result_schema(series, keys), min_points, max_seconds, allowed=cands)
 
 

@@ -38,8 +38,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..params import BROADCAST_MAX_ROWS, MIN_POINTS
-from ..session import materialize
+from ..params import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, MIN_POINTS
+from ..session import materialize, materialize_sized
 from .enrich import join_side
 
 RESULT_FIELDS = [T.StructField("change_point", T.DateType()), T.StructField("status", T.StringType())]
@@ -143,12 +143,19 @@ def thresholds(vc: DataFrame, key_cols: Sequence[str], strategy: str = "auto",
 
 
 def threshold_histogram(vc: DataFrame, th: DataFrame, key_cols: Sequence[str],
-                        broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """(key..., n, k, fecha, j, cnt); P_i of a date = sum of cnt over j <= i."""
+                        broadcast_max_rows: int = BROADCAST_MAX_ROWS, th_bytes: int | None = None) -> DataFrame:
+    """(key..., n, k, fecha, j, cnt); P_i of a date = sum of cnt over j <= i.
+
+    `th` has one row per key.  With `th_bytes` (its in-memory size, observed
+    while it was written) it is broadcast when at most BROADCAST_MAX_BYTES,
+    else sort-merge joined; without it Catalyst decides from its size.
+    """
     keys = list(key_cols)
-    # `th` has one row per key.  Read back from a written table its size is
-    # exact, so it is broadcast only when truly small; else a shuffle join.
-    joined = vc.join(join_side(th, "auto", broadcast_max_rows), keys)
+    if th_bytes is None:
+        side = join_side(th, "auto", broadcast_max_rows)
+    else:
+        side = F.broadcast(th) if th_bytes <= BROADCAST_MAX_BYTES else th.hint("shuffle_merge")
+    joined = vc.join(side, keys)
     a = F.size(F.filter("ts", lambda t: t <= F.col("value")))
     b = F.size(F.filter("ts", lambda t: t < F.col("value")))
     pos = joined.select(*keys, "n", "k", "fecha", F.explode(F.array(
@@ -376,6 +383,6 @@ def edpelt(series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POI
     """
     keys = list(key_cols)
     vc, rows = materialize(value_counts(series, keys), reuse, count=True)
-    th = materialize(thresholds(vc, keys, rank_strategy, reuse=reuse, known_rows=rows), reuse)
-    hist = threshold_histogram(vc, th, keys, broadcast_max_rows)
+    th, _, th_bytes = materialize_sized(thresholds(vc, keys, rank_strategy, reuse=reuse, known_rows=rows), reuse)
+    hist = threshold_histogram(vc, th, keys, broadcast_max_rows, th_bytes)
     return run_dp(hist, keys, result_schema(series, keys), min_points, max_seconds)

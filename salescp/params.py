@@ -35,6 +35,9 @@ FIXTURE_EXCLUDED_CATEGORY = "Brand#10"
 # checked with a bounded `limit(n + 1).count()` before the hint is set.  A row
 # is a long key and a short text (about 40 bytes), so the bound is ~40 MB.
 BROADCAST_MAX_ROWS = 1_000_000
+# Written intermediate tables (thresholds) are broadcast when the in-memory
+# size observed during their write is at most this many bytes.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 @dataclass(frozen=True)

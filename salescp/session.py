@@ -82,6 +82,37 @@ def cut_lineage(df, spark: SparkSession | None = None):
 WRITTEN: list[str] = []
 
 
+def row_bytes(df):
+    """Column: an upper-bound estimate of one row's in-memory size (bytes)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    total = F.lit(16)
+    for field in df.schema.fields:
+        col = F.col(field.name)
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.length(col), F.lit(0)) + 8
+        elif isinstance(field.dataType, T.ArrayType):
+            total = total + F.coalesce(F.size(col), F.lit(0)) * 8 + 16
+        else:
+            total = total + 8
+    return total.cast("long")
+
+
+def materialize_sized(df, how: str = "table"):
+    """`materialize` that also returns (rows, bytes) observed during the write.
+
+    bytes is the sum of `row_bytes`, a bound on the table's in-memory size; both
+    are None when nothing was written (persist / none).
+    """
+    from pyspark.sql import functions as F
+
+    out, metrics = _materialize(df, how, {"rows": F.count(F.lit(1)), "bytes": F.sum(row_bytes(df))})
+    if metrics is None:
+        return out, None, None
+    return out, metrics["rows"], metrics["bytes"] or 0
+
+
 def materialize(df, how: str = "table", count: bool = False):
     """Compute `df` once and read it back, so several branches share one scan.
 
@@ -94,8 +125,17 @@ def materialize(df, how: str = "table", count: bool = False):
     With `count=True` returns (df, rows); the row count is observed during the
     write (no extra job) and is None for `none` / `persist`.
     """
+    if not count:
+        return _materialize(df, how, None)[0]
+    from pyspark.sql import functions as F
+
+    out, metrics = _materialize(df, how, {"rows": F.count(F.lit(1))})
+    return out, (None if metrics is None else metrics["rows"])
+
+
+def _materialize(df, how: str, metrics: dict | None):
     if how == "none":
-        return (df, None) if count else df
+        return df, None
     spark = df.sparkSession
     if how in ("table", "checkpoint"):
         try:
@@ -105,15 +145,13 @@ def materialize(df, how: str = "table", count: bool = False):
     if how == "persist":
         from pyspark import StorageLevel
 
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        return (out, None) if count else out
+        return df.persist(StorageLevel.MEMORY_AND_DISK), None
     obs = None
-    if count:
+    if metrics:
         from pyspark.sql import Observation
-        from pyspark.sql import functions as F
 
-        obs = Observation("materialized_rows")
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        obs = Observation("materialized")
+        df = df.observe(obs, *[expr.alias(name) for name, expr in metrics.items()])
     if how == "checkpoint":
         out = cut_lineage(df, spark)
     elif how == "table":
@@ -125,7 +163,7 @@ def materialize(df, how: str = "table", count: bool = False):
         out = spark.read.parquet(path)
     else:
         raise ValueError(f"unknown materialization {how!r}")
-    return (out, obs.get["rows"]) if count else out
+    return out, (dict(obs.get) if obs is not None else None)
 
 
 def drop_materialized(spark: SparkSession) -> int:

@@ -53,3 +53,15 @@ def test_edpelt_reads_folded_table_and_batches_python(spark):
     assert "FlatMapGroupsInPandas" not in plan
     assert "lineitem" not in plan  # the fact table was folded and written once
     assert "REPARTITION_BY_NUM" in plan
+
+
+def test_threshold_join_follows_observed_size(spark, monkeypatch):
+    s = price_series(enriched(spark, SF_SMALL, "brand"), EDPELT_KEYS)
+    small = E.edpelt(s, EDPELT_KEYS)
+    small_rows = sorted(map(tuple, small.collect()))
+    assert "BroadcastHashJoin" in final_plan(small)
+    monkeypatch.setattr(E, "BROADCAST_MAX_BYTES", 0)  # pretend the thresholds are too big to broadcast
+    big = E.edpelt(s, EDPELT_KEYS)
+    plan = final_plan(big)
+    assert "SortMergeJoin" in plan
+    assert sorted(map(tuple, big.collect())) == small_rows
