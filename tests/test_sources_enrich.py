@@ -121,3 +121,13 @@ def test_join_plans(spark):
     assert "SortMergeJoin" in _plan(left)
     with pytest.raises(ValueError):
         join_side(v, "broadcast", max_rows=3)
+
+
+def test_text_sink_lines(spark):
+    from salescp.sources.sinks import text_lines
+
+    df = spark.createDataFrame(
+        [("REPELENTE", None, dt.date(2024, 1, 5), [dt.date(2024, 1, 5), dt.date(2024, 2, 1)])],
+        "categoria string, departamento string, fecha date, dates array<date>")
+    line = text_lines(df, ["categoria", "departamento", "fecha"], ["dates"], sep=";").first().value
+    assert line == "REPELENTE\tNULL\t2024-01-05;2024-01-05, 2024-02-01"
