@@ -22,8 +22,9 @@ needs P_i at boundaries, so the DP never needs raw rows:
   3. per (key, fecha, value) the positions a = #{t <= v}, b = #{t < v} among
      the key's k sorted thresholds; P_i of a date = #{a <= i} + #{b <= i}, so
      a histogram over (key, fecha, position) carries everything;
-  4. `applyInPandas` per key on at most dates x (k+1) histogram rows: an exact
-     DP over date boundaries in numpy (cumulative sums, then the recurrence).
+  4. `mapInPandas` over the histogram hash-partitioned by key and sorted:
+     each key's at most dates x (k+1) rows feed an exact DP over date
+     boundaries in numpy (cumulative sums, then the recurrence).
 """
 
 from __future__ import annotations
@@ -178,7 +179,7 @@ def partial_sums(hist: DataFrame, th: DataFrame, key_cols: Sequence[str]) -> Dat
                                               "partial_sum")
 
 
-# --- per-key dynamic program (runs inside applyInPandas) -------------------
+# --- per-key dynamic program (runs inside mapInPandas) ---------------------
 
 def segment_costs(P: np.ndarray, tau: np.ndarray, a_idx: np.ndarray, b: int, factor: float) -> np.ndarray:
     """cost(a, b) for every a in a_idx; terms summed in index order."""
