@@ -131,3 +131,13 @@ def test_range_ranks_give_same_changes(spark):
     dw = sorted(map(tuple, divide.divide_pelt(s, keys, rank_strategy="window").collect()))
     dr = sorted(map(tuple, divide.divide_pelt(s, keys, rank_strategy="range").collect()))
     assert dw == dr
+
+
+def test_empty_series_give_empty_results(spark):
+    empty = spark.createDataFrame([], "key string, fecha date, value double, clave_venta bigint")
+    assert edpelt(empty.drop("clave_venta"), ["key"]).collect() == []
+    assert divide.divide_pelt(empty, ["key"]).collect() == []
+    res = regression.segmented_regression(empty.drop("clave_venta"), ["key"])
+    assert res.collect() == []
+    out = conclude.conclude(res, ["key"])
+    assert out.collect() == [] and out.columns == ["key", "histogram"]
