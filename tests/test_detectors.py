@@ -141,3 +141,24 @@ def test_empty_series_give_empty_results(spark):
     assert res.collect() == []
     out = conclude.conclude(res, ["key"])
     assert out.collect() == [] and out.columns == ["key", "histogram"]
+
+
+def test_divide_on_fixture_subset_and_not_below_exact(spark):
+    keys = ["categoria", "year"]
+    s = price_series(enriched(spark, SF_SMALL, "brand"), keys, extra=("clave_venta",))
+    result, p1 = divide.divide_pelt(s, keys, with_phase1=True)
+    got, cands, exact = {}, {}, {}
+    for r in result.collect():
+        got.setdefault((r.categoria, r.year), []).append(r.change_point)
+    for r in p1.collect():
+        cands.setdefault((r.categoria, r.year), set()).add(r.change_point)
+    for r in edpelt(s.drop("clave_venta"), keys).collect():
+        exact.setdefault((r.categoria, r.year), []).append(r.change_point)
+    pts = {}
+    for r in s.collect():
+        pts.setdefault((r.categoria, r.year), []).append((r.fecha, r.value))
+    for key, changes in got.items():
+        assert set(changes) <= cands.get(key, set()), key
+        d = [p[0] for p in pts[key]]
+        v = [p[1] for p in pts[key]]
+        assert rules.edpelt_total(d, v, changes) >= rules.edpelt_total(d, v, exact.get(key, [])) - 1e-9, key
