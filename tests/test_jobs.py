@@ -35,3 +35,15 @@ def test_jobs_end_to_end(spark, tmp_path):
             assert all("\t{" in r.value for r in lines)
         else:
             assert spark.read.text(out).count() > 0
+
+
+def test_parquet_outputs(spark, tmp_path):
+    paths = _export(spark, tmp_path)
+    out = str(tmp_path / "out-parquet")
+    jobs.run(spark, "pelt", paths["ventas"], paths["productos"], paths["locales"], out,
+             Filters(("AFRICA", "AMERICA"), "Brand#10"), key_cols=("categoria", "year", "clave_local"), fmt="parquet")
+    det = spark.read.parquet(f"{out}/detections")
+    con = spark.read.parquet(f"{out}/conclusions")
+    assert det.columns == ["categoria", "year", "clave_local", "change_point", "status"]
+    assert con.columns == ["categoria", "year", "histogram"]
+    assert det.count() > 0 and con.count() > 0
