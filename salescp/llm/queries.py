@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, token_counts
+from . import bpe, language_id, line_dedup, packing, pii, quality, token_counts
 from .common import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
+MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 
 
@@ -20,12 +21,34 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                              schema="n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text; learned outside the fold crc32(doc_id) mod 5 = 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs, public_tokenizers.path(MULTI_BPE))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 40 characters or more that 5 documents share stay in the last one only."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, as word-BPE ids closed by id 1, in sequences of 4096."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text; learned from positives outside the fold crc32(doc_id) mod 3 = 1."""
+    return quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: counts and digest of the pattern spans, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.fit(docs), pii.digest, pii.DIGEST)
+
+
 #: The edits of op9, from the document's own columns: its source is put in front, up to 200
 #: characters from a place in the first half go, a word is put in at a place in the second half,
 #: and the tail is cut by up to 40 characters.
@@ -47,4 +70,4 @@ def op9_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.edited_counts(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op4_line_dedup, op9_edit_counts)}
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_language_id, op4_line_dedup, op5_best_fit_packing, op6_quality, op7_pii, op9_edit_counts)}
