@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 import types
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from salescp.session import materialize
@@ -44,25 +44,27 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 2
     edge do not appear.  The number of rounds grows with the logarithm of the
     longest path; exceeding `max_rounds` raises.
     """
-    spark = edges.sparkSession
-    cur = materialize(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-                      .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    before = None
+    def written(df):
+        seen = Observation()
+        out = materialize(df.observe(seen, F.count("*").alias("n"),
+                                     F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
+        return out, (seen.get["n"], seen.get["h"])
+
+    cur, before = written(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+                          .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     for _ in range(max_rounds):
+        # large star: a node's neighbours above it go to the smallest of the node and its neighbours
         both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # large star: neighbours above a node go to the smallest of the node and its neighbours
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u != v").distinct())
+        large = cur.select(F.col("u").alias("x"), F.col("v").alias("u")).join(low, "u").selectExpr("x as u", "m as v").distinct()
         # small star: a node's lower neighbours and the node itself go to its smallest neighbour
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                                                F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").where("u != v").distinct())
-        cur = materialize(small)
-        now = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == before:
+        cur, now = written(small)
+        if now == before:
             return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
                 cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before = tuple(now)
+        before = now
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, line_dedup, packing, pii, quality, token_counts
+from . import bpe, jaccard_join, language_id, line_dedup, packing, pii, quality, token_counts
 from .common import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -49,6 +49,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(docs, pii.fit(docs), pii.digest, pii.DIGEST)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components over shingles of five words at a Jaccard similarity of 0.8."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 #: The edits of op9, from the document's own columns: its source is put in front, up to 200
 #: characters from a place in the first half go, a word is put in at a place in the second half,
 #: and the tail is cut by up to 40 characters.
@@ -70,4 +75,6 @@ def op9_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.edited_counts(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_language_id, op4_line_dedup, op5_best_fit_packing, op6_quality, op7_pii, op9_edit_counts)}
+QUERIES = {f.__name__: f for f in (
+    op2_byte_bpe, op3_language_id, op4_line_dedup, op5_best_fit_packing, op6_quality, op7_pii, op8_jaccard_join,
+    op9_edit_counts)}
