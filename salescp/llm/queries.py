@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard_join, language_id, line_dedup, packing, pii, quality, token_counts
+from . import bpe, cap_filters, jaccard_join, language_id, line_dedup, multi_index, packing, pii, quality, token_counts
 from .common import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -14,6 +14,11 @@ MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors by inner product to every vector whose id is divisible by 20."""
+    return multi_index.search(table(spark, sf_dir, "embeddings"), "id % 20 = 0")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every text of documents; ids and decoded bytes as digests."""
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
@@ -75,6 +80,11 @@ def op9_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.edited_counts(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN)
 
 
+def op10_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of equal label, cosine 0.93 or more."""
+    return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_byte_bpe, op3_language_id, op4_line_dedup, op5_best_fit_packing, op6_quality, op7_pii, op8_jaccard_join,
-    op9_edit_counts)}
+    op1_multi_index, op2_byte_bpe, op3_language_id, op4_line_dedup, op5_best_fit_packing, op6_quality, op7_pii,
+    op8_jaccard_join, op9_edit_counts, op10_cap_filters)}
