@@ -290,7 +290,10 @@ def divide_skip(sets: list[np.ndarray], num: int, den: int, split: int = 0) -> l
 
 def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                     text_col: str = "text", known_lengths: int = 1_000_000, block: int = 1 << 20) -> DataFrame:
-    """(id, n_shingles, component_id): one row per document, components over all links."""
+    """(id, n_shingles, component_id, text_hash): one row per document, components over all links.
+
+    text_hash (xxhash64 of the text) tells rows that repeat an id apart.
+    """
     docs = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
     kind = docs.schema[0].dataType.simpleString()
 
@@ -298,9 +301,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
         sets = [shingler(t) for t in batch.column(1).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())], names=["_id", "n", "c"])
+             pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()), batch.column(2)],
+            names=["_id", "n", "c", "text_hash"])
 
-    sizes = materialize(_sets(docs, words, sizes_of, f"_id {kind}, n bigint, c bigint"))
+    sizes = materialize(_sets(docs.withColumn("text_hash", F.xxhash64("_text")), words, sizes_of,
+                              f"_id {kind}, n bigint, c bigint, text_hash bigint"))
     real = docs.where(F.col("_id").isNotNull())
     classes = (sizes.where("_id is not null and c is not null").groupBy("c")
                .agg(F.min("_id").alias("_rep"), F.first("n").alias("n")))
@@ -319,7 +324,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     of_class = known.join(least, "root").select(F.col("c").alias("_c"), "component_id")
     return (sizes.join(of_class, (F.col("c") == F.col("_c")) & F.col("_id").isNotNull(), "left")
             .select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "_id").alias("component_id")))
+                    F.coalesce("component_id", "_id").alias("component_id"), "text_hash"))
 
 
 def _search(docs: DataFrame, classes: DataFrame, groups: DataFrame, words: int, num: int, den: int,
