@@ -396,6 +396,8 @@ def fit(docs: DataFrame, train_docs: int = 1500, doc_windows: int = 20, id_col:
             hashes, ids, tags = [], [], []
             for h, text in zip(batch.column("_h").to_pylist(), batch.column("_t").to_pylist()):
                 i, t = training_windows([text], limit=doc_windows, seed=h & 0xFFFF)
+                if i is None:  # a span across every window's edge
+                    continue
                 hashes += [h] * len(i)
                 ids += [x.tobytes() for x in i[:2 * doc_windows]]
                 tags += [x.tobytes() for x in t[:2 * doc_windows]]
