@@ -5,12 +5,11 @@ Layout:
     functions/  column expressions
     operators/  enrich (joins and filters), aggregates, detectors, roll-ups
     plans/      the named queries and their SQL equivalents
-    streaming/  (none: every job of the original is a bounded batch)
 """
 
 import sys as _sys
 
-from .params import DetectorParams, Filters
+from .params import Filters
 
 # Functions shipped to Python workers (the per-key DP, user detectors) are
 # pickled by value, so executors need no installed copy of this package.
@@ -21,4 +20,4 @@ try:
 except (ImportError, AttributeError, ValueError):  # older cloudpickle: workers import the package
     pass
 
-__all__ = ["DetectorParams", "Filters"]
+__all__ = ["Filters"]

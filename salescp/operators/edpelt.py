@@ -16,12 +16,12 @@ Spark formulation.  A change can only sit on a date boundary and the cost only
 needs P_i at boundaries, so the DP never needs raw rows:
   1. (key, fecha, value) -> count: map-side combined, so a hot key is
      reduced before its shuffle;
-  2. thresholds: ranks of the key's distinct values by a prefix window; each
-     target rank picks its value with an as-of lookup (union + last ignore
-     nulls), so no pair of rows is ever formed;
-  3. per (key, fecha, value) the positions a = #{t <= v}, b = #{t < v} among
-     the key's k sorted thresholds; P_i of a date = #{a <= i} + #{b <= i}, so
-     a histogram over (key, fecha, position) carries everything;
+  2. positions: the rank window over a key's distinct values also tells how
+     many of the k target ranks lie below a value, so its positions
+     a = #{t <= v} and b = #{t < v} among the thresholds need no threshold;
+  3. the folded points take their positions by a join on (key, value), which
+     spreads a hot key over its values; P_i of a date = #{a <= i} + #{b <= i},
+     so a histogram over (key, fecha, position) carries everything;
   4. `mapInPandas` over the histogram hash-partitioned by key and sorted:
      each key's at most dates x (k+1) rows feed an exact DP over date
      boundaries in numpy (cumulative sums, then the recurrence).
@@ -39,9 +39,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..params import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, MIN_POINTS
-from ..session import materialize, materialize_sized
-from .enrich import join_side
+from ..params import MIN_POINTS
+from ..session import materialize
 
 RESULT_FIELDS = [T.StructField("change_point", T.DateType()), T.StructField("status", T.StringType())]
 
@@ -57,15 +56,13 @@ WINDOW_RANK_MAX_VALUES = 5_000_000
 
 
 def _ranks_window(vals: DataFrame, keys: list[str]):
-    """Ranks with one window per key: (ranked, totals, None)."""
+    """Ranks with one window per key: (ranked with lo and n, None)."""
     w = Window.partitionBy(*keys).orderBy("value")
-    ranked = vals.select(
-        *keys, "value", F.lit(0).alias("part"),
+    return vals.select(
+        *keys, "value", "cv", F.lit(0).alias("part"),
         F.coalesce(F.sum("cv").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("lo"),
         F.sum("cv").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"),
-    )
-    totals = ranked.filter(F.col("lo") == 0).select(*keys, "n")
-    return ranked.drop("n"), totals, None
+    ), None
 
 
 def _ranks_range(vals: DataFrame, keys: list[str], partitions: int, reuse: str):
@@ -73,8 +70,10 @@ def _ranks_range(vals: DataFrame, keys: list[str], partitions: int, reuse: str):
 
     The sort is materialized so its sampled bounds are fixed; a key spanning
     several partitions gets per-partition offsets from a small window over
-    (key, partition) counts.
+    (key, partition) counts.  Returns (ranked with lo and n, offsets).
     """
+    if reuse == "none":
+        raise ValueError("range ranks need a written sort: each reading would sample other bounds")
     parted = materialize(vals.repartitionByRange(partitions, *keys, "value")
                          .withColumn("part", F.spark_partition_id()), reuse)
     local = Window.partitionBy(*keys, "part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
@@ -82,13 +81,58 @@ def _ranks_range(vals: DataFrame, keys: list[str], partitions: int, reuse: str):
     by_part = Window.partitionBy(*keys).orderBy("part")
     offsets = counts.select(
         *keys, "part",
-        F.coalesce(F.sum("pc").over(by_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"))
+        F.coalesce(F.sum("pc").over(by_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"),
+        F.sum("pc").over(by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("n"))
     ranked = parted.select(*keys, "value", "part", "cv",
                            F.coalesce(F.sum("cv").over(local), F.lit(0)).alias("lo_local"))
     ranked = ranked.join(offsets, keys + ["part"]).select(
-        *keys, "value", "part", (F.col("off") + F.col("lo_local")).alias("lo"))
-    totals = counts.groupBy(*keys).agg(F.sum("pc").alias("n"))
-    return ranked, totals, offsets
+        *keys, "value", "cv", "part", (F.col("off") + F.col("lo_local")).alias("lo"), "n")
+    return ranked, offsets
+
+
+def _ranks(vc: DataFrame, keys: list[str], strategy: str, partitions: int | None, reuse: str,
+           window_max_values: int, known_rows: int | None):
+    """(distinct values with lo = points below, cv = points at, n = points of the key; offsets or None; the values)."""
+    vals = vc.groupBy(*keys, "value").agg(F.sum("c").alias("cv"))
+    if strategy == "auto" and known_rows is not None and known_rows <= window_max_values:
+        strategy = "window"
+    if strategy == "auto":
+        widest = vals.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        strategy = "window" if widest <= window_max_values else "range"
+    if strategy == "window":
+        return *_ranks_window(vals, keys), vals
+    if strategy == "range":
+        parts = partitions or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return *_ranks_range(vals, keys, parts, reuse), vals
+    raise ValueError(f"unknown rank strategy {strategy!r}")
+
+
+def _k(n):
+    return F.least(n, F.ceil(F.lit(4.0) * F.log(n))).cast("int")
+
+
+def _target(n, k, i):
+    """Rank of quantile i: floor((n - 1) p_i)."""
+    z = F.lit(-1.0) + (i * 2 + F.lit(1.0)) / k
+    return F.floor((n - 1) * (F.lit(1.0) / (F.lit(1.0) + F.pow(n * 2 - 1, -z))))
+
+
+def positions(vc: DataFrame, key_cols: Sequence[str], strategy: str = "auto", partitions: int | None = None,
+              reuse: str = "table", window_max_values: int = WINDOW_RANK_MAX_VALUES,
+              known_rows: int | None = None) -> DataFrame:
+    """(key..., value, n, k, a, b): positions of each distinct value among its key's thresholds, keys with n > 2.
+
+    A threshold is the value at a target rank, so a = #{t <= v} counts the
+    targets below lo + cv and b = #{t < v} those below lo.  See `thresholds`
+    for the strategies.
+    """
+    keys = list(key_cols)
+    ranked, _, _ = _ranks(vc, keys, strategy, partitions, reuse, window_max_values, known_rows)
+    n, k = F.col("n"), F.col("k")
+    ranked = ranked.filter(n > 2).withColumn("k", _k(n)).withColumn(
+        "targets", F.transform(F.sequence(F.lit(0), k - 1), lambda i: _target(n, k, i)))
+    below = lambda x: F.size(F.filter("targets", lambda t: t < x))
+    return ranked.select(*keys, "value", "n", "k", below(F.col("lo") + F.col("cv")).alias("a"), below(F.col("lo")).alias("b"))
 
 
 def thresholds(vc: DataFrame, key_cols: Sequence[str], strategy: str = "auto",
@@ -103,26 +147,12 @@ def thresholds(vc: DataFrame, key_cols: Sequence[str], strategy: str = "auto",
     when known, bounds every key's distinct values and can spare the check.
     """
     keys = list(key_cols)
-    vals = vc.groupBy(*keys, "value").agg(F.sum("c").alias("cv"))
-    if strategy == "auto" and known_rows is not None and known_rows <= window_max_values:
-        strategy = "window"
-    if strategy == "auto":
-        widest = vals.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        strategy = "window" if widest <= window_max_values else "range"
-    if strategy == "window":
-        ranked, totals, offsets = _ranks_window(vals, keys)
-    elif strategy == "range":
-        parts = partitions or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranked, totals, offsets = _ranks_range(vals, keys, parts, reuse)
-    else:
-        raise ValueError(f"unknown rank strategy {strategy!r}")
-    n = F.col("n")
-    nk = totals.filter(n > 2).select(*keys, "n", F.least(n, F.ceil(F.lit(4.0) * F.log(n))).cast("int").alias("k"))
-    i, k = F.col("i"), F.col("k")
-    z = F.lit(-1.0) + (i * 2 + F.lit(1.0)) / k
-    p = F.lit(1.0) / (F.lit(1.0) + F.pow(n * 2 - 1, -z))
+    ranked, offsets, vals = _ranks(vc, keys, strategy, partitions, reuse, window_max_values, known_rows)
+    totals = vals.groupBy(*keys).agg(F.sum("cv").alias("n"))
+    n, k = F.col("n"), F.col("k")
+    nk = totals.filter(n > 2).select(*keys, "n", _k(n).alias("k"))
     targets = nk.select(*keys, "n", "k", F.explode(F.sequence(F.lit(0), k - 1)).alias("i")).select(
-        *keys, "n", "k", "i", F.floor((n - 1) * p).alias("pos"))
+        *keys, "n", "k", "i", _target(n, k, F.col("i")).alias("pos"))
     if offsets is None:
         targets = targets.withColumn("part", F.lit(0))
     else:
@@ -143,25 +173,14 @@ def thresholds(vc: DataFrame, key_cols: Sequence[str], strategy: str = "auto",
     )
 
 
-def threshold_histogram(vc: DataFrame, th: DataFrame, key_cols: Sequence[str],
-                        broadcast_max_rows: int = BROADCAST_MAX_ROWS, th_bytes: int | None = None) -> DataFrame:
+def threshold_histogram(vc: DataFrame, pos: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """(key..., n, k, fecha, j, cnt); P_i of a date = sum of cnt over j <= i.
 
-    `th` has one row per key.  With `th_bytes` (its in-memory size, observed
-    while it was written) it is broadcast when at most BROADCAST_MAX_BYTES,
-    else sort-merge joined; without it Catalyst decides from its size.
+    The folded points meet their value's positions by a join on (key, value).
     """
     keys = list(key_cols)
-    if th_bytes is None:
-        side = join_side(th, "auto", broadcast_max_rows)
-    else:
-        side = F.broadcast(th) if th_bytes <= BROADCAST_MAX_BYTES else th.hint("shuffle_merge")
-    joined = vc.join(side, keys)
-    a = F.size(F.filter("ts", lambda t: t <= F.col("value")))
-    b = F.size(F.filter("ts", lambda t: t < F.col("value")))
-    pos = joined.select(*keys, "n", "k", "fecha", F.explode(F.array(
-        F.struct(a.alias("j"), F.col("c").alias("c")), F.struct(b.alias("j"), F.col("c").alias("c")))).alias("e"))
-    return pos.groupBy(*keys, "n", "k", "fecha", F.col("e.j").alias("j")).agg(F.sum("e.c").alias("cnt"))
+    at = vc.join(pos, keys + ["value"]).select(*keys, "n", "k", "fecha", F.explode(F.array("a", "b")).alias("j"), "c")
+    return at.groupBy(*keys, "n", "k", "fecha", "j").agg(F.sum("c").alias("cnt"))
 
 
 def partial_sums(hist: DataFrame, th: DataFrame, key_cols: Sequence[str]) -> DataFrame:
@@ -230,7 +249,7 @@ def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
     dead_from = np.full(B + 1, np.iinfo(np.int64).max, dtype=np.int64)
     start = time.monotonic()
     for b in range(1, B + 1):
-        if max_seconds is not None and time.monotonic() - start > max_seconds:
+        if max_seconds is not None and time.monotonic() - start >= max_seconds:
             return None
         if tau[b] < min_points or not (ok[b] or b == B):
             continue  # best(b) of a boundary that may not hold a change is never used
@@ -259,24 +278,16 @@ def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
 EPOCH = "DATE'1970-01-01'"
 
 
-def _solve_slice(d, j, cnt, k, restricted, min_points, max_seconds):
-    """DP for one key's histogram rows (int day, position, count).
-
-    With `restricted`, rows with position -1 mark the dates after which a
-    change may sit; no other boundary is allowed.
-    """
-    marks = j < 0
-    uniq, inv = np.unique(d[~marks], return_inverse=True)
+def _solve_slice(d, j, cnt, k, min_points, max_seconds):
+    """DP for one key's histogram rows (int day, position, count); a row at position -1 marks a timed-out key."""
+    if (j < 0).any():
+        return [None], ["timeout"]
+    uniq, inv = np.unique(d, return_inverse=True)
     B = len(uniq)
-    H = np.bincount(inv * (k + 1) + j[~marks], weights=cnt[~marks],
-                    minlength=B * (k + 1)).astype(np.int64).reshape(B, k + 1)
+    H = np.bincount(inv * (k + 1) + j, weights=cnt, minlength=B * (k + 1)).astype(np.int64).reshape(B, k + 1)
     P = np.vstack([np.zeros((1, k), dtype=np.int64), np.cumsum(np.cumsum(H, axis=1)[:, :k], axis=0)])
     tau = np.concatenate([[0], np.cumsum(H.sum(axis=1) // 2)])
-    ok = None
-    if restricted:
-        ok = np.ones(B + 1, dtype=bool)
-        ok[1:B] = np.isin(uniq[: B - 1], d[marks])
-    found = solve(P, tau, k, min_points, ok, max_seconds)
+    found = solve(P, tau, k, min_points, None, max_seconds)
     if found is None:
         return [None], ["timeout"]
     return [int(uniq[b - 1]) for b in found], ["ok"] * len(found)
@@ -295,7 +306,7 @@ def _key_starts(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(change)
 
 
-def _dp_batches(key_cols: Sequence[str], min_points: int, max_seconds: float | None, has_allowed: bool):
+def _dp_batches(key_cols: Sequence[str], min_points: int, max_seconds: float | None):
     keys = list(key_cols)
 
     def process(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -311,7 +322,7 @@ def _dp_batches(key_cols: Sequence[str], min_points: int, max_seconds: float | N
             k = int(kk[lo:hi].max())
             if k <= 0:
                 continue
-            c, st = _solve_slice(d[lo:hi], j[lo:hi], cnt[lo:hi], k, has_allowed, min_points, max_seconds)
+            c, st = _solve_slice(d[lo:hi], j[lo:hi], cnt[lo:hi], k, min_points, max_seconds)
             rows.extend([lo] * len(c))
             cps.extend(c)
             status.extend(st)
@@ -343,47 +354,44 @@ def result_schema(series: DataFrame, key_cols: Sequence[str]) -> T.StructType:
 
 def run_dp(hist: DataFrame, key_cols: Sequence[str], schema: T.StructType, min_points: int = MIN_POINTS,
            max_seconds: float | None = None, partitions: int | None = None,
-           allowed: DataFrame | None = None) -> DataFrame:
+           timed_out: DataFrame | None = None) -> DataFrame:
     """Per-key DP over the histogram rows.
 
-    Rows are hash-partitioned by key into a fixed number of partitions and
-    sorted by key; `mapInPandas` then walks each Arrow batch key by key (a
-    key cut by a batch edge is carried to the next batch), so the Python side
-    pays per batch, not per key, and holds one batch plus one key at a time.
+    Rows are hash-partitioned by key into `partitions` (default: the session's
+    shuffle partitions) and sorted by key; `mapInPandas` then walks each Arrow
+    batch key by key (a key cut by a batch edge is carried to the next batch),
+    so the Python side pays per batch, not per key, and holds one batch plus
+    one key at a time.  The number is fixed because AQE would merge the small
+    rows of this stage, which costs CPU rather than bytes, into few tasks.
 
-    `allowed` (key..., fecha): when given, a change may only follow one of
-    these dates.  The rows travel with the histogram as markers (no join).
+    `timed_out` (key...): keys that get status 'timeout' whatever their rows say;
+    they travel with the histogram as markers (no join).
     """
     keys = list(key_cols)
-    has_allowed = allowed is not None
-    spark = hist.sparkSession
-    # one task per core several times over; on a big cluster the shuffle setting governs
-    parts = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              4 * spark.sparkContext.defaultParallelism)
-    day = F.datediff("fecha", F.expr(EPOCH)).alias("d")
-    data = hist.select(*keys, F.col("k").cast("int").alias("k"), day, F.col("j").cast("long").alias("j"),
-                       F.col("cnt").cast("long").alias("cnt"))
-    if has_allowed:
-        marks = allowed.select(*keys, F.lit(None).cast("int").alias("k"), day, F.lit(-1).cast("long").alias("j"),
-                               F.lit(0).cast("long").alias("cnt"))
-        data = data.unionByName(marks)
+    parts = partitions or int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    data = hist.select(*keys, F.col("k").cast("int").alias("k"), F.datediff("fecha", F.expr(EPOCH)).alias("d"),
+                       F.col("j").cast("long").alias("j"), F.col("cnt").cast("long").alias("cnt"))
+    if timed_out is not None:
+        data = data.unionByName(timed_out.select(*keys, F.lit(1).alias("k"), F.lit(0).alias("d"),
+                                                 F.lit(-1).cast("long").alias("j"), F.lit(0).cast("long").alias("cnt")))
     data = data.repartition(parts, *keys).sortWithinPartitions(*keys, "d")
     key_fields = [f for f in schema.fields if f.name in keys]
     mid = T.StructType(key_fields + [T.StructField("cp", T.IntegerType()), T.StructField("status", T.StringType())])
-    out = data.mapInPandas(_dp_batches(keys, min_points, max_seconds, has_allowed), mid)
+    out = data.mapInPandas(_dp_batches(keys, min_points, max_seconds), mid)
     return out.select(*keys, F.date_add(F.expr(EPOCH), F.col("cp")).alias("change_point"), "status")
 
 
-def edpelt(series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POINTS,
-           max_seconds: float | None = None, broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+def edpelt(series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POINTS, max_seconds: float | None = None,
            reuse: str = "table", rank_strategy: str = "auto") -> DataFrame:
     """T5 + T12: ED-PELT per key, (key..., change_point date, status); no row for a series without change.
 
-    The folded points feed both the thresholds and the histogram; `reuse`
+    The folded points feed both the positions and the histogram; `reuse`
     (see `session.materialize`) makes the fact-table scan happen once.
+    `max_seconds` (default: none) is a budget per series; a series that
+    reaches it gives one row with status 'timeout'.
     """
     keys = list(key_cols)
     vc, rows = materialize(value_counts(series, keys), reuse, count=True)
-    th, _, th_bytes = materialize_sized(thresholds(vc, keys, rank_strategy, reuse=reuse, known_rows=rows), reuse)
-    hist = threshold_histogram(vc, th, keys, broadcast_max_rows, th_bytes)
-    return run_dp(hist, keys, result_schema(series, keys), min_points, max_seconds)
+    # written: the join then knows its size, and the DP's shuffle is not merged with the rank window's
+    pos = materialize(positions(vc, keys, rank_strategy, reuse=reuse, known_rows=rows), reuse)
+    return run_dp(threshold_histogram(vc, pos, keys), keys, result_schema(series, keys), min_points, max_seconds)

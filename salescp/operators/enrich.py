@@ -9,7 +9,13 @@ after it they would change the result.
 Join strategy (`join_side`): a dimension is broadcast only after a bounded
 row count (`limit(max_rows + 1).count()`) proves it small; otherwise the join
 is a sort-merge join, where AQE splits a skewed sales key (one product or
-store with a large share of all rows) into several tasks.
+store with a large share of all rows) into several tasks; `session.configure`
+sets `forceOptimizeSkewedJoin`, without which an aggregate above the join that
+reuses its partitioning would forbid that.
+
+Duplicate dimension keys: the inner form picks one row per key and then
+filters it; the left form filters the dimension rows first and picks among
+those that pass.
 """
 
 from __future__ import annotations
@@ -52,9 +58,8 @@ def join_side(df: DataFrame, strategy: str = "auto", max_rows: int = BROADCAST_M
     job; broadcast it when within `max_rows`, else a sort-merge join, whose
     skewed partitions AQE splits.  The hint also keeps the planner from
     building the hash table on the fact side when its estimate is small.
-    auto (written intermediate tables, whose size Catalyst knows exactly): no
-    hint; Catalyst broadcasts only under `spark.sql.autoBroadcastJoinThreshold`
-    and AQE re-decides with measured sizes.
+    auto: no hint; Catalyst broadcasts only under
+    `spark.sql.autoBroadcastJoinThreshold` and AQE re-decides with measured sizes.
     broadcast: as checked, but an oversize side raises.
     shuffle: sort-merge join hint (the reduce-side join of the original).
     """
@@ -124,8 +129,12 @@ def enrich(ventas: DataFrame, productos: DataFrame, locales: DataFrame, how: str
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    prod = product_filter(dedupe_dimension(productos, "clave", "categoria", strict), filters)
-    stores = store_filter(dedupe_dimension(locales, "clave", "departamento", strict), filters)
+    if how == "left":  # the filter comes first, and reaches the scan
+        prod = dedupe_dimension(product_filter(productos, filters), "clave", "categoria", strict)
+        stores = dedupe_dimension(store_filter(locales, filters), "clave", "departamento", strict)
+    else:
+        prod = product_filter(dedupe_dimension(productos, "clave", "categoria", strict), filters)
+        stores = store_filter(dedupe_dimension(locales, "clave", "departamento", strict), filters)
     prod = prod.select(F.col("clave").alias("clave_producto"), "categoria")
     stores = stores.select(F.col("clave").alias("clave_local"), "departamento")
     sales = valid_sales(ventas, filters)

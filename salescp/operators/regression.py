@@ -13,8 +13,10 @@ split in linear time; a key's window holds its dates, never its raw rows.
 Numerics: x = days since the key's first date; y is centred on the key mean
 and each date contributes its stable within-date deviation `m2`, so
     sse = Syy - Sxy^2 / Sxx   (all centred)
-has no large-magnitude cancellation.  A side whose points share one date has
-Sxx = 0 and gives NULL (never flagged).  A whole series with error at rounding
+has no large-magnitude cancellation.  The left side comes from a prefix and the
+right side from a suffix window, neither from a difference of totals.  A side
+whose points share one date, by its number of dates, gives NULL (never
+flagged).  A whole series with error at rounding
 level (an exact line) flags nothing.
 """
 
@@ -33,12 +35,12 @@ from .series import daily_stats
 NOISE_SHARE = 1e-9
 
 
-def _sse(n, sx, sxx, sy, sxy, syy):
+def _sse(dates, n, sx, sxx, sy, sxy, syy):
     # try_divide: an empty side (n = 0) gives NULL instead of an ANSI error
     sxx_c = sxx - F.try_divide(sx * sx, n)
     sxy_c = sxy - F.try_divide(sx * sy, n)
     syy_c = syy - F.try_divide(sy * sy, n)
-    return F.when(sxx_c > 0, syy_c - F.try_divide(sxy_c * sxy_c, sxx_c)), syy_c
+    return F.when(dates > 1, syy_c - F.try_divide(sxy_c * sxy_c, sxx_c)), syy_c
 
 
 def split_errors(series: DataFrame, key_cols: Sequence[str]) -> DataFrame:
@@ -48,12 +50,14 @@ def split_errors(series: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     w_all = Window.partitionBy(*keys).orderBy("fecha").rowsBetween(Window.unboundedPreceding,
                                                                    Window.unboundedFollowing)
     w_pre = Window.partitionBy(*keys).orderBy("fecha").rowsBetween(Window.unboundedPreceding, 0)
+    w_suf = Window.partitionBy(*keys).orderBy("fecha").rowsBetween(1, Window.unboundedFollowing)
     first = F.min("fecha").over(w_all)
     key_mean = F.sum(F.col("c") * F.col("mean_d")).over(w_all) / F.sum("c").over(w_all)
     d = d.select(*keys, "fecha", "c", "m2", F.datediff("fecha", first).cast("double").alias("x"),
                  (F.col("mean_d") - key_mean).alias("md"))
     c, x, md = F.col("c").cast("double"), F.col("x"), F.col("md")
     parts = {
+        "dates": F.lit(1),
         "n": c,
         "sx": c * x,
         "sxx": c * x * x,
@@ -61,16 +65,16 @@ def split_errors(series: DataFrame, key_cols: Sequence[str]) -> DataFrame:
         "sxy": c * x * md,
         "syy": F.col("m2") + c * md * md,
     }
-    sums = [F.sum(e).over(w_pre).alias(f"l_{p}") for p, e in parts.items()]
-    sums += [F.sum(e).over(w_all).alias(f"t_{p}") for p, e in parts.items()]
+    sums = [F.coalesce(F.sum(e).over(w), F.lit(0)).alias(f"{side}_{p}")
+            for side, w in (("l", w_pre), ("r", w_suf), ("t", w_all)) for p, e in parts.items()]
     d = d.select(*keys, "fecha", *sums)
     left, _ = _sse(*(F.col(f"l_{p}") for p in parts))
-    right, _ = _sse(*(F.col(f"t_{p}") - F.col(f"l_{p}") for p in parts))
+    right, _ = _sse(*(F.col(f"r_{p}") for p in parts))
     whole, whole_syy = _sse(*(F.col(f"t_{p}") for p in parts))
     return d.select(
         *keys, "fecha",
         F.col("l_n").cast("long").alias("n_left"),
-        (F.col("t_n") - F.col("l_n")).cast("long").alias("n_right"),
+        F.col("r_n").cast("long").alias("n_right"),
         left.alias("sse_left"), right.alias("sse_right"), whole.alias("sse_whole"),
         whole_syy.alias("syy_whole"),
     )

@@ -8,7 +8,7 @@ driver-generated fixture tables, where the original literals match nothing.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- fixed values (must equal the original job set's literals) -------------
 DEFAULT_DEPARTMENTS = ("MONTEVIDEO", "CANELONES")  # stores kept
@@ -18,7 +18,7 @@ PRICE_MAX = 2000.0  # unit price upper bound, inclusive
 QUANTITY_MIN = 0.0  # original quantity lower bound, inclusive
 MIN_POINTS = 3  # minimum points per segment (regression and ED-PELT)
 REGRESSION_RATIO = 0.7  # split flagged when left+right error < ratio * whole
-MAX_SECONDS_PER_SERIES = 180  # time budget per series in the original jobs
+MAX_SECONDS_PER_SERIES = 180  # time budget per series of the original jobs; here an opt-in argument
 DIVIDE_SEGMENTS = 8  # segments of divide-PELT
 DATE_FORMAT = "yyyy-MM-dd"
 FIELD_SEPARATOR = ";"
@@ -35,9 +35,6 @@ FIXTURE_EXCLUDED_CATEGORY = "Brand#10"
 # checked with a bounded `limit(n + 1).count()` before the hint is set.  A row
 # is a long key and a short text (about 40 bytes), so the bound is ~40 MB.
 BROADCAST_MAX_ROWS = 1_000_000
-# Written intermediate tables (thresholds) are broadcast when the in-memory
-# size observed during their write is at most this many bytes.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -53,14 +50,3 @@ class Filters:
     @staticmethod
     def fixture() -> "Filters":
         return Filters(FIXTURE_DEPARTMENTS, FIXTURE_EXCLUDED_CATEGORY)
-
-
-@dataclass(frozen=True)
-class DetectorParams:
-    """Shared knobs of the change-point detectors."""
-
-    min_points: int = MIN_POINTS
-    ratio: float = REGRESSION_RATIO
-    max_seconds: float | None = None  # None = no time budget (tests)
-    segments: int = DIVIDE_SEGMENTS
-    extra: dict = field(default_factory=dict)

@@ -29,7 +29,7 @@ from ..operators.enrich import enrich
 from ..operators.series import price_series
 from ..params import (DEFAULT_DEPARTMENTS, DEFAULT_EXCLUDED_CATEGORY, MAX_SECONDS_PER_SERIES, TIMEOUT_TOKEN,
                       Filters)
-from ..session import configure, drop_materialized, materialize
+from ..session import configure, drop_materialized, materialize, scratch
 from ..sources import sinks, text
 
 DEFAULT_KEY = ("categoria", "year", "clave_producto")
@@ -96,13 +96,15 @@ def main(argv=None) -> None:
     ap.add_argument("--exclude", default=DEFAULT_EXCLUDED_CATEGORY)
     ap.add_argument("--key", default=",".join(DEFAULT_KEY), help="series key columns")
     ap.add_argument("--format", default="text", choices=["text", "parquet"])
-    ap.add_argument("--max-seconds", type=float, default=MAX_SECONDS_PER_SERIES,
-                    help="time budget per series (0 = none)")
+    ap.add_argument("--max-seconds", type=float, default=None,
+                    help="time budget per series; a series over it gives Timeout (default: none; the original's is "
+                         f"{MAX_SECONDS_PER_SERIES})")
     ap.add_argument("--strict", action="store_true", help="fail on the first bad line or duplicate key")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"salescp-{a.job}").getOrCreate()
     filters = Filters(tuple(x for x in a.departments.split(",") if x), a.exclude or None)
-    counts = run(spark, a.job, a.ventas, a.productos, a.locales, a.out, filters, a.key.split(","), a.format,
-                 a.max_seconds or None, a.strict)
-    drop_materialized(spark)  # outputs are written; the intermediate tables are no longer read
+    with scratch() as written:
+        counts = run(spark, a.job, a.ventas, a.productos, a.locales, a.out, filters, a.key.split(","), a.format,
+                     a.max_seconds, a.strict)
+    drop_materialized(spark, written)  # outputs are written; the intermediate tables are no longer read
     print(f"ventas lines: {counts.get('lines')}, rejected: {counts.get('rejected')}")

@@ -96,41 +96,28 @@ SELECT categoria, year, max(CAST(precio_unitario AS DOUBLE)) AS maximo
 FROM inner_sales GROUP BY categoria, year""", "p_type")
 
 
-def _sse_sql(n: str, sx: str, sxx: str, sy: str, sxy: str, syy: str) -> tuple[str, str]:
-    sxx_c = f"(({sxx}) - ({sx}) * ({sx}) / ({n}))"
-    sxy_c = f"(({sxy}) - ({sx}) * ({sy}) / ({n}))"
-    syy_c = f"(({syy}) - ({sy}) * ({sy}) / ({n}))"
-    return f"CASE WHEN {sxx_c} > 0 THEN {syy_c} - {sxy_c} * {sxy_c} / {sxx_c} END", syy_c
-
-
 def regression_sql(series_select: str, keys: list[str], ratio: float = 0.7, min_points: int = 3,
                    category: str = "p_type") -> str:
-    """Segmented regression in SQL windows (same formula as operators.regression)."""
+    """Segmented regression by refitting: every split's two sides anew from the points, with regr_*."""
     k = ", ".join(keys)
-    parts = {"n": "c", "sx": "c * x", "sxx": "c * x * x", "sy": "c * md", "sxy": "c * x * md",
-             "syy": "m2 + c * md * md"}
-    prefix = ",\n         ".join(f"sum({e}) OVER w AS l_{p}, sum({e}) OVER t AS t_{p}" for p, e in parts.items())
-    left, _ = _sse_sql(*(f"l_{p}" for p in parts))
-    right, _ = _sse_sql(*(f"t_{p} - l_{p}" for p in parts))
-    whole, whole_syy = _sse_sql(*(f"t_{p}" for p in parts))
+    on = " AND ".join(f"s.{c} = d.{c}" for c in keys)
+    dk = ", ".join(f"d.{c}" for c in keys)
+
+    def sse(side: str) -> str:
+        f = f"FILTER (WHERE {side})"
+        return (f"CASE WHEN count(DISTINCT s.x) {f} > 1 THEN regr_syy(s.value, s.x) {f} - "
+                f"power(regr_sxy(s.value, s.x) {f}, 2) / regr_sxx(s.value, s.x) {f} END")
+
     ctes = f"""series AS ({series_select}),
-daily AS (
-  SELECT {k}, fecha, CAST(count(*) AS DOUBLE) AS c, avg(value) AS mean_d, var_pop(value) * count(*) AS m2
-  FROM series GROUP BY {k}, fecha),
-centred AS (
-  SELECT *, CAST(date_diff('day', min(fecha) OVER t, fecha) AS DOUBLE) AS x,
-         mean_d - sum(c * mean_d) OVER t / sum(c) OVER t AS md
-  FROM daily WINDOW t AS (PARTITION BY {k})),
-sums AS (
-  SELECT {k}, fecha,
-         {prefix}
-  FROM centred
-  WINDOW w AS (PARTITION BY {k} ORDER BY fecha ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-         t AS (PARTITION BY {k})),
+points AS (
+  SELECT *, CAST(date_diff('day', min(fecha) OVER (PARTITION BY {k}), fecha) AS DOUBLE) AS x FROM series),
+splits AS (SELECT DISTINCT {k}, fecha FROM points),
 errs AS (
-  SELECT {k}, fecha, l_n AS n_left, t_n - l_n AS n_right,
-         {left} AS sse_left, {right} AS sse_right, {whole} AS sse_whole, {whole_syy} AS syy_whole
-  FROM sums)"""
+  SELECT {dk}, d.fecha, count(*) FILTER (WHERE s.fecha <= d.fecha) AS n_left,
+         count(*) FILTER (WHERE s.fecha > d.fecha) AS n_right,
+         {sse('s.fecha <= d.fecha')} AS sse_left, {sse('s.fecha > d.fecha')} AS sse_right,
+         {sse('true')} AS sse_whole, regr_syy(s.value, s.x) AS syy_whole
+  FROM splits d JOIN points s ON {on} GROUP BY {dk}, d.fecha)"""
     body = f"""
 SELECT {k}, fecha AS change_point, 'ok' AS status FROM errs
 WHERE n_left >= {min_points} AND n_right >= {min_points}
@@ -294,19 +281,20 @@ ORACLE["conclusion_json_edpelt"] = with_star_recursive(
     f"pts AS ({SUPPLIER_SERIES}),\n" + edpelt_ctes("s", "pts", SUPPLIER_KEYS) + ",\n"
     + HIST_SQL.format(src="s_out"))
 
-PRODUCT_KEYS = ["categoria", "year", "clave_producto"]
-PRODUCT_SERIES = ("SELECT categoria, year, clave_producto, fecha, CAST(precio_unitario AS DOUBLE) AS value "
+PRODUCT_KEYS = ["categoria", "clave_producto"]
+PRODUCT_SERIES = ("SELECT categoria, clave_producto, fecha, CAST(precio_unitario AS DOUBLE) AS value "
                   "FROM inner_sales")
 ORACLE["edpelt_by_product"] = with_star_recursive(
-    "SELECT categoria, year, clave_producto, change_point, 'ok' AS status FROM pp_out", "p_brand",
+    "SELECT categoria, clave_producto, change_point, 'ok' AS status FROM pp_out", "p_brand",
     f"pts AS ({PRODUCT_SERIES}),\n" + edpelt_ctes("pp", "pts", PRODUCT_KEYS))
 ORACLE["regression_by_product"] = regression_sql(PRODUCT_SERIES, PRODUCT_KEYS, category="p_brand")
 
-EVENT_SERIES = ("SELECT event_type, CAST(ts AS DATE) AS fecha, CAST(value AS DOUBLE) AS value FROM events "
+EVENT_KEYS = ["event_type", "user_id"]
+EVENT_SERIES = ("SELECT event_type, user_id, CAST(ts AS DATE) AS fecha, CAST(value AS DOUBLE) AS value FROM events "
                 "WHERE ts IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)")
-ORACLE["events_edpelt"] = ("WITH RECURSIVE " + f"pts AS ({EVENT_SERIES}),\n" + edpelt_ctes("ev", "pts", ["event_type"])
-                           + "\nSELECT event_type, change_point, 'ok' AS status FROM ev_out")
-_EVR = regression_sql(EVENT_SERIES, ["event_type"])
+ORACLE["events_edpelt"] = ("WITH RECURSIVE " + f"pts AS ({EVENT_SERIES}),\n" + edpelt_ctes("ev", "pts", EVENT_KEYS)
+                           + "\nSELECT event_type, user_id, change_point, 'ok' AS status FROM ev_out")
+_EVR = regression_sql(EVENT_SERIES, EVENT_KEYS)
 ORACLE["events_regression"] = "WITH " + _EVR[_EVR.index("series AS ("):]
 
 DEPARTMENT_KEYS = ["categoria", "year", "departamento"]
@@ -322,3 +310,76 @@ ORACLE["divide_pelt_by_department"] = with_star_recursive(
     f"pts1 AS ({DEPARTMENT_SEG_SERIES}),\n" + edpelt_ctes("q1", "pts1", DEPARTMENT_KEYS + ["segmento"])
     + ",\nqc AS (SELECT DISTINCT categoria, year, departamento, change_point AS fecha FROM q1_out),\n"
     + f"pts2 AS ({DEPARTMENT_SERIES}),\n" + edpelt_ctes("q2", "pts2", DEPARTMENT_KEYS, allowed="qc"))
+
+ORACLE["edpelt_range_ranks"] = ORACLE["edpelt"]
+
+_DEP_KEYS = ["categoria", "departamento", "year"]
+_DEP = regression_sql("SELECT categoria, departamento, year, clave_local, fecha, CAST(precio_unitario AS DOUBLE) AS value "
+                      "FROM inner_sales", _DEP_KEYS + ["clave_local"])
+ORACLE["conclusion_by_department"] = ("WITH " + _DEP[len("WITH "):_DEP.rindex("\nSELECT")] + ",\nreg AS ("
+                                      + _DEP[_DEP.rindex("\nSELECT"):] + """),
+hist AS (
+  SELECT categoria, departamento, year, strftime(change_point, '%Y-%m-%d') AS token, count(*) AS n FROM reg GROUP BY ALL)
+SELECT categoria, departamento, year,
+       '{' || string_agg('"' || token || '": ' || CAST(n AS VARCHAR), ', ' ORDER BY n DESC, token) || '}' AS histogram
+FROM hist GROUP BY ALL""")
+
+ORACLE["conclusion_timeouts"] = with_star("""
+SELECT categoria, year, 'Timeout' AS token, count(*) AS n
+FROM (SELECT categoria, year, clave_local FROM inner_sales GROUP BY ALL HAVING count(*) > 2)
+GROUP BY categoria, year""", "p_type")
+
+ORACLE["user_detector"] = with_star("""
+SELECT categoria, year, clave_local, arg_min(before, fecha) AS change_point, 'ok' AS status
+FROM (SELECT *, max(step) OVER (PARTITION BY categoria, year, clave_local) AS top FROM steps WHERE before IS NOT NULL)
+WHERE step = top GROUP BY categoria, year, clave_local""", "p_type", """daily AS (
+  SELECT categoria, year, clave_local, fecha, avg(CAST(precio_unitario AS DOUBLE)) AS m FROM inner_sales GROUP BY ALL),
+steps AS (
+  SELECT *, lag(fecha) OVER w AS before, round(abs(m - lag(m) OVER w), 6) AS step
+  FROM daily WINDOW w AS (PARTITION BY categoria, year, clave_local ORDER BY fecha))""")
+
+_DOUBLED = f"""all_prod AS (
+  SELECT p_partkey AS clave, p_brand AS categoria FROM part UNION ALL
+  SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN '{EXCL}' ELSE 'Brand#99' END FROM part WHERE p_partkey % 3 = 0),
+all_loc AS (
+  SELECT s_suppkey AS clave, r_name AS departamento
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey UNION ALL
+  SELECT s_suppkey, 'ZZZ' FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  WHERE s_suppkey % 4 = 0)"""
+_COLS = ("s.clave_local, s.clave_producto, s.fecha, s.cant_vta_original, s.precio_unitario, s.clave_venta, "
+         "coalesce(p.categoria, '') AS categoria, coalesce(l.departamento, '') AS departamento")
+ORACLE["duplicate_keys_inner"] = with_star(f"""
+SELECT {_COLS} FROM ok_sales s
+JOIN (SELECT clave, max(categoria) AS categoria FROM all_prod GROUP BY clave) p
+  ON s.clave_producto = p.clave AND p.categoria <> '{EXCL}'
+JOIN (SELECT clave, max(departamento) AS departamento FROM all_loc GROUP BY clave) l
+  ON s.clave_local = l.clave AND l.departamento IN ({DEPS})""", extra_ctes=_DOUBLED)
+ORACLE["duplicate_keys_left"] = with_star(f"""
+SELECT {_COLS} FROM ok_sales s
+LEFT JOIN (SELECT clave, max(categoria) AS categoria FROM all_prod WHERE categoria <> '{EXCL}' GROUP BY clave) p
+  ON s.clave_producto = p.clave
+LEFT JOIN (SELECT clave, max(departamento) AS departamento FROM all_loc WHERE departamento IN ({DEPS}) GROUP BY clave) l
+  ON s.clave_local = l.clave""", extra_ctes=_DOUBLED)
+
+_READ = "clave_venta % 13 <> 0 AND clave_venta % 17 <> 0"
+ORACLE["text_sales"] = with_star(f"""
+SELECT clave_local, clave_producto,
+       CASE WHEN clave_venta % 11 = 0 THEN '2024-13-45' ELSE strftime(fecha, '%Y-%m-%d') END AS fecha,
+       cant_vta_original AS cant_vta, precio_unitario, clave_venta
+FROM ventas WHERE {_READ}""")
+ORACLE["text_dimensions"] = """
+SELECT 'categoria' AS tabla, p_brand AS valor, p_partkey AS clave FROM part WHERE p_partkey % 100 <> 0
+UNION ALL
+SELECT 'departamento', r_name, s_suppkey
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+WHERE s_suppkey % 100 <> 0"""
+ORACLE["text_price_points"] = with_star(f"""
+SELECT clave_local, fecha, count(*) AS n, round(sum(CAST(precio_unitario AS DOUBLE)), 2) AS suma
+FROM ventas WHERE {_READ} AND clave_venta % 11 <> 0 GROUP BY clave_local, fecha""")
+ORACLE["text_quantity_sum"] = with_star("""
+SELECT clave_local, round(coalesce(sum(CAST(cant_vta_original AS DOUBLE)) FILTER (WHERE clave_venta % 13 <> 0), 0), 2) AS suma
+FROM ventas GROUP BY clave_local""")
+ORACLE["text_detections"] = ("WITH " + _REG_CTES + ",\n" + REG_RESULT + """
+SELECT categoria || chr(9) || year || chr(9) || CAST(clave_local AS VARCHAR) || ';'
+       || string_agg(strftime(change_point, '%Y-%m-%d'), ', ' ORDER BY change_point) AS value
+FROM reg GROUP BY categoria, year, clave_local""")

@@ -16,14 +16,16 @@ from pyspark.sql import functions as F
 
 from ..operators import aggregate as agg
 from ..operators import conclude, divide
-from ..operators.edpelt import partial_sums, threshold_histogram, thresholds, value_counts
+from ..operators.detect import detect
+from ..operators.edpelt import partial_sums, positions, threshold_histogram, thresholds, value_counts
 from ..operators.edpelt import edpelt
 from ..operators.enrich import enrich
 from ..operators.regression import segmented_regression
 from ..operators.series import price_series
 from ..params import Filters
 from ..session import materialize
-from ..sources import fixtures
+from ..sources import fixtures, sinks, text
+from . import jobs
 
 FIXTURE = Filters.fixture()
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,8 +121,7 @@ def edpelt_q(spark, sf_dir):
 def edpelt_partial_sums(spark, sf_dir):
     keys = EDPELT_KEYS
     vc = materialize(value_counts(edpelt_series(spark, sf_dir), keys))
-    th = materialize(thresholds(vc, keys))
-    return partial_sums(threshold_histogram(vc, th, keys), th, keys)
+    return partial_sums(threshold_histogram(vc, positions(vc, keys), keys), thresholds(vc, keys), keys)
 
 
 def divide_series(spark, sf_dir):
@@ -174,12 +175,12 @@ def conclusion_json_edpelt(spark, sf_dir):
     return conclude.conclude(edpelt_supplier_result(spark, sf_dir), ["categoria", "year"])
 
 
-PRODUCT_KEYS = ["categoria", "year", "clave_producto"]
+PRODUCT_KEYS = ["categoria", "clave_producto"]  # with the year as well, no series of the fixture has a change
 
 
 @query
 def edpelt_by_product(spark, sf_dir):
-    """The original jobs' own series key (category, year, product)."""
+    """The original jobs' series key, over all years: (category, product)."""
     s = price_series(enriched(spark, sf_dir, "brand"), PRODUCT_KEYS)
     return edpelt(s, PRODUCT_KEYS)
 
@@ -190,21 +191,24 @@ def regression_by_product(spark, sf_dir):
     return segmented_regression(s, PRODUCT_KEYS)
 
 
+EVENT_KEYS = ["event_type", "user_id"]
+
+
 def event_series(spark, sf_dir):
     ev = fixtures.table(spark, sf_dir, "events")
-    return ev.select("event_type", F.col("ts").cast("date").alias("fecha"), F.col("value").cast("double")).filter(
+    return ev.select("event_type", "user_id", F.col("ts").cast("date").alias("fecha"), F.col("value").cast("double")).filter(
         F.col("fecha").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 @query
 def events_edpelt(spark, sf_dir):
-    """Second series source: daily event values per event type."""
-    return edpelt(event_series(spark, sf_dir), ["event_type"])
+    """Second series source: daily event values per event type and user."""
+    return edpelt(event_series(spark, sf_dir), EVENT_KEYS)
 
 
 @query
 def events_regression(spark, sf_dir):
-    return segmented_regression(event_series(spark, sf_dir), ["event_type"])
+    return segmented_regression(event_series(spark, sf_dir), EVENT_KEYS)
 
 
 DEPARTMENT_KEYS = ["categoria", "year", "departamento"]
@@ -222,3 +226,117 @@ def edpelt_by_department(spark, sf_dir):
 @query
 def divide_pelt_by_department(spark, sf_dir):
     return divide.divide_pelt(department_series(spark, sf_dir), DEPARTMENT_KEYS)
+
+
+@query
+def edpelt_range_ranks(spark, sf_dir):
+    """ED-PELT with the ranks of range-partitioned values, the form for keys of very many values."""
+    return edpelt(edpelt_series(spark, sf_dir), EDPELT_KEYS, rank_strategy="range")
+
+
+@query
+def conclusion_by_department(spark, sf_dir):
+    """The roll-up that keeps the department: regression per product and store, by (category, department, year)."""
+    keys = ["categoria", "departamento", "year"]
+    s = price_series(enriched(spark, sf_dir, "type"), keys + ["clave_local"])
+    return conclude.conclude(segmented_regression(s, keys + ["clave_local"]), keys)
+
+
+@query
+def conclusion_timeouts(spark, sf_dir):
+    """Every series out of a budget of no time: `Timeout` counts per (category, year)."""
+    s = price_series(enriched(spark, sf_dir, "type"), SUPPLIER_KEYS)
+    return conclude.histogram(edpelt(s, SUPPLIER_KEYS, max_seconds=0), ["categoria", "year"])
+
+
+def largest_jump(daily):
+    """A user detector: the date before the largest step of the daily mean (first of equals)."""
+    if len(daily) < 2:
+        return []
+    steps = daily["mean"].diff().abs().round(6).iloc[1:]
+    return [daily["fecha"].iloc[int(steps.to_numpy().argmax())]]
+
+
+@query
+def user_detector(spark, sf_dir):
+    s = price_series(enriched(spark, sf_dir, "type"), SUPPLIER_KEYS)
+    return detect(s, SUPPLIER_KEYS, largest_jump)
+
+
+def doubled_star(spark, sf_dir):
+    """The star schema with further rows for some dimension keys (a rule on the key)."""
+    v, p, l = fixtures.star(spark, sf_dir, "brand")
+    more_p = p.where("clave % 3 = 0").select(
+        F.expr(f"CASE WHEN clave % 2 = 0 THEN '{FIXTURE.excluded_category}' ELSE 'Brand#99' END").alias("categoria"), "clave")
+    more_l = l.where("clave % 4 = 0").select(F.lit("ZZZ").alias("departamento"), "clave")
+    return v, p.unionByName(more_p), l.unionByName(more_l)
+
+
+@query
+def duplicate_keys_inner(spark, sf_dir):
+    """Duplicate dimension keys, hash-join form: pick, then filter."""
+    return enrich(*doubled_star(spark, sf_dir), how="inner", filters=FIXTURE).select(*_ENRICHED_COLS)
+
+
+@query
+def duplicate_keys_left(spark, sf_dir):
+    """Duplicate dimension keys, reduce-join form: filter, then pick."""
+    return enrich(*doubled_star(spark, sf_dir), how="left", filters=FIXTURE).select(*_ENRICHED_COLS)
+
+
+def native_lines(spark, sf_dir):
+    """The sales as native `;` lines, some of them damaged (a rule on the sale's key)."""
+    v = fixtures.ventas(spark, sf_dir)
+    text_of = [F.col(c).cast("string") for c in v.columns]
+    field = dict(zip(v.columns, text_of))
+    key = F.col("clave_venta")
+    field["cant_vta"] = F.when(key % 13 == 0, F.lit("dos")).otherwise(field["cant_vta"])
+    field["fecha"] = F.when(key % 11 == 0, F.lit("2024-13-45")).otherwise(field["fecha"])
+    line = F.concat_ws(";", *[field[c] for c in v.columns])
+    short = F.concat_ws(";", *[field[c] for c in v.columns[:5]])
+    return v.select(F.when(key % 17 == 0, short).otherwise(line).alias("value"))
+
+
+@query
+def text_sales(spark, sf_dir):
+    """Text lines in: typed rows, damaged lines rejected, a bad date kept as text."""
+    return text.parse_lines(native_lines(spark, sf_dir), text.VENTAS_LAYOUT, name="ventas").rows.select(
+        "clave_local", "clave_producto", "fecha", "cant_vta", "precio_unitario", "clave_venta")
+
+
+@query
+def text_dimensions(spark, sf_dir):
+    """Product and store lines, each under a header line that is rejected."""
+    out = []
+    for df, layout in ((fixtures.productos(spark, sf_dir), text.PRODUCTOS_LAYOUT), (fixtures.locales(spark, sf_dir), text.LOCALES_LAYOUT)):
+        name = layout[0][0]
+        # a header line in place of every hundredth key's line
+        lines = df.select(F.when(F.col("clave") % 100 == 0, F.lit(f"{name};clave")).otherwise(
+            F.concat_ws(";", name, F.col("clave").cast("string"))).alias("value"))
+        out.append(text.parse_lines(lines, layout, name=name).rows.select(
+            F.lit(name).alias("tabla"), F.col(name).alias("valor"), "clave"))
+    return out[0].unionByName(out[1])
+
+
+@query
+def text_price_points(spark, sf_dir):
+    """Points of the series built from text lines: a bad date drops the point."""
+    rows = text.parse_lines(native_lines(spark, sf_dir), text.VENTAS_LAYOUT, name="ventas").rows
+    s = price_series(rows, ["clave_local"])
+    return s.groupBy("clave_local", "fecha").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("suma"))
+
+
+@query
+def text_quantity_sum(spark, sf_dir):
+    """Sum of a text column per store; what is no number counts as nothing."""
+    lines = native_lines(spark, sf_dir).select(F.split("value", ";").alias("f"))
+    rows = lines.select(F.expr("cast(f[0] as bigint)").alias("clave_local"), F.expr("get(f, 4)").alias("cant_vta"))
+    return agg.sum_values(rows, "clave_local", "cant_vta").withColumn("suma", F.round("suma", 2))
+
+
+@query
+def text_detections(spark, sf_dir):
+    """Text lines out: one line per series with its change dates."""
+    keys = REGRESSION_KEYS
+    found = jobs.detections_text(regression_result(spark, sf_dir), keys)
+    return sinks.text_lines(found, keys, ["dates"], sep=";")

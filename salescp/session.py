@@ -10,6 +10,7 @@ missing, which happens in local tests.
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -17,13 +18,18 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key's join partition even if the aggregate above needs a shuffle for it
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set the runtime SQL options the operators assume (idempotent)."""
+    """Set the runtime SQL options the operators assume (idempotent).
+
+    Only adaptive execution and Arrow; dates come from date-only expressions, so
+    the session's time zone is left alone.
+    """
     for key, value in SQL_DEFAULTS.items():
         spark.conf.set(key, value)
     return spark
@@ -78,39 +84,22 @@ def cut_lineage(df, spark: SparkSession | None = None):
     return df.checkpoint(eager=True)
 
 
-# tables written by `materialize` in this driver process, oldest first
-WRITTEN: list[str] = []
-
-
-def row_bytes(df):
-    """Column: an upper-bound estimate of one row's in-memory size (bytes)."""
-    from pyspark.sql import functions as F
-    from pyspark.sql import types as T
-
-    total = F.lit(16)
-    for field in df.schema.fields:
-        col = F.col(field.name)
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            total = total + F.coalesce(F.length(col), F.lit(0)) + 8
-        elif isinstance(field.dataType, T.ArrayType):
-            total = total + F.coalesce(F.size(col), F.lit(0)) * 8 + 16
-        else:
-            total = total + 8
-    return total.cast("long")
+class Scratch(list):
+    """Paths that `materialize` wrote inside a `with scratch():` block."""
 
 
-def materialize_sized(df, how: str = "table"):
-    """`materialize` that also returns (rows, bytes) observed during the write.
+_OPEN: list[Scratch] = []
 
-    bytes is the sum of `row_bytes`, a bound on the table's in-memory size; both
-    are None when nothing was written (persist / none).
-    """
-    from pyspark.sql import functions as F
 
-    out, metrics = _materialize(df, how, {"rows": F.count(F.lit(1)), "bytes": F.sum(row_bytes(df))})
-    if metrics is None:
-        return out, None, None
-    return out, metrics["rows"], metrics["bytes"] or 0
+@contextmanager
+def scratch():
+    """Collect the tables written inside the block, for `drop_materialized` once nothing reads them."""
+    paths = Scratch()
+    _OPEN.append(paths)
+    try:
+        yield paths
+    finally:
+        _OPEN.remove(paths)
 
 
 def materialize(df, how: str = "table", count: bool = False):
@@ -138,10 +127,7 @@ def _materialize(df, how: str, metrics: dict | None):
         return df, None
     spark = df.sparkSession
     if how in ("table", "checkpoint"):
-        try:
-            checkpoint_dir(spark)
-        except RuntimeError:
-            how = "persist"  # no shared folder named: keep the data on the executors instead
+        checkpoint_dir(spark)  # raises on a cluster that names no shared folder
     if how == "persist":
         from pyspark import StorageLevel
 
@@ -159,15 +145,16 @@ def _materialize(df, how: str, metrics: dict | None):
 
         path = f"{checkpoint_dir(spark).rstrip('/')}/salescp-{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(path)
-        WRITTEN.append(path)
+        if _OPEN:
+            _OPEN[-1].append(path)
         out = spark.read.parquet(path)
     else:
         raise ValueError(f"unknown materialization {how!r}")
     return out, (dict(obs.get) if obs is not None else None)
 
 
-def drop_materialized(spark: SparkSession) -> int:
-    """Delete the tables `materialize` wrote, once nothing reads them any more.
+def drop_materialized(spark: SparkSession, paths: Scratch) -> int:
+    """Delete the tables of one `scratch()` block, once nothing reads them any more.
 
     Goes through the Hadoop FileSystem of each path, so it works on the shared
     storage a cluster names in `spark.checkpoint.dir`.  Returns how many went.
@@ -175,8 +162,8 @@ def drop_materialized(spark: SparkSession) -> int:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     dropped = 0
-    while WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(WRITTEN.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         if path.getFileSystem(conf).delete(path, True):
             dropped += 1
     return dropped

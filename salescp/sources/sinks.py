@@ -34,7 +34,7 @@ def write_text(df: DataFrame, path: str, key_cols: Sequence[str], value_cols: Se
     """Text sink; `single_file=True` only for small results such as roll-ups."""
     out = text_lines(df, key_cols, value_cols, sep=sep)
     if single_file:
-        out = out.coalesce(1)
+        out = out.repartition(1)  # a shuffle: what is below stays parallel
     out.write.mode(mode).text(path)
 
 

@@ -8,8 +8,8 @@ date stays text at the source; a bad date only drops the point from the price
 series later, the sale still counts in the aggregates.
 
 Counts of read and rejected lines come back through a Spark `Observation`,
-filled in by whatever action runs the plan; `strict=True` raises on the first
-bad line instead.
+filled in by whatever action runs the plan; with `strict=True` that action fails
+on the first bad line instead.
 """
 
 from __future__ import annotations
@@ -36,8 +36,7 @@ LOCALES_LAYOUT = (("departamento", "string"), ("clave", "bigint"))
 # ---------------------------------------------------------------------------
 
 
-class BadRowError(ValueError):
-    """A line does not parse and `strict=True` was asked."""
+BAD_ROW = "BAD_ROW"  # begins the message of the error that `strict=True` raises
 
 
 @dataclass
@@ -67,10 +66,9 @@ def parse_lines(lines: DataFrame, layout, sep: str = FIELD_SEPARATOR, name: str
     for c in checks[1:]:
         ok = ok & c
     typed = lines.select(*cols, F.coalesce(ok, F.lit(False)).alias("_ok"))
-    if strict:
-        bad = typed.filter(~F.col("_ok")).limit(1).count()
-        if bad:
-            raise BadRowError(f"{name}: a line does not match the {len(layout)}-field layout")
+    if strict:  # in the one scan: the first bad line ends the job that reads the rows
+        message = f"{BAD_ROW}: {name}: a line does not match the {len(layout)}-field layout"
+        typed = typed.withColumn("_ok", F.when(F.col("_ok"), True).otherwise(F.raise_error(F.lit(message)).cast("boolean")))
     obs = Observation(f"{name}_lines")
     observed = typed.observe(obs, F.count(F.lit(1)).alias("lines"),
                              F.sum(F.when(F.col("_ok"), 0).otherwise(1)).alias("rejected"))

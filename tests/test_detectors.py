@@ -163,3 +163,48 @@ def test_divide_on_fixture_subset_and_not_below_exact(spark):
         d = [p[0] for p in pts[key]]
         v = [p[1] for p in pts[key]]
         assert rules.edpelt_total(d, v, changes) >= rules.edpelt_total(d, v, exact.get(key, [])) - 1e-9, key
+
+
+def test_regression_right_side_of_one_heavy_date_is_not_flagged(spark):
+    """39,237 points on one later date: centred sums leave a crumb where the spread is zero."""
+    from pyspark.sql import functions as F
+
+    line = spark.range(10).select(F.lit("k").alias("key"), F.expr("date_add(DATE'2000-01-01', cast(id as int))").alias("fecha"),
+                                  (F.col("id") * 2.0 + 1).alias("value"))
+    heavy = spark.range(39_237).select(F.lit("k").alias("key"), F.expr("DATE'2000-02-09'").alias("fecha"),
+                                       F.expr("cast(id % 7 as double)").alias("value"))
+    found = regression.segmented_regression(line.unionByName(heavy), ["key"]).collect()
+    assert dt.date(2000, 1, 10) not in [r.change_point for r in found]
+
+
+def test_a_timed_out_segment_times_out_its_key(spark):
+    rng = random.Random(4)
+    pts = {k: [(day(i // 2), (0.0 if i < 100 else 9.0) + rng.gauss(0, 0.5), 1000 + i) for i in range(200)] for k in "ab"}
+    df = frame(spark, pts, extra=True)
+    vcs = divide.segment_counts(df, ["key"])
+    p1 = divide.phase1(vcs, df, ["key"]).collect()
+    late = [(r.key, r.segmento, None, "timeout") if (r.key, r.segmento) == ("a", 3) else tuple(r) for r in p1]
+    late += [] if any(r[3] == "timeout" for r in late) else [("a", 3, None, "timeout")]
+    p1 = spark.createDataFrame(late, "key string, segmento int, change_point date, status string")
+    out = divide.phase2(vcs, divide.candidates(p1, ["key"]), df, ["key"], late=divide.timed_out(p1, ["key"])).collect()
+    assert [(r.change_point, r.status) for r in out if r.key == "a"] == [(None, "timeout")]
+    assert [r.status for r in out if r.key == "b"] == ["ok"] * len([r for r in out if r.key == "b"]) != []
+
+
+def test_divide_with_no_time_says_so(spark):
+    df = frame(spark, {"a": [(day(i), float(i > 40), 1000 + i) for i in range(80)]}, extra=True)
+    assert [(r.change_point, r.status) for r in divide.divide_pelt(df, ["key"], max_seconds=0).collect()] == [(None, "timeout")]
+
+
+def test_phase_2_folds_dates_into_intervals(spark):
+    from salescp.operators.edpelt import positions, threshold_histogram
+
+    rng = random.Random(6)
+    df = frame(spark, {"a": [(day(i), rng.gauss(0, 1) + (i > 60), 1000 + i) for i in range(120)]}, extra=True)
+    vc = divide.segment_counts(df, ["key"]).groupBy("key", "fecha", "value").agg({"c": "sum"}).withColumnRenamed("sum(c)", "c")
+    cands = spark.createDataFrame([("a", day(20)), ("a", day(60))], "key string, fecha date")
+    hist = threshold_histogram(vc, positions(vc, ["key"]), ["key"])
+    rows = divide.intervals(hist, cands, ["key"]).collect()
+    assert {r.fecha for r in rows} == {day(20), day(60), dt.date(9999, 12, 31)}
+    assert len(rows) <= 3 * (rows[0].k + 1)
+    assert sum(r.cnt for r in rows) == 2 * 120

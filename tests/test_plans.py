@@ -1,5 +1,7 @@
 """Plan-shape checks: the properties the scale design relies on."""
 
+import re
+
 from conftest import SF_SMALL
 
 from salescp.operators import edpelt as E
@@ -38,11 +40,11 @@ def test_enrich_broadcasts_dimensions_not_sales(spark):
     assert not any("l_partkey" in sub for sub in subtrees)  # the fact table is never the built side
 
 
-def test_regression_is_two_windows_and_no_python(spark):
+def test_regression_is_windows_and_no_python(spark):
     s = price_series(enriched(spark, SF_SMALL, "type"), REGRESSION_KEYS)
     plan = final_plan(segmented_regression(s, REGRESSION_KEYS))
     windows = [ln for ln in plan.split("\n") if ln.strip().lstrip(":+- ").startswith("Window [")]
-    assert 1 <= len(windows) <= 2
+    assert 1 <= len(windows) <= 3  # key totals, prefix, suffix
     assert "Pandas" not in plan and "BatchEvalPython" not in plan
 
 
@@ -55,13 +57,47 @@ def test_edpelt_reads_folded_table_and_batches_python(spark):
     assert "REPARTITION_BY_NUM" in plan
 
 
-def test_threshold_join_follows_observed_size(spark, monkeypatch):
-    s = price_series(enriched(spark, SF_SMALL, "brand"), EDPELT_KEYS)
-    small = E.edpelt(s, EDPELT_KEYS)
-    small_rows = sorted(map(tuple, small.collect()))
-    assert "BroadcastHashJoin" in final_plan(small)
-    monkeypatch.setattr(E, "BROADCAST_MAX_BYTES", 0)  # pretend the thresholds are too big to broadcast
-    big = E.edpelt(s, EDPELT_KEYS)
-    plan = final_plan(big)
-    assert "SortMergeJoin" in plan
-    assert sorted(map(tuple, big.collect())) == small_rows
+def _hot(spark, rows=60_000):
+    """Sales of which nine tenths belong to one key."""
+    from pyspark.sql import functions as F
+
+    return spark.range(rows).select(
+        F.when(F.col("id") % 10 < 9, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"),
+        F.expr("date_add(DATE'2020-01-01', cast(id % 300 as int))").alias("fecha"),
+        (F.xxhash64("id") % 1000).cast("double").alias("value"))
+
+
+def test_positions_join_is_not_by_the_key_alone(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        vc = E.materialize(E.value_counts(_hot(spark), ["key"]))
+        pos = E.materialize(E.positions(vc, ["key"]))
+        plan = final_plan(E.threshold_histogram(vc, pos, ["key"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [ln for ln in plan.split("\n") if "SortMergeJoin" in ln]
+    assert joins and all("value" in ln for ln in joins)
+    # both sides are dealt by key and value, so the hot key is spread over its values
+    assert len(re.findall(r"hashpartitioning\(key#\d+, value#\d+, \d+\), ENSURE_REQUIREMENTS", plan)) >= 2
+
+
+def test_a_hot_store_is_split_below_an_aggregate_by_it(spark):
+    from pyspark.sql import functions as F
+
+    from salescp.operators.enrich import join_side
+    from salescp.session import configure
+
+    configure(spark)
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        stores = spark.range(50).select(F.concat(F.lit("k"), F.col("id")).alias("key"), F.lit("D").alias("departamento")).union(
+            spark.range(1).select(F.lit("hot"), F.lit("D")))
+        sales = E.materialize(_hot(spark))
+        plan = final_plan(sales.join(join_side(stores, "shuffle"), "key").groupBy("departamento", "key", "fecha").agg(F.sum("value")))
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert "skew=true" in plan

@@ -33,8 +33,15 @@ def test_bad_rows_rejected_and_counted(spark, tmp_path):
     assert parsed.counts() == {"lines": 5, "rejected": 3}
     series = price_series(parsed.rows.withColumn("k", F.lit(1)), ["k"])
     assert [r.fecha for r in series.collect()] == [dt.date(2024, 1, 5)]
-    with pytest.raises(text.BadRowError):
-        text.read_ventas(spark, path, strict=True)
+    with pytest.raises(Exception, match=text.BAD_ROW):
+        text.read_ventas(spark, path, strict=True).rows.collect()
+
+
+def test_strict_reads_a_clean_table_once(spark, tmp_path):
+    path = write(tmp_path, "clean.txt", ["12;345;2024-01-05;2;2;189.9;900001"])
+    parsed = text.read_ventas(spark, path, strict=True)
+    assert parsed.rows.count() == 1
+    assert parsed.counts() == {"lines": 1, "rejected": 0}
 
 
 def test_dimension_header_drops_only_that_line(spark, tmp_path):
@@ -93,6 +100,16 @@ def test_duplicate_dimension_keys(spark):
         enrich(v, p, l, "inner", Filters(("MONTEVIDEO",), None), strict=True)
 
 
+def test_duplicate_keys_filter_before_or_after_the_pick(spark):
+    """product 10 is CENSURADO and ALIMENTO, store 1 is SALTO and MONTEVIDEO."""
+    v, _, _ = _star(spark)
+    p = spark.createDataFrame([("CENSURADO", 10), ("ALIMENTO", 10)], "categoria string, clave bigint")
+    l = spark.createDataFrame([("SALTO", 1), ("MONTEVIDEO", 1)], "departamento string, clave bigint")
+    left = enrich(v.where("clave_venta = 2"), p, l, "left", FILTERS).first()
+    assert (left.categoria, left.departamento) == ("ALIMENTO", "MONTEVIDEO")
+    assert enrich(v.where("clave_venta = 2"), p, l, "inner", FILTERS).collect() == []  # the picks are filtered out
+
+
 def test_aggregates(spark):
     df = spark.createDataFrame([("a", "x", -3.0), ("a", "x", -1.0), ("a", "y", 2.0), ("b", "x", 5.0)],
                                "k string, x string, y double")
