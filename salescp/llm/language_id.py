@@ -83,6 +83,8 @@ class Pieces:
 
 def blocks(words: list[bytes], cells: int = 200_000):
     """(indices, words x bytes) of words of one length, about `cells` bytes at a time."""
+    if not words:
+        return
     lengths = np.array([len(w) for w in words])
     order = np.argsort(lengths, kind="stable")
     cuts = np.flatnonzero(np.concatenate(([True], np.diff(lengths[order]) != 0, [True])))

@@ -51,22 +51,27 @@ def repeated_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
             .groupBy("_id", "_text_hash").agg(F.collect_set("position").alias("drops")))
 
 
+OUTPUT = ("kept_text", "n_lines", "n_dropped")
+
+
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """All columns of `docs`, with `kept_text`, `n_lines` (before) and `n_dropped`.
 
-    `min_chars` counts code points of the normalised line; a document is
+    Columns of these names in `docs` are replaced.  `min_chars` counts code points of the normalised line; a document is
     compared by its id.
     """
-    base = docs.select("*", F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_text_hash"))
-    drops = repeated_lines(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"),
-                                       F.xxhash64(text_col).alias("_text_hash")), min_chars, min_docs)
-    drops = drops.select(F.col("_id").alias("_drop_id"), F.col("_text_hash").alias("_drop_hash"), "drops")
+    names = docs.columns  # the caller's names could clash with the ones used here
+    inner = {c: f"_c{k}" for k, c in enumerate(names)}
+    base = docs.toDF(*inner.values())
+    text = f"coalesce({inner[text_col]}, '')"
+    base = base.selectExpr("*", f"{inner[id_col]} as _id", f"xxhash64({inner[text_col]}) as _text_hash")
+    drops = (repeated_lines(base.selectExpr("_id", f"{inner[text_col]} as text", "_text_hash"), min_chars, min_docs)
+             .selectExpr("_id as _drop_id", "_text_hash as _drop_hash", "drops"))
     joined = base.join(drops, (F.col("_id") == F.col("_drop_id")) & (F.col("_text_hash") == F.col("_drop_hash")), "left")
-    text = f"coalesce(`{text_col}`, '')"
     kept = (f"if(drops is null, {text}, concat_ws('\n', transform(array_except(sequence(0, size(split({text}, '\n', -1)) - 1), "
             f"drops), i -> split({text}, '\n', -1)[i])))")
     return joined.selectExpr(
-        *[f"`{c}`" for c in docs.columns], f"{kept} as kept_text",
+        *[f"{k} as `{c}`" for c, k in inner.items() if c not in OUTPUT], f"{kept} as kept_text",
         f"cast(char_length({text}) - char_length(replace({text}, '\n', '')) + 1 as bigint) as n_lines",
         "cast(coalesce(size(drops), 0) as bigint) as n_dropped")
