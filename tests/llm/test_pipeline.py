@@ -2,7 +2,7 @@
 
 from collections import Counter
 
-from conftest import SF_SMALL
+from conftest import SF_ORACLE
 from llm.test_documents import plain_components, plain_line_dedup
 
 import __spark_entry__
@@ -11,16 +11,16 @@ from salescp.llm import pii
 
 
 def test_stages_take_effect(spark):
-    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
     columns, now = docs.columns, docs
     kept = {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         before = now
-        now = stage(spark, before, SF_SMALL).cache()
+        now = stage(spark, before, SF_ORACLE).cache()
         kept[name] = (before, now)
         assert now.columns == columns and now.schema == docs.schema
     before, after = kept["quality"]
-    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    labels = spark.read.parquet(f"{SF_ORACLE}/labels.parquet")
     good = before.join(labels.where("quality = 1"), "doc_id").count()
     assert after.join(labels.where("quality = 1"), "doc_id").count() >= 0.95 * good and after.count() < before.count()
     before, after = kept["lines"]
@@ -35,7 +35,7 @@ def test_stages_take_effect(spark):
     before, after = kept["pii"]
     assert after.count() == before.count()
     assert not any(pii.base_spans(r.text) for r in after.collect())
-    rows = corpus_pipeline.STAGES[-1][1](spark, now, SF_SMALL).collect()
+    rows = corpus_pipeline.STAGES[-1][1](spark, now, SF_ORACLE).collect()
     assert {r.doc_id for r in rows} == {r.doc_id for r in now.collect()}
 
 
