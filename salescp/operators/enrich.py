@@ -6,9 +6,9 @@ join: such a sale is kept with category / department `''`.  For the left form
 the dimension filters are applied to the dimension *before* the join; applied
 after it they would change the result.
 
-Join strategy (`join_side`): a dimension is broadcast only after a bounded
-row count (`limit(max_rows + 1).count()`) proves it small; otherwise the join
-is a sort-merge join, where AQE splits a skewed sales key (one product or
+Join strategy (`join_side`): the filtered dimensions are written once and
+counted on the way; one is broadcast only when its count proves it small,
+otherwise the join is a sort-merge join, where AQE splits a skewed sales key (one product or
 store with a large share of all rows) into several tasks; `session.configure`
 sets `forceOptimizeSkewedJoin`, without which an aggregate above the join that
 reuses its partitioning would forbid that.
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import BROADCAST_MAX_ROWS, Filters
+from ..session import materialize_counted
 
 SALES_COLUMNS = (
     "clave_local", "clave_producto", "fecha", "cant_vta_original", "cant_vta",
@@ -40,23 +41,29 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_rows_many(dfs, max_rows: int) -> list[bool]:
-    """`bounded_rows` for several DataFrames in one job."""
-    limited = [df.limit(max_rows + 1).select(F.lit(i).alias("side")) for i, df in enumerate(dfs)]
-    union = limited[0]
-    for other in limited[1:]:
+def written_sides(dfs, max_rows: int):
+    """Several (key, value) dimensions computed once, in one written table.
+
+    Returns [(dimension read back, True when it has at most `max_rows` rows)];
+    the rows are counted while they are written.
+    """
+    names = [df.columns for df in dfs]
+    tagged = [df.select(F.lit(i).alias("side"), F.col(k).alias("k"), F.col(v).alias("v")) for i, (df, (k, v)) in enumerate(zip(dfs, names))]
+    union = tagged[0]
+    for other in tagged[1:]:
         union = union.unionByName(other)
-    counts = {r["side"]: r["count"] for r in union.groupBy("side").count().collect()}
-    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+    out, rows = materialize_counted(union, {f"side{i}": F.count_if(F.col("side") == i) for i in range(len(dfs))})
+    return [(out.where(F.col("side") == i).select(F.col("k").alias(k), F.col("v").alias(v)), rows[f"side{i}"] <= max_rows)
+            for i, (k, v) in enumerate(names)]
 
 
 def join_side(df: DataFrame, strategy: str = "auto", max_rows: int = BROADCAST_MAX_ROWS,
               small: bool | None = None) -> DataFrame:
     """Wrap the small side of a join with the hint its checked size allows.
 
-    checked (dimensions): count the side with a bounded `limit(max_rows + 1)`
-    job; broadcast it when within `max_rows`, else a sort-merge join, whose
-    skewed partitions AQE splits.  The hint also keeps the planner from
+    checked (dimensions): broadcast the side when its row count (`small`, or a
+    bounded `limit(max_rows + 1)` job) is within `max_rows`, else a sort-merge
+    join, whose skewed partitions AQE splits.  The hint also keeps the planner from
     building the hash table on the fact side when its estimate is small.
     auto: no hint; Catalyst broadcasts only under
     `spark.sql.autoBroadcastJoinThreshold` and AQE re-decides with measured sizes.
@@ -140,7 +147,7 @@ def enrich(ventas: DataFrame, productos: DataFrame, locales: DataFrame, how: str
     sales = valid_sales(ventas, filters)
     small = [None, None]
     if join_strategy in ("checked", "broadcast"):
-        small = bounded_rows_many([prod, stores], broadcast_max_rows)
+        (prod, small[0]), (stores, small[1]) = written_sides([prod, stores], broadcast_max_rows)
     out = (
         sales.join(join_side(prod, join_strategy, broadcast_max_rows, small[0]), "clave_producto", how)
         .join(join_side(stores, join_strategy, broadcast_max_rows, small[1]), "clave_local", how)

@@ -31,9 +31,9 @@ FIXTURE_DEPARTMENTS = ("AFRICA", "AMERICA")
 FIXTURE_EXCLUDED_CATEGORY = "Brand#10"
 
 # Dimension tables at most this many rows (after de-duplication and filters)
-# are broadcast; larger ones go through a shuffle join.  The row count is
-# checked with a bounded `limit(n + 1).count()` before the hint is set.  A row
-# is a long key and a short text (about 40 bytes), so the bound is ~40 MB.
+# are broadcast; larger ones go through a shuffle join.  The rows are counted
+# while the dimension is written.  A row is a long key and a short text (about
+# 40 bytes), so the bound is ~40 MB.
 BROADCAST_MAX_ROWS = 1_000_000
 
 

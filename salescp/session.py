@@ -122,6 +122,11 @@ def materialize(df, how: str = "table", count: bool = False):
     return out, (None if metrics is None else metrics["rows"])
 
 
+def materialize_counted(df, metrics: dict):
+    """(the written table read back, {name: value} of aggregates observed while it was written)."""
+    return _materialize(df, "table", metrics)
+
+
 def _materialize(df, how: str, metrics: dict | None):
     if how == "none":
         return df, None
