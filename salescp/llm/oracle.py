@@ -12,4 +12,39 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM d GROUP BY doc_id
 """
 
-ORACLE = {"op4_line_dedup": OP4}
+#: Smallest reachable id over links (a, b) between nodes (id).
+COMPONENTS = """
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)"""
+
+OP8 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(greatest(1, len(w) - 4)),
+    lambda i: array_to_string(w[i + 1:i + 5], ' '))) END AS s FROM w),
+e AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+links AS MATERIALIZED (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM e x JOIN e y ON x.g = y.g AND x.doc_id < y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),""" + COMPONENTS + """
+SELECT s.doc_id, len(s.s) AS n_shingles, least(s.doc_id, coalesce(least.b, s.doc_id)) AS component_id
+FROM s LEFT JOIN least ON least.a = s.doc_id
+"""
+
+OP10 = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id < y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.93),""" + COMPONENTS + """,
+n AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(least.b, vec_id)) AS component_id,
+  vec_id <= coalesce(least.b, vec_id) AS kept
+FROM embeddings LEFT JOIN least ON least.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+ORACLE = {"op4_line_dedup": OP4, "op8_jaccard_join": OP8, "op10_cap_filters": OP10}

@@ -56,7 +56,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over shingles of five words at a Jaccard similarity of 0.8."""
-    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 #: The edits of op9, from the document's own columns: its source is put in front, up to 200
