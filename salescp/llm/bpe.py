@@ -14,6 +14,7 @@ are not read.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Callable
 
 import numpy as np
@@ -25,6 +26,9 @@ from .common import worker_store
 from .rank_queue import Vocabulary, encode_pieces
 
 
+HELD_CHARS = 1 << 24  # characters of the keys that a cache may hold before it is emptied, besides its entries
+
+
 class Encoder:
     """Pre-tokenizer, rank queue and a bounded cache of what this worker has encoded.
 
@@ -38,7 +42,7 @@ class Encoder:
         self.vocab = Vocabulary.load(path)
         self.find = regex.compile(pattern).findall
         self.match = regex.compile(pattern).match
-        self.limit = cache_entries
+        self.limit, self.held, self.held_pieces = cache_entries, 0, 0
         self.pieces: dict[str, bytes] = {}   # pre-token -> ids
         self.chunks: dict[str, bytes | None] = {}  # chunk after a space -> ids, None: not separable
         self.layout: dict[str, bytes | None] = {}  # same -> (characters, ids) of each pre-token
@@ -52,76 +56,60 @@ class Encoder:
 
     def learn(self, pieces) -> None:
         new = [p for p in set(pieces) if p not in self.pieces]
+        self.held_pieces += sum(map(len, new))
         self.pieces.update(zip(new, encode_pieces(self.vocab, [p.encode() for p in new])))
 
-    def prepare(self, texts: list[str]) -> None:
-        """Encode every pre-token of these texts that is not in the cache."""
-        if len(self.chunks) > self.limit:
-            self.chunks, self.layout = {}, {}
-        if len(self.pieces) > self.limit:
-            self.pieces = {}
+    def prepare(self, texts: list[str], layout: bool = False) -> None:
+        """Encode every pre-token of these texts that is not in the cache, for `ids` or (layout) for `leaves`."""
+        if len(self.chunks) + len(self.layout) > self.limit or self.held > HELD_CHARS:
+            self.chunks, self.layout, self.held = {}, {}, 0
+        if len(self.pieces) > self.limit or self.held_pieces > HELD_CHARS:
+            self.pieces, self.held_pieces = {}, 0
         need: set[str] = set()
         first: set[str] = set()
         for t in texts:
             parts = t.split(" ")
             first.add(parts[0])
             need.update(parts[1:])
-        need = need.difference(self.chunks)
+        known = self.layout if layout else self.chunks
+        need = need.difference(known)
+        self.held += sum(map(len, need))
         cut = {c: self.find(" " + c) for c in need if c and not c[0].isspace()}
         pieces = {p for ps in cut.values() for p in ps}
         for c in first:
             pieces.update(self.find(c))
         self.learn(pieces)
-        get = self.pieces.__getitem__
+        get = self._layout_of if layout else lambda ps: b"".join(map(self.pieces.__getitem__, ps))
         for c in need:
-            self.chunks[c] = b"".join(map(get, cut[c])) if c in cut else None
+            known[c] = get(cut[c]) if c in cut else None
 
     def _whole(self, text: str) -> list[str]:
         pieces = self.find(text)
         self.learn(pieces)
         return pieces
 
-    def ids(self, text: str) -> np.ndarray:
-        """Ids of one whole text (after `prepare`, or at once for a single text)."""
+    def _joined(self, text: str, known: dict, of_pieces) -> np.ndarray:
+        """Cached bytes of a text's chunks, or of its pre-tokens if a chunk cannot be separated."""
         head, *rest = text.split(" ")
         try:
-            body = b"".join(map(self.chunks.__getitem__, rest))
+            body = b"".join(map(known.__getitem__, rest))
             if not head and rest:
                 raise TypeError
-            lead = b"".join(map(self.pieces.__getitem__, self.find(head)))
+            return np.frombuffer(of_pieces(self._whole(head)) + body, dtype="<i4")
         except (TypeError, KeyError):
-            return np.frombuffer(b"".join(map(self.pieces.__getitem__, self._whole(text))), dtype="<i4")
-        return np.frombuffer(lead + body, dtype="<i4")
+            return np.frombuffer(of_pieces(self._whole(text)), dtype="<i4")
 
-    def _layout_of(self, pieces: list[str]) -> bytes:
-        return np.array([(len(p), len(self.pieces[p]) // 4) for p in pieces], dtype="<i4").tobytes()
+    def ids(self, text: str) -> np.ndarray:
+        """Ids of one whole text (quick after `prepare`)."""
+        return self._joined(text, self.chunks, lambda ps: b"".join(map(self.pieces.__getitem__, ps)))
 
     def leaves(self, text: str) -> np.ndarray:
-        """(characters, ids) of each pre-token of one whole text, after `prepare`."""
-        head, *rest = text.split(" ")
-        layout = self.layout
-        try:
-            if not head and rest:
-                raise TypeError
-            new = [c for c in rest if c not in layout]
-            for c in new:
-                if c not in layout:
-                    if self.chunks[c] is None:
-                        layout[c] = None
-                        continue
-                    pieces = self.find(" " + c)
-                    layout[c] = self._layout_of(pieces if all(p in self.pieces for p in pieces) else self._again(pieces))
-            body = b"".join(map(layout.__getitem__, rest))
-            lead = self.find(head)
-            self.learn(lead)
-            raw = self._layout_of(lead) + body
-        except (TypeError, KeyError):
-            raw = self._layout_of(self._whole(text))
-        return np.frombuffer(raw, dtype="<i4").reshape(-1, 2)
+        """(characters, ids) of each pre-token of one whole text (quick after `prepare(layout=True)`)."""
+        return self._joined(text, self.layout, self._layout_of).reshape(-1, 2)
 
-    def _again(self, pieces: list[str]) -> list[str]:
-        self.learn(pieces)
-        return pieces
+    def _layout_of(self, pieces: list[str]) -> bytes:
+        get = self.pieces
+        return struct.pack(f"<{2 * len(pieces)}i", *(x for p in pieces for x in (len(p), len(get[p]) >> 2)))
 
     def count(self, pieces: list[str]) -> list[int]:
         self.learn(pieces)

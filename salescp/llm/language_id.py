@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import slices
+from .bpe import HELD_CHARS, slices
 from .common import id_bucket, worker_store
 
 UND = "und"
@@ -199,17 +199,19 @@ class Scorer:
         self._clear()
 
     def _clear(self):
+        self.held = 0
         self.row: dict[str, int] = {}
         self.scores = np.zeros((0, self.prob.shape[1]))
         self.lettered = np.zeros(0, dtype=bool)
 
     def prepare(self, texts: list[str]) -> None:
-        if len(self.row) > self.limit:
+        if len(self.row) > self.limit or self.held > HELD_CHARS:
             self._clear()
         need: set[str] = set()
         for t in texts:
             need.update(t.replace("\n", " ").split(" "))
         need.difference_update(self.row)
+        self.held += sum(map(len, need))
         chunks = list(need)
         words = [words_of(c) for c in chunks]
         known = {w: k for k, w in enumerate({w for ws in words for w in ws})}

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from salescp.session import materialize
 
-from .bpe import slices
+from .bpe import HELD_CHARS, slices
 from .common import worker_store
 
 MAX_BROADCAST_PLAN = 200_000  # rows of 6 numbers: about 10 MB
@@ -51,7 +51,7 @@ class CachedTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.limits = part_entries, chunk_entries
+        self.limits, self.held, self.held_parts = (part_entries, chunk_entries), 0, 0
         self.chunks: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {}
 
@@ -64,16 +64,18 @@ class CachedTokenizer:
 
     def prepare(self, texts: list[str]) -> None:
         """Tokenise every chunk of these texts that is not in the cache."""
-        if len(self.chunks) > self.limits[1]:
-            self.chunks = {"": b""}
-        if len(self.parts) > self.limits[0]:
-            self.parts = {}
+        if len(self.chunks) > self.limits[1] or self.held > HELD_CHARS:
+            self.chunks, self.held = {"": b""}, 0
+        if len(self.parts) > self.limits[0] or self.held_parts > HELD_CHARS:
+            self.parts, self.held_parts = {}, 0
         need: set[str] = set()
         for t in texts:
             need.update(t.replace("\n", " ").split(" "))
         need.difference_update(self.chunks)
+        self.held += sum(map(len, need))
         cut = {c: _PARTS.findall(c.lower()) if _PLAIN.fullmatch(c) else [c] for c in need}
         new = list({p for ps in cut.values() for p in ps}.difference(self.parts))
+        self.held_parts += sum(map(len, new))
         for at in range(0, len(new), 10_000):
             some = new[at:at + 10_000]
             for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):

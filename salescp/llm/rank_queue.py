@@ -21,6 +21,7 @@ costs no more per character than many short ones.
 from __future__ import annotations
 
 import base64
+import heapq
 
 import numpy as np
 
@@ -147,8 +148,10 @@ def encode_pieces(vocab: Vocabulary, pieces: list[bytes], batch_bytes: int = 1 <
     """Ids of each pre-token, as little-endian int32 bytes (empty pre-token: no id).
 
     The queue takes whole pre-tokens, together about `batch_bytes` at a time, or
-    a single longer one.
+    a single longer one; a handful of short ones goes one entry at a time.
     """
+    if sum(map(len, pieces)) < 256:
+        return [np.array(encode_one(vocab, p), dtype="<i4").tobytes() for p in pieces]
     out, part, size = [], [], 0
     for piece in pieces:
         if part and size + len(piece) > batch_bytes:
@@ -159,6 +162,51 @@ def encode_pieces(vocab: Vocabulary, pieces: list[bytes], batch_bytes: int = 1 <
     return out + _encode(vocab, part) if part else out
 
 
+def encode_one(vocab: Vocabulary, piece: bytes) -> list[int]:
+    """The same queue for one pre-token, an entry at a time: leftmost entry of the lowest rank's bucket."""
+    tok, n = vocab.byte_rank[np.frombuffer(piece, dtype=np.uint8)].tolist(), len(piece)
+    if n < 2:
+        return tok
+    tokens, ranks = vocab.tokens, vocab.ranks
+    nxt, prv, pair = list(range(1, n + 1)), list(range(-1, n - 1)), [None] * n
+    buckets: dict[int, list[int]] = {}
+    leaf: dict[int, int] = {}
+    top = 0
+
+    def push(at):
+        nonlocal top
+        rank = pair[at] = ranks.get(tokens[tok[at]] + tokens[tok[nxt[at]]]) if nxt[at] < n else None
+        if rank is not None:
+            if rank in buckets:
+                heapq.heappush(buckets[rank], at)
+            else:
+                buckets[rank] = [at]
+                leaf[rank >> 8] = leaf.get(rank >> 8, 0) | 1 << (rank & 255)
+                top |= 1 << (rank >> 8)
+
+    for at in range(n - 1):
+        push(at)
+    while top:
+        node = (top & -top).bit_length() - 1
+        rank = node << 8 | (leaf[node] & -leaf[node]).bit_length() - 1
+        at = heapq.heappop(buckets[rank])
+        if not buckets[rank]:
+            del buckets[rank]
+            leaf[node] &= leaf[node] - 1
+            if not leaf[node]:
+                top &= top - 1
+        if pair[at] != rank:
+            continue  # stale
+        gone = nxt[at]
+        tok[at], nxt[at], pair[gone], tok[gone] = rank, nxt[gone], None, -1
+        if nxt[at] < n:
+            prv[nxt[at]] = at
+        push(at)
+        if prv[at] >= 0:
+            push(prv[at])
+    return [t for t in tok if t >= 0]
+
+
 def _encode(vocab: Vocabulary, pieces: list[bytes]) -> list[bytes]:
     lengths = np.array([len(p) for p in pieces], dtype=np.int64)
     n = int(lengths.sum())

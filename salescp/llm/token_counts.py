@@ -149,7 +149,7 @@ def edited_counts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_i
         for batch in batches:
             texts, edits, at, rows = batch.column(1).to_pylist(), batch.column(2).to_pylist(), 0, []
             for part in slices(texts, batch_chars):
-                encoder.prepare(part)
+                encoder.prepare(part, layout=True)
                 for text in part:
                     tree = CountTree(encoder, text)
                     pretokens, before = sum(map(len, tree.leaves)), tree.tokens
