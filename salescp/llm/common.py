@@ -25,14 +25,13 @@ def id_bucket(col: str, parts: int):
 
 def worker_store(name: str) -> dict:
     """A dict that outlives a task in its Python worker (functions travel by value, so
-    their module globals do not).  Only for caches that can be rebuilt at any time."""
+    their module globals do not).  Only for caches that can be rebuilt at any time; a
+    worker that goes on to another operator lets go of the last one's."""
     module = sys.modules.setdefault("_salescp_worker_store", types.ModuleType("_salescp_worker_store"))
-    return module.__dict__.setdefault(name, {})
-
-
-def ascii_lower(col):
-    """A-Z to a-z, nothing else.  `lower` is the quick path where a text is ASCII."""
-    return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))
+    held = module.__dict__.get("held")
+    if held is None or held[0] != name:
+        module.held = held = (name, {})
+    return held[1]
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 200) -> DataFrame:

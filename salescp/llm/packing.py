@@ -46,7 +46,7 @@ _PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 class CachedTokenizer:
     """A `tokenizers` tokenizer whose white space separates, with a bounded cache by chunk."""
 
-    def __init__(self, path: str, part_entries: int = 1_000_000, chunk_entries: int = 400_000):
+    def __init__(self, path: str, part_entries: int = 600_000, chunk_entries: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
@@ -90,7 +90,7 @@ class CachedTokenizer:
 
 
 def tokenise(docs: DataFrame, path: str, limit: int = 4096, end_id: int = 1, with_ids: bool = False,
-             id_col: str = "doc_id", text_col: str = "text", batch_chars: int = 1 << 25) -> DataFrame:
+             id_col: str = "doc_id", text_col: str = "text", batch_chars: int = 1 << 23) -> DataFrame:
     """Pieces of at most `limit` ids: (id, piece, start, length, ids_crc32[, ids])."""
     docs = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("text"))
     kind = docs.schema[0].dataType.simpleString()
