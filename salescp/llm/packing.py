@@ -46,7 +46,7 @@ _PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 class CachedTokenizer:
     """A `tokenizers` tokenizer whose white space separates, with a bounded cache by chunk."""
 
-    def __init__(self, path: str, part_entries: int = 600_000, chunk_entries: int = 250_000):
+    def __init__(self, path: str, part_entries: int = 1_000_000, chunk_entries: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
