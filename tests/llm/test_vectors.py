@@ -71,6 +71,32 @@ def test_list_decoding_is_every_exceeding_filter():
         assert over <= set(filters.tolist()) and len(filters) >= 2
 
 
+@pytest.mark.parametrize("m", [16, 1000, 4096])
+def test_lists_and_recall_hold_for_large_codes(m):
+    # d = 64: the mean list is `lists`, and pairs at the least cosine share a filter, whatever the size of the code
+    codes = cap_filters.codes_needed(64, m, 24, 0.93, 0.999)
+    x, y = cap_filters.random_pairs(np.random.default_rng(5), 600, 64, 0.93)
+    assert np.allclose((x * y).sum(axis=1), 0.93)
+    one = cap_filters.ProductCode(64, m, 24, least=0)
+    assert 21 <= np.mean([len(f) for f in one.decode(np.concatenate([x, y]))]) <= 27
+    filters = cap_filters.Filters(64, m, 24, codes)
+    a, b = filters.decode(x), filters.decode(y)
+    assert all((np.diff(f) > 0).all() for f in a)
+    assert np.mean([len(np.intersect1d(f, g)) > 0 for f, g in zip(a, b)]) >= 0.995
+
+
+def test_cap_quantile_is_exact():
+    assert math.isclose(cap_filters.cap_quantile(2, 1 / 3), 0.5, abs_tol=1e-6)  # an arc
+    assert math.isclose(cap_filters.cap_quantile(3, 1e-5), 1 - 2e-5, abs_tol=1e-9)  # a cap of the sphere is linear in its height
+    assert math.isclose(cap_filters.cap_quantile(64, 0.5), 0, abs_tol=1e-9)
+
+
+def test_codes_without_a_recall_hold_all_in_one_filter(spark):
+    assert cap_filters.codes_needed(64, 16, 24, -1.0, 0.999) == 0
+    x = cap_filters.unit_rows(np.random.default_rng(1), 3, 64)
+    assert [f.tolist() for f in cap_filters.Filters(64, 16, 24, 0).decode(x)] == [[0]] * 3
+
+
 def plain_links(rows, least=0.93):
     ok = [k for k, (i, v, lab) in enumerate(rows) if i is not None and lab is not None and v and all(c is not None and math.isfinite(c) for c in v)
           and any(v)]
