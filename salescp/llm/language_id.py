@@ -1,6 +1,7 @@
 """Language identification by unigram pieces, summed over all segmentations.
 
-Each language has a probability for each piece of a fixed public vocabulary.
+Each language has a probability for each piece of a fixed public vocabulary (all
+of them, in lower case, and every byte).
 The likelihood of a word is the sum over every way to cut it into pieces of the
 product of their probabilities, by a forward pass over its bytes; a text's
 score adds the logs over its words and a prior.  The piece probabilities are
@@ -39,15 +40,24 @@ _LETTERS = regex.compile(r"\p{L}+")
 
 
 class Pieces:
-    """Vocabulary of byte pieces with a look-up of all substrings of a block of words."""
+    """Vocabulary of byte pieces, as a trie, with a look-up of all substrings of a block of words."""
 
-    def __init__(self, path: str, max_bytes: int = 7):
+    def __init__(self, path: str):
         with open(path, "rb") as f:
-            tokens = {base64.b64decode(line.split()[0]).lower() for line in f}
-        tokens = {t for t in tokens if len(t) <= max_bytes} | {bytes([b]) for b in range(256)}
+            tokens = {base64.b64decode(line.split()[0]).lower() for line in f} | {bytes([b]) for b in range(256)}
         self.tokens = sorted(t for t in tokens if t)
-        self.max_bytes = max_bytes
-        keys = np.array([self._key(t) for t in self.tokens], dtype=np.uint64)
+        self.single = np.flatnonzero([len(t) == 1 for t in self.tokens])
+        # a node for each prefix, the empty one is 0; a step is keyed by its node and byte
+        nodes, steps = {b"": 0}, []
+        for t in self.tokens:
+            for size in range(1, len(t) + 1):
+                if t[:size] not in nodes:
+                    nodes[t[:size]] = len(nodes)
+                    steps.append(nodes[t[:size - 1]] + 1 << 8 | t[size - 1])
+        self.dead = len(nodes)
+        self.piece = np.full(self.dead + 1, len(self.tokens), dtype=np.int32)
+        self.piece[[nodes[t] for t in self.tokens]] = np.arange(len(self.tokens))
+        keys = np.array(steps, dtype=np.uint64)
         self.log = max(4, (len(keys) // 3).bit_length())
         while True:
             home = self._home(keys)
@@ -57,27 +67,31 @@ class Pieces:
                 break
             self.log += 1
         self.keys = np.zeros((1 << self.log, SLOTS), dtype=np.uint64)
-        self.ids = np.full((1 << self.log, SLOTS), len(keys), dtype=np.int32)
+        self.to = np.full((1 << self.log, SLOTS), self.dead, dtype=np.int32)
         self.keys[home[order], slot] = keys[order]
-        self.ids[home[order], slot] = order
-
-    def _key(self, token: bytes) -> int:
-        # a piece of up to 7 bytes is its own key: the bytes, then the length
-        return int.from_bytes(token, "little") | len(token) << 56
+        self.to[home[order], slot] = order + 1
 
     def _home(self, keys):
         return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.log)).astype(np.int64)
 
     def lookup(self, block: np.ndarray) -> list[np.ndarray]:
-        """For l = 1, 2, ..: ids (words x starts) of the substrings of l bytes; len(tokens): none."""
-        out, key = [], np.zeros(block.shape, dtype=np.uint64)
-        n = block.shape[1]
-        for size in range(1, min(self.max_bytes, n) + 1):
-            key = key[:, :n - size + 1] | (block[:, size - 1:].astype(np.uint64) << np.uint64(8 * (size - 1)))
-            full = key | np.uint64(size << 56)
-            home = self._home(full)
-            hit = self.keys[home] == full[..., None]
-            out.append(np.where(hit, self.ids[home], len(self.tokens)).min(axis=2))
+        """For l = 1, 2, ..: ids (words x starts) of the substrings of l bytes; len(tokens): none.
+
+        Ends with the last length that a substring has.
+        """
+        out, n = [], block.shape[1]
+        node = np.zeros(block.shape, dtype=np.int32)
+        for size in range(1, n + 1):
+            node = node[:, :n - size + 1].copy()
+            alive = np.nonzero(node != self.dead)
+            if not len(alive[0]):
+                break
+            key = (node[alive].astype(np.uint64) + np.uint64(1)) << np.uint64(8) | block[:, size - 1:][alive].astype(np.uint64)
+            home = self._home(key)
+            node[alive] = np.where(self.keys[home] == key[:, None], self.to[home], self.dead).min(axis=1)
+            out.append(self.piece[node])
+        while out and (out[-1] == len(self.tokens)).all():
+            out.pop()
         return out
 
 
@@ -98,26 +112,36 @@ def blocks(words: list[bytes], cells: int = 200_000):
             yield index, np.frombuffer(b"".join(words[i] for i in index), dtype=np.uint8).reshape(len(index), size)
 
 
+def in_range(prob: np.ndarray, pieces: Pieces, size: int) -> bool:
+    """Whether the sums of a word of this many bytes stay far above the smallest double, whatever its bytes."""
+    low = prob[pieces.single].min()
+    return low > 0 and size * -np.log(low) < 600
+
+
 def log_likelihood(pieces: Pieces, prob: np.ndarray, words: list[bytes]) -> np.ndarray:
     """Forward pass: log of the sum over all segmentations, for each word and language.
 
     `prob` has a last row of zeros for substrings that are no piece.
     """
     out = np.zeros((len(words), prob.shape[1]))
+    none, log_prob = len(pieces.tokens), np.log(np.maximum(prob, 1e-300))
     for index, block in blocks(words):
-        ids = pieces.lookup(block)
-        recent = [np.ones((len(index), prob.shape[1]))]  # forward sums at the last `max_bytes` places
-        scale = np.zeros((len(index), prob.shape[1]))
+        ids, linear = pieces.lookup(block), in_range(prob, pieces, block.shape[1])
+        # sums at the last places; of long words their logs
+        recent = [np.full((len(index), prob.shape[1]), float(linear))]
         for end in range(1, block.shape[1] + 1):
-            total = np.zeros_like(recent[0])
+            total = np.full_like(recent[0], 0.0 if linear else -np.inf)
             for size in range(1, min(len(ids), end) + 1):
-                total += recent[-size] * prob[ids[size - 1][:, end - size]]
-            recent = [*recent[-pieces.max_bytes + 1:], total]
-            if end % 16 == 0:  # keep long words in range
-                top = np.maximum(total, 1e-290)
-                recent = [r / top for r in recent]
-                scale += np.log(top)
-        out[index] = np.log(np.maximum(recent[-1], 1e-290)) + scale
+                piece = ids[size - 1][:, end - size]
+                who = np.flatnonzero(piece != none)
+                if not len(who):
+                    continue
+                if linear:
+                    total[who] += recent[-size][who] * prob[piece[who]]
+                else:
+                    total[who] = np.logaddexp(total[who], recent[-size][who] + log_prob[piece[who]])
+            recent = [*recent[-len(ids) + 1:], total] if len(ids) > 1 else [total]
+        out[index] = np.log(np.maximum(recent[-1], 1e-290)) if linear else recent[-1]
     return out
 
 
@@ -134,17 +158,20 @@ def learn(pieces: Pieces, words: dict[bytes, int], rounds: int = 4, smooth: floa
         expected = np.zeros(n + 1)
         for index, block in blocks(names):
             ids, size_of = pieces.lookup(block), block.shape[1]
-            fwd, bwd = [np.ones(len(index))], [None] * size_of + [np.ones(len(index))]
+            fwd, bwd = np.zeros((2, size_of + 1, len(index)))
+            fwd[0] = bwd[size_of] = 1
             for end in range(1, size_of + 1):
-                fwd.append(sum(fwd[end - s] * prob[ids[s - 1][:, end - s]] for s in range(1, min(len(ids), end) + 1)))
+                for s in range(1, min(len(ids), end) + 1):
+                    fwd[end] += fwd[end - s] * prob[ids[s - 1][:, end - s]]
             for start in range(size_of - 1, -1, -1):
-                bwd[start] = sum(bwd[start + s] * prob[ids[s - 1][:, start]]
-                                 for s in range(1, min(len(ids), size_of - start) + 1))
+                for s in range(1, min(len(ids), size_of - start) + 1):
+                    bwd[start] += bwd[start + s] * prob[ids[s - 1][:, start]]
             weight = counts[index] / np.maximum(fwd[-1], 1e-300)
             for s in range(1, len(ids) + 1):
-                for start in range(size_of - s + 1):
-                    piece = ids[s - 1][:, start]
-                    expected += np.bincount(piece, fwd[start] * prob[piece] * bwd[start + s] * weight, minlength=n + 1)
+                word, start = np.nonzero(ids[s - 1] != n)
+                piece = ids[s - 1][word, start]
+                expected += np.bincount(piece, fwd[start, word] * prob[piece] * bwd[start + s, word] * weight[word],
+                                        minlength=n + 1)
         expected[n] = 0
         prob = expected + smooth / 10
         prob[:n][sizes == 1] += smooth
@@ -159,7 +186,7 @@ def words_of(text: str) -> list[bytes]:
 
 
 def fit(labelled: DataFrame, path: str, train_docs: int = 400, train_chars: int = 1_500_000, id_col: str = "doc_id",
-        text_col: str = "text", label_col: str = "lang", max_bytes: int = 7):
+        text_col: str = "text", label_col: str = "lang"):
     """(languages, log priors, probabilities) from a bounded sample of labelled rows.
 
     Rows: the `train_docs` of smallest id hash for each label, up to `train_chars`
@@ -179,7 +206,7 @@ def fit(labelled: DataFrame, path: str, train_docs: int = 400, train_chars: int
         for t in frame["_text"]:
             for w in words_of(t):
                 counts[w] = counts.get(w, 0) + 1
-        prob = learn(Pieces(path, max_bytes), counts)
+        prob = learn(Pieces(path), counts)
         return pd.DataFrame({"label": [str(key[0])], "prob": [prob.astype(np.float32).tobytes()]})
 
     model = {r["label"]: np.frombuffer(bytes(r["prob"]), dtype=np.float32)
@@ -194,8 +221,8 @@ def fit(labelled: DataFrame, path: str, train_docs: int = 400, train_chars: int
 class Scorer:
     """Log likelihoods of the distinct chunks that a worker has met."""
 
-    def __init__(self, path: str, prob: np.ndarray, max_bytes: int = 7, cache_entries: int = 500_000):
-        self.pieces, self.prob, self.limit = Pieces(path, max_bytes), prob, cache_entries
+    def __init__(self, path: str, prob: np.ndarray, cache_entries: int = 500_000):
+        self.pieces, self.prob, self.limit = Pieces(path), prob, cache_entries
         self._clear()
 
     def _clear(self):
@@ -231,7 +258,7 @@ class Scorer:
         return self.scores[rows].sum(axis=0) if self.lettered[rows].any() else None
 
 
-def predict(docs: DataFrame, model, path: str, id_col: str = "doc_id", text_col: str = "text", max_bytes: int = 7,
+def predict(docs: DataFrame, model, path: str, id_col: str = "doc_id", text_col: str = "text",
             batch_chars: int = 1 << 25) -> DataFrame:
     """(id, lang_pred, score): the likeliest language and its posterior."""
     names, prior, prob = model
@@ -246,7 +273,7 @@ def predict(docs: DataFrame, model, path: str, id_col: str = "doc_id", text_col:
         store = worker_store("language")
         if name not in store:
             store.clear()
-            store[name] = Scorer(path, shared.value, max_bytes)
+            store[name] = Scorer(path, shared.value)
         scorer = store[name]
         for batch in batches:
             label, score = [], []

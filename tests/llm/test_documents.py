@@ -1,5 +1,6 @@
 """Line dedup (4), language (3), quality (6), PII (7) and the Jaccard join (8)."""
 
+import base64
 import hashlib
 import random
 import re
@@ -81,6 +82,34 @@ def test_forward_pass_sums_all_segmentations():
     assert np.isfinite(language_id.log_likelihood(pieces, prob / prob.sum(), [long])).all()
 
 
+def test_every_piece_of_the_vocabulary_counts():
+    with open(MULTI, "rb") as f:
+        public = {base64.b64decode(line.split()[0]).lower() for line in f}
+    pieces = language_id.Pieces(MULTI)
+    assert public <= set(pieces.tokens)
+    rng = np.random.default_rng(1)
+    prob = np.append(rng.random(len(pieces.tokens)) / 100, 0)[:, None]
+    index = {t: k for k, t in enumerate(pieces.tokens)}
+    long = sorted((t for t in public if len(t) > 7 and t.strip(b" ").isalpha()), key=lambda t: (-len(t), t))
+    words = [*long[:20], *long[-20:], *(b"x" + t + b"s" for t in long[:20]), " \u043d\u0435\u043a\u043e\u0442\u043e\u0440\u044b\u0435".encode()]
+
+    def total(word):  # sums at each place, over the whole vocabulary
+        sums = [1.0]
+        for end in range(1, len(word) + 1):
+            sums.append(sum(sums[a] * prob[index[word[a:end]], 0] for a in range(end) if word[a:end] in index))
+        return sums[-1]
+
+    assert np.allclose(language_id.log_likelihood(pieces, prob, words)[:, 0], [np.log(total(w)) for w in words])
+    # by logs where the sums leave the range of a double
+    word = b" " + long[0] * 40
+    assert not language_id.in_range(prob, pieces, len(word))
+    sums = [0.0]
+    for end in range(1, len(word) + 1):
+        sums.append(np.logaddexp.reduce([sums[a] + np.log(prob[index[word[a:end]], 0])
+                                         for a in range(end) if word[a:end] in index]))
+    assert np.allclose(language_id.log_likelihood(pieces, prob, [word]), sums[-1])
+
+
 def test_language_accuracy_and_held_out(spark):
     out = queries.op3_language_id(spark, SF_ORACLE).toPandas()
     docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "lang").toPandas()
