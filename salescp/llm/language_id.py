@@ -145,33 +145,45 @@ def log_likelihood(pieces: Pieces, prob: np.ndarray, words: list[bytes]) -> np.n
     return out
 
 
-def learn(pieces: Pieces, words: dict[bytes, int], rounds: int = 4, smooth: float = 0.5,
-          max_word: int = 48) -> np.ndarray:
-    """Piece probabilities of one language by expectation maximisation over its words."""
+def learn(pieces: Pieces, words: dict[bytes, int], rounds: int = 4, smooth: float = 0.5) -> np.ndarray:
+    """Piece probabilities of one language by expectation maximisation over its words, however long."""
     n = len(pieces.tokens)
     sizes = np.array([len(t) for t in pieces.tokens])
     prob = np.append(0.02 ** (sizes - 1.0) / 256, 0)
     prob /= prob.sum()
-    words = {w: c for w, c in words.items() if len(w) <= max_word}
     names, counts = list(words), np.array(list(words.values()), dtype=float)
     for _ in range(rounds):
         expected = np.zeros(n + 1)
         for index, block in blocks(names):
             ids, size_of = pieces.lookup(block), block.shape[1]
-            fwd, bwd = np.zeros((2, size_of + 1, len(index)))
-            fwd[0] = bwd[size_of] = 1
-            for end in range(1, size_of + 1):
-                for s in range(1, min(len(ids), end) + 1):
-                    fwd[end] += fwd[end - s] * prob[ids[s - 1][:, end - s]]
-            for start in range(size_of - 1, -1, -1):
-                for s in range(1, min(len(ids), size_of - start) + 1):
-                    bwd[start] += bwd[start + s] * prob[ids[s - 1][:, start]]
-            weight = counts[index] / np.maximum(fwd[-1], 1e-300)
-            for s in range(1, len(ids) + 1):
-                word, start = np.nonzero(ids[s - 1] != n)
-                piece = ids[s - 1][word, start]
-                expected += np.bincount(piece, fwd[start, word] * prob[piece] * bwd[start + s, word] * weight[word],
-                                        minlength=n + 1)
+            hits = [np.nonzero(i != n) for i in ids]
+            if in_range(prob, pieces, size_of):
+                fwd, bwd = np.zeros((2, size_of + 1, len(index)))
+                fwd[0] = bwd[size_of] = 1
+                for end in range(1, size_of + 1):
+                    for s in range(1, min(len(ids), end) + 1):
+                        fwd[end] += fwd[end - s] * prob[ids[s - 1][:, end - s]]
+                for start in range(size_of - 1, -1, -1):
+                    for s in range(1, min(len(ids), size_of - start) + 1):
+                        bwd[start] += bwd[start + s] * prob[ids[s - 1][:, start]]
+                weight = counts[index] / fwd[-1]
+                share = [fwd[start, word] * prob[i[word, start]] * bwd[start + s, word] * weight[word]
+                         for s, (i, (word, start)) in enumerate(zip(ids, hits), 1)]
+            else:  # the sums of long words by their logs
+                with np.errstate(divide="ignore"):
+                    log_prob = np.log(prob)
+                fwd, bwd = np.full((2, size_of + 1, len(index)), -np.inf)
+                fwd[0] = bwd[size_of] = 0
+                for end in range(1, size_of + 1):
+                    for s in range(1, min(len(ids), end) + 1):
+                        fwd[end] = np.logaddexp(fwd[end], fwd[end - s] + log_prob[ids[s - 1][:, end - s]])
+                for start in range(size_of - 1, -1, -1):
+                    for s in range(1, min(len(ids), size_of - start) + 1):
+                        bwd[start] = np.logaddexp(bwd[start], bwd[start + s] + log_prob[ids[s - 1][:, start]])
+                share = [np.exp(fwd[start, word] + log_prob[i[word, start]] + bwd[start + s, word] - fwd[-1, word])
+                         * counts[index][word] for s, (i, (word, start)) in enumerate(zip(ids, hits), 1)]
+            for i, (word, start), x in zip(ids, hits, share):
+                expected += np.bincount(i[word, start], x, minlength=n + 1)
         expected[n] = 0
         prob = expected + smooth / 10
         prob[:n][sizes == 1] += smooth

@@ -110,6 +110,18 @@ def test_every_piece_of_the_vocabulary_counts():
     assert np.allclose(language_id.log_likelihood(pieces, prob, [word]), sums[-1])
 
 
+def test_long_words_teach(monkeypatch):
+    pieces = language_id.Pieces(MULTI)
+    run = " \u0e01\u0e32\u0e23\u0e40\u0e14\u0e34\u0e19\u0e17\u0e32\u0e07\u0e44\u0e1b\u0e15\u0e48\u0e32\u0e07\u0e1b\u0e23\u0e30\u0e40\u0e17\u0e28".encode()
+    words = {run: 3, run * 20: 2, b" a": 5}
+    prob = language_id.learn(pieces, words)
+    nothing = language_id.learn(pieces, {b" a": 5})
+    both = language_id.log_likelihood(pieces, np.stack([prob, nothing], axis=1), list(words))
+    assert len(run) > 48 and (both[:2, 0] > both[:2, 1] + 50).all()
+    monkeypatch.setattr(language_id, "in_range", lambda *_: False)  # the sums by logs are the same sums
+    assert np.allclose(language_id.learn(pieces, words), prob, rtol=1e-9, atol=0)
+
+
 def test_language_accuracy_and_held_out(spark):
     out = queries.op3_language_id(spark, SF_ORACLE).toPandas()
     docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "lang").toPandas()
