@@ -4,8 +4,8 @@ The two halves of each vector are quantised separately by `k` centroids; a
 vector is filed under its pair of centroids.  A query walks the pairs by the
 summed distance of its halves (for inner products: the negative product with
 the centroid), with a heap over the two sorted lists, until the pairs it has
-met hold `scan` of all vectors; the vectors filed there are ranked by their
-exact inner product in double precision.
+met hold `scan` of all vectors, and at least n besides the query; the vectors
+filed there are ranked by their exact inner product in double precision.
 
 Scale.  Centroids are learned from a bounded sample (`sample_values` numbers,
 the rows of smallest id hash); the index has every row.  Only the k * k pair
@@ -109,7 +109,7 @@ def search(vectors: DataFrame, queries, n: int = 20, k: int = 64, scan: float =
     counts = np.zeros(n_cells, dtype=np.int64)
     for r in index.groupBy("cell").agg(F.count("*").alias("n")).collect():  # at most k * k rows
         counts[r["cell"]] = r["n"]
-    wanted = int(np.ceil(scan * total))
+    wanted = min(total, max(int(np.ceil(scan * total)), n + 1))  # n besides the query itself
     asked = index.where(queries)
     blocks = max(1, -(-asked.count() // query_rows))
 

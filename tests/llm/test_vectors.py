@@ -61,6 +61,15 @@ def test_search_odd_rows_ties_and_few_candidates(spark):
     assert multi_index.search(frame(spark, []), "id % 20 = 0").collect() == []
 
 
+def test_search_gives_all_candidates_if_few(spark):
+    rng = np.random.default_rng(8)
+    for count in (6, 30):
+        rows = [(20 + k, rng.normal(size=4).tolist(), 1) for k in range(count)]
+        got = multi_index.search(frame(spark, rows), "id % 20 = 0").collect()  # with the registered scan
+        per = {q: sorted(r["rank"] for r in got if r.query_id == q) for q in (i for i, _, _ in rows if i % 20 == 0)}
+        assert all(ranks == list(range(1, min(20, count - 1) + 1)) for ranks in per.values())
+
+
 def test_list_decoding_is_every_exceeding_filter():
     code, rng = cap_filters.ProductCode(16, 12, 10.0, least=2), np.random.default_rng(3)
     x = cap_filters.unit_rows(rng, 40, 16)
