@@ -2,7 +2,7 @@
 
 quality   documents that the classifier rejects go (score under 0.5)
 lines     lines that many documents share go, but in the last document
-near_dups one document of each near-duplicate component stays: the smallest id
+near_dups one row of each near-duplicate component stays: the smallest id's
 pii       personal data is replaced by its kind in brackets
 packing   the documents become token sequences (one row per piece)
 
@@ -11,9 +11,11 @@ each as Parquet in the shared checkpoint folder and reads it as the next one's
 documents.  All but the last return the columns of documents, extra columns
 included; n_chars follows a changed text.
 
-Defined results: rows with a null id pass every filter; a null text is scored,
-kept or rejected like an empty one and stays null; of rows that repeat an id each
-is judged by its own text, and equal rows stay or go together; empty tables stay
+Defined results: rows with a null id pass quality and lines, and are compared like
+any other in near_dups, where a row with an id goes before them; a null text is
+scored, kept or rejected like an empty one and stays null; of rows that repeat an
+id each is judged by its own text, and near_dups keeps one of equal or nearly equal
+rows, under one id or several (one id: the smallest text hash); empty tables stay
 empty.
 """
 
@@ -57,11 +59,15 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the rows whose own id is their component's smallest; what links with nothing stays."""
-    found = jaccard_join.near_duplicates(docs.select("doc_id", "text"))
-    gone = (found.where("doc_id != component_id")
-            .select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")).distinct())
-    return docs.join(gone, (F.col("doc_id") == F.col("_gone_id")) & (F.xxhash64("text") == F.col("_gone_hash")), "left_anti")
+    """Keeps one row of each component, the one of smallest id; what links with nothing stays."""
+    rows = materialize(docs.withColumn("_near_row", F.monotonically_increasing_id()))  # written, so a row keeps its number
+    found = (jaccard_join.near_duplicates(rows.select("_near_row", "text"), id_col="_near_row")
+             .join(rows.select("_near_row", "doc_id"), "_near_row"))
+    found = materialize(found.select("_near_row", "component_id", "doc_id", "text_hash"))
+    stays = found.groupBy("component_id").agg(F.min(F.struct(
+        F.col("doc_id").isNull(), "doc_id", "text_hash", "_near_row")).alias("least")).select("least._near_row")
+    gone = found.select("_near_row").join(stays, "_near_row", "left_anti")
+    return rows.join(gone, "_near_row", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,6 +53,19 @@ def test_stages_with_odd_rows(spark, odd, make_docs, tmp_path):
     assert lines.where("text is null").count() == 1  # a null text stays null
 
 
+def test_one_row_of_each_near_duplicate_component_stays(spark, make_docs):
+    text = " ".join(f"w{k}" for k in range(60))
+    near, other = text + " tail", " ".join(f"v{k}" for k in range(60))
+    rows = [(9, text), (5, text), (5, text), (5, near), (None, text), (5, other), (6, other + " end"), (None, "alone here"),
+            (None, near + " more"), (7, None), (7, None), (None, "")]
+    out = corpus_pipeline.near_dup_stage(spark, make_docs(rows, extra=True), "")
+    assert out.columns == make_docs(rows, extra=True).columns
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    first = [t for i, t in got if i == 5 and t in (text, near)]
+    assert len(first) == 1
+    assert got == Counter([(5, first[0]), (5, other), (None, "alone here"), (7, None), (7, None), (None, "")])
+
+
 def test_registered():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
