@@ -154,6 +154,27 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.cumsum(out.view("<u8")[:, 0], dtype=np.uint64)
 
 
+def _count_batch(sets: list[np.ndarray], bits: int):
+    """By bucket: (bucket, distinct fingerprints, those that repeat, how often more) of a batch's sets, packed."""
+    f, n = np.unique(np.concatenate(sets) >> np.uint64(64 - FINGER), return_counts=True)
+    bucket = (f >> np.uint64(FINGER - bits)).astype(np.int64)
+    low = f & np.uint64((1 << (FINGER - bits)) - 1)
+    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        again = np.flatnonzero(n[a:b] > 1) + a
+        yield (int(bucket[a]), _pack(low[a:b]), _pack(low[again]) if len(again) else b"",
+               (n[again] - 1).astype("<u4").tobytes())
+
+
+def _add_batches(blobs, again, times):
+    """(fingerprints, counts) of one bucket over all batches."""
+    f, n = np.unique(np.concatenate([_unpack(b) for b in blobs]), return_counts=True)
+    for values, more in zip(again, times):
+        if len(values):
+            n[np.searchsorted(f, _unpack(values))] += np.frombuffer(more, dtype="<u4")
+    return f, n
+
+
 def list_lengths(docs: DataFrame, words: int, total: int, known: int, per_bucket: int = 1 << 20):
     """(fingerprints, levels) of at most `known` longest inverted lists over all documents.
 
@@ -171,22 +192,19 @@ def list_lengths(docs: DataFrame, words: int, total: int, known: int, per_bucket
                 sets.append(s)
         if not sets:
             return
-        f = np.sort(np.concatenate(sets) >> np.uint64(64 - FINGER))
-        bucket = (f >> np.uint64(FINGER - bits)).astype(np.int64)
-        cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
-        low = f & np.uint64((1 << (FINGER - bits)) - 1)
+        columns = zip(*_count_batch(sets, bits))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(bucket[cuts[:-1]], pa.int64()),
-             pa.array([_pack(low[a:b]) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], names=["bucket", "blob"])
+            [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
+            names=["bucket", "blob", "again", "times"])
 
     def count(key, frame):
         # the bucket's fingerprints that occur again, with the level of their count
-        f, n = np.unique(np.concatenate([_unpack(b) for b in frame["blob"]]), return_counts=True)
+        f, n = _add_batches(frame["blob"], frame["again"], frame["times"])
         f, level = f[n > 1] + np.uint64(int(key[0]) << (FINGER - bits)), _level(n[n > 1])
         out = [(int(x), f[level == x].astype("<u8").tobytes(), int((level == x).sum())) for x in np.unique(level)]
         return pd.DataFrame(out, columns=["level", "fingers", "n"])
 
-    packed = _sets(docs, words, emit, "bucket bigint, blob binary")
+    packed = _sets(docs, words, emit, "bucket bigint, blob binary, again binary, times binary")
     counted = materialize(packed.groupBy("bucket").applyInPandas(count, "level int, fingers binary, n bigint"))
     least, room = LEVELS, known
     for r in counted.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():
@@ -327,13 +345,29 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
                     F.coalesce("component_id", "_id").alias("component_id"), "text_hash"))
 
 
+def _in_blocks(found: DataFrame, block: int, deal: int = 1 << 16) -> DataFrame:
+    """`found` (c, n, g, ..) with `part`: each group, by size, in blocks of about `block` shingles.
+
+    Classes of one group and size are dealt to buckets of about `deal`; the buckets of a
+    group are added up, and a window over classes holds one bucket.
+    """
+    dealt = (found.join(found.groupBy("g", "n").agg(F.ceil(F.count("*") / deal).alias("deals")), ["g", "n"])
+             .withColumn("deal", F.pmod(F.xxhash64("c"), F.col("deals"))).drop("deals"))
+    up_to = Window.partitionBy("g").orderBy("n", "deal")
+    cells = (dealt.groupBy("g", "n", "deal").agg(F.sum("n").alias("held"))
+             .select("g", "n", "deal", (F.sum("held").over(up_to) - F.col("held")).alias("before")))
+    rank = F.row_number().over(Window.partitionBy("g", "n", "deal").orderBy("c"))
+    return (dealt.withColumn("rank", rank).join(cells, ["g", "n", "deal"])
+            .withColumn("part", F.floor((F.col("before") + (F.col("rank") - 1) * F.col("n")) / block).cast("int"))
+            .drop("deal", "rank", "before"))
+
+
 def _search(docs: DataFrame, classes: DataFrame, groups: DataFrame, words: int, num: int, den: int,
             block: int) -> DataFrame:
     """(a, b): links between classes, searched within each group of candidates."""
     found = materialize(classes.join(groups.withColumnRenamed("node", "c"), "c")
                         .select("c", "n", "_rep", F.col("component").alias("g")))
-    in_order = Window.partitionBy("g").orderBy("n", "c")
-    placed = found.withColumn("part", F.floor((F.sum("n").over(in_order) - F.col("n")) / block).cast("int"))
+    placed = materialize(_in_blocks(found, block))
     parts = placed.groupBy("g", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     several = parts.groupBy("g").agg(F.max("part").alias("last")).where("last > 0")
     large = parts.join(several, "g").select("g", "part", "low", "high")

@@ -356,5 +356,42 @@ def test_long_words_and_texts_in_pieces():
         jaccard_join._CHUNK = old
 
 
+def test_list_lengths_count_a_hot_shingle_once_a_batch():
+    rng = np.random.default_rng(6)
+    hot = np.uint64(77 << 56)
+    batches = [[np.unique(np.append(rng.integers(0, 1 << 63, 3).astype(np.uint64), hot)) for _ in range(size)] for size in (900, 1, 400)]
+    by_bucket, entries = defaultdict(list), 0
+    for sets in batches:
+        for bucket, *packed in jaccard_join._count_batch(sets, 4):
+            by_bucket[bucket].append(packed)
+            entries += len(jaccard_join._unpack(packed[0]))
+    top = np.uint64(64 - jaccard_join.FINGER)
+    assert entries == sum(len(np.unique(np.concatenate(sets) >> top)) for sets in batches)  # repeats of a batch are one entry
+    got = {}
+    for bucket, rows in by_bucket.items():
+        f, n = jaccard_join._add_batches(*zip(*rows))
+        got.update(zip((f + np.uint64(bucket << (jaccard_join.FINGER - 4))).tolist(), n.tolist()))
+    assert got == Counter((np.concatenate([s for sets in batches for s in sets]) >> top).tolist())
+
+
+def test_blocks_of_a_hot_group_are_numbered_in_buckets(spark):
+    rng = np.random.default_rng(7)
+    rows = [(int(c), int(n), int(g)) for c, (n, g) in enumerate(zip(rng.choice([5, 5, 5, 9, 40], 600), rng.choice([1, 1, 1, 2], 600)))]
+    found = spark.createDataFrame(rows, "c bigint, n bigint, g bigint")
+    placed = jaccard_join._in_blocks(found, 100, deal=16)
+    got = placed.select("c", "n", "g", "part").collect()
+    assert sorted((r.c, r.n, r.g) for r in got) == rows
+    for g in (1, 2):
+        mine = sorted((r.n, r.part) for r in got if r.g == g)
+        assert [p for _, p in mine] == sorted(p for _, p in mine)  # blocks ascend with the size
+        held = Counter()
+        for n, p in mine:
+            held[p] += n
+        assert max(held.values()) < 100 + 40 and len(held) >= sum(n for n, _ in mine) // 140
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    ranked = [line for line in plan.splitlines() if "row_number" in line and "Window [" in line]
+    assert ranked and all("deal#" in line.split("windowspecdefinition(")[1].split("c#")[0] for line in ranked)
+
+
 def test_jaccard_of_nothing(make_docs):
     assert jaccard_join.near_duplicates(make_docs([])).collect() == []
