@@ -15,7 +15,9 @@ Defined results: a null or empty text has one empty line; rows with a null id
 count for no line and lose none; rows that repeat an id count as one document,
 and each such row loses the lines that its own text has in excess; a text whose
 lines all go becomes the empty text (n_dropped = n_lines tells it from an
-originally empty one).
+originally empty one); a text of very many lines is rebuilt in time linear in
+them; an empty table gives no rows; columns of any name pass through, but for
+the three of `OUTPUT`, which are replaced.
 """
 
 from __future__ import annotations
@@ -69,8 +71,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
     drops = (repeated_lines(base.selectExpr("_id", f"{inner[text_col]} as text", "_text_hash"), min_chars, min_docs)
              .selectExpr("_id as _drop_id", "_text_hash as _drop_hash", "drops"))
     joined = base.join(drops, (F.col("_id") == F.col("_drop_id")) & (F.col("_text_hash") == F.col("_drop_hash")), "left")
-    kept = (f"if(drops is null, {text}, concat_ws('\n', transform(array_except(sequence(0, size(split({text}, '\n', -1)) - 1), "
-            f"drops), i -> split({text}, '\n', -1)[i])))")
+    # the text is split once and bound to `l`; inside the inner lambda a split would run for every kept line
+    kept = (f"if(drops is null, {text}, transform(array(split({text}, '\n', -1)), l -> concat_ws('\n', "
+            f"transform(array_except(sequence(0, size(l) - 1), drops), i -> l[i])))[0])")
     return joined.selectExpr(
         *[f"{k} as `{c}`" for c, k in inner.items() if c not in OUTPUT], f"{kept} as kept_text",
         f"cast(char_length({text}) - char_length(replace({text}, '\n', '')) + 1 as bigint) as n_lines",

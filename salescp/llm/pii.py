@@ -19,9 +19,11 @@ runs its windows in groups of `group`.  The model is a few kilobytes.  The
 sample is at most `train_docs` documents, those of smallest id hash that hold a
 digit or `@`, and a bounded number of windows of each.
 
-Defined results: a null text counts as empty (no spans); null and repeated ids
-are handled like any other row; with nothing to learn from there are base spans
-only.
+Defined results: a null text counts as empty (no spans); a text of any length,
+also one unbroken run of digits, is read whole; null and repeated ids are handled
+like any other row; with nothing to learn from there are base spans only; an
+empty table gives no rows; columns other than the id, the text and `keep` are
+not read, and a kept one may have any name but those of `schema`.
 """
 
 from __future__ import annotations
@@ -68,7 +70,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         at = text.find("@", max(at + 1, past))
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            if all(len(p) <= 3 and int(p or "0") <= 255 for p in (p.lstrip("0") for p in m.group().split("."))):
                 out.append((1, m.start(), m.end()))
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 13:
@@ -418,7 +420,7 @@ def find(docs: DataFrame, tagger: Tagger | None, finish, schema: str, id_col: st
          text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """One row per row: the columns `keep` (default: the id) and what `finish(text, base, spans)` returns."""
     keep = keep or [id_col]
-    docs = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("_text"))
+    docs = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text"))
     finder = Finder(tagger)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -8,12 +8,15 @@ other than the trusted positives are never used.
 
 Scale.  Features are computed where the texts lie, in one pass without a
 shuffle.  Learning takes a bounded sample (`positives` and `unlabelled` rows,
-the ones of smallest id hash); only its feature vectors reach the driver.
+the ones of smallest id hash); only its feature vectors reach the driver, as
+1,120 bytes each.
 
 Defined results: a null text counts as empty and gets the score of an empty
-text; with no trusted positive every score is 0.5; a label row that repeats
-counts once, null labels and ids teach nothing; null and repeated ids are
-scored like any other row.
+text; a text of any length is read whole; with no trusted positive every score
+is 0.5; a label row that repeats counts once, null labels and ids teach nothing;
+null and repeated ids are scored like any other row; an empty table gives no
+rows; columns of `docs` other than id and text are not read by `classify` and
+pass through `score`, but for one named `_score`, which is replaced.
 """
 
 from __future__ import annotations
@@ -146,16 +149,22 @@ def _logistic(net: Network, x, y, rounds=15, batch=512, rate=3e-3):
                 net.w[k] = net.w[k] - rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.999 ** t)) + 1e-8)
 
 
-def with_features(docs: DataFrame, keep: str, id_col: str, text_col: str) -> DataFrame:
-    """(`keep`, f): feature vectors of the texts."""
+def with_features(docs: DataFrame, keep: str, text_col: str) -> DataFrame:
+    """(`keep`, f): feature vectors of the texts, as little-endian 32-bit floats."""
     docs = docs.select(keep, F.col(text_col).alias("text"))
 
     def run(batches):
         for batch in batches:
-            rows = [features(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.float32()))], names=[keep, "f"])
+            rows = [features(t).astype("<f4").tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=[keep, "f"])
 
-    return docs.mapInArrow(run, f"{keep} {docs.schema[0].dataType.simpleString()}, f array<float>")
+    return docs.mapInArrow(run, f"{keep} {docs.schema[0].dataType.simpleString()}, f binary")
+
+
+def feature_rows(blobs: list[bytes]) -> np.ndarray:
+    """Matrix of `with_features` vectors; rows sorted, as they come in any order and learning is to be repeatable."""
+    x = np.frombuffer(b"".join(blobs), dtype="<f4").reshape(-1, N_FEATURES)
+    return x[np.lexsort(x.T)]
 
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: int = 8000, id_col: str = "doc_id",
@@ -171,24 +180,23 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: i
     wanted = first.union(some)
     rows = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
             .join(F.broadcast(wanted), "_id").select("tag", "text"))
-    sample = with_features(rows, "tag", id_col, "text").collect()
-    pos = np.array([r["f"] for r in sample if r["tag"] == 1], dtype=np.float64)
-    unl = np.array([r["f"] for r in sample if r["tag"] == 0], dtype=np.float64)
+    sample = with_features(rows, "tag", "text").toArrow()  # at most 12,000 vectors of 1,120 bytes
+    tags, blobs = sample.column("tag").to_pylist(), sample.column("f").to_pylist()
+    pos, unl = (feature_rows([f for f, t in zip(blobs, tags) if t == k]) for k in (1, 0))
+    del sample, blobs
     if not len(pos) or not len(unl):
         return None
-    order = np.lexsort(pos.T), np.lexsort(unl.T)  # the rows come in any order: make learning repeatable
-    pos, unl = pos[order[0]], unl[order[1]]
     net = Network()
     net.prior = class_prior(pos, unl)
     return net.train(pos, unl, net.prior)
 
 
 def score(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of `docs` with `_score` (0 to 1, higher: a positive is likelier)."""
+    """All columns of `docs` with `_score` (0 to 1, higher: a positive is likelier); a column of that name is replaced."""
+    docs = docs.drop("_score")
     if net is None:
         return docs.withColumn("_score", F.lit(0.5))
-    names = [f.name for f in docs.schema.fields]
-    at = names.index(text_col)
+    at = docs.columns.index(text_col)
 
     def run(batches):
         for batch in batches:

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -60,6 +61,16 @@ def test_line_dedup_of_nothing(make_docs):
     assert line_dedup.dedup_lines(make_docs([])).collect() == []
 
 
+def test_a_text_of_very_many_lines_is_rebuilt_in_linear_time(make_docs):
+    shared = "this line is shared by all of the six documents, number "
+    rows = [(i, "\n".join([shared + "0"] + [f"{i} {k}" for k in range(50_000)])) for i in range(6)]
+    start = time.monotonic()
+    out = {r.doc_id: r for r in line_dedup.dedup_lines(make_docs(rows)).collect()}
+    assert time.monotonic() - start < 60
+    for i, text in rows:
+        assert out[i].kept_text == (text if i == 5 else text.split("\n", 1)[1]) and out[i].n_lines == 50_001
+
+
 def test_line_dedup_has_no_python(spark):
     plan = line_dedup.dedup_lines(spark.read.parquet(f"{SF_ORACLE}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow(Eval|Map)", plan)
@@ -202,6 +213,11 @@ def test_base_spans_are_the_patterns():
         pii.base_spans(slow)
 
 
+def test_a_part_of_thousands_of_digits_is_read():
+    text = "1." + "0" * 5000 + ".2.3 and 1." + "0" * 5000 + "256.2.3 and " + "7" * 6000 + ".1.2.3"
+    assert pii.base_spans(text) == [(1, 0, 5006)]
+
+
 def test_tagger_gradients():
     rng = np.random.default_rng(0)
     ids, tags = rng.integers(0, 90, (3, 9)).astype(np.int16), np.zeros((3, 9), dtype=np.int8)

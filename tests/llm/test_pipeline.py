@@ -3,6 +3,8 @@
 from collections import Counter
 
 from conftest import SF_ORACLE
+from pyspark.sql import functions as F
+
 from llm.test_documents import plain_components, plain_line_dedup
 
 import __spark_entry__
@@ -53,6 +55,23 @@ def test_stages_with_odd_rows(spark, odd, make_docs, tmp_path):
     assert lines.where("text is null").count() == 1  # a null text stays null
 
 
+def test_columns_with_the_names_of_the_operators_travel_unchanged(spark, odd, tmp_path):
+    names = ["_score", "_text", "_redacted", "_near_row", "n_lines", "n_dropped", "kept_text", "component_id", "f.g", "_id"]
+    docs = odd.select("*", *[F.lit(777 + k).alias(n) for k, n in enumerate(names)])
+    spark.createDataFrame([(6, 1, 0), (8, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[n] == 777 + k for r in rows for k, n in enumerate(names))
+
+
+def test_a_document_with_thousands_of_digits_in_an_address(spark, make_docs):
+    text = "at 1." + "0" * 5000 + ".2.3 now"
+    out = corpus_pipeline.pii_stage(spark, make_docs([(1, text), (2, "mail a@b.org")]), "")
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "at [IP] now", 2: "mail [EMAIL]"}
+
+
 def test_one_row_of_each_near_duplicate_component_stays(spark, make_docs):
     text = " ".join(f"w{k}" for k in range(60))
     near, other = text + " tail", " ".join(f"v{k}" for k in range(60))
