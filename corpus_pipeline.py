@@ -8,8 +8,8 @@ packing   the documents become token sequences (one row per piece)
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes
 each as Parquet in the shared checkpoint folder and reads it as the next one's
-documents.  All but the last return the columns of documents, extra columns
-included; n_chars follows a changed text.
+documents.  All but the last return the columns of documents; n_chars follows a
+changed text; extra columns of any name travel through unchanged.
 
 Defined results: rows with a null id pass quality and lines, and are compared like
 any other in near_dups, where a row with an id goes before them; a null text is
@@ -21,6 +21,8 @@ empty.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,21 @@ from salescp.llm.queries import WORD_BPE
 from salescp.session import materialize
 
 
+#: Columns of documents that a stage may read or change; all others only travel through it.
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeps_columns(stage):
+    """The stage over the caller's own columns, with every other one under a name that no operator uses."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        inner = docs.toDF(*(c if c in OWN else f"_travels_{k}" for k, c in enumerate(docs.columns)))
+        return stage(spark, inner, sf_dir).toDF(*docs.columns)
+
+    return run_stage
+
+
 def _with_text(docs: DataFrame, new: str, like: DataFrame) -> DataFrame:
     """The columns of `like`, with the text from column `new` and n_chars to match (null texts stay)."""
     text = F.when(F.col("text").isNotNull(), F.col(new))
@@ -46,6 +63,7 @@ def _with_text(docs: DataFrame, new: str, like: DataFrame) -> DataFrame:
     return docs.select(*columns)
 
 
+@keeps_columns
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the trusted positives of `labels` outside the held-out fold; keeps what scores 0.5 or more."""
     fold = quality.id_bucket("doc_id", 3)
@@ -53,11 +71,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.score(docs, net).where((F.col("_score") >= 0.5) | F.col("doc_id").isNull()).drop("_score")
 
 
+@keeps_columns
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(docs)
     return _with_text(out, "kept_text", docs)
 
 
+@keeps_columns
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each component, the one of smallest id; what links with nothing stays."""
     rows = materialize(docs.withColumn("_near_row", F.monotonically_increasing_id()))  # written, so a row keeps its number
@@ -70,6 +90,7 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return rows.join(gone, "_near_row", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
+@keeps_columns
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tagger = pii.fit(docs)
     out = pii.find(docs, tagger, pii.redact, "_redacted string", keep=docs.columns)
