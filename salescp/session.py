@@ -71,10 +71,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors; "
                            "intermediate tables are written there")
-    path = tempfile.mkdtemp(prefix="salescp-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="salescp-ckpt-"))  # the setting itself is fixed once Spark runs
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df, spark: SparkSession | None = None):

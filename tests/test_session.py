@@ -1,6 +1,10 @@
+import os
+import subprocess
+import sys
 import types
 
 import pytest
+from conftest import ROOT
 
 from salescp import session
 
@@ -34,3 +38,20 @@ def test_clean_up_covers_one_block_only(spark):
     with pytest.raises(Exception):
         a.count()
     assert session.drop_materialized(spark, second) == 1
+
+
+def test_a_local_session_without_a_setting_makes_its_own_folder(spark, monkeypatch, tmp_path):
+    code = ("import sys; sys.path.insert(0, sys.argv[1])\n"
+            "from salescp import session\n"
+            "s = session.local_session(2, 2)\n"
+            "assert s.conf.get('spark.checkpoint.dir', None) is None, 'the setting is there'\n"
+            "df = session.materialize(s.range(9))\n"
+            "assert df.count() == 9 and session.checkpoint_dir(s) == session.checkpoint_dir(s)\n"
+            "print('made', session.checkpoint_dir(s))\n")
+    conf = tmp_path / "conf"  # an empty configuration folder: nothing names a checkpoint folder
+    conf.mkdir()
+    env = {**os.environ, "SPARK_CONF_DIR": str(conf), "TMPDIR": str(tmp_path)}
+    env.pop("PYSPARK_SUBMIT_ARGS", None)
+    run = subprocess.run([sys.executable, "-c", code, ROOT], env=env, capture_output=True, text=True, timeout=180)
+    assert run.returncode == 0, run.stderr[-2000:]
+    assert "made" in run.stdout
