@@ -47,4 +47,39 @@ SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(least.b, vec_
 FROM embeddings LEFT JOIN least ON least.a = vec_id LEFT JOIN n ON n.a = vec_id
 """
 
-ORACLE = {"op4_line_dedup": OP4, "op8_jaccard_join": OP8, "op10_cap_filters": OP10}
+OP12 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
+least AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text),
+lab AS (SELECT doc_id AS label_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+          max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (CASE WHEN len(w.w) < 50 THEN 'A' ELSE '' END)
+    || (CASE WHEN 100 * len(list_distinct(w.w)) < 65 * len(w.w) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * length(regexp_replace(w.text, '[^A-Z]', '', 'g')) > 5 * length(w.text) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(w.text, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN least.least < w.doc_id THEN 'E' ELSE '' END) AS fails
+  FROM w JOIN least ON w.text = least.text LEFT JOIN lab ON lab.label_id = w.doc_id),
+k AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+p AS (SELECT '' AS o UNION ALL SELECT p.o || x FROM p, letters WHERE NOT contains(p.o, x)),
+s AS (SELECT o, step, substr(o, step, 1) AS own, substr(o, 1, step - 1) AS earlier
+  FROM p, (SELECT unnest(range(1, 6)) AS step) WHERE length(o) = 5),
+r AS (SELECT k.part, s.o, s.step, s.own, k.n, k.good, k.toxic, contains(fails, s.own) AS failing, fails = s.own AS only_this,
+    len(list_filter(string_split(fails, ''), lambda x: x <> '' AND contains(s.earlier, x))) > 0 AS gone
+  FROM k, s),
+t AS (SELECT part, o, step, any_value(own) AS own,
+    coalesce(sum(n) FILTER (WHERE NOT failing AND NOT gone), 0) AS kept,
+    coalesce(sum(n) FILTER (WHERE failing AND NOT gone), 0) AS removed,
+    coalesce(sum(n) FILTER (WHERE failing AND gone), 0) AS redundant,
+    coalesce(sum(n) FILTER (WHERE only_this), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE failing AND NOT gone), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (WHERE failing AND NOT gone), 0) AS toxic_lost
+  FROM r GROUP BY part, o, step)
+SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM t
+"""
+
+ORACLE = {"op4_line_dedup": OP4, "op8_jaccard_join": OP8, "op10_cap_filters": OP10, "op12_filter_audit": OP12}

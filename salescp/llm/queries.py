@@ -6,12 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, cap_filters, jaccard_join, language_id, line_dedup, multi_index, packing, pii, quality, token_counts
+from . import (alignment, bpe, cap_filters, filter_audit, jaccard_join, language_id, line_dedup, multi_index, packing, pii,
+               quality, sharding, token_counts)
 from .common import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE_JSON = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +88,22 @@ def op10_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's tokens of a byte-level and a piece vocabulary, aligned; id pairs counted over the corpus."""
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE_JSON),
+                           public_tokenizers.path(PIECE_BPE))[0]
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five document filters in all 120 orders, by source."""
+    return filter_audit.audit(filter_audit.combinations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def op13_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of even row counts, equal texts together as far as that allows."""
+    return sharding.balanced_shards(table(spark, sf_dir, "documents"), 16).drop("k1", "k2")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_multi_index, op2_byte_bpe, op3_language_id, op4_line_dedup, op5_best_fit_packing, op6_quality, op7_pii,
-    op8_jaccard_join, op9_edit_counts, op10_cap_filters)}
+    op8_jaccard_join, op9_edit_counts, op10_cap_filters, op11_alignment, op12_filter_audit, op13_balanced_shards)}

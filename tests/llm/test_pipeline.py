@@ -87,5 +87,5 @@ def test_one_row_of_each_near_duplicate_component_stays(spark, make_docs):
 
 def test_registered():
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
