@@ -4,7 +4,8 @@
 
 Every method returns (key..., change_point date, status), one row per change;
 a series without change gives no row, a series out of time budget gives one
-row with status 'timeout' and a NULL date.
+row with status 'timeout' and a NULL date.  ED-PELT also takes a budget of work,
+`max_evaluations`: a series over it gives what is known by then, status 'cut'.
 
 A callable is a user detector.  It receives one key's per-date summary as a
 pandas DataFrame sorted by date, with columns fecha (date), n (points),

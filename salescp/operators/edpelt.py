@@ -117,6 +117,54 @@ def _target(n, k, i):
     return F.floor((n - 1) * (F.lit(1.0) / (F.lit(1.0) + F.pow(n * 2 - 1, -z))))
 
 
+def _sortable(value):
+    """A double as a long of the same order (zero has one form)."""
+    bits = F.call_function("java_method", F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0)).cast("long")
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit((1 << 63) - 1))).otherwise(bits)
+
+
+def _positions_radix(vc: DataFrame, keys: list[str], reuse: str) -> DataFrame:
+    """Positions by histogram refinement: no rank of every value, no sort of a key's values.
+
+    Values are longs of the same order, taken 16 bits at a time.  Counts by the first 16 and the first 32 bits tell
+    how many points, so how many target ranks, lie below each such range.  Only the ranges that hold a target are
+    refined, by 48 and then all 64 bits, which gives the thresholds; a value's position is what lies below its 32-bit
+    range and the thresholds inside it.  A window holds the at most 65,536 ranges of one coarser range.
+    """
+    vals = materialize(vc.groupBy(*keys, "value").agg(F.sum("c").alias("cv")).withColumn("u", _sortable(F.col("value")))
+                       .withColumn("p1", F.shiftright("u", 32)), reuse)
+
+    def counted(df, within, by, lo, targets):
+        """(.., lo = points below the range) over the ranges `by` of each `within`, and the targets inside."""
+        w = Window.partitionBy(*keys, *within).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        df = df.withColumn("lo", F.coalesce(F.sum("cv").over(w), F.lit(0)) + lo)
+        return df.withColumn("inside", F.filter(targets, lambda t: (t >= F.col("lo")) & (t < F.col("lo") + F.col("cv"))))
+
+    fine = materialize(vals.groupBy(*keys, "p1").agg(F.sum("cv").alias("cv")).withColumn("p0", F.shiftright("p1", 16)), reuse)
+    coarse = fine.groupBy(*keys, "p0").agg(F.sum("cv").alias("cv"))
+    whole = Window.partitionBy(*keys)
+    n, k = F.col("n"), F.col("k")
+    coarse = coarse.withColumn("n", F.sum("cv").over(whole)).filter(n > 2).withColumn("k", _k(n))
+    coarse = counted(coarse, [], "p0", F.lit(0), F.array().cast("array<bigint>")).select(*keys, "p0", "n", "k", F.col("lo").alias("lo0"))
+    fine = fine.join(coarse, [*keys, "p0"]).withColumn(
+        "targets", F.transform(F.sequence(F.lit(0), k - 1), lambda i: _target(n, k, i)))
+    fine = counted(fine, ["p0"], "p1", F.col("lo0"), F.col("targets"))
+    fine = materialize(fine.select(*keys, "p1", "n", "k", "lo", "inside", F.size(F.filter(
+        "targets", lambda t: t < F.col("lo"))).alias("base")), reuse)
+    held = fine.where(F.size("inside") > 0).select(*keys, "p1", F.col("lo").alias("lo1"), F.col("inside").alias("inside1"))
+    mid = vals.groupBy(*keys, "p1", F.shiftright("u", 16).alias("p2")).agg(F.sum("cv").alias("cv")).join(held, [*keys, "p1"])
+    mid = counted(mid, ["p1"], "p2", F.col("lo1"), F.col("inside1")).where(F.size("inside") > 0).select(
+        *keys, "p1", "p2", F.col("lo").alias("lo2"), F.col("inside").alias("inside2"))
+    last = vals.withColumn("p2", F.shiftright("u", 16)).join(mid, [*keys, "p1", "p2"])
+    last = counted(last, ["p1", "p2"], "u", F.col("lo2"), F.col("inside2")).where(F.size("inside") > 0)
+    ts = last.groupBy(*keys, "p1").agg(F.collect_list(F.struct("u", F.size("inside").alias("m"))).alias("ts"))  # k at most
+    found = (vals.join(fine.select(*keys, "p1", "n", "k", "base"), [*keys, "p1"]).join(ts, [*keys, "p1"], "left"))
+    held = F.coalesce("ts", F.array().cast("array<struct<u:bigint,m:int>>"))
+    below = lambda test: F.col("base") + F.aggregate(F.filter(held, test), F.lit(0), lambda acc, t: acc + t["m"])
+    return found.select(*keys, "value", "n", "k", below(lambda t: t["u"] <= F.col("u")).alias("a"),
+                        below(lambda t: t["u"] < F.col("u")).alias("b"))
+
+
 def positions(vc: DataFrame, key_cols: Sequence[str], strategy: str = "auto", partitions: int | None = None,
               reuse: str = "table", window_max_values: int = WINDOW_RANK_MAX_VALUES,
               known_rows: int | None = None) -> DataFrame:
@@ -124,9 +172,12 @@ def positions(vc: DataFrame, key_cols: Sequence[str], strategy: str = "auto", pa
 
     A threshold is the value at a target rank, so a = #{t <= v} counts the
     targets below lo + cv and b = #{t < v} those below lo.  See `thresholds`
-    for the strategies.
+    for the strategies; "radix" finds the same positions by histogram refinement,
+    without ranking a key's values.
     """
     keys = list(key_cols)
+    if strategy == "radix":
+        return _positions_radix(vc, keys, reuse)
     ranked, _, _ = _ranks(vc, keys, strategy, partitions, reuse, window_max_values, known_rows)
     n, k = F.col("n"), F.col("k")
     ranked = ranked.filter(n > 2).withColumn("k", _k(n)).withColumn(
@@ -226,12 +277,28 @@ def pair_costs(P: np.ndarray, tau: np.ndarray, factor: float) -> np.ndarray:
     return factor * np.cumsum(term, axis=2)[:, :, -1]
 
 
-def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
-          allowed: np.ndarray | None = None, max_seconds: float | None = None):
-    """Exact DP over boundaries 0..B; boundary indexes of the changes, or None on time-out.
+def evaluations(tau: np.ndarray, ok: np.ndarray, min_points: int = MIN_POINTS) -> np.ndarray:
+    """Costs that the recurrence may need at each boundary: its starts at `min_points` points or more before it.
 
-    `allowed[b]` (b in 1..B-1) says whether a change may sit on boundary b.
+    A start is boundary 0 or a legal boundary that itself has `min_points` points before it.  What pruning
+    saves is not taken off, so the number depends on the dates alone and is the same on any host.
     """
+    start = ok & ((np.arange(len(tau)) == 0) | (tau >= min_points))
+    before = np.concatenate([[0], np.cumsum(start)])[np.searchsorted(tau, tau - min_points, side="right")]
+    out = np.where(ok | (np.arange(len(tau)) == len(tau) - 1), before, 0)
+    out[0] = 0
+    return out
+
+
+def _legal(B: int, allowed: np.ndarray | None) -> np.ndarray:
+    ok = np.ones(B + 1, dtype=bool) if allowed is None else np.asarray(allowed, dtype=bool).copy()
+    ok[0] = True
+    return ok
+
+
+def search(P: np.ndarray, tau: np.ndarray, k: int, min_points: int, ok: np.ndarray, last: int,
+           max_seconds: float | None = None):
+    """best(b) and the start that gives it for the boundaries up to `last`; None on time-out."""
     B = len(tau) - 1
     n = int(tau[-1])
     penalty = 3 * math.log(n)
@@ -239,8 +306,6 @@ def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
     best = np.full(B + 1, np.inf)
     prev = np.full(B + 1, -1, dtype=np.int64)
     best[0] = -penalty
-    ok = np.ones(B + 1, dtype=bool) if allowed is None else np.asarray(allowed, dtype=bool).copy()
-    ok[0] = True
     table = pair_costs(P, tau, factor) if (B + 1) ** 2 * k <= PAIR_TABLE_LIMIT else None
     # Pruning (only without the pair table): a start a dominated at a legal
     # boundary b, best(a) + cost(a, b) > best(b) + margin, can never beat b at
@@ -248,7 +313,7 @@ def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
     # from there on it is skipped.  The strict margin keeps first-minimum ties.
     dead_from = np.full(B + 1, np.iinfo(np.int64).max, dtype=np.int64)
     start = time.monotonic()
-    for b in range(1, B + 1):
+    for b in range(1, last + 1):
         if max_seconds is not None and time.monotonic() - start >= max_seconds:
             return None
         if tau[b] < min_points or not (ok[b] or b == B):
@@ -267,30 +332,97 @@ def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
             margin = 1e-9 * (abs(best[b]) + penalty + 1.0)
             beaten = a_idx[totals > best[b] + penalty + margin]
             dead_from[beaten] = np.minimum(dead_from[beaten], tau[b] + min_points)
+    return best, prev
+
+
+def _trace(prev: np.ndarray, cur: int) -> list[int]:
     out = []
-    cur = prev[B]
     while cur > 0:
         out.append(int(cur))
         cur = prev[cur]
     return out[::-1]
 
 
+def solve(P: np.ndarray, tau: np.ndarray, k: int, min_points: int = MIN_POINTS,
+          allowed: np.ndarray | None = None, max_seconds: float | None = None):
+    """Exact DP over boundaries 0..B; boundary indexes of the changes, or None on time-out.
+
+    `allowed[b]` (b in 1..B-1) says whether a change may sit on boundary b.
+    """
+    B = len(tau) - 1
+    found = search(P, tau, k, min_points, _legal(B, allowed), B, max_seconds)
+    return None if found is None else _trace(found[1], found[1][B])
+
+
+def solve_within(P: np.ndarray, tau: np.ndarray, k: int, max_evaluations: int, min_points: int = MIN_POINTS,
+                 allowed: np.ndarray | None = None):
+    """T13 by work instead of time: (changes, evaluations, complete, cost, lower bound).
+
+    The search ends before the first boundary whose evaluations would pass `max_evaluations`; c is the one before
+    it.  The result is then the best of the known optima up to a start s <= c with one segment from s to the end.
+    No segmentation costs less than the lower bound: its segment over c starts at some s <= c, what lies before s
+    costs best(s) at least, the segment at least its part up to c (the cost is superadditive), and what lies behind
+    c at least the cost of all dates apart.  A complete search has a lower bound equal to its cost.
+    """
+    B = len(tau) - 1
+    ok = _legal(B, allowed)
+    used = np.cumsum(evaluations(tau, ok, min_points))
+    last = int(np.searchsorted(used, max_evaluations, side="right")) - 1
+    best, prev = search(P, tau, k, min_points, ok, last)
+    if last >= B:
+        whole = float(best[B]) if np.isfinite(best[B]) else None  # fewer points than one segment: no cost
+        return _trace(prev, prev[B]), int(used[B]), True, whole, whole
+    n = int(tau[-1])
+    penalty, factor = 3 * math.log(n), 2.0 * -math.log(2 * n - 1) / k
+    starts = np.flatnonzero(ok[:last + 1] & np.isfinite(best[:last + 1]))
+    ends = starts[tau[B] - tau[starts] >= min_points]
+    costs = segment_costs(P, tau, ends, B, factor)
+    totals = np.where((ends == 0) & (tau[B] < 2 * min_points), costs, (best[ends] + costs) + penalty)
+    m = int(np.argmin(totals))
+    behind = starts[starts < last]
+    low = [best[s] + penalty for s in starts[starts == last]]
+    if len(behind):
+        low.append(((best[behind] + segment_costs(P, tau, behind, last, factor)) + penalty).min())
+    apart = sum(float(segment_costs(P, tau, np.array([b - 1]), b, factor)[0]) for b in range(last + 1, B + 1))
+    upper = float(totals[m])
+    return _trace(prev, int(ends[m])), int(used[last]), False, upper, min(upper, float(min(low)) + apart)
+
+
 EPOCH = "DATE'1970-01-01'"
 
 
-def _solve_slice(d, j, cnt, k, min_points, max_seconds):
-    """DP for one key's histogram rows (int day, position, count); a row at position -1 marks a timed-out key."""
-    if (j < 0).any():
-        return [None], ["timeout"]
+def boundary_sums(d, j, cnt, k):
+    """(days, P, tau) from one key's histogram rows (int day, position, count): sums up to the end of each date."""
     uniq, inv = np.unique(d, return_inverse=True)
     B = len(uniq)
     H = np.bincount(inv * (k + 1) + j, weights=cnt, minlength=B * (k + 1)).astype(np.int64).reshape(B, k + 1)
     P = np.vstack([np.zeros((1, k), dtype=np.int64), np.cumsum(np.cumsum(H, axis=1)[:, :k], axis=0)])
-    tau = np.concatenate([[0], np.cumsum(H.sum(axis=1) // 2)])
-    found = solve(P, tau, k, min_points, None, max_seconds)
-    if found is None:
-        return [None], ["timeout"]
-    return [int(uniq[b - 1]) for b in found], ["ok"] * len(found)
+    return uniq, P, np.concatenate([[0], np.cumsum(H.sum(axis=1) // 2)])
+
+
+def _changes(min_points, max_seconds):
+    """One key's (day, status) rows; a row at position -1 marks a timed-out key."""
+
+    def answer(d, j, cnt, k):
+        if (j < 0).any():
+            return [(None, "timeout")]
+        days, P, tau = boundary_sums(d, j, cnt, k)
+        found = solve(P, tau, k, min_points, None, max_seconds)
+        return [(None, "timeout")] if found is None else [(int(days[b - 1]), "ok") for b in found]
+
+    return answer, {"cp": "Int32", "status": "object"}
+
+
+def _within(min_points, max_evaluations):
+    """One key's row (points, dates, evaluations, status, cost, lower bound, days of the changes)."""
+
+    def answer(d, j, cnt, k):
+        days, P, tau = boundary_sums(d, j, cnt, k)
+        found, used, complete, cost, low = solve_within(P, tau, k, max_evaluations, min_points)
+        return [(int(tau[-1]), len(days), used, "ok" if complete else "cut", cost, low, [int(days[b - 1]) for b in found])]
+
+    return answer, {"points": "int64", "dates": "int32", "evaluations": "int64", "status": "object", "cost": "float64",
+                    "lower_bound": "float64", "cps": "object"}
 
 
 def _key_starts(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
@@ -306,7 +438,8 @@ def _key_starts(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(change)
 
 
-def _dp_batches(key_cols: Sequence[str], min_points: int, max_seconds: float | None):
+def _dp_batches(key_cols: Sequence[str], answer, dtypes: dict[str, str]):
+    """Walks sorted batches key by key; `answer(d, j, cnt, k)` gives a key's rows, columns as in `dtypes`."""
     keys = list(key_cols)
 
     def process(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -316,19 +449,18 @@ def _dp_batches(key_cols: Sequence[str], min_points: int, max_seconds: float | N
         j = pdf["j"].to_numpy(np.int64)
         cnt = pdf["cnt"].to_numpy(np.float64)
         kk = pdf["k"].fillna(-1).to_numpy(np.int64)
-        rows, cps, status = [], [], []
+        rows, found = [], []
         for g in range(len(starts)):
             lo, hi = bounds[g], bounds[g + 1]
             k = int(kk[lo:hi].max())
             if k <= 0:
                 continue
-            c, st = _solve_slice(d[lo:hi], j[lo:hi], cnt[lo:hi], k, min_points, max_seconds)
-            rows.extend([lo] * len(c))
-            cps.extend(c)
-            status.extend(st)
+            some = answer(d[lo:hi], j[lo:hi], cnt[lo:hi], k)
+            rows.extend([lo] * len(some))
+            found.extend(some)
         out = pdf.iloc[rows][keys].reset_index(drop=True)
-        out["cp"] = pd.array(cps, dtype="Int32")
-        out["status"] = pd.Series(status, dtype="object")
+        for c, (name, dtype) in enumerate(dtypes.items()):
+            out[name] = pd.Series([f[c] for f in found], dtype=dtype)
         return out
 
     def run(batches):
@@ -355,7 +487,23 @@ def result_schema(series: DataFrame, key_cols: Sequence[str]) -> T.StructType:
 def run_dp(hist: DataFrame, key_cols: Sequence[str], schema: T.StructType, min_points: int = MIN_POINTS,
            max_seconds: float | None = None, partitions: int | None = None,
            timed_out: DataFrame | None = None) -> DataFrame:
-    """Per-key DP over the histogram rows.
+    """Per-key DP over the histogram rows: (key..., change_point, status).
+
+    `timed_out` (key...): keys that get status 'timeout' whatever their rows say;
+    they travel with the histogram as markers (no join).
+    """
+    keys = list(key_cols)
+    if timed_out is not None:
+        hist = hist.select(*keys, "k", "fecha", "j", "cnt").unionByName(timed_out.select(
+            *keys, F.lit(1).cast(hist.schema["k"].dataType).alias("k"), F.expr(EPOCH).alias("fecha"),
+            F.lit(-1).cast(hist.schema["j"].dataType).alias("j"), F.lit(0).cast(hist.schema["cnt"].dataType).alias("cnt")))
+    out = _per_key(hist, keys, schema, "cp int, status string", *_changes(min_points, max_seconds), partitions=partitions)
+    return out.select(*keys, F.date_add(F.expr(EPOCH), F.col("cp")).alias("change_point"), "status")
+
+
+def _per_key(hist: DataFrame, keys: list[str], schema: T.StructType, added: str, answer, dtypes: dict[str, str],
+             partitions: int | None = None) -> DataFrame:
+    """(key..., `added`): what `answer` says of each key's histogram rows.
 
     Rows are hash-partitioned by key into `partitions` (default: the session's
     shuffle partitions) and sorted by key; `mapInPandas` then walks each Arrow
@@ -363,35 +511,58 @@ def run_dp(hist: DataFrame, key_cols: Sequence[str], schema: T.StructType, min_p
     so the Python side pays per batch, not per key, and holds one batch plus
     one key at a time.  The number is fixed because AQE would merge the small
     rows of this stage, which costs CPU rather than bytes, into few tasks.
-
-    `timed_out` (key...): keys that get status 'timeout' whatever their rows say;
-    they travel with the histogram as markers (no join).
     """
-    keys = list(key_cols)
     parts = partitions or int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     data = hist.select(*keys, F.col("k").cast("int").alias("k"), F.datediff("fecha", F.expr(EPOCH)).alias("d"),
                        F.col("j").cast("long").alias("j"), F.col("cnt").cast("long").alias("cnt"))
-    if timed_out is not None:
-        data = data.unionByName(timed_out.select(*keys, F.lit(1).alias("k"), F.lit(0).alias("d"),
-                                                 F.lit(-1).cast("long").alias("j"), F.lit(0).cast("long").alias("cnt")))
     data = data.repartition(parts, *keys).sortWithinPartitions(*keys, "d")
     key_fields = [f for f in schema.fields if f.name in keys]
-    mid = T.StructType(key_fields + [T.StructField("cp", T.IntegerType()), T.StructField("status", T.StringType())])
-    out = data.mapInPandas(_dp_batches(keys, min_points, max_seconds), mid)
-    return out.select(*keys, F.date_add(F.expr(EPOCH), F.col("cp")).alias("change_point"), "status")
+    mid = T.StructType(key_fields + T.StructType.fromDDL(added).fields)
+    return data.mapInPandas(_dp_batches(keys, answer, dtypes), mid)
+
+
+def _folded(series: DataFrame, keys: list[str], reuse: str, rank_strategy: str) -> DataFrame:
+    """The histogram of a series, over written folded points and positions."""
+    vc, rows = materialize(value_counts(series, keys), reuse, count=True)
+    # written: the join then knows its size, and the DP's shuffle is not merged with the rank window's
+    pos = materialize(positions(vc, keys, rank_strategy, reuse=reuse, known_rows=rows), reuse)
+    return threshold_histogram(vc, pos, keys)
+
+
+def edpelt_within(series: DataFrame, key_cols: Sequence[str], max_evaluations: int, min_points: int = MIN_POINTS,
+                  reuse: str = "table", rank_strategy: str = "auto") -> DataFrame:
+    """T5 under a work budget per series, one row per series of more than two points.
+
+    (key..., points, dates, evaluations, status, cost, lower_bound, change_points): status 'ok' with the optimum, or
+    'cut' with the best segmentation known when the next boundary would have passed `max_evaluations` cost
+    evaluations; the optimum costs between `lower_bound` and `cost`.  The budget counts work, so the rows are the
+    same on any host and at any load.
+    """
+    keys = list(key_cols)
+    out = _per_key(_folded(series, keys, reuse, rank_strategy), keys, result_schema(series, keys),
+                   "points bigint, dates int, evaluations bigint, status string, cost double, lower_bound double, cps array<int>",
+                   *_within(min_points, max_evaluations))
+    return out.select(*keys, "points", "dates", "evaluations", "status", "cost", "lower_bound", F.transform(
+        "cps", lambda c: F.date_add(F.expr(EPOCH), c)).alias("change_points"))
 
 
 def edpelt(series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POINTS, max_seconds: float | None = None,
-           reuse: str = "table", rank_strategy: str = "auto") -> DataFrame:
+           reuse: str = "table", rank_strategy: str = "auto", max_evaluations: int | None = None) -> DataFrame:
     """T5 + T12: ED-PELT per key, (key..., change_point date, status); no row for a series without change.
 
     The folded points feed both the positions and the histogram; `reuse`
     (see `session.materialize`) makes the fact-table scan happen once.
     `max_seconds` (default: none) is a budget per series; a series that
-    reaches it gives one row with status 'timeout'.
+    reaches it gives one row with status 'timeout'.  `max_evaluations` is a budget
+    of work (see `edpelt_within`); a series that reaches it gives the changes known
+    by then with status 'cut', or one row without a date.
     """
     keys = list(key_cols)
-    vc, rows = materialize(value_counts(series, keys), reuse, count=True)
-    # written: the join then knows its size, and the DP's shuffle is not merged with the rank window's
-    pos = materialize(positions(vc, keys, rank_strategy, reuse=reuse, known_rows=rows), reuse)
-    return run_dp(threshold_histogram(vc, pos, keys), keys, result_schema(series, keys), min_points, max_seconds)
+    if max_evaluations is not None:
+        if max_seconds is not None:
+            raise ValueError("give max_seconds or max_evaluations, not both")
+        rows = edpelt_within(series, keys, max_evaluations, min_points, reuse, rank_strategy)
+        changes = F.when((F.size("change_points") == 0) & (F.col("status") == "cut"),
+                         F.array(F.lit(None).cast("date"))).otherwise(F.col("change_points"))
+        return rows.select(*keys, F.explode(changes).alias("change_point"), "status")
+    return run_dp(_folded(series, keys, reuse, rank_strategy), keys, result_schema(series, keys), min_points, max_seconds)

@@ -10,6 +10,11 @@ Because a split always takes whole dates, the errors depend only on per-date
 statistics.  One `groupBy(key, fecha)` and one prefix window per key give every
 split in linear time; a key's window holds its dates, never its raw rows.
 
+For keys of very many dates (`block_days`) the scan has two levels: sums of whole
+blocks of calendar days, prefix and suffix sums over a key's blocks (a row each),
+and windows inside a block; no window then holds more than a block's dates or a
+key's blocks.
+
 Numerics: x = days since the key's first date; y is centred on the key mean
 and each date contributes its stable within-date deviation `m2`, so
     sse = Syy - Sxy^2 / Sxx   (all centred)
@@ -28,7 +33,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import MIN_POINTS, REGRESSION_RATIO
-from .series import daily_stats
+from ..session import materialize
+from .series import daily_stats, exact_daily_stats
 
 # Whole-series error at or below this share of the centred sum of squares is
 # rounding noise (an exact line): nothing is flagged then.
@@ -43,34 +49,73 @@ def _sse(dates, n, sx, sxx, sy, sxy, syy):
     return F.when(dates > 1, syy_c - F.try_divide(sxy_c * sxy_c, sxx_c)), syy_c
 
 
-def split_errors(series: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-    """Per (key, split date d), point counts and fit errors of left, right and whole."""
-    keys = list(key_cols)
-    d = daily_stats(series, keys)
-    w_all = Window.partitionBy(*keys).orderBy("fecha").rowsBetween(Window.unboundedPreceding,
-                                                                   Window.unboundedFollowing)
-    w_pre = Window.partitionBy(*keys).orderBy("fecha").rowsBetween(Window.unboundedPreceding, 0)
-    w_suf = Window.partitionBy(*keys).orderBy("fecha").rowsBetween(1, Window.unboundedFollowing)
-    first = F.min("fecha").over(w_all)
-    key_mean = F.sum(F.col("c") * F.col("mean_d")).over(w_all) / F.sum("c").over(w_all)
+ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
+BEFORE = (Window.unboundedPreceding, -1)
+UP_TO = (Window.unboundedPreceding, 0)
+AFTER = (1, Window.unboundedFollowing)
+
+
+def _parts():
+    """What is summed on each side of a split, from a date's c, x, md (mean less the key's mean) and m2."""
+    c, x, md = F.col("c").cast("double"), F.col("x"), F.col("md")
+    return {"dates": F.lit(1), "n": c, "sx": c * x, "sxx": c * x * x, "sy": c * md, "sxy": c * x * md,
+            "syy": F.col("m2") + c * md * md}
+
+
+def _sides(d: DataFrame, keys: list[str]) -> DataFrame:
+    """(key..., fecha, l_*, r_*, t_*): sums left of each split (its date included), right of it, and of the key."""
+    w = lambda frame: Window.partitionBy(*keys).orderBy("fecha").rowsBetween(*frame)
+    first = F.min("fecha").over(w(ALL))
+    key_mean = F.sum(F.col("c") * F.col("mean_d")).over(w(ALL)) / F.sum("c").over(w(ALL))
     d = d.select(*keys, "fecha", "c", "m2", F.datediff("fecha", first).cast("double").alias("x"),
                  (F.col("mean_d") - key_mean).alias("md"))
-    c, x, md = F.col("c").cast("double"), F.col("x"), F.col("md")
-    parts = {
-        "dates": F.lit(1),
-        "n": c,
-        "sx": c * x,
-        "sxx": c * x * x,
-        "sy": c * md,
-        "sxy": c * x * md,
-        "syy": F.col("m2") + c * md * md,
-    }
-    sums = [F.coalesce(F.sum(e).over(w), F.lit(0)).alias(f"{side}_{p}")
-            for side, w in (("l", w_pre), ("r", w_suf), ("t", w_all)) for p, e in parts.items()]
-    d = d.select(*keys, "fecha", *sums)
-    left, _ = _sse(*(F.col(f"l_{p}") for p in parts))
-    right, _ = _sse(*(F.col(f"r_{p}") for p in parts))
-    whole, whole_syy = _sse(*(F.col(f"t_{p}") for p in parts))
+    sums = [F.coalesce(F.sum(e).over(w(frame)), F.lit(0)).alias(f"{side}_{p}")
+            for side, frame in (("l", UP_TO), ("r", AFTER), ("t", ALL)) for p, e in _parts().items()]
+    return d.select(*keys, "fecha", *sums)
+
+
+def _at_block(dates: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFrame:
+    """Dates with their block's columns; null keys meet too."""
+    named = blocks.toDF(*(f"_{c}" if c in (*keys, "block") else c for c in blocks.columns))
+    return dates.join(named, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*keys, "block")]).drop(*(f"_{c}" for c in (*keys, "block")))
+
+
+def _sides_by_blocks(d: DataFrame, keys: list[str], block_days: int, reuse: str) -> DataFrame:
+    """`_sides` by a two-level scan; columns that start with `blk` are of whole blocks."""
+    d = materialize(d.withColumn("block", F.floor(F.datediff("fecha", F.lit("1970-01-01").cast("date")) / block_days)), reuse)
+    of_key = Window.partitionBy(*keys).orderBy("block")
+    blocks = d.groupBy(*keys, "block").agg(F.min("fecha").alias("blk_first"), F.sum("c").alias("blk_c"),
+                                           F.sum(F.col("c") * F.col("mean_d")).alias("blk_y"))
+    blocks = blocks.select(*keys, "block", F.min("blk_first").over(of_key.rowsBetween(*ALL)).alias("first"), (
+        F.sum("blk_y").over(of_key.rowsBetween(*ALL)) / F.sum("blk_c").over(of_key.rowsBetween(*ALL))).alias("key_mean"))
+    d = _at_block(d, blocks, keys).select(*keys, "block", "fecha", "c", "m2", F.datediff("fecha", "first").cast("double").alias("x"),
+                                          (F.col("mean_d") - F.col("key_mean")).alias("md"))
+    sums = d.groupBy(*keys, "block").agg(*[F.sum(e).alias(f"blk_{p}") for p, e in _parts().items()])
+    sums = sums.select(*keys, "block", *[
+        F.coalesce(F.sum(f"blk_{p}").over(of_key.rowsBetween(*frame)), F.lit(0)).alias(f"{side}_{p}")
+        for side, frame in (("before", BEFORE), ("after", AFTER), ("t", ALL)) for p in _parts()])
+    inside = Window.partitionBy(*keys, "block").orderBy("fecha")
+    return _at_block(d, sums, keys).select(
+        *keys, "fecha",
+        *[(F.col(f"before_{p}") + F.sum(e).over(inside.rowsBetween(*UP_TO))).alias(f"l_{p}") for p, e in _parts().items()],
+        *[(F.col(f"after_{p}") + F.coalesce(F.sum(e).over(inside.rowsBetween(*AFTER)), F.lit(0))).alias(f"r_{p}")
+          for p, e in _parts().items()],
+        *[f"t_{p}" for p in _parts()])
+
+
+def split_errors(series: DataFrame, key_cols: Sequence[str], block_days: int | None = None, exact: bool = False,
+                 reuse: str = "table") -> DataFrame:
+    """Per (key, split date d), point counts and fit errors of left, right and whole.
+
+    `block_days`: two-level scan by blocks of that many calendar days; `exact`: per-date statistics from order-free
+    sums, so that the errors are the same bits for any partitioning.
+    """
+    keys = list(key_cols)
+    d = exact_daily_stats(series, keys, reuse) if exact else daily_stats(series, keys)
+    d = _sides(d, keys) if block_days is None else _sides_by_blocks(d, keys, block_days, reuse)
+    left, _ = _sse(*(F.col(f"l_{p}") for p in _parts()))
+    right, _ = _sse(*(F.col(f"r_{p}") for p in _parts()))
+    whole, whole_syy = _sse(*(F.col(f"t_{p}") for p in _parts()))
     return d.select(
         *keys, "fecha",
         F.col("l_n").cast("long").alias("n_left"),
@@ -81,9 +126,9 @@ def split_errors(series: DataFrame, key_cols: Sequence[str]) -> DataFrame:
 
 
 def segmented_regression(series: DataFrame, key_cols: Sequence[str], ratio: float = REGRESSION_RATIO,
-                         min_points: int = MIN_POINTS) -> DataFrame:
-    """Flagged splits, (key..., change_point date, status 'ok'), one row per flag."""
-    e = split_errors(series, key_cols)
+                         min_points: int = MIN_POINTS, block_days: int | None = None, exact: bool = False) -> DataFrame:
+    """Flagged splits, (key..., change_point date, status 'ok'), one row per flag (options: see `split_errors`)."""
+    e = split_errors(series, key_cols, block_days, exact)
     flagged = e.filter(
         (F.col("n_left") >= min_points) & (F.col("n_right") >= min_points)
         & (F.col("n_left") + F.col("n_right") >= min_points)

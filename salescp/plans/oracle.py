@@ -2,7 +2,8 @@
 
 Each string reads the pre-registered views (lineitem, part, supplier, nation,
 region, events) and produces the same columns as the Spark query of the same
-name.  Doubles that are sums are rounded to 2 decimals on both sides.
+name.  Sums of floats are exact on both sides: every fixture price is at least 8, so a whole
+multiple of 2**-20, and the sums here are of whole numbers, rounded once at the end.
 """
 
 from __future__ import annotations
@@ -61,12 +62,17 @@ def with_star(body: str, category: str = "p_brand", extra_ctes: str = "") -> str
 
 ORACLE: dict[str, str] = {}
 
-ORACLE["daily_price_by_cat_dep_year"] = with_star("""
-SELECT categoria, departamento, year, fecha, round(sum(CAST(precio_unitario AS DOUBLE)), 2) AS suma_precio
+
+def exact_sum(x: str) -> str:
+    return f"(CAST(sum(CAST(CAST({x} AS DOUBLE) * 1048576 AS HUGEINT)) AS DOUBLE) / 1048576)"
+
+
+ORACLE["daily_price_by_cat_dep_year"] = with_star(f"""
+SELECT categoria, departamento, year, fecha, {exact_sum("precio_unitario")} AS suma_precio
 FROM inner_sales GROUP BY categoria, departamento, year, fecha""")
 
 ORACLE["quantity_by_cat_dep"] = with_star("""
-SELECT categoria, departamento, round(coalesce(sum(CAST(cant_vta_original AS DOUBLE)), 0), 2) AS cantidad
+SELECT categoria, departamento, coalesce(sum(CAST(cant_vta_original AS DOUBLE)), 0) AS cantidad
 FROM left_sales GROUP BY categoria, departamento""")
 
 ORACLE["enriched_inner"] = with_star("""
@@ -79,16 +85,16 @@ SELECT clave_local, clave_producto, fecha, cant_vta_original, precio_unitario, c
        categoria, departamento
 FROM left_sales""")
 
-ORACLE["avg_by_day"] = with_star("""
-SELECT categoria, year, fecha, round(avg(CAST(precio_unitario AS DOUBLE)), 2) AS promedio
+ORACLE["avg_by_day"] = with_star(f"""
+SELECT categoria, year, fecha, {exact_sum("precio_unitario")} / count(*) AS promedio
 FROM inner_sales GROUP BY categoria, year, fecha""", "p_type")
 
 ORACLE["count_by_day"] = with_star("""
 SELECT categoria, year, fecha, count(*) AS cantidad
 FROM inner_sales GROUP BY categoria, year, fecha""", "p_type")
 
-ORACLE["sum_by_key"] = with_star("""
-SELECT categoria, year, round(sum(CAST(precio_unitario AS DOUBLE)), 2) AS suma
+ORACLE["sum_by_key"] = with_star(f"""
+SELECT categoria, year, {exact_sum("precio_unitario")} AS suma
 FROM inner_sales GROUP BY categoria, year""", "p_type")
 
 ORACLE["max_by_key"] = with_star("""
@@ -132,6 +138,20 @@ REGRESSION_SERIES = ("SELECT categoria, year, clave_local, fecha, CAST(precio_un
 ORACLE["segmented_regression"] = regression_sql(REGRESSION_SERIES, REGRESSION_KEYS)
 
 
+def cost_rows(p: str, keys: list[str], where: str) -> str:
+    """SELECT (keys..., b, a, cost) of the segments between boundaries `aa` and `bb` of `{p}_bnd` that fulfil `where`."""
+    on = lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in keys)
+    L = "CAST(bb.tau - aa.tau AS DOUBLE)"
+    S = "CAST(x[2] - x[1] AS DOUBLE)"
+    f = f"({S} * 0.5::DOUBLE / {L})"
+    term = (f"CASE WHEN x[2] - x[1] = 0 OR x[2] - x[1] = 2 * (bb.tau - aa.tau) THEN 0.0::DOUBLE "
+            f"ELSE {L} * ({f} * ln({f}) + (1.0::DOUBLE - {f}) * ln(1.0::DOUBLE - {f})) END")
+    return f"""SELECT {", ".join(f"bb.{c}" for c in keys)}, bb.b, aa.b AS a,
+         par.fac * list_sum(list_transform(list_zip(aa.pl, bb.pl), lambda x: {term})) AS cost
+  FROM {p}_bnd bb JOIN {p}_bnd aa ON {on('bb', 'aa')} JOIN {p}_par par ON {on('bb', 'par')}
+  WHERE aa.b < bb.b AND {where}"""
+
+
 def edpelt_ctes(p: str, pts: str, keys: list[str], allowed: str | None = None, min_points: int = 3) -> str:
     """CTEs computing ED-PELT in SQL; the result CTE is `{p}_out(keys..., change_point)`.
 
@@ -145,11 +165,6 @@ def edpelt_ctes(p: str, pts: str, keys: list[str], allowed: str | None = None, m
     allowed_join = (f"LEFT JOIN (SELECT DISTINCT {k}, fecha, true AS ok FROM {allowed}) al USING ({k}, fecha)"
                     if allowed else "")
     allowed_expr = "coalesce(al.ok, false)" if allowed else "true"
-    L = "CAST(bb.tau - aa.tau AS DOUBLE)"
-    S = "CAST(x[2] - x[1] AS DOUBLE)"
-    f = f"({S} * 0.5::DOUBLE / {L})"
-    term = (f"CASE WHEN x[2] - x[1] = 0 OR x[2] - x[1] = 2 * (bb.tau - aa.tau) THEN 0.0::DOUBLE "
-            f"ELSE {L} * ({f} * ln({f}) + (1.0::DOUBLE - {f}) * ln(1.0::DOUBLE - {f})) END")
     two_min = 2 * min_points
     return f"""{p}_nk AS (
   SELECT {k}, count(*) AS n, CAST(least(count(*), ceil(4.0::DOUBLE * ln(count(*)))) AS BIGINT) AS kq
@@ -183,10 +198,7 @@ def edpelt_ctes(p: str, pts: str, keys: list[str], allowed: str | None = None, m
   SELECT {k}, 0 AS b, 0 AS tau, NULL AS fecha, true AS allowed,
          list_transform(range(kq), lambda x: CAST(0 AS BIGINT)) AS pl FROM {p}_nk),
 {p}_seg AS MATERIALIZED (
-  SELECT {kcols('bb')}, bb.b, aa.b AS a,
-         par.fac * list_sum(list_transform(list_zip(aa.pl, bb.pl), lambda x: {term})) AS cost
-  FROM {p}_bnd bb JOIN {p}_bnd aa ON {on('bb', 'aa')} JOIN {p}_par par ON {on('bb', 'par')}
-  WHERE aa.b < bb.b AND bb.tau - aa.tau >= {min_points} AND aa.allowed),
+  {cost_rows(p, keys, f"bb.tau - aa.tau >= {min_points} AND aa.allowed")}),
 {p}_fold AS MATERIALIZED (
   SELECT {k}, b, list(a ORDER BY a) AS aa, list(cost ORDER BY a) AS cc FROM {p}_seg GROUP BY ALL),
 {p}_steps AS MATERIALIZED (
@@ -223,6 +235,12 @@ def with_star_recursive(body: str, category: str, extra_ctes: str) -> str:
     return "WITH RECURSIVE " + star_ctes(category) + ",\n" + extra_ctes + "\n" + body
 
 
+ORACLE["regression_by_blocks"] = ORACLE["segmented_regression"]
+_ORIGINAL_KEYS = ["categoria", "year", "clave_producto"]
+ORACLE["regression_by_product_year"] = regression_sql(
+    "SELECT categoria, year, clave_producto, fecha, CAST(precio_unitario AS DOUBLE) AS value FROM inner_sales", _ORIGINAL_KEYS,
+    min_points=2)
+
 EDPELT_KEYS = ["categoria", "year"]
 EDPELT_SERIES = "SELECT categoria, year, fecha, CAST(precio_unitario AS DOUBLE) AS value FROM inner_sales"
 
@@ -230,6 +248,65 @@ ORACLE["edpelt"] = with_star_recursive(
     "SELECT categoria, year, change_point, 'ok' AS status FROM e_out", "p_brand",
     f"pts AS ({EDPELT_SERIES}),\n" + edpelt_ctes("e", "pts", EDPELT_KEYS))
 
+#: Cost evaluations that a series of the row below may use.
+WORK_BUDGET = 1_500
+
+
+def within_ctes(p: str, keys: list[str], budget: int, min_points: int = 3) -> str:
+    """CTEs over `edpelt_ctes` for a search that a work budget ends: `{p}_rows` (keys..., the columns of the row)."""
+    k = ", ".join(keys)
+    on = lambda a, b: " AND ".join(f"{a}.{c} = {b}.{c}" for c in keys)
+    total = (f"CASE WHEN a = 0 AND tau < {2 * min_points} THEN cost ELSE (best[a + 1] + cost) + pen END")
+    return f"""{p}_work AS (
+  SELECT {", ".join(f"st.{c}" for c in keys)}, st.b, sum(coalesce(g.n, 0)) OVER (PARTITION BY {", ".join(f"st.{c}" for c in keys)}
+           ORDER BY st.b) AS used
+  FROM {p}_steps st LEFT JOIN (
+    SELECT {", ".join(f"s.{c}" for c in keys)}, s.b, count(*) AS n FROM {p}_seg s JOIN {p}_bnd aa ON {on('s', 'aa')} AND aa.b = s.a
+    WHERE s.a = 0 OR aa.tau >= {min_points} GROUP BY ALL) g ON {on('st', 'g')} AND st.b = g.b),
+{p}_end AS MATERIALIZED (
+  SELECT {k}, max(b) AS last_b, coalesce(max(b) FILTER (WHERE used <= {budget}), 0) AS c,
+         coalesce(max(used) FILTER (WHERE used <= {budget}), 0) AS evaluations, count(*) AS dates FROM {p}_work GROUP BY {k}),
+{p}_known AS MATERIALIZED (
+  SELECT e.*, d.best, d.prev, par.pen, par.n FROM {p}_end e JOIN {p}_dp d ON {on('e', 'd')} AND d.b = e.last_b
+  JOIN {p}_par par ON {on('e', 'par')}),
+{p}_last AS (
+  SELECT {", ".join(f"kn.{c}" for c in keys)}, min({{'tot': {total}, 'a': a}}) AS m
+  FROM {p}_seg s JOIN {p}_known kn ON {on('s', 'kn')} AND s.b = kn.last_b AND s.a <= kn.c
+  JOIN {p}_bnd bd ON {on('s', 'bd')} AND bd.b = s.b
+  GROUP BY ALL),
+{p}_parts AS MATERIALIZED (
+  SELECT g.* FROM ({cost_rows(p, keys, "true")}) g JOIN {p}_known kn ON {on('g', 'kn')}
+  WHERE (g.b = kn.c AND g.a < kn.c) OR (g.b = g.a + 1 AND g.a >= kn.c)),
+{p}_low AS (
+  SELECT {", ".join(f"kn.{c}" for c in keys)},
+    least(CASE WHEN best[c + 1] < 1e299 THEN best[c + 1] + any_value(pen) ELSE 1e300::DOUBLE END,
+          coalesce(min(CASE WHEN g.b = c AND best[g.a + 1] < 1e299 THEN best[g.a + 1] + g.cost + pen END), 1e300::DOUBLE))
+    + coalesce(sum(g.cost) FILTER (WHERE g.a >= c), 0) AS low
+  FROM {p}_known kn LEFT JOIN {p}_parts g ON {on('g', 'kn')} GROUP BY {", ".join(f"kn.{c}" for c in keys)}, c, best),
+{p}_walk AS (
+  SELECT {", ".join(f"kn.{c}" for c in keys)}, prev, CASE WHEN c = last_b THEN prev[last_b + 1] ELSE m.a END AS cur
+  FROM {p}_known kn LEFT JOIN {p}_last l ON {on('kn', 'l')}
+  UNION ALL
+  SELECT {k}, prev, prev[cur + 1] FROM {p}_walk WHERE cur > 0),
+{p}_days AS (
+  SELECT {", ".join(f"w.{c}" for c in keys)}, string_agg(strftime(bd.fecha, '%Y-%m-%d'), ', ' ORDER BY bd.fecha) AS change_points
+  FROM {p}_walk w JOIN {p}_bnd bd ON {on('w', 'bd')} AND bd.b = w.cur WHERE w.cur > 0 GROUP BY ALL),
+{p}_rows AS (
+  SELECT {", ".join(f"kn.{c}" for c in keys)}, n AS points, CAST(dates AS INTEGER) AS dates, CAST(evaluations AS BIGINT) AS evaluations,
+    CASE WHEN c = last_b THEN 'ok' ELSE 'cut' END AS status,
+    CASE WHEN c = last_b THEN best[last_b + 1] ELSE m.tot END AS cost,
+    CASE WHEN c = last_b THEN best[last_b + 1] ELSE least(low, m.tot) END AS lower_bound,
+    coalesce(change_points, '') AS change_points
+  FROM {p}_known kn LEFT JOIN {p}_last l ON {on('kn', 'l')} LEFT JOIN {p}_low lo ON {on('kn', 'lo')}
+  LEFT JOIN {p}_days dy ON {on('kn', 'dy')})"""
+
+
+ORACLE["edpelt_work_budget"] = with_star_recursive(
+    "SELECT categoria, year, points, dates, evaluations, status, round(cost, 4) AS cost, round(lower_bound, 4) AS lower_bound, "
+    "change_points FROM e_rows", "p_brand",
+    f"pts AS ({EDPELT_SERIES}),\n" + edpelt_ctes("e", "pts", EDPELT_KEYS) + ",\n" + within_ctes("e", EDPELT_KEYS, WORK_BUDGET))
+ORACLE["edpelt_by_blocks"] = ORACLE["edpelt"]
+
 ORACLE["edpelt_partial_sums"] = with_star(f"""
 SELECT categoria, year, fecha, CAST(i AS BIGINT) AS i, t AS threshold,
        CAST(sum(s) OVER (PARTITION BY categoria, year, i ORDER BY fecha) AS BIGINT) AS partial_sum
@@ -271,6 +348,10 @@ ORACLE["conclusion_histogram"] = ("WITH " + _REG_CTES + ",\n" + REG_RESULT + ",\
                                   + "\nSELECT categoria, year, token, n FROM hist")
 ORACLE["conclusion_json"] = "WITH " + _REG_CTES + ",\n" + REG_RESULT + ",\n" + HIST_SQL.format(src="reg") + JSON_SELECT
 
+ORACLE["conclusion_file"] = ("WITH " + _REG_CTES + ",\n" + REG_RESULT + ",\n" + HIST_SQL.format(src="reg") + f""",
+js AS ({JSON_SELECT})
+SELECT categoria || chr(9) || year || chr(9) || histogram AS value, CAST(1 AS BIGINT) AS files FROM js""")
+
 SUPPLIER_KEYS = ["categoria", "year", "clave_local"]
 SUPPLIER_SERIES = REGRESSION_SERIES
 ORACLE["edpelt_by_supplier"] = with_star_recursive(
@@ -311,7 +392,7 @@ ORACLE["divide_pelt_by_department"] = with_star_recursive(
     + ",\nqc AS (SELECT DISTINCT categoria, year, departamento, change_point AS fecha FROM q1_out),\n"
     + f"pts2 AS ({DEPARTMENT_SERIES}),\n" + edpelt_ctes("q2", "pts2", DEPARTMENT_KEYS, allowed="qc"))
 
-ORACLE["edpelt_range_ranks"] = ORACLE["edpelt"]
+ORACLE["edpelt_range_ranks"] = ORACLE["edpelt_radix_ranks"] = ORACLE["edpelt"]
 
 _DEP_KEYS = ["categoria", "departamento", "year"]
 _DEP = regression_sql("SELECT categoria, departamento, year, clave_local, fecha, CAST(precio_unitario AS DOUBLE) AS value "
@@ -374,10 +455,10 @@ SELECT 'departamento', r_name, s_suppkey
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 WHERE s_suppkey % 100 <> 0"""
 ORACLE["text_price_points"] = with_star(f"""
-SELECT clave_local, fecha, count(*) AS n, round(sum(CAST(precio_unitario AS DOUBLE)), 2) AS suma
+SELECT clave_local, fecha, count(*) AS n, {exact_sum("precio_unitario")} AS suma
 FROM ventas WHERE {_READ} AND clave_venta % 11 <> 0 GROUP BY clave_local, fecha""")
 ORACLE["text_quantity_sum"] = with_star("""
-SELECT clave_local, round(coalesce(sum(CAST(cant_vta_original AS DOUBLE)) FILTER (WHERE clave_venta % 13 <> 0), 0), 2) AS suma
+SELECT clave_local, coalesce(sum(CAST(cant_vta_original AS DOUBLE)) FILTER (WHERE clave_venta % 13 <> 0), 0) AS suma
 FROM ventas GROUP BY clave_local""")
 ORACLE["text_detections"] = ("WITH " + _REG_CTES + ",\n" + REG_RESULT + """
 SELECT categoria || chr(9) || year || chr(9) || CAST(clave_local AS VARCHAR) || ';'

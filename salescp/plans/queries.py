@@ -9,21 +9,24 @@ of which keys carry change points on this data:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exact import exact_sums
 from ..operators import aggregate as agg
 from ..operators import conclude, divide
 from ..operators.detect import detect
 from ..operators.edpelt import partial_sums, positions, threshold_histogram, thresholds, value_counts
-from ..operators.edpelt import edpelt
+from ..operators.edpelt import edpelt, edpelt_within
+from ..operators.edpelt_blocks import edpelt_blocks
 from ..operators.enrich import enrich
 from ..operators.regression import segmented_regression
 from ..operators.series import price_series
 from ..params import Filters
-from ..session import materialize
+from ..session import checkpoint_dir, materialize
 from ..sources import fixtures, sinks, text
 from . import jobs
 
@@ -44,15 +47,13 @@ def enriched(spark: SparkSession, sf_dir: str, category: str = "brand", how: str
 @query
 def daily_price_by_cat_dep_year(spark, sf_dir):
     v, p, l = fixtures.star(spark, sf_dir, "brand")
-    out = agg.daily_price_by_cat_dep_year(v, p, l, FIXTURE)
-    return out.withColumn("suma_precio", F.round("suma_precio", 2))
+    return agg.daily_price_by_cat_dep_year(v, p, l, FIXTURE, exact=True)
 
 
 @query
 def quantity_by_cat_dep(spark, sf_dir):
     v, p, l = fixtures.star(spark, sf_dir, "brand")
-    out = agg.quantity_by_cat_dep(v, p, l, FIXTURE)
-    return out.withColumn("cantidad", F.round("cantidad", 2))
+    return agg.quantity_by_cat_dep(v, p, l, FIXTURE, exact=True)
 
 
 _ENRICHED_COLS = ("clave_local", "clave_producto", "fecha", "cant_vta_original", "precio_unitario",
@@ -71,9 +72,8 @@ def enriched_left(spark, sf_dir):
 
 @query
 def avg_by_day(spark, sf_dir):
-    out = agg.average_by_subkey(enriched(spark, sf_dir, "type"), ["categoria", "year"], "fecha",
-                                "precio_unitario")
-    return out.withColumn("promedio", F.round("promedio", 2))
+    return agg.average_by_subkey(enriched(spark, sf_dir, "type"), ["categoria", "year"], "fecha",
+                                 "precio_unitario", exact=True)
 
 
 @query
@@ -83,8 +83,7 @@ def count_by_day(spark, sf_dir):
 
 @query
 def sum_by_key(spark, sf_dir):
-    out = agg.sum_by_key(enriched(spark, sf_dir, "type"), ["categoria", "year"], "precio_unitario")
-    return out.withColumn("suma", F.round("suma", 2))
+    return agg.sum_by_key(enriched(spark, sf_dir, "type"), ["categoria", "year"], "precio_unitario", exact=True)
 
 
 @query
@@ -105,6 +104,23 @@ def segmented_regression_q(spark, sf_dir):
     return regression_result(spark, sf_dir)
 
 
+@query
+def regression_by_blocks(spark, sf_dir):
+    """The same regression by a two-level scan over blocks of 64 days, from order-free per-date sums."""
+    series = price_series(enriched(spark, sf_dir, "type"), REGRESSION_KEYS)
+    return segmented_regression(series, REGRESSION_KEYS, block_days=64, exact=True)
+
+
+#: The series key of the original jobs.
+ORIGINAL_KEYS = ["categoria", "year", "clave_producto"]
+
+
+@query
+def regression_by_product_year(spark, sf_dir):
+    """The original jobs' series key: (category, year, product); two points a side, as its series are short here."""
+    return segmented_regression(price_series(enriched(spark, sf_dir, "type"), ORIGINAL_KEYS), ORIGINAL_KEYS, min_points=2)
+
+
 EDPELT_KEYS = ["categoria", "year"]
 
 
@@ -117,6 +133,25 @@ def edpelt_q(spark, sf_dir):
     return edpelt(edpelt_series(spark, sf_dir), EDPELT_KEYS)
 
 
+#: Cost evaluations per series: about half of the (brand, year) series at sf0.01 end within it.
+WORK_BUDGET = 1_500
+
+
+@query
+def edpelt_work_budget(spark, sf_dir):
+    """One row per series of a search that a work budget ends: what was used, the best cost and a bound from below."""
+    out = edpelt_within(edpelt_series(spark, sf_dir), EDPELT_KEYS, WORK_BUDGET)
+    return out.select(*EDPELT_KEYS, "points", "dates", "evaluations", "status", F.round("cost", 4).alias("cost"),
+                      F.round("lower_bound", 4).alias("lower_bound"),
+                      F.array_join(F.transform("change_points", lambda c: F.date_format(c, "yyyy-MM-dd")), ", ").alias("change_points"))
+
+
+@query
+def edpelt_by_blocks(spark, sf_dir):
+    """ED-PELT with every series cut in blocks of 64 days, the form for series of very many dates."""
+    return edpelt_blocks(edpelt_series(spark, sf_dir), EDPELT_KEYS, block_days=64)
+
+
 @query
 def edpelt_partial_sums(spark, sf_dir):
     keys = EDPELT_KEYS
@@ -157,6 +192,16 @@ def conclusion_json(spark, sf_dir):
     return conclude.conclude(regression_result(spark, sf_dir), ["categoria", "year"])
 
 
+@query
+def conclusion_file(spark, sf_dir):
+    """The single-file roll-up, written as `key<TAB>{json}` lines and read back: each line and how many files hold them."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/salescp-out-{uuid.uuid4().hex}"
+    sinks.write_text(conclude.conclude(regression_result(spark, sf_dir), EDPELT_KEYS), path, EDPELT_KEYS, ["histogram"], single_file=True)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))
+    files = lines.agg(F.countDistinct("file").alias("files"))
+    return lines.select("value").join(F.broadcast(files))  # one row
+
+
 SUPPLIER_KEYS = ["categoria", "year", "clave_local"]
 
 
@@ -234,6 +279,12 @@ def edpelt_range_ranks(spark, sf_dir):
     return edpelt(edpelt_series(spark, sf_dir), EDPELT_KEYS, rank_strategy="range")
 
 
+@query
+def edpelt_radix_ranks(spark, sf_dir):
+    """ED-PELT with positions from histogram refinement, no rank of every value."""
+    return edpelt(edpelt_series(spark, sf_dir), EDPELT_KEYS, rank_strategy="radix")
+
+
 @query
 def conclusion_by_department(spark, sf_dir):
     """The roll-up that keeps the department: regression per product and store, by (category, department, year)."""
@@ -323,7 +374,7 @@ def text_price_points(spark, sf_dir):
     """Points of the series built from text lines: a bad date drops the point."""
     rows = text.parse_lines(native_lines(spark, sf_dir), text.VENTAS_LAYOUT, name="ventas").rows
     s = price_series(rows, ["clave_local"])
-    return s.groupBy("clave_local", "fecha").agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("suma"))
+    return exact_sums(s, ["clave_local", "fecha"], F.col("value"), "suma", rows="n")
 
 
 @query
@@ -331,7 +382,7 @@ def text_quantity_sum(spark, sf_dir):
     """Sum of a text column per store; what is no number counts as nothing."""
     lines = native_lines(spark, sf_dir).select(F.split("value", ";").alias("f"))
     rows = lines.select(F.expr("cast(f[0] as bigint)").alias("clave_local"), F.expr("get(f, 4)").alias("cant_vta"))
-    return agg.sum_values(rows, "clave_local", "cant_vta").withColumn("suma", F.round("suma", 2))
+    return agg.sum_values(rows, "clave_local", "cant_vta", exact=True)
 
 
 @query
