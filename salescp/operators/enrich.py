@@ -6,9 +6,10 @@ join: such a sale is kept with category / department `''`.  For the left form
 the dimension filters are applied to the dimension *before* the join; applied
 after it they would change the result.
 
-Join strategy (`join_side`): the filtered dimensions are written once and
-counted on the way; one is broadcast only when its count proves it small,
-otherwise the join is a sort-merge join, where AQE splits a skewed sales key (one product or
+Join strategy (`join_side`): the filtered dimensions are written once, their
+rows and bytes counted on the way; one is broadcast only when both prove it small,
+otherwise the join is a sort-merge join (the inner form first drops sales that a
+bitmap of the dimension's keys rules out, `operators.reduce`), where AQE splits a skewed sales key (one product or
 store with a large share of all rows) into several tasks; `session.configure`
 sets `forceOptimizeSkewedJoin`, without which an aggregate above the join that
 reuses its partitioning would forbid that.
@@ -23,8 +24,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..params import BROADCAST_MAX_ROWS, Filters
+from ..params import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, BROADCAST_ROW_BYTES, Filters
 from ..session import materialize_counted
+from .reduce import reduce_facts
 
 SALES_COLUMNS = (
     "clave_local", "clave_producto", "fecha", "cant_vta_original", "cant_vta",
@@ -41,19 +43,24 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def written_sides(dfs, max_rows: int):
+def written_sides(dfs, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES):
     """Several (key, value) dimensions computed once, in one written table.
 
-    Returns [(dimension read back, True when it has at most `max_rows` rows)];
-    the rows are counted while they are written.
+    Returns [(dimension read back, True when it has at most `max_rows` rows and
+    `max_bytes` bytes)]; both are counted while they are written.
     """
     names = [df.columns for df in dfs]
     tagged = [df.select(F.lit(i).alias("side"), F.col(k).alias("k"), F.col(v).alias("v")) for i, (df, (k, v)) in enumerate(zip(dfs, names))]
     union = tagged[0]
     for other in tagged[1:]:
         union = union.unionByName(other)
-    out, rows = materialize_counted(union, {f"side{i}": F.count_if(F.col("side") == i) for i in range(len(dfs))})
-    return [(out.where(F.col("side") == i).select(F.col("k").alias(k), F.col("v").alias(v)), rows[f"side{i}"] <= max_rows)
+    size = F.octet_length(F.col("v").cast("string"))
+    out, seen = materialize_counted(union, {
+        **{f"rows{i}": F.count_if(F.col("side") == i) for i in range(len(dfs))},
+        **{f"text{i}": F.coalesce(F.sum(F.when(F.col("side") == i, size)), F.lit(0)) for i in range(len(dfs))}})
+    small = [seen[f"rows{i}"] <= max_rows and seen[f"rows{i}"] * BROADCAST_ROW_BYTES + seen[f"text{i}"] <= max_bytes
+             for i in range(len(dfs))]
+    return [(out.where(F.col("side") == i).select(F.col("k").alias(k), F.col("v").alias(v)), small[i])
             for i, (k, v) in enumerate(names)]
 
 
@@ -129,7 +136,8 @@ def store_filter(locales: DataFrame, filters: Filters = Filters()) -> DataFrame:
 
 def enrich(ventas: DataFrame, productos: DataFrame, locales: DataFrame, how: str = "inner",
            filters: Filters = Filters(), join_strategy: str = "checked",
-           broadcast_max_rows: int = BROADCAST_MAX_ROWS, strict: bool = False) -> DataFrame:
+           broadcast_max_rows: int = BROADCAST_MAX_ROWS, strict: bool = False,
+           broadcast_max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """J1 (how="inner") / J2+J3 (how="left"): sales with `categoria` and `departamento`, filtered.
 
     Returns the sales columns plus `categoria`, `departamento`.
@@ -147,7 +155,12 @@ def enrich(ventas: DataFrame, productos: DataFrame, locales: DataFrame, how: str
     sales = valid_sales(ventas, filters)
     small = [None, None]
     if join_strategy in ("checked", "broadcast"):
-        (prod, small[0]), (stores, small[1]) = written_sides([prod, stores], broadcast_max_rows)
+        (prod, small[0]), (stores, small[1]) = written_sides(
+            [prod, stores], broadcast_max_rows, broadcast_max_bytes)
+    if how == "inner":  # what a shuffle would only carry to be dropped goes before it
+        for side, key, fits in ((prod, "clave_producto", small[0]), (stores, "clave_local", small[1])):
+            if fits is False:
+                sales = reduce_facts(sales, side, key)
     out = (
         sales.join(join_side(prod, join_strategy, broadcast_max_rows, small[0]), "clave_producto", how)
         .join(join_side(stores, join_strategy, broadcast_max_rows, small[1]), "clave_local", how)

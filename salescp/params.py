@@ -30,11 +30,13 @@ TIMEOUT_TOKEN = "Timeout"
 FIXTURE_DEPARTMENTS = ("AFRICA", "AMERICA")
 FIXTURE_EXCLUDED_CATEGORY = "Brand#10"
 
-# Dimension tables at most this many rows (after de-duplication and filters)
-# are broadcast; larger ones go through a shuffle join.  The rows are counted
-# while the dimension is written.  A row is a long key and a short text (about
-# 40 bytes), so the bound is ~40 MB.
+# Dimension tables within both bounds (after de-duplication and filters) are
+# broadcast; larger ones go through a shuffle join.  Rows and the bytes of their
+# texts are counted while the dimension is written; a row counts 32 bytes besides
+# its text (key, pointers and length).
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
+BROADCAST_ROW_BYTES = 32
 
 
 @dataclass(frozen=True)

@@ -442,12 +442,26 @@ LEFT JOIN (SELECT clave, max(categoria) AS categoria FROM all_prod WHERE categor
 LEFT JOIN (SELECT clave, max(departamento) AS departamento FROM all_loc WHERE departamento IN ({DEPS}) GROUP BY clave) l
   ON s.clave_local = l.clave""", extra_ctes=_DOUBLED)
 
+ORACLE["enriched_inner_reduced"] = ORACLE["enriched_inner"]
+ORACLE["enriched_left_tagged"] = ORACLE["duplicate_keys_left"]
+
 _READ = "clave_venta % 13 <> 0 AND clave_venta % 17 <> 0"
 ORACLE["text_sales"] = with_star(f"""
 SELECT clave_local, clave_producto,
        CASE WHEN clave_venta % 11 = 0 THEN '2024-13-45' ELSE strftime(fecha, '%Y-%m-%d') END AS fecha,
        cant_vta_original AS cant_vta, precio_unitario, clave_venta
 FROM ventas WHERE {_READ}""")
+ORACLE["text_rejects"] = with_star("""
+SELECT CASE WHEN clave_venta % 17 = 0 THEN 'short line' ELSE 'bad cant_vta' END AS reason,
+  CAST(clave_local AS VARCHAR) || ';' || CAST(clave_producto AS VARCHAR) || ';'
+  || CASE WHEN clave_venta % 11 = 0 THEN '2024-13-45' ELSE strftime(fecha, '%Y-%m-%d') END || ';'
+  || printf('%.1f', cant_vta_original) || ';'
+  || CASE WHEN clave_venta % 13 = 0 THEN 'dos' ELSE printf('%.1f', cant_vta_original) END AS five_fields,
+  CAST(1 AS BIGINT) AS lines_at_a_place
+FROM ventas WHERE clave_venta % 13 = 0 OR clave_venta % 17 = 0""")
+ORACLE["text_last_duplicate"] = """
+SELECT p_partkey AS clave, CASE WHEN p_partkey % 3 = 0 THEN 'AA' || CAST(p_partkey AS VARCHAR) ELSE p_brand END AS categoria
+FROM part"""
 ORACLE["text_dimensions"] = """
 SELECT 'categoria' AS tabla, p_brand AS valor, p_partkey AS clave FROM part WHERE p_partkey % 100 <> 0
 UNION ALL

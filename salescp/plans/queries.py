@@ -25,6 +25,7 @@ from ..operators.edpelt_blocks import edpelt_blocks
 from ..operators.enrich import enrich
 from ..operators.regression import segmented_regression
 from ..operators.series import price_series
+from ..operators.tagged import enrich_tagged
 from ..params import Filters
 from ..session import checkpoint_dir, materialize
 from ..sources import fixtures, sinks, text
@@ -70,6 +71,19 @@ def enriched_left(spark, sf_dir):
     return enriched(spark, sf_dir, "brand", "left").select(*_ENRICHED_COLS)
 
 
+@query
+def enriched_inner_reduced(spark, sf_dir):
+    """The inner join with dimensions taken as too large to broadcast: sales meet bitmaps of their keys, then sort-merge joins."""
+    v, p, l = fixtures.star(spark, sf_dir, "brand")
+    return enrich(v, p, l, how="inner", filters=FIXTURE, broadcast_max_rows=0).select(*_ENRICHED_COLS)
+
+
+@query
+def enriched_left_tagged(spark, sf_dir):
+    """The left joins as tagged unions, with duplicate dimension keys: one exchange for each dimension, no join."""
+    return enrich_tagged(*doubled_star(spark, sf_dir), filters=FIXTURE).select(*_ENRICHED_COLS)
+
+
 @query
 def avg_by_day(spark, sf_dir):
     return agg.average_by_subkey(enriched(spark, sf_dir, "type"), ["categoria", "year"], "fecha",
@@ -355,6 +369,35 @@ def text_sales(spark, sf_dir):
         "clave_local", "clave_producto", "fecha", "cant_vta", "precio_unitario", "clave_venta")
 
 
+def written_lines(df: DataFrame, name: str, mode: str = "error", path: str | None = None) -> str:
+    """A new folder of text files with these lines, in the shared folder."""
+    path = path or f"{checkpoint_dir(df.sparkSession).rstrip('/')}/salescp-lines-{uuid.uuid4().hex}"
+    df.write.mode(mode).text(f"{path}/{name}")
+    return path
+
+
+@query
+def text_rejects(spark, sf_dir):
+    """The rejected lines of text files with their reasons; (file, block, line) tells them apart."""
+    path = written_lines(native_lines(spark, sf_dir), "ventas")
+    found = text.quarantine(spark, f"{path}/ventas", text.VENTAS_LAYOUT).rejects
+    places = found.groupBy("file", "block", "line").count()
+    one = places.agg(F.coalesce(F.max("count"), F.lit(0)).alias("lines_at_a_place"))
+    return found.select("reason", F.substring_index("value", ";", 5).alias("five_fields")).join(F.broadcast(one))  # one row
+
+
+@query
+def text_last_duplicate(spark, sf_dir):
+    """Product lines in two files, the second with other categories for some keys: the last line of a key counts."""
+    p = fixtures.productos(spark, sf_dir, "brand")
+    line = F.concat_ws(";", "categoria", F.col("clave").cast("string")).alias("value")
+    path = written_lines(p.select(line), "productos/a")
+    again = p.where("clave % 3 = 0").withColumn("categoria", F.concat(F.lit("AA"), F.col("clave").cast("string")))
+    written_lines(again.select(line), "productos/b", path=path)
+    rows = text.quarantine(spark, f"{path}/productos/*", text.PRODUCTOS_LAYOUT).rows
+    return text.last_in_file_order(rows, "clave", "categoria")
+
+
 @query
 def text_dimensions(spark, sf_dir):
     """Product and store lines, each under a header line that is rejected."""

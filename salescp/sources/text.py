@@ -10,6 +10,9 @@ series later, the sale still counts in the aggregates.
 Counts of read and rejected lines come back through a Spark `Observation`,
 filled in by whatever action runs the plan; with `strict=True` that action fails
 on the first bad line instead.
+
+`quarantine` keeps the rejected lines too: one scan writes every line, typed or
+with its reason, and where it stood; rows and rejects are read from what was written.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..params import FIELD_SEPARATOR
+from ..session import materialize
 
 # --- fixed values: column layouts of the native tables (position order) -----
 VENTAS_LAYOUT = (
@@ -75,6 +79,47 @@ def parse_lines(lines: DataFrame, layout, sep: str = FIELD_SEPARATOR, name: str
     return Parsed(observed.filter(F.col("_ok")).drop("_ok"), obs)
 
 
+@dataclass
+class Quarantined:
+    """Both outcomes of one scan; file, block and line tell where a line stood."""
+
+    rows: DataFrame  # the layout's columns, file, block, line
+    rejects: DataFrame  # reason, value, file, block, line
+
+
+def quarantine(spark: SparkSession, path: str, layout, sep: str = FIELD_SEPARATOR) -> Quarantined:
+    """S4/S5 with the rejected lines: the reason is 'short line' or the first field that does not parse.
+
+    file: the file's path; block: the byte at which the part of the file that one task read begins; line: the
+    line's number in that block, from 0.  Lines of one file stand in the order (block, line).
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("_seq"))
+    parts = F.split(F.col("value"), _regex_literal(sep), -1)
+    reason, cols = F.when(F.size(parts) < len(layout), F.lit("short line")), []
+    for pos, (col, dtype) in enumerate(layout):
+        raw = F.get(parts, pos)
+        val = raw if dtype == "string" else raw.try_cast(dtype)
+        cols.append(val.alias(col))
+        if dtype != "string":
+            reason = reason.when(val.isNull(), F.lit(f"bad {col}"))
+    typed = materialize(lines.select(*cols, reason.alias("_reason"), "file", "block", "_seq",
+                                     F.when(reason.isNotNull(), F.col("value")).alias("_value")))
+    # a block is read by one task in order, so its lines have neighbouring numbers
+    first = typed.groupBy("file", "block").agg(F.min("_seq").alias("_first"))
+    placed = typed.join(first, ["file", "block"]).withColumn("line", F.col("_seq") - F.col("_first"))
+    return Quarantined(placed.where("_reason is null").select(*(c for c, _ in layout), "file", "block", "line"),
+                       placed.where("_reason is not null").select(
+                           F.col("_reason").alias("reason"), F.col("_value").alias("value"), "file", "block", "line"))
+
+
+def last_in_file_order(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """S6 by arrival: one row per key, the value of its last line (by file, block, line) among `Quarantined.rows`."""
+    at = F.struct("file", "block", "line")
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(value, at).alias(value))
+
+
 def _regex_literal(sep: str) -> str:
     return "".join("\\" + ch if ch in r"\^$.|?*+()[]{}" else ch for ch in sep)
 
