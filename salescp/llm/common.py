@@ -34,6 +34,20 @@ def worker_store(name: str) -> dict:
     return held[1]
 
 
+def slices_of_rows(batch, at: int, limit: int):
+    """An Arrow batch in slices of rows whose column `at` (text) has about `limit` bytes, one row at least."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(at)), 0), dtype=np.int64))
+    start = 0
+    while start < len(size) or not start:  # an empty batch is one slice
+        done = size[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(size, done + limit, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 200) -> DataFrame:
     """(node, component): the smallest node reachable over undirected edges (a, b).
 

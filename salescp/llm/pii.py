@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices_of_rows
+
 KINDS = ("email", "ip", "card", "phone")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -417,10 +419,15 @@ def fit(docs: DataFrame, train_docs: int = 1500, doc_windows: int = 20, id_col:
 
 
 def find(docs: DataFrame, tagger: Tagger | None, finish, schema: str, id_col: str = "doc_id",
-         text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """One row per row: the columns `keep` (default: the id) and what `finish(text, base, spans)` returns."""
+         text_col: str = "text", keep: list[str] | None = None, batch_chars: int = 1 << 22) -> DataFrame:
+    """One row per row: the columns `keep` (default: the id) and what `finish(text, base, spans)` returns.
+
+    A worker works on about `batch_chars` bytes of text (or one longer text) at a time.
+    """
     keep = keep or [id_col]
-    docs = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text"))
+    columns = keep if text_col in keep else [*keep, text_col]  # the text travels once
+    at = columns.index(text_col)
+    docs = docs.select(*[F.col(f"`{c}`") for c in columns])
     finder = Finder(tagger)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -429,13 +436,14 @@ def find(docs: DataFrame, tagger: Tagger | None, finish, schema: str, id_col: st
     arrow = list(to_arrow_schema(added))
 
     def run(batches):
-        for batch in batches:
-            texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
-            rows = [finish(t, b, s) for t, (b, s) in zip(texts, finder.spans(texts))]
-            columns = zip(*rows) if rows else [[] for _ in arrow]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(keep)], *(pa.array(c, f.type) for c, f in zip(columns, arrow))],
-                names=[*keep, *(f.name for f in arrow)])
+        for whole in batches:
+            for batch in slices_of_rows(whole, at, batch_chars):
+                texts = [t or "" for t in batch.column(at).to_pylist()]
+                rows = [finish(t, b, s) for t, (b, s) in zip(texts, finder.spans(texts))]
+                results = zip(*rows) if rows else [[] for _ in arrow]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:len(keep)], *(pa.array(c, f.type) for c, f in zip(results, arrow))],
+                    names=[*keep, *(f.name for f in arrow)])
 
     return docs.mapInArrow(run, StructType([*docs.schema.fields[:len(keep)], *added.fields]))
 

@@ -74,6 +74,24 @@ class Network:
         h = np.tanh(((x - self.mean) / self.std) @ self.w[0] + self.w[1])
         return h @ self.w[2] + self.w[3][0]
 
+    def gradients(self, p, u, prior):
+        """(unlabelled less positive part of the risk, gradients of what a step descends) of standardised rows.
+
+        The risk, while that part is not negative; else the part's negative, the step back.
+        """
+        x = np.concatenate([p, u])
+        h = np.tanh(x @ self.w[0] + self.w[1])
+        s = 1 / (1 + np.exp(-np.clip(h @ self.w[2] + self.w[3][0], -40, 40)))
+        sp, su = s[:len(p)], s[len(p):]
+        # logistic loss: l(+) = -log s, l(-) = -log(1 - s); derivatives s - 1 and s
+        negative = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
+        if negative >= 0:
+            g = np.concatenate([prior * ((sp - 1) - sp) / len(sp), su / len(su)])
+        else:  # the negative part went below zero: step back along it alone
+            g = np.concatenate([prior * sp / len(sp), -su / len(su)])
+        back = np.outer(g, self.w[2]) * (1 - h * h)
+        return negative, [x.T @ back, back.sum(axis=0), h.T @ g, np.array([g.sum()])]
+
     def train(self, pos, unl, prior, rounds=80, batch=512, rate=2e-3, decay=1e-4):
         self._start(np.concatenate([pos, unl]))
         p, u = ((x - self.mean) / self.std for x in (pos, unl))
@@ -84,18 +102,7 @@ class Network:
             for part_p, part_u in zip(np.array_split(pi, steps), np.array_split(ui, steps)):
                 if not len(part_p) or not len(part_u):
                     continue
-                x = np.concatenate([p[part_p], u[part_u]])
-                h = np.tanh(x @ self.w[0] + self.w[1])
-                s = 1 / (1 + np.exp(-np.clip(h @ self.w[2] + self.w[3][0], -40, 40)))
-                sp, su = s[:len(part_p)], s[len(part_p):]
-                # logistic loss: l(+) = -log s, l(-) = -log(1 - s); derivatives s - 1 and s
-                negative = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
-                if negative >= 0:
-                    g = np.concatenate([prior * ((sp - 1) - sp) / len(sp), su / len(su)])
-                else:  # the negative part went below zero: step back along it alone
-                    g = np.concatenate([prior * sp / len(sp), -su / len(su)])
-                back = np.outer(g, self.w[2]) * (1 - h * h)
-                grads = [x.T @ back, back.sum(axis=0), h.T @ g, np.array([g.sum()])]
+                grads = self.gradients(p[part_p], u[part_u], prior)[1]
                 t += 1
                 for k, grad in enumerate(grads):
                     grad = grad + decay * self.w[k]
@@ -125,6 +132,11 @@ def class_prior(pos: np.ndarray, unl: np.ndarray, seed: int = 11, folds: int = 3
         net._start(x)
         _logistic(net, (x - net.mean) / net.std, y)
         sp[fp == k], su[fu == k] = net.value(pos[fp == k]), net.value(unl[fu == k])
+    return prior_bound(sp, su)
+
+
+def prior_bound(sp: np.ndarray, su: np.ndarray) -> float:
+    """The least bound over all cuts of the scores of positive (`sp`) and unlabelled rows (`su`)."""
     cuts = np.quantile(np.concatenate([sp, su]), np.linspace(0, 0.98, 99))
     a = (sp[None, :] >= cuts[:, None]).mean(axis=1)
     b = (su[None, :] >= cuts[:, None]).mean(axis=1)
@@ -200,9 +212,8 @@ def score(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_col
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            value = [net.value(np.stack([features(t) for t in texts[a:a + 256]]).astype(np.float64))
-                     for a in range(0, len(texts), 256)]
+            value = [net.value(np.stack([features(t) for t in batch.column(at).slice(a, 256).to_pylist()]).astype(np.float64))
+                     for a in range(0, batch.num_rows, 256)]
             value = np.clip(np.concatenate(value) if value else np.zeros(0), -40, 40)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-value)), pa.float64())],
                                              names=[*batch.schema.names, "_score"])
