@@ -16,7 +16,8 @@ of a batch once, in blocks of equal length, and keeps a bounded cache.
 Defined results: a null text, or one without a letter, is `und` with score 0;
 so is every text when there is no labelled row.  Ties go to the language that
 sorts first.  Rows with a null id or label teach nothing; null and repeated ids
-are predicted like any other row.
+are predicted like any other row.  A text of any length is read whole; an empty
+table gives no rows; columns other than id, text and label are not read.
 """
 
 from __future__ import annotations
@@ -198,13 +199,18 @@ def words_of(text: str) -> list[bytes]:
 
 
 def fit(labelled: DataFrame, path: str, train_docs: int = 400, train_chars: int = 1_500_000, id_col: str = "doc_id",
-        text_col: str = "text", label_col: str = "lang"):
+        text_col: str = "text", label_col: str = "lang", most_labels: int = 256):
     """(languages, log priors, probabilities) from a bounded sample of labelled rows.
 
     Rows: the `train_docs` of smallest id hash for each label, up to `train_chars`
-    characters in all; priors: label shares over all labelled rows.
+    characters in all; priors: label shares over all rows of these labels.  The
+    `most_labels` labels of most rows are learned (about 170 KB of model each), so
+    stray label values cannot make the model grow.
     """
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
+    most = (rows.groupBy(F.col(label_col).alias("l")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(most_labels)
+            .collect())
+    rows = rows.where(F.col(label_col).isin([r["l"] for r in most]))
     narrow = rows.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label"), F.xxhash64(id_col).alias("_h"))
     first = (narrow.withColumn("_k", F.row_number().over(Window.partitionBy("_label").orderBy("_h", "_id")))
              .where(F.col("_k") <= train_docs))
@@ -223,7 +229,7 @@ def fit(labelled: DataFrame, path: str, train_docs: int = 400, train_chars: int
 
     model = {r["label"]: np.frombuffer(bytes(r["prob"]), dtype=np.float32)
              for r in sample.groupBy("_label").applyInPandas(one, "label string, prob binary").collect()}
-    share = {r["l"]: r["n"] for r in rows.groupBy(F.col(label_col).cast("string").alias("l")).agg(F.count("*").alias("n")).collect()}
+    share = {str(r["l"]): r["n"] for r in most}
     names = sorted(model)
     total = sum(share[x] for x in names)
     prior = np.log([share[x] / total for x in names])

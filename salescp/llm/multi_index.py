@@ -17,8 +17,12 @@ task holds more than a block and a shard.
 
 Defined results: vectors that are null, empty, zero or hold a null or
 non-finite component take no part, nor do rows with a null id, nor vectors of
-another length than the most frequent one (ties: the longer); of rows that
-repeat an id the smallest vector stands for it; ties go to the smaller id.
+another length than the most frequent one (ties: the longer); rows of one
+id with different vectors are candidates and queries of their own (a query row is
+not its own candidate, another row with its id is), rows equal in both stand for
+one; ties go to the smaller id.  Products beyond the
+range of a double are ordered by wider numbers and returned as infinite.  An empty
+table gives no rows; columns other than id and vector are not read.
 """
 
 from __future__ import annotations
@@ -81,17 +85,19 @@ def search(vectors: DataFrame, queries, n: int = 20, k: int = 64, scan: float =
     """(query_id, rank, vec_id, score) for the vectors whose id fulfils `queries` (SQL over `id`), against all others."""
     spark = vectors.sparkSession
     rows = materialize(vectors.where(usable(vec_col) & F.col(id_col).isNotNull())
-                       .select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
-                       .groupBy("id").agg(F.min("v").alias("v")))
+                       .select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("v")).distinct()
+                       .withColumn("row", F.monotonically_increasing_id()))  # written, so a row keeps its number
     lengths = sorted((r["n"], r["d"]) for r in rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).collect())
     kind = rows.schema["id"].dataType.simpleString()
     if not lengths:
         return spark.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score double")
     total, d = lengths[-1]
     rows = rows.where(F.size("v") == d)
-    sample = np.array([r["v"] for r in rows.select("id", "v", F.xxhash64("id").alias("h")).orderBy("h", "id")
+    sample = np.array([r["v"] for r in rows.select("id", "v", F.xxhash64("id").alias("h")).orderBy("h", "id", "v")
                       .limit(max(256, sample_values // d)).collect()])
     half = (d + 1) // 2
+    scale = 2.0 ** np.floor(np.log2(np.abs(sample).max()))  # vectors are filed in these units, so that squares stay in range
+    sample = sample / scale
     books = centroids(sample[:, :half], k), centroids(sample[:, half:], k) if d > 1 else np.zeros((1, 0))
     n_cells = len(books[0]) * len(books[1])
     shards, blocks = -(-total // shard_rows), None
@@ -102,10 +108,11 @@ def search(vectors: DataFrame, queries, n: int = 20, k: int = 64, scan: float =
         for f in batches:
             if len(f):
                 x = np.stack(f["v"].to_numpy())
-                cell = nearest(x[:, :half], one) * len(two) + nearest(x[:, half:], two)
-                yield pd.DataFrame({"id": f["id"], "cell": cell, "x": [r.astype("<f8").tobytes() for r in x]})
+                y = x / scale
+                cell = nearest(y[:, :half], one) * len(two) + nearest(y[:, half:], two)
+                yield pd.DataFrame({"id": f["id"], "row": f["row"], "cell": cell, "x": [r.astype("<f8").tobytes() for r in x]})
 
-    index = materialize(rows.mapInPandas(file, f"id {kind}, cell int, x binary"))
+    index = materialize(rows.mapInPandas(file, f"id {kind}, row bigint, cell int, x binary"))
     counts = np.zeros(n_cells, dtype=np.int64)
     for r in index.groupBy("cell").agg(F.count("*").alias("n")).collect():  # at most k * k rows
         counts[r["cell"]] = r["n"]
@@ -117,42 +124,49 @@ def search(vectors: DataFrame, queries, n: int = 20, k: int = 64, scan: float =
         one, two = shared.value
         for f in batches:
             cells = []
-            for q in matrix(f["x"]) if len(f) else []:
+            for q in matrix(f["x"]) / scale if len(f) else []:
                 seen = np.zeros(n_cells, dtype=bool)
                 seen[walk(-(one @ q[:half]), -(two @ q[half:]), counts, wanted)] = True
                 cells.append(np.packbits(seen).tobytes())
-            yield pd.DataFrame({"id": f["id"], "x": f["x"], "cells": cells})
+            yield pd.DataFrame({"id": f["id"], "row": f["row"], "x": f["x"], "cells": cells})
 
-    planned = (asked.select("id", "x").mapInPandas(plan, f"id {kind}, x binary, cells binary")
-               .withColumn("block", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(blocks)).cast("int"))
+    planned = (asked.select("id", "row", "x").mapInPandas(plan, f"id {kind}, row bigint, x binary, cells binary")
+               .withColumn("block", F.pmod(F.xxhash64(F.lit(1), "row"), F.lit(blocks)).cast("int"))
                .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
-    dealt = (index.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
+    dealt = (index.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
 
     def meet(asks, entries):
-        empty = pd.DataFrame({"query_id": asks["id"][:0], "vec_id": entries["id"][:0], "score": np.zeros(0)})
+        empty = pd.DataFrame({"query_id": asks["id"][:0], "query_row": asks["row"][:0], "vec_id": entries["id"][:0], "score": np.zeros(0)})
         if not len(asks) or not len(entries):
             return empty
         entries = entries.sort_values("cell", kind="stable")
         q, x, ids, q_ids = matrix(asks["x"]), matrix(entries["x"]), entries["id"].to_numpy(), asks["id"].to_numpy()
+        of_row, q_rows = entries["row"].to_numpy(), asks["row"].to_numpy()
         seen = np.unpackbits(np.stack([np.frombuffer(c, dtype=np.uint8) for c in asks["cells"]]), axis=1).astype(bool)
         cell = entries["cell"].to_numpy()
         cuts = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1], [True])))
         score = np.full((len(q), len(x)), -np.inf)
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            who = np.flatnonzero(seen[:, cell[a]])
-            score[who, a:b] = q[who] @ x[a:b].T
-        out = []
-        for k_, row in enumerate(score):
-            row[ids == q_ids[k_]] = -np.inf
-            last = np.partition(row, -n)[-n] if len(row) > n else -np.inf
-            near = np.flatnonzero((row >= last - 1e-9 * max(1.0, abs(last))) & np.isfinite(row))
-            exact = (x[near] * q[k_]).sum(axis=1)  # the same order of additions for every row
-            near = near[np.lexsort((ids[near], -exact))[:n]]
-            out.append(pd.DataFrame({"query_id": q_ids[k_], "vec_id": ids[near], "score": (x[near] * q[k_]).sum(axis=1)}))
+        with np.errstate(over="ignore", invalid="ignore"):
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                who = np.flatnonzero(seen[:, cell[a]])
+                score[who, a:b] = q[who] @ x[a:b].T
+            out = []
+            for k_, row in enumerate(score):
+                met = np.flatnonzero(seen[k_, cell] & (of_row != q_rows[k_]))
+                row = row[met]
+                if not np.isfinite(row).all():  # beyond the range of a double: in wider numbers
+                    row = (x[met].astype(np.longdouble) * q[k_]).sum(axis=1)
+                last = np.partition(row, -n)[-n] if len(row) > n else -np.inf
+                near = met[row >= last - 1e-9 * max(1.0, abs(last))] if last > -np.inf else met
+                exact = (x[near] * q[k_]).sum(axis=1)  # the same order of additions for every row
+                by = exact if np.isfinite(exact).all() else (x[near].astype(np.longdouble) * q[k_]).sum(axis=1)
+                best = np.lexsort((ids[near], -by))[:n]
+                out.append(pd.DataFrame({"query_id": q_ids[k_], "query_row": q_rows[k_], "vec_id": ids[near[best]],
+                                         "score": by[best].astype(np.float64)}))
         return pd.concat([empty, *out]) if out else empty
 
     best = (planned.groupBy("block", "shard").cogroup(dealt.groupBy("block", "shard"))
-            .applyInPandas(meet, f"query_id {kind}, vec_id {kind}, score double"))
-    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+            .applyInPandas(meet, f"query_id {kind}, query_row bigint, vec_id {kind}, score double"))
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= n).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

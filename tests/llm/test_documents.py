@@ -133,6 +133,65 @@ def test_long_words_teach(monkeypatch):
     assert np.allclose(language_id.learn(pieces, words), prob, rtol=1e-9, atol=0)
 
 
+def segmentations(word, index):
+    """Every way to cut a word into pieces, as lists of piece numbers."""
+    if not word:
+        return [[]]
+    return [[index[word[:k]], *rest] for k in range(1, len(word) + 1) if word[:k] in index for rest in segmentations(word[k:], index)]
+
+
+def test_learning_by_enumerated_segmentations():
+    pieces = language_id.Pieces(MULTI)
+    index = {t: k for k, t in enumerate(pieces.tokens)}
+    words = {b" the": 7, b" cat": 3, b" chat": 2, b" \xc3\xa9t\xc3\xa9": 1}
+    sizes = np.array([len(t) for t in pieces.tokens])
+    prob = 0.02 ** (sizes - 1.0) / 256
+    prob = prob / prob.sum()
+    for _ in range(4):  # expectation: each segmentation's share of its word's count, to each of its pieces
+        expected = np.zeros(len(sizes))
+        for word, count in words.items():
+            every = segmentations(word, index)
+            weight = np.array([np.prod(prob[s]) for s in every])
+            for s, w in zip(every, weight / weight.sum()):
+                for piece in s:
+                    expected[piece] += count * w
+        prob = expected + 0.05
+        prob[sizes == 1] += 0.5
+        prob /= prob.sum()
+    assert np.allclose(language_id.learn(pieces, words)[:-1], prob, rtol=1e-9, atol=0)
+
+
+def test_rows_are_the_posterior_of_the_fold_s_model(spark, make_docs):
+    train = [(i, t, lang) for lang, base, t in (("en", 1000, "the cat sat"), ("fr", 2000, "le chat assis"), ("de", 3000, "die Katze"))
+             for i in range(base, base + {"en": 60, "fr": 30, "de": 20}[lang])]
+    rows = train + [(5000 + k, t, None) for k, t in enumerate(["the", "chat", "die cat", "x"])]
+    docs = make_docs(rows)
+    fold = {i: __import__("zlib").crc32(str(i).encode()) % 5 for i, *_ in rows}
+    used = [(t, lang) for i, t, lang in train if fold[i]]
+    langs = sorted({lang for _, lang in used})
+    pieces = language_id.Pieces(MULTI)
+    index = {t: k for k, t in enumerate(pieces.tokens)}
+    model = []
+    for lang in langs:
+        counts = Counter(w for t, x in used if x == lang for w in language_id.words_of(t))
+        model.append(language_id.learn(pieces, dict(counts)).astype(np.float32).astype(float))
+    share = Counter(lang for _, lang in used)
+    for r in language_id.identify(docs, MULTI).collect():
+        text = dict((i, t) for i, t, _ in rows)[r.doc_id]
+        logs = [np.log(share[lang] / len(used)) + sum(
+            np.log(sum(np.prod(p[s]) for s in segmentations(w, index))) for w in language_id.words_of(text))
+            for lang, p in zip(langs, model)]
+        post = np.exp(logs - np.max(logs)) / np.exp(logs - np.max(logs)).sum()
+        assert (r.held_out, r.lang_pred) == (fold[r.doc_id] == 0, langs[int(np.argmax(post))])
+        assert r.score == pytest.approx(post.max(), rel=1e-6)
+
+
+def test_stray_labels_do_not_grow_the_model(make_docs):
+    docs = make_docs([(i, "the cat", "en") for i in range(9)] + [(100 + i, "le chat", "fr") for i in range(5)] + [(200 + i, "x", f"l{i}") for i in range(20)])
+    names, prior, prob = language_id.fit(docs, MULTI, most_labels=2)
+    assert names == ["en", "fr"] and prob.shape[1] == 2 and np.allclose(np.exp(prior), [9 / 14, 5 / 14])
+
+
 def test_language_accuracy_and_held_out(spark):
     out = queries.op3_language_id(spark, SF_ORACLE).toPandas()
     docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").select("doc_id", "lang").toPandas()
@@ -168,6 +227,63 @@ def test_pu_risk_separates_with_a_known_prior():
     assert (net.value(pos) > 0).mean() > 0.95 and (net.value(neg) < 0).mean() > 0.8
 
 
+def test_risk_and_gradient_by_finite_differences():
+    rng = np.random.default_rng(2)
+    seen = set()
+    for trial in range(6):
+        p, u = rng.normal(1, 1, (30, 4)), rng.normal(0 if trial % 2 else 3, 1, (50, 4))
+        net, prior = quality.Network(hidden=5, seed=trial), [0.3, 0.95][trial % 2]
+        net._start(np.concatenate([p, u]))
+        net.w = [w + rng.normal(0, 0.5, w.shape) for w in net.w]
+
+        def value(x):
+            return np.tanh(x @ net.w[0] + net.w[1]) @ net.w[2] + net.w[3][0]
+
+        def parts():  # written out: R_P(+), and R_U(-) less the prior's share of R_P(-)
+            plus, minus = (lambda z: np.log1p(np.exp(-z))), (lambda z: np.log1p(np.exp(z)))
+            return plus(value(p)).mean(), minus(value(u)).mean() - prior * minus(value(p)).mean()
+
+        negative, grads = net.gradients(p, u, prior)
+        assert negative == pytest.approx(parts()[1], rel=1e-9)
+        seen.add(negative >= 0)
+        aim = (lambda: prior * parts()[0] + parts()[1]) if negative >= 0 else (lambda: -parts()[1])
+        for w, g in zip(net.w, grads):
+            for at in list(np.ndindex(*w.shape))[:12]:
+                keep, eps = w[at], 1e-6
+                w[at] = keep + eps
+                up = aim()
+                w[at] = keep - eps
+                down = aim()
+                w[at] = keep
+                assert g[at] == pytest.approx((up - down) / (2 * eps), rel=1e-4, abs=1e-7)
+    assert seen == {True, False}  # both sides of the non-negative risk
+
+
+def test_prior_bound_by_direct_count():
+    rng = np.random.default_rng(4)
+    for prior in (0.2, 0.5, 0.8):
+        sp = rng.normal(2, 1, 800)
+        su = np.concatenate([rng.normal(2, 1, int(1000 * prior)), rng.normal(-2, 1, int(1000 * (1 - prior)))])
+        bounds = []
+        for share in [k * 0.98 / 98 for k in range(99)]:
+            cut = np.quantile(np.concatenate([sp, su]), share)
+            a, b = sum(x >= cut for x in sp) / len(sp), sum(x >= cut for x in su) / len(su)
+            if a >= 0.2:
+                error = 0.5 * (max(b * (1 - b), 1e-9) / len(su)) ** 0.5 + 0.5 * (max(a * (1 - a), 1e-9) / len(sp)) ** 0.5
+                bounds.append((b + error) / a)
+        assert quality.prior_bound(sp, su) == pytest.approx(min(max(min(bounds), 0.02), 0.98), rel=1e-9)
+        assert abs(quality.prior_bound(sp, su) - prior) < 0.06
+
+
+def test_features_travel_as_bytes(spark, make_docs):
+    rows = [(k, t) for k, t in enumerate(["", None, "A text, here\n" * 30, "é" * 5000, "1 2 3"])]
+    got = quality.with_features(make_docs(rows), "doc_id", "text").collect()
+    for r in got:
+        assert np.array_equal(np.frombuffer(bytes(r.f), dtype="<f4"), quality.features(rows[r.doc_id][1]))
+    x = quality.feature_rows([bytes(r.f) for r in got])
+    assert x.shape == (5, quality.N_FEATURES) and np.array_equal(x, quality.feature_rows([bytes(r.f) for r in reversed(got)]))
+
+
 def test_quality_held_out_accuracy(spark):
     out = queries.op6_quality(spark, SF_ORACLE).toPandas()
     labels = spark.read.parquet(f"{SF_ORACLE}/labels.parquet").select("doc_id", "quality").toPandas()

@@ -70,6 +70,30 @@ def test_search_gives_all_candidates_if_few(spark):
         assert all(ranks == list(range(1, min(20, count - 1) + 1)) for ranks in per.values())
 
 
+def test_search_takes_every_row_of_an_id_and_products_beyond_a_double(spark):
+    rows = [(0, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (1, [0.1, 0.9], 1), (3, [0.5, 0.0], 1), (0, [0.0, 3.0], 1), (20, [1e200, 1e200], 1),
+            (21, [1e200, 2e200], 1), (22, [-1e200, 0.0], 1)]
+    wide = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = multi_index.search(wide, "id % 20 = 0", n=3).collect()
+    first = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == 0)
+    assert [x for x in first if x[0] == 1] == [(1, 20, 1e200), (1, 21, 6e200)] and len(first) == 6
+    top = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == 20)
+    assert [(a, b) for a, b, _ in top] == [(1, 21), (2, 0), (3, 1)] and top[0][2] == np.inf
+    few = multi_index.search(wide.where("vec_id < 20 and embedding[1] < 3"), "id % 20 = 0").collect()
+    assert sorted((r["rank"], r.vec_id, r.score) for r in few) == [(1, 1, 1.0), (2, 3, 0.5), (3, 1, 0.1)]
+
+
+def test_decoding_large_codes_takes_bounded_memory():
+    import tracemalloc
+
+    code, x = cap_filters.ProductCode(64, 4096, 24.0), cap_filters.unit_rows(np.random.default_rng(1), 3000, 64)
+    tracemalloc.start()
+    lists = code.decode(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(lists) == 3000 and peak < 300e6
+
+
 def test_list_decoding_is_every_exceeding_filter():
     code, rng = cap_filters.ProductCode(16, 12, 10.0, least=2), np.random.default_rng(3)
     x = cap_filters.unit_rows(rng, 40, 16)
