@@ -16,6 +16,8 @@ it gives one row with status 'timeout' instead of dates.
 Both phases read one materialized table of folded points
 (key, segment, fecha, value, count), so the fact table is scanned once; the
 phase-1 result is written too, since candidates and time-outs both read it.
+Phase 2's positions and histogram need no candidate: they are made while phase 1
+runs, so only its folding into intervals and its program wait for it.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import DIVIDE_SEGMENTS, MIN_POINTS
-from ..session import materialize
-from .edpelt import positions, result_schema, run_dp, threshold_histogram
+from ..session import materialize, side_by_side
+from .edpelt import folded_histogram, result_schema, run_dp
 
 SEGMENT = "segmento"
 
@@ -45,10 +47,9 @@ def phase1(vcs: DataFrame, series: DataFrame, key_cols: Sequence[str], min_point
     """ED-PELT per (key, segment), (key..., segmento, change_point, status)."""
     skeys = list(key_cols) + [SEGMENT]
     vc = vcs.select(*skeys, "fecha", "value", "c")
-    pos = materialize(positions(vc, skeys, rank_strategy, reuse=reuse, known_rows=known_rows), reuse)
-    hist = threshold_histogram(vc, pos, skeys)
+    hist, placed = folded_histogram(vc, known_rows, skeys, reuse, rank_strategy)
     schema = result_schema(series.withColumn(SEGMENT, F.lit(0).cast("int")), skeys)
-    return run_dp(hist, skeys, schema, min_points, max_seconds)
+    return run_dp(hist, skeys, schema, min_points, max_seconds, placed=placed)
 
 
 def candidates(phase1_result: DataFrame, key_cols: Sequence[str]) -> DataFrame:
@@ -83,14 +84,25 @@ def intervals(hist: DataFrame, cands: DataFrame, key_cols: Sequence[str]) -> Dat
             .withColumnRenamed("ends", "fecha"))
 
 
+def whole_histogram(vcs: DataFrame, key_cols: Sequence[str], reuse: str = "table", known_rows: int | None = None,
+                    rank_strategy: str = "auto") -> DataFrame:
+    """T6 for phase 2: the histogram of whole series from the folded points of their segments."""
+    keys = list(key_cols)
+    vc = vcs.groupBy(*keys, "fecha", "value").agg(F.sum("c").alias("c"))
+    return folded_histogram(vc, known_rows, keys, reuse, rank_strategy)[0]
+
+
 def phase2(vcs: DataFrame, cands: DataFrame, series: DataFrame, key_cols: Sequence[str],
            min_points: int = MIN_POINTS, max_seconds: float | None = None, reuse: str = "table",
-           known_rows: int | None = None, rank_strategy: str = "auto", late: DataFrame | None = None) -> DataFrame:
-    """ED-PELT per key with changes restricted to candidate dates; keys in `late` give a time-out."""
+           known_rows: int | None = None, rank_strategy: str = "auto", late: DataFrame | None = None,
+           hist: DataFrame | None = None) -> DataFrame:
+    """ED-PELT per key with changes restricted to candidate dates; keys in `late` give a time-out.
+
+    `hist`: the `whole_histogram` of `vcs`, if it is there already.
+    """
     keys = list(key_cols)
-    vc = vcs.groupBy(*keys, "fecha", "value").agg(F.sum("c").alias("c"))
-    pos = materialize(positions(vc, keys, rank_strategy, reuse=reuse, known_rows=known_rows), reuse)
-    hist = threshold_histogram(vc, pos, keys)
+    if hist is None:
+        hist = whole_histogram(vcs, keys, reuse, known_rows, rank_strategy)
     return run_dp(intervals(hist, cands, keys), keys, result_schema(series, keys), min_points, max_seconds, timed_out=late)
 
 
@@ -103,7 +115,9 @@ def divide_pelt(series: DataFrame, key_cols: Sequence[str], segments: int = DIVI
     """
     keys = list(key_cols)
     vcs, rows = materialize(segment_counts(series, keys, segments, sale_col), reuse, count=True)
-    p1 = materialize(phase1(vcs, series, keys, min_points, max_seconds, reuse, rows, rank_strategy), reuse)
+    p1, hist = side_by_side(
+        lambda: materialize(phase1(vcs, series, keys, min_points, max_seconds, reuse, rows, rank_strategy), reuse),
+        lambda: materialize(whole_histogram(vcs, keys, reuse, rows, rank_strategy), reuse))
     result = phase2(vcs, candidates(p1, keys), series, keys, min_points, max_seconds, reuse, rows, rank_strategy,
-                    timed_out(p1, keys))
+                    timed_out(p1, keys), hist)
     return (result, p1) if with_phase1 else result

@@ -25,6 +25,9 @@ needs P_i at boundaries, so the DP never needs raw rows:
   4. `mapInPandas` over the histogram hash-partitioned by key and sorted:
      each key's at most dates x (k+1) rows feed an exact DP over date
      boundaries in numpy (cumulative sums, then the recurrence).
+While no key has more than `COLOCATED_MAX_ROWS` folded points, steps 2 to 4 share
+one exchange on the key (`colocated_histogram`) instead of spreading keys over
+their values.
 """
 
 from __future__ import annotations
@@ -234,6 +237,43 @@ def threshold_histogram(vc: DataFrame, pos: DataFrame, key_cols: Sequence[str])
     return at.groupBy(*keys, "n", "k", "fecha", "j").agg(F.sum("c").alias("cnt"))
 
 
+# Folded points of the widest key up to which all steps share one exchange on the
+# key; they pass its task's windows in a spilling buffer.
+COLOCATED_MAX_ROWS = 5_000_000
+
+
+def colocated_histogram(vc: DataFrame, key_cols: Sequence[str], place: Sequence[str] | None = None,
+                        partitions: int | None = None) -> DataFrame:
+    """`threshold_histogram` with one exchange, on `place` (default: the key; any part of it).
+
+    The rank of a folded point comes from a window in value order over its key's folded points, so there is no
+    distinct, no join and no second shuffle; the rows stay placed by key for the dynamic program.
+    """
+    keys = list(key_cols)
+    placed = vc.where(" and ".join(f"`{c}` is not null" for c in keys) or "true")
+    placed = placed.repartition(partitions or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions")), *(place or keys))
+    up_to = Window.partitionBy(*keys).orderBy("value").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    n, k = F.col("n"), F.col("k")
+    ranked = placed.select(*keys, "fecha", "c", F.sum("c").over(up_to).alias("hi"),
+                           F.sum("c").over(Window.partitionBy(*keys, "value")).alias("cv"),
+                           F.sum("c").over(Window.partitionBy(*keys)).alias("n"))
+    ranked = ranked.where(n > 2).withColumn("k", _k(n)).withColumn(
+        "targets", F.transform(F.sequence(F.lit(0), k - 1), lambda i: _target(n, k, i)))
+    below = lambda x: F.size(F.filter("targets", lambda t: t < x))
+    at = ranked.select(*keys, "n", "k", "fecha", "c", F.explode(F.array(
+        below(F.col("hi")), below(F.col("hi") - F.col("cv")))).alias("j"))
+    return at.groupBy(*keys, "n", "k", "fecha", "j").agg(F.sum("c").alias("cnt"))
+
+
+def fits_colocated(vc: DataFrame, key_cols: Sequence[str], known_rows: int | None,
+                   most: int | None = None) -> bool:
+    """Whether no key has more than `most` folded points; `known_rows`, all of them, can spare the check."""
+    most = COLOCATED_MAX_ROWS if most is None else most
+    if known_rows is not None and known_rows <= most:
+        return True
+    return (vc.groupBy(*key_cols).count().agg(F.max("count")).first()[0] or 0) <= most
+
+
 def partial_sums(hist: DataFrame, th: DataFrame, key_cols: Sequence[str]) -> DataFrame:
     """(key..., fecha, i, threshold, partial_sum); P_i at the boundary after each date."""
     keys = list(key_cols)
@@ -486,9 +526,11 @@ def result_schema(series: DataFrame, key_cols: Sequence[str]) -> T.StructType:
 
 def run_dp(hist: DataFrame, key_cols: Sequence[str], schema: T.StructType, min_points: int = MIN_POINTS,
            max_seconds: float | None = None, partitions: int | None = None,
-           timed_out: DataFrame | None = None) -> DataFrame:
+           timed_out: DataFrame | None = None, placed: bool = False) -> DataFrame:
     """Per-key DP over the histogram rows: (key..., change_point, status).
 
+    `placed`: the rows lie by key already (`colocated_histogram`).
+
     `timed_out` (key...): keys that get status 'timeout' whatever their rows say;
     they travel with the histogram as markers (no join).
     """
@@ -497,12 +539,13 @@ def run_dp(hist: DataFrame, key_cols: Sequence[str], schema: T.StructType, min_p
         hist = hist.select(*keys, "k", "fecha", "j", "cnt").unionByName(timed_out.select(
             *keys, F.lit(1).cast(hist.schema["k"].dataType).alias("k"), F.expr(EPOCH).alias("fecha"),
             F.lit(-1).cast(hist.schema["j"].dataType).alias("j"), F.lit(0).cast(hist.schema["cnt"].dataType).alias("cnt")))
-    out = _per_key(hist, keys, schema, "cp int, status string", *_changes(min_points, max_seconds), partitions=partitions)
+    out = _per_key(hist, keys, schema, "cp int, status string", *_changes(min_points, max_seconds), partitions=partitions,
+                   placed=placed and timed_out is None)
     return out.select(*keys, F.date_add(F.expr(EPOCH), F.col("cp")).alias("change_point"), "status")
 
 
 def _per_key(hist: DataFrame, keys: list[str], schema: T.StructType, added: str, answer, dtypes: dict[str, str],
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, placed: bool = False) -> DataFrame:
     """(key..., `added`): what `answer` says of each key's histogram rows.
 
     Rows are hash-partitioned by key into `partitions` (default: the session's
@@ -515,18 +558,29 @@ def _per_key(hist: DataFrame, keys: list[str], schema: T.StructType, added: str,
     parts = partitions or int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     data = hist.select(*keys, F.col("k").cast("int").alias("k"), F.datediff("fecha", F.expr(EPOCH)).alias("d"),
                        F.col("j").cast("long").alias("j"), F.col("cnt").cast("long").alias("cnt"))
-    data = data.repartition(parts, *keys).sortWithinPartitions(*keys, "d")
+    if not placed:  # by a hash of the key: by the key itself Spark leaves the shuffle out where both sides of a union
+        data = data.repartition(parts, F.xxhash64(*keys))  # lie by key, and AQE may then part a key's rows
+    data = data.sortWithinPartitions(*keys, "d")
     key_fields = [f for f in schema.fields if f.name in keys]
     mid = T.StructType(key_fields + T.StructType.fromDDL(added).fields)
     return data.mapInPandas(_dp_batches(keys, answer, dtypes), mid)
 
 
-def _folded(series: DataFrame, keys: list[str], reuse: str, rank_strategy: str) -> DataFrame:
-    """The histogram of a series, over written folded points and positions."""
-    vc, rows = materialize(value_counts(series, keys), reuse, count=True)
+def folded_histogram(vc: DataFrame, rows: int | None, key_cols: Sequence[str], reuse: str, rank_strategy: str,
+                     place: Sequence[str] | None = None) -> tuple[DataFrame, bool]:
+    """(histogram of folded points, whether it lies by key): one exchange if the widest key fits, else spread."""
+    keys = list(key_cols)
+    if rank_strategy == "auto" and fits_colocated(vc, keys, rows):
+        return colocated_histogram(vc, keys, place), True
     # written: the join then knows its size, and the DP's shuffle is not merged with the rank window's
     pos = materialize(positions(vc, keys, rank_strategy, reuse=reuse, known_rows=rows), reuse)
-    return threshold_histogram(vc, pos, keys)
+    return threshold_histogram(vc, pos, keys), False
+
+
+def _folded(series: DataFrame, keys: list[str], reuse: str, rank_strategy: str) -> tuple[DataFrame, bool]:
+    """`folded_histogram` of a series, over written folded points."""
+    vc, rows = materialize(value_counts(series, keys), reuse, count=True)
+    return folded_histogram(vc, rows, keys, reuse, rank_strategy)
 
 
 def edpelt_within(series: DataFrame, key_cols: Sequence[str], max_evaluations: int, min_points: int = MIN_POINTS,
@@ -539,9 +593,10 @@ def edpelt_within(series: DataFrame, key_cols: Sequence[str], max_evaluations: i
     same on any host and at any load.
     """
     keys = list(key_cols)
-    out = _per_key(_folded(series, keys, reuse, rank_strategy), keys, result_schema(series, keys),
+    hist, placed = _folded(series, keys, reuse, rank_strategy)
+    out = _per_key(hist, keys, result_schema(series, keys),
                    "points bigint, dates int, evaluations bigint, status string, cost double, lower_bound double, cps array<int>",
-                   *_within(min_points, max_evaluations))
+                   *_within(min_points, max_evaluations), placed=placed)
     return out.select(*keys, "points", "dates", "evaluations", "status", "cost", "lower_bound", F.transform(
         "cps", lambda c: F.date_add(F.expr(EPOCH), c)).alias("change_points"))
 
@@ -550,8 +605,10 @@ def edpelt(series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POI
            reuse: str = "table", rank_strategy: str = "auto", max_evaluations: int | None = None) -> DataFrame:
     """T5 + T12: ED-PELT per key, (key..., change_point date, status); no row for a series without change.
 
-    The folded points feed both the positions and the histogram; `reuse`
-    (see `session.materialize`) makes the fact-table scan happen once.
+    The folded points are written (`reuse`, see `session.materialize`), so the
+    fact table is scanned once and their number is known.  `rank_strategy`: "auto"
+    (one exchange on the key while the widest key fits, else as `positions`), or
+    one of `positions`' strategies.
     `max_seconds` (default: none) is a budget per series; a series that
     reaches it gives one row with status 'timeout'.  `max_evaluations` is a budget
     of work (see `edpelt_within`); a series that reaches it gives the changes known
@@ -565,4 +622,5 @@ def edpelt(series: DataFrame, key_cols: Sequence[str], min_points: int = MIN_POI
         changes = F.when((F.size("change_points") == 0) & (F.col("status") == "cut"),
                          F.array(F.lit(None).cast("date"))).otherwise(F.col("change_points"))
         return rows.select(*keys, F.explode(changes).alias("change_point"), "status")
-    return run_dp(_folded(series, keys, reuse, rank_strategy), keys, result_schema(series, keys), min_points, max_seconds)
+    hist, placed = _folded(series, keys, reuse, rank_strategy)
+    return run_dp(hist, keys, result_schema(series, keys), min_points, max_seconds, placed=placed)

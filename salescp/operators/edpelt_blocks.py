@@ -218,5 +218,5 @@ def edpelt_blocks(series: DataFrame, key_cols: Sequence[str], block_days: int =
                   reuse: str = "table", rank_strategy: str = "auto") -> DataFrame:
     """T5 + T12 with the rows of `edpelt`, a series' dynamic program spread over tasks and stages by blocks of dates."""
     keys, schema = list(key_cols), result_schema(series, key_cols)
-    blocks = materialize(blocks_of(_folded(series, keys, reuse, rank_strategy), keys, block_days, schema), reuse)
+    blocks = materialize(blocks_of(_folded(series, keys, reuse, rank_strategy)[0], keys, block_days, schema), reuse)
     return way_back(run_blocks(blocks, keys, schema, min_points), keys, schema)

@@ -156,6 +156,16 @@ def _materialize(df, how: str, metrics: dict | None):
     return out, (dict(obs.get) if obs is not None else None)
 
 
+def side_by_side(*jobs):
+    """Results of functions that run Spark jobs which do not wait for each other, run at the same time."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(job)) for job in jobs]]
+
+
 def drop_materialized(spark: SparkSession, paths: Scratch) -> int:
     """Delete the tables of one `scratch()` block, once nothing reads them any more.
 

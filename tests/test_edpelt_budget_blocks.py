@@ -117,7 +117,7 @@ def test_blocks_on_spark_equal_edpelt(spark):
 
 def test_no_task_of_the_blocks_holds_a_series(spark):
     s = frame(spark, np.random.default_rng(2), ["a"])
-    hist = E._folded(s, ["g"], "table", "auto")
+    hist, _ = E._folded(s, ["g"], "table", "auto")
     blocks = B.blocks_of(hist, ["g"], 20, E.result_schema(s, ["g"])).collect()
     dates = [len(np.frombuffer(r.days, dtype="<i8")) for r in blocks]
     assert len(blocks) == blocks[0].blocks > 9 and max(dates) <= 21  # boundary 0 lies in the first block

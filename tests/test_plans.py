@@ -101,3 +101,25 @@ def test_a_hot_store_is_split_below_an_aggregate_by_it(spark):
         for k in conf:
             spark.conf.unset(k)
     assert "skew=true" in plan
+
+
+def test_one_exchange_from_the_folded_points_to_the_program(spark):
+    vc = E.materialize(E.value_counts(_hot(spark), ["key"]))
+    hist, placed = E.folded_histogram(vc, 1_000, ["key"], "table", "auto")
+    schema = E.result_schema(_hot(spark), ["key"])
+    plan = final_plan(E.run_dp(hist, ["key"], schema, placed=placed))
+    assert placed and plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan and "Join" not in plan
+    spread, placed = E.folded_histogram(vc, 10 ** 9, ["key"], "table", "window")
+    assert not placed
+    rows = lambda h: sorted(map(tuple, h.select("key", "n", "k", "fecha", "j", "cnt").collect()))
+    assert rows(hist) == rows(spread)
+
+
+def test_a_key_too_wide_for_one_task_is_spread(spark, monkeypatch):
+    s = _hot(spark, 20_000)
+    expect = sorted(map(tuple, E.edpelt(s, ["key"]).collect()))
+    vc = E.materialize(E.value_counts(s, ["key"]))
+    monkeypatch.setattr(E, "COLOCATED_MAX_ROWS", 5_000)
+    assert not E.fits_colocated(vc, ["key"], 10 ** 9) and E.fits_colocated(vc.where("key != 'hot'"), ["key"], 10 ** 9)
+    assert not E.folded_histogram(vc, 10 ** 9, ["key"], "table", "auto")[1]
+    assert sorted(map(tuple, E.edpelt(s, ["key"]).collect())) == expect
