@@ -7,8 +7,9 @@ worker holds one batch, a bounded cache and the vocabulary.
 
 Defined results: a null text counts as empty (no ids, empty decoded text); a
 null or repeated id is kept as it is, one result per input row; text that looks
-like a special token is ordinary text.  Columns other than the id and the text
-are not read.
+like a special token is ordinary text; a text of any length, also one unbroken
+pre-token, is encoded whole; an empty table gives no rows.  Columns other than the
+id and the text are not read.
 """
 
 from __future__ import annotations

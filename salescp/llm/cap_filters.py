@@ -31,7 +31,8 @@ Defined results: vectors that are null, empty, zero or hold a null or
 non-finite component, and rows with a null label or id, link with nothing:
 no link, their own component, kept (null id: null component, not kept);
 vectors of different length do not link; rows that repeat an id are vectors of
-their own with that id.
+their own with that id; an empty table gives no rows; columns other than id,
+vector and label are not read.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ import types
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from salescp.session import materialize
+from salescp.session import Rounds, materialize
 
 WHITE = "\t\n\x0b\x0c\r "  # the characters [\x20\x09-\x0D]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,8 +63,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 2
                                      F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
         return out, (seen.get["n"], seen.get["h"])
 
-    cur, before = written(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-                          .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
+    rounds = Rounds(edges.sparkSession)  # a round's table goes when the next one is written
+    with rounds.next():
+        cur, before = written(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
+                              .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     for _ in range(max_rounds):
         # large star: a node's neighbours above it go to the smallest of the node and its neighbours
         both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -75,8 +77,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 2
         small = (large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                                                F.struct(F.col("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").where("u != v").distinct())
-        cur, now = written(small)
+        with rounds.next():
+            cur, now = written(small)
         if now == before:
+            rounds.done()
             return cur.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
                 cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         before = now

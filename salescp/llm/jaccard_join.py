@@ -28,8 +28,9 @@ No pair of a group is emitted, exact copies never meet, and nothing is capped.
 Defined results: a text without a word (null, empty, white space) has an empty
 set and links with nothing; fewer words than `words` make one shingle; rows
 with a null id get their set size and a null component and link with nothing;
-rows that repeat an id are documents of their own with that id.  Columns other
-than id and text are not read.
+rows that repeat an id are documents of their own with that id; texts of any
+length are read whole, in pieces that end at a space; an empty table gives no rows.
+Columns other than id and text are not read.
 """
 
 from __future__ import annotations

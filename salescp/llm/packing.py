@@ -15,8 +15,9 @@ rows share is spread over `buckets` windows.  The plan is broadcast only when
 it has at most `MAX_BROADCAST_PLAN` rows; else it is joined by shuffle.
 
 Defined results: a null or empty text has just the closing id; null ids and
-repeated rows are packed like any other row (a place per row); an empty table
-gives no rows.  Columns other than the id and the text are not read.
+repeated rows are packed like any other row (a place per row); a text of any
+length is tokenised whole and cut only into pieces; an empty table gives no rows.
+Columns other than the id and the text are not read.
 """
 
 from __future__ import annotations

@@ -42,7 +42,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescp.session import materialize, materialize_counted
+from salescp.session import Rounds, drop_materialized, materialize, materialize_counted, scratch
 
 LEVELS = 64  # gains by powers of two
 MOST_CELLS = 1_000_000
@@ -115,17 +115,20 @@ def propagate(held: DataFrame, quota: list[int], rounds: int, cells: int) -> Dat
     """Label propagation over written fragments (k1, k2, shard, n) until none can move; at most `rounds` rounds."""
     spark, shards = held.sparkSession, len(quota)
     closed: set[int] = set()
+    written = Rounds(spark)
     for _ in range(rounds):
         room = [q - n for q, n in zip(quota, loads(held, shards))]
         closed = {s for s in closed if not room[s]}
-        asked = materialize(wishes(held, sorted(closed)))
+        with scratch() as asking:
+            asked = materialize(wishes(held, sorted(closed)))
         wanted = {(r["shard"], r["to"]): r["n"] for r in asked.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect()}
         let = flows(wanted, room)
         shut = {j for _, j in wanted} - {j for _, j in let}
         closed |= shut
         if not let:
+            drop_materialized(spark, asking)
             if not shut:
-                return held
+                break
             continue
         # gains from the highest level down; inside a level in hash cells
         level = F.lit(LEVELS - 1) - F.floor(F.log2("gain")).cast("int")
@@ -139,8 +142,11 @@ def propagate(held: DataFrame, quota: list[int], rounds: int, cells: int) -> Dat
                  .where("m > 0"))
         change = moved.select("k1", "k2", F.explode(F.array(
             F.struct("shard", (-F.col("m")).alias("n")), F.struct(F.col("to").alias("shard"), F.col("m").alias("n")))).alias("c"))
-        held = materialize(held.unionByName(change.select("k1", "k2", "c.shard", "c.n"))
-                           .groupBy("k1", "k2", "shard").agg(F.sum("n").alias("n")).where("n > 0"))
+        with written.next():
+            held = materialize(held.unionByName(change.select("k1", "k2", "c.shard", "c.n"))
+                               .groupBy("k1", "k2", "shard").agg(F.sum("n").alias("n")).where("n > 0"))
+        drop_materialized(spark, asking)
+    written.done()
     return held
 
 

@@ -15,7 +15,8 @@ Defined results: a null text counts as empty; null edits or an empty list
 change nothing; an edit's start and length are clamped to the text as it then
 is, a null part of an edit counts as 0 or the empty text; edits apply in list
 order, each to the text that the earlier ones left.  One result per input row,
-repeated or null ids included.
+repeated or null ids included; texts of any length are counted whole; an empty
+table gives no rows; columns other than id, text and edits are not read.
 """
 
 from __future__ import annotations
