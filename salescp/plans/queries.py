@@ -27,7 +27,7 @@ from ..operators.regression import segmented_regression
 from ..operators.series import price_series
 from ..operators.tagged import enrich_tagged
 from ..params import Filters
-from ..session import checkpoint_dir, materialize
+from ..session import checkpoint_dir, materialize, note_written
 from ..sources import fixtures, sinks, text
 from . import jobs
 
@@ -210,6 +210,7 @@ def conclusion_json(spark, sf_dir):
 def conclusion_file(spark, sf_dir):
     """The single-file roll-up, written as `key<TAB>{json}` lines and read back: each line and how many files hold them."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/salescp-out-{uuid.uuid4().hex}"
+    note_written(path)
     sinks.write_text(conclude.conclude(regression_result(spark, sf_dir), EDPELT_KEYS), path, EDPELT_KEYS, ["histogram"], single_file=True)
     lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"))
     files = lines.agg(F.countDistinct("file").alias("files"))
@@ -371,7 +372,9 @@ def text_sales(spark, sf_dir):
 
 def written_lines(df: DataFrame, name: str, mode: str = "error", path: str | None = None) -> str:
     """A new folder of text files with these lines, in the shared folder."""
-    path = path or f"{checkpoint_dir(df.sparkSession).rstrip('/')}/salescp-lines-{uuid.uuid4().hex}"
+    if path is None:
+        path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/salescp-lines-{uuid.uuid4().hex}"
+        note_written(path)
     df.write.mode(mode).text(f"{path}/{name}")
     return path
 

@@ -97,7 +97,40 @@ def scratch():
     try:
         yield paths
     finally:
-        _OPEN.remove(paths)
+        _OPEN[:] = [p for p in _OPEN if p is not paths]
+
+
+def note_written(*paths: str) -> None:
+    """Count these paths among those of the innermost open `scratch()` block."""
+    if _OPEN:
+        _OPEN[-1].extend(paths)
+
+
+class Rounds:
+    """Tables of an iteration: what a round wrote goes as soon as the next round's tables are written.
+
+        rounds = Rounds(spark)
+        while ...:
+            with rounds.next():
+                current = materialize(step(current))
+        rounds.done()  # the last round's tables stay, for the block around
+
+    A round reads the tables of the one before, which are written in the shared folder and so do not need
+    those of earlier rounds again, also when an executor is lost.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.last = spark, Scratch()
+
+    @contextmanager
+    def next(self):
+        with scratch() as now:
+            yield
+        drop_materialized(self.spark, self.last)
+        self.last = now
+
+    def done(self) -> None:
+        note_written(*self.last)
 
 
 def materialize(df, how: str = "table", count: bool = False):
@@ -147,9 +180,8 @@ def _materialize(df, how: str, metrics: dict | None):
         import uuid
 
         path = f"{checkpoint_dir(spark).rstrip('/')}/salescp-{uuid.uuid4().hex}"
+        note_written(path)  # before the write, so that what a failed one leaves is known too
         df.write.mode("overwrite").parquet(path)
-        if _OPEN:
-            _OPEN[-1].append(path)
         out = spark.read.parquet(path)
     else:
         raise ValueError(f"unknown materialization {how!r}")
