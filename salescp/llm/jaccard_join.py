@@ -51,6 +51,7 @@ from .common import components
 
 _CLEAN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz     ")
 _CHUNK = 1 << 20
+MOST_LARGE = 1_000_000  # classes that are dealt by id, at most
 
 
 def _mix(x):
@@ -308,7 +309,8 @@ def divide_skip(sets: list[np.ndarray], num: int, den: int, split: int = 0) -> l
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
-                    text_col: str = "text", known_lengths: int = 1_000_000, block: int = 1 << 20) -> DataFrame:
+                    text_col: str = "text", known_lengths: int = 1_000_000, block: int = 1 << 20,
+                    deal: int = 1 << 14) -> DataFrame:
     """(id, n_shingles, component_id, text_hash): one row per document, components over all links.
 
     text_hash (xxhash64 of the text) tells rows that repeat an id apart.
@@ -327,8 +329,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
                               f"_id {kind}, n bigint, c bigint, text_hash bigint"))
     real = docs.where(F.col("_id").isNotNull())
     classes = (sizes.where("_id is not null and c is not null").groupBy("c")
-               .agg(F.min("_id").alias("_rep"), F.first("n").alias("n")))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
+               .agg(F.min("_id").alias("_rep"), F.first("n").alias("n"), F.count("*").alias("members")))
+    total, rows = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     lengths = list_lengths(real, words, total, known_lengths)
     w = Window.partitionBy("h").orderBy("n", "c")
     chained = (postings(real, words, num, den, lengths)
@@ -337,11 +339,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     groups = components(chained.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")))
     links = materialize(_search(real, classes, groups, words, num, den, block))
     joined = components(links)
-    known = (classes.join(joined, F.col("c") == F.col("node"), "left")
+    known = (classes.drop("members").join(joined, F.col("c") == F.col("node"), "left")
              .select("c", "_rep", F.coalesce("component", "c").alias("root")))
     least = known.groupBy("root").agg(F.min("_rep").alias("component_id"))
     of_class = known.join(least, "root").select(F.col("c").alias("_c"), "component_id")
-    return (sizes.join(of_class, (F.col("c") == F.col("_c")) & F.col("_id").isNotNull(), "left")
+    # a class of very many copies is dealt by id, and its one row goes to every deal
+    share = max(deal, -(-rows // MOST_LARGE))
+    large = classes.where(F.col("members") > share).select(F.col("c").alias("_large"), F.ceil(F.col("members") / share).alias("deals"))
+    dealt = (sizes.join(F.broadcast(large), F.col("c") == F.col("_large"), "left")  # at most rows / share classes
+             .withColumn("deal", F.expr("pmod(xxhash64(_id), coalesce(deals, 1L))")))
+    of_class = (of_class.join(F.broadcast(large), F.col("_c") == F.col("_large"), "left")
+                .select("_c", "component_id", F.explode(F.expr("sequence(0L, coalesce(deals, 1L) - 1L)")).alias("_deal")))
+    return (dealt.join(of_class, (F.col("c") == F.col("_c")) & (F.col("deal") == F.col("_deal")) & F.col("_id").isNotNull(), "left")
             .select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.coalesce("component_id", "_id").alias("component_id"), "text_hash"))
 

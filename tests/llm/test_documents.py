@@ -456,6 +456,14 @@ def test_jaccard_components_equal_brute_force(make_docs, block):
     assert got == plain_components(rows)
 
 
+def test_a_large_class_of_copies_is_dealt(make_docs):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(i, text) for i in range(5, 60)] + [(3, text + " tail"), (4, "alone"), (None, text), (9, None), (70, "alone")]
+    got = Counter(tuple(r)[:3] for r in jaccard_join.near_duplicates(make_docs(rows, extra=True), deal=4).collect())
+    whole = Counter(tuple(r)[:3] for r in jaccard_join.near_duplicates(make_docs(rows)).collect())
+    assert got == whole and got[30, 36, 3] == 1 and got[70, 1, 4] == 1 and got[None, 36, None] == 1
+
+
 def test_divide_skip_against_all_pairs():
     rng = np.random.default_rng(2)
     for _ in range(200):
