@@ -37,8 +37,11 @@ aligned whole; columns other than id and text are not read.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+from array import array
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -67,21 +70,30 @@ def byte_of_letter() -> dict[str, int]:
     return out | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(own))}
 
 
+LONG = 2000  # characters of a unit from which on the tokenizer's own heap is quicker than ranks piece by piece
+
+
 class Vocabularies:
-    """Both tokenizers, the bytes of their tokens, and the identity map."""
+    """Both tokenizers, the bytes of their tokens, and the identity map.
 
-    def __init__(self, a_path: str, b_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
+    `pattern`: the pre-token pattern of A.  If given, and A is a plain byte-level BPE whose ids follow its merges, units
+    are encoded by the ranks of its pieces, which gives the same ids quicker.
+    """
+
+    def __init__(self, a_path: str, b_path: str, pattern: str | None = None):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True  # their strings are plain text
+        self.a_path = a_path
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        letters = byte_of_letter()
-        self.a_bytes = [b""] * self.a.get_vocab_size()
-        for token, k in self.a.get_vocab().items():
-            self.a_bytes[k] = bytes(map(letters.__getitem__, token)) if all(c in letters for c in token) else token.encode()
+        with open(a_path, encoding="utf-8") as f:
+            spec = json.load(f)
+        letters, vocab = byte_of_letter(), spec["model"]["vocab"]
+        special = {t["content"]: t["id"] for t in spec.get("added_tokens") or []}
+        self.a_bytes = [b""] * (1 + max([*vocab.values(), *special.values()]))
+        for token, k in [*vocab.items(), *special.items()]:
+            plain = token not in special and all(c in letters for c in token)
+            self.a_bytes[k] = bytes(map(letters.__getitem__, token)) if plain else token.encode()
+        self.ranked = self._ranks(spec, vocab, special, pattern)
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode()
                         for k, p in enumerate(pieces)]
@@ -93,89 +105,127 @@ class Vocabularies:
                     of_bytes.setdefault(text, k)
         self.same = [of_bytes.get(t, -1) for t in self.a_bytes]
         self.size_b = len(pieces)
+        self.a_size, self.b_size = [len(t) for t in self.a_bytes], [len(t) for t in self.b_bytes]
+        self.a_name, self.b_name = [str(k) for k in range(len(self.a_bytes))], [str(k) for k in range(len(pieces))]
+
+    def _ranks(self, spec, vocab, special, pattern):
+        """Encoder by ranks, or None where A is not of that kind."""
+        cut = spec.get("pre_tokenizer") or {}
+        merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in spec["model"].get("merges") or []]
+        in_order = [vocab.get(m) for m in merged] == list(range(256, 256 + len(merged)))
+        if pattern is None or spec.get("normalizer") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") \
+                or not cut.get("use_regex", True) or not in_order:
+            return None
+        import tiktoken
+
+        ranks = {self.a_bytes[k]: k for token, k in vocab.items() if token not in special}
+        return tiktoken.Encoding("a", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    @cached_property
+    def a(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.a_path)
+        tokenizer.encode_special_tokens = True  # their strings are plain text
+        return tokenizer
 
     def encode(self, texts: list[str]):
         """Ids of (A of space + text, B of text) for each text."""
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [(x.ids, y) for x, y in zip(a, self.b.encode(texts, num_threads=1))]
-
-    def groups(self, text: str, a: list[int], b: list[int]):
-        """Groups ((A ids), (B ids), links) of the tokens of one text; None if a tokenizer changed the bytes."""
-        raw = b" " + text.encode()
-        if b"".join([self.a_bytes[k] for k in a]) != raw or b"".join([self.b_bytes[k] for k in b]) != raw:
-            return None
-        la, lb = [len(self.a_bytes[k]) for k in a], [len(self.b_bytes[k]) for k in b]
-        out, i, j, end_a, end_b = [], 0, 0, 0, 0
-        while i < len(a):
-            first_i, first_j, links = i, j, [(a[i], b[j])]
-            end_a, end_b = end_a + la[i], end_b + lb[j]
-            while end_a != end_b:  # the token that ends first gives way to the next one, which overlaps the other
-                if end_a < end_b:
-                    i += 1
-                    end_a += la[i]
-                else:
-                    j += 1
-                    end_b += lb[j]
-                links.append((a[i], b[j]))
-            i, j = i + 1, j + 1
-            out.append((a[first_i:i], b[first_j:j], links))
-        return out
+        if self.ranked:
+            a = [self.ranked(" " + t) if len(t) < LONG else self.a.encode(" " + t, add_special_tokens=False).ids for t in texts]
+        else:
+            a = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        return zip(a, self.b.encode(texts, num_threads=1))
 
 
 class Aligner:
-    """Vocabularies and a bounded cache of aligned units."""
+    """Vocabularies and a bounded cache of aligned units; those met again outlive a clearing."""
 
     NOTHING = (0, 0, 0, 0, 1), "", b"", b""  # the last number: the bytes do not come back
 
-    def __init__(self, a_path: str, b_path: str, cache_entries: int = 250_000):
-        self.vocab, self.limit = Vocabularies(a_path, b_path), cache_entries
-        self.clear()
+    def __init__(self, a_path: str, b_path: str, pattern: str | None = None, cache_entries: int = 250_000):
+        self.vocab, self.limit = Vocabularies(a_path, b_path, pattern), cache_entries
+        self.index: dict[str, int] = {}
+        self.spelt, self.regular, self.irregular = [], [], []
+        self.stats, self.hits, self.held = np.zeros((0, 5), dtype=np.int64), np.zeros(0, dtype=np.int32), 0
 
     @classmethod
-    def of_worker(cls, a_path: str, b_path: str) -> "Aligner":
+    def of_worker(cls, *paths) -> "Aligner":
         store = worker_store("alignment")
-        if (a_path, b_path) not in store:
-            store[a_path, b_path] = cls(a_path, b_path)
-        return store[a_path, b_path]
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.numbers, self.spelt, self.regular, self.irregular = [], [], [], []
-        self.stats, self.held = np.zeros((0, 5), dtype=np.int64), 0
+        if paths not in store:
+            store[paths] = cls(*paths)
+        return store[paths]
+
+    def shrink(self) -> None:
+        """Keep the units that several slices of texts held, half the limit at most."""
+        keep = np.argsort(-self.hits, kind="stable")[:self.limit // 2]
+        keep = np.sort(keep[self.hits[keep] > 1])
+        names, at = list(self.index), keep.tolist()
+        self.index = {names[k]: n for n, k in enumerate(at)}
+        self.spelt, self.regular, self.irregular = ([x[k] for k in at] for x in (self.spelt, self.regular, self.irregular))
+        self.stats, self.hits = self.stats[keep], np.ones(len(at), dtype=np.int32)
+        self.held = sum(map(len, self.index))
+        if self.held > HELD_CHARS // 2:  # long ones: start anew
+            self.index, self.spelt, self.regular, self.irregular, self.held = {}, [], [], [], 0
+            self.stats, self.hits = self.stats[:0], self.hits[:0]
 
     def aligned(self, text: str, a: list[int], b: list[int]):
-        """(tokens of A and B, groups, links, 0), groups as text, A ids of identity groups, codes of the other links."""
-        found = self.vocab.groups(text, a, b)
-        if found is None:
+        """(tokens of A and B, groups, links, 0), groups as text, A ids of identity groups, codes of the other links.
+
+        Of two tokens the one that ends first gives way to the next one, which overlaps the other: each step is a link.
+        """
+        v, raw = self.vocab, b" " + text.encode()
+        if b"".join([v.a_bytes[k] for k in a]) != raw or b"".join([v.b_bytes[k] for k in b]) != raw:
             return self.NOTHING
-        same, size, spelt, regular, irregular = self.vocab.same, self.vocab.size_b, [], [], []
-        for x, y, links in found:
-            if len(links) == 1:
-                spelt.append(f"{x[0]}|{y[0]}")
-                if same[x[0]] == y[0]:
-                    regular.append(x[0])
-                    continue
+        la, lb, na, nb, same, size = v.a_size, v.b_size, v.a_name, v.b_name, v.same, v.size_b
+        spelt, regular, irregular, i, j, end_a, end_b, n = [], [], [], 0, 0, 0, 0, len(a)
+        while i < n:
+            x, y = a[i], b[j]
+            end_a, end_b = end_a + la[x], end_b + lb[y]
+            if end_a == end_b:
+                spelt.append(f"{na[x]}|{nb[y]}")
+                if same[x] == y:
+                    regular.append(x)
+                else:
+                    irregular.append(x * size + y)
             else:
-                spelt.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}")
-            irregular += [p * size + q for p, q in links]
-        return ((len(a), len(b), len(found), len(regular) + len(irregular), 0), ";".join(spelt),
-                np.array(regular, dtype="<i4").tobytes(), np.array(irregular, dtype="<i8").tobytes())
+                irregular.append(x * size + y)
+                left, right = [na[x]], [nb[y]]
+                while end_a != end_b:
+                    if end_a < end_b:
+                        i += 1
+                        x = a[i]
+                        end_a += la[x]
+                        left.append(na[x])
+                    else:
+                        j += 1
+                        y = b[j]
+                        end_b += lb[y]
+                        right.append(nb[y])
+                    irregular.append(x * size + y)
+                spelt.append(f"{','.join(left)}|{','.join(right)}")
+            i, j = i + 1, j + 1
+        return ((n, len(b), len(spelt), len(regular) + len(irregular), 0), ";".join(spelt), array("i", regular).tobytes(),
+                array("q", irregular).tobytes())
 
     def prepare(self, cut: list[list[str]]) -> None:
         """Align every unit of these texts that is not in the cache."""
         if len(self.index) > self.limit or self.held > HELD_CHARS:
-            self.clear()
-        new = list({u for parts in cut for u in parts}.difference(self.index))
+            self.shrink()
+        need = {u for parts in cut for u in parts}
+        new, numbers = list(need.difference(self.index)), []
         self.held += sum(map(len, new))
         for at in range(0, len(new), 10_000):
             some = new[at:at + 10_000]
             for text, (a, b) in zip(some, self.vocab.encode(some)):
-                numbers, spelt, regular, irregular = self.aligned(text, a, b)
-                self.index[text] = len(self.numbers)
-                self.numbers.append(numbers), self.spelt.append(spelt)
-                self.regular.append(regular), self.irregular.append(irregular)
+                found, spelt, regular, irregular = self.aligned(text, a, b)
+                self.index[text] = len(self.spelt)
+                numbers.append(found), self.spelt.append(spelt), self.regular.append(regular), self.irregular.append(irregular)
         if new:
-            self.stats = np.concatenate([self.stats, np.array(self.numbers[len(self.stats):], dtype=np.int64)])
+            self.stats = np.concatenate([self.stats, np.array(numbers, dtype=np.int64)])
+            self.hits = np.concatenate([self.hits, np.zeros(len(new), dtype=np.int32)])
+        self.hits[list(map(self.index.__getitem__, need))] += 1
 
     def documents(self, texts: list[str]):
         """Per text: (numbers, groups as text, A ids of identity groups, codes of other links), zeros if there are no tokens."""
@@ -188,7 +238,7 @@ class Aligner:
                 yield (numbers, ";".join(map(self.spelt.__getitem__, at)), b"".join(map(self.regular.__getitem__, at)),
                        b"".join(map(self.irregular.__getitem__, at)))
             else:  # a unit whose bytes changed: the text as a whole decides
-                yield self.aligned(text, *self.vocab.encode([text])[0]) if text else self.NOTHING
+                yield self.aligned(text, *next(self.vocab.encode([text]))) if text else self.NOTHING
 
 
 class PairCounts:
@@ -223,12 +273,12 @@ _DOC = ("n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256
         "regular binary, regular_n binary, irregular binary, irregular_n binary")
 
 
-def _aligned(docs: DataFrame, a_path: str, b_path: str, with_groups: bool, batch_chars: int) -> DataFrame:
+def _aligned(docs: DataFrame, paths: tuple, with_groups: bool, batch_chars: int) -> DataFrame:
     """Rows of documents (row, id, `_DOC`), and rows of a task's pair counts (codes, counts, same), written."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
-        aligner = Aligner.of_worker(a_path, b_path)
+        aligner = Aligner.of_worker(*paths)
         vector, pairs = np.zeros(len(aligner.vocab.same), dtype=np.int64), PairCounts()
 
         def count_rows(found, same):
@@ -284,8 +334,9 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text",
-          with_groups: bool = False, known_pairs: int = 1 << 18, batch_chars: int = 1 << 23) -> tuple[DataFrame, DataFrame]:
-    """(documents, pairs).
+          with_groups: bool = False, known_pairs: int = 1 << 18, batch_chars: int = 1 << 22,
+          pattern: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(documents, pairs); `pattern`: the pre-token pattern of A, see `Vocabularies`.
 
     documents: (id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256[, groups]), one row per row;
     pairs: (a, b, count, best), every id pair that a link holds, its links in the corpus, and whether no pair of
@@ -293,9 +344,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     """
     docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("id"),
                        F.col(f"`{text_col}`").alias("text"))
-    vocab = Vocabularies(a_path, b_path)
+    vocab = Vocabularies(a_path, b_path, pattern)
     size_b, same = vocab.size_b, np.array(vocab.same, dtype=np.int64)
-    written = _aligned(docs, a_path, b_path, with_groups, batch_chars)
+    written = _aligned(docs, (a_path, b_path, pattern), with_groups, batch_chars)
     totals = materialize(written.where("codes is not null").select("same", F.explode(F.arrays_zip("codes", "counts")).alias("p"))
                          .groupBy(F.col("p.codes").alias("code")).agg(F.sum("p.counts").alias("count"), F.max("same").alias("same"))
                          .withColumn("b", F.col("code") % size_b))

@@ -91,7 +91,7 @@ def op10_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's tokens of a byte-level and a piece vocabulary, aligned; id pairs counted over the corpus."""
     return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE_JSON),
-                           public_tokenizers.path(PIECE_BPE))[0]
+                           public_tokenizers.path(PIECE_BPE), pattern=public_tokenizers.PATTERN)[0]
 
 
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:

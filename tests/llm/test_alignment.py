@@ -60,16 +60,29 @@ def texts(seed, n):
             for _ in range(n)]
 
 
-def test_units_are_encoded_as_within_their_text(vocab):
+@pytest.mark.parametrize("ranked", [True, False])
+def test_units_are_encoded_as_within_their_text(vocab, ranked):
     assert vocab.separable
-    aligner = alignment.Aligner(A, B)
-    every = [t for t in texts(1, 3000) if t]
+    every = [t for t in texts(1, 3000) if t] + ["x" * 3000, "ab " * 900]
+    aligner = alignment.Aligner(A, B, public_tokenizers.PATTERN if ranked else None)
+    assert (aligner.vocab.ranked is not None) == ranked
     for text, (numbers, spelt, *_) in zip(every, aligner.documents(every)):
-        whole, whole_spelt, *_ = aligner.aligned(text, *vocab.encode([text])[0])
+        whole, whole_spelt, *_ = aligner.aligned(text, vocab.a.encode(" " + text, add_special_tokens=False).ids, vocab.b.encode(text))
         assert (tuple(numbers[:4]), spelt) == (tuple(whole[:4]), whole_spelt), repr(text)
         assert "▁" not in text or not spelt
 
 
+def test_a_small_cache_gives_the_same(vocab):
+    every = texts(5, 400)
+    large, small = (alignment.Aligner(A, B, public_tokenizers.PATTERN, n) for n in (250_000, 40))
+    for at in range(0, 400, 20):
+        one, two = ([(tuple(x[0]), *x[1:]) for x in al.documents(every[at:at + 20])] for al in (large, small))
+        assert one == two
+    assert len(small.index) < len(large.index) / 2 and small.hits.max() > 1
+    small.shrink()
+    assert 0 < len(small.index) <= 20 and [small.spelt[k] for k in small.index.values()] == [large.spelt[large.index[u]] for u in small.index]
+
+
 def test_identity_map_joins_equal_bytes(vocab):
     known = {t: k for k, t in enumerate(vocab.b_bytes)}
     assert sum(k >= 0 for k in vocab.same) > 10_000
