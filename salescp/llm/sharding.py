@@ -151,7 +151,7 @@ def propagate(held: DataFrame, quota: list[int], rounds: int, cells: int) -> Dat
 
 
 def balanced_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text",
-                    rounds: int = 64, deal: int = 1 << 14) -> DataFrame:
+                    rounds: int = 64, deal: int = 1 << 11) -> DataFrame:
     """(id, size, text_crc32, law, shard, slot, grown_shard, k1, k2), one row per row; (k1, k2) tells equal texts."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows, total = numbered(docs.select(
