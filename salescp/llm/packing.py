@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from salescp.session import materialize
 
-from .bpe import HELD_CHARS, slices
-from .common import worker_store
+from .bpe import HELD_CHARS
+from .common import slices_of_rows, worker_store
 
 MAX_BROADCAST_PLAN = 200_000  # rows of 6 numbers: about 10 MB
 
@@ -91,7 +91,7 @@ class CachedTokenizer:
 
 
 def tokenise(docs: DataFrame, path: str, limit: int = 4096, end_id: int = 1, with_ids: bool = False,
-             id_col: str = "doc_id", text_col: str = "text", batch_chars: int = 1 << 23) -> DataFrame:
+             id_col: str = "doc_id", text_col: str = "text", batch_chars: int = 1 << 22) -> DataFrame:
     """Pieces of at most `limit` ids: (id, piece, start, length, ids_crc32[, ids])."""
     docs = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("text"))
     kind = docs.schema[0].dataType.simpleString()
@@ -99,11 +99,12 @@ def tokenise(docs: DataFrame, path: str, limit: int = 4096, end_id: int = 1, wit
 
     def run(batches):
         tokenizer = CachedTokenizer.of_worker(path)
-        for batch in batches:
-            at, source, number, start, length, crc, ids = 0, [], [], [], [], [], []
-            for part in slices(batch.column(1).to_pylist(), batch_chars):
-                tokenizer.prepare(part)
-                for text in part:
+        for whole in batches:
+            for batch in slices_of_rows(whole, 1, batch_chars):  # the texts of one slice at a time become Python strings
+                source, number, start, length, crc, ids = [], [], [], [], [], []
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                tokenizer.prepare(texts)
+                for at, text in enumerate(texts):
                     raw = tokenizer.ids(text) + end
                     for k, b in enumerate(range(0, len(raw), 4 * limit)):
                         piece = raw[b:b + 4 * limit]
@@ -111,12 +112,11 @@ def tokenise(docs: DataFrame, path: str, limit: int = 4096, end_id: int = 1, wit
                         length.append(len(piece) // 4), crc.append(zlib.crc32(piece))
                         if with_ids:
                             ids.append(np.frombuffer(piece, dtype="<u4").astype(np.int32))
-                    at += 1
-            arrays = [batch.column(0).take(pa.array(source, pa.int64())), pa.array(number, pa.int32()),
-                      *(pa.array(x, pa.int64()) for x in (start, length, crc))]
-            if with_ids:
-                arrays.append(pa.array(ids, pa.list_(pa.int32())))
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+                arrays = [batch.column(0).take(pa.array(source, pa.int64())), pa.array(number, pa.int32()),
+                          *(pa.array(x, pa.int64()) for x in (start, length, crc))]
+                if with_ids:
+                    arrays.append(pa.array(ids, pa.list_(pa.int32())))
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     schema = f"{id_col} {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids array<int>" * with_ids
     names = [id_col, "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
