@@ -37,6 +37,7 @@ from salescp.session import materialize
 from .bpe import HELD_CHARS
 from .common import slices_of_rows, worker_store
 
+CACHES = 1_000_000, 250_000  # parts and chunks: about 250 MB of a worker
 MAX_BROADCAST_PLAN = 200_000  # rows of 6 numbers: about 10 MB
 
 # Chunks in which lower-casing and cutting at letters, digits and other signs need no context.
@@ -47,7 +48,7 @@ _PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 class CachedTokenizer:
     """A `tokenizers` tokenizer whose white space separates, with a bounded cache by chunk."""
 
-    def __init__(self, path: str, part_entries: int = 1_000_000, chunk_entries: int = 250_000):
+    def __init__(self, path: str, part_entries: int = CACHES[0], chunk_entries: int = CACHES[1]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
@@ -57,11 +58,11 @@ class CachedTokenizer:
         self.parts: dict[str, bytes] = {}
 
     @classmethod
-    def of_worker(cls, path: str) -> "CachedTokenizer":
+    def of_worker(cls, path: str, caches: tuple[int, int]) -> "CachedTokenizer":
         store = worker_store("tokenizers")
-        if path not in store:
-            store[path] = cls(path)
-        return store[path]
+        if (path, caches) not in store:
+            store[path, caches] = cls(path, *caches)
+        return store[path, caches]
 
     def prepare(self, texts: list[str]) -> None:
         """Tokenise every chunk of these texts that is not in the cache."""
@@ -91,14 +92,18 @@ class CachedTokenizer:
 
 
 def tokenise(docs: DataFrame, path: str, limit: int = 4096, end_id: int = 1, with_ids: bool = False,
-             id_col: str = "doc_id", text_col: str = "text", batch_chars: int = 1 << 22) -> DataFrame:
-    """Pieces of at most `limit` ids: (id, piece, start, length, ids_crc32[, ids])."""
+             id_col: str = "doc_id", text_col: str = "text", batch_chars: int = 1 << 22,
+             caches: tuple[int, int] = CACHES) -> DataFrame:
+    """Pieces of at most `limit` ids: (id, piece, start, length, ids_crc32[, ids]).
+
+    `caches`: parts and chunks that a worker may keep; fewer cost time, more cost memory.
+    """
     docs = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("text"))
     kind = docs.schema[0].dataType.simpleString()
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
-        tokenizer = CachedTokenizer.of_worker(path)
+        tokenizer = CachedTokenizer.of_worker(path, caches)
         for whole in batches:
             for batch in slices_of_rows(whole, 1, batch_chars):  # the texts of one slice at a time become Python strings
                 source, number, start, length, crc, ids = [], [], [], [], [], []
@@ -194,9 +199,9 @@ def pack(pieces: DataFrame, limit: int = 4096, id_col: str = "doc_id", buckets:
 
 
 def pack_documents(docs: DataFrame, path: str, limit: int = 4096, end_id: int = 1, with_ids: bool = False,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", caches: tuple[int, int] = CACHES) -> DataFrame:
     """Tokenise, cut what is longer than a sequence, and pack; one row per piece."""
-    return pack(materialize(tokenise(docs, path, limit, end_id, with_ids, id_col, text_col)), limit, id_col)
+    return pack(materialize(tokenise(docs, path, limit, end_id, with_ids, id_col, text_col, caches=caches)), limit, id_col)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
