@@ -98,7 +98,8 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, public_tokenizers.path(WORD_BPE))
+    # smaller caches than alone: the executors' Java heaps have grown in the stages before
+    return packing.pack_documents(docs, public_tokenizers.path(WORD_BPE), caches=(300_000, 100_000))
 
 
 STAGES = [("quality", quality_stage), ("lines", line_stage), ("near_dups", near_dup_stage), ("pii", pii_stage),
