@@ -48,13 +48,14 @@ def enriched(spark: SparkSession, sf_dir: str, category: str = "brand", how: str
 @query
 def daily_price_by_cat_dep_year(spark, sf_dir):
     v, p, l = fixtures.star(spark, sf_dir, "brand")
-    return agg.daily_price_by_cat_dep_year(v, p, l, FIXTURE, exact=True)
+    out = agg.daily_price_by_cat_dep_year(v, p, l, FIXTURE)
+    return out.withColumn("suma_precio", F.round("suma_precio", 2))
 
 
 @query
 def quantity_by_cat_dep(spark, sf_dir):
     v, p, l = fixtures.star(spark, sf_dir, "brand")
-    return agg.quantity_by_cat_dep(v, p, l, FIXTURE, exact=True)
+    return agg.quantity_by_cat_dep(v, p, l, FIXTURE)  # whole numbers: exact in any order
 
 
 _ENRICHED_COLS = ("clave_local", "clave_producto", "fecha", "cant_vta_original", "precio_unitario",
