@@ -122,6 +122,35 @@ def test_detect_dispatch_and_user_detector(spark):
         detect(df, ["key"], "nope")
 
 
+def test_user_detector_takes_many_keys_of_a_batch(spark):
+    """Keys are walked batch by batch, not one exchange with Python for each; nulls, NaN and keys cut by a batch edge hold."""
+    pts = [(k, x, day(i), float(i * i)) for k, x, n in
+           [(None, 1.0, 3), (2**60 + 1, None, 9), (2**60 + 2, float("nan"), 9), (5, -0.0, 4), (5, 0.0, 6), (6, 1.0, 1), (None, None, 2)]
+           for i in range(n)] + [(8, 1.0, None, 1.0), (8, 1.0, day(2), 4.0)]
+    df = spark.createDataFrame(pts, "k bigint, x double, fecha date, value double")
+
+    def spread(pdf):
+        assert list(pdf.columns) == ["fecha", "n", "mean", "m2"] and list(pdf.index) == list(range(len(pdf)))
+        known = pdf["fecha"].dropna()
+        assert known.is_monotonic_increasing and not pdf["fecha"].iloc[:len(known)].isna().any()
+        ends = known.iloc[[0, -1]] if len(pdf) % 2 else known.to_numpy(dtype="datetime64[ns]")[[0, -1]]
+        return list(ends) if pdf["n"].sum() > 1 else []
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for rows in (2, 4, 10_000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+            found = detect(df, ["k", "x"], spread)
+            assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, (
+                (k, x, day(i), "ok") for k, x, first, last in
+                [(None, 1.0, 0, 2), (2**60 + 1, None, 0, 8), (2**60 + 2, None, 0, 8), (5, 0.0, 0, 5), (None, None, 0, 1), (8, 1.0, 2, 2)]
+                for i in (first, last))))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    steps = found._jdf.queryExecution().toString()
+    assert "MapInArrow" in steps and "FlatMapGroupsInPandas" not in steps
+
+
 def test_range_ranks_give_same_changes(spark):
     s = price_series(enriched(spark, SF_SMALL, "brand"), ["categoria", "year"], extra=("clave_venta",))
     keys = ["categoria", "year"]
