@@ -8,6 +8,9 @@ length's count, and a plan row says: these ranks of this length go, `per` to a
 sequence, to the sequences from `first` on, at this offset.  Documents then take
 their slots by their rank within their length.
 
+Texts are cut on the bytes of their Arrow column, all rows of a slice at once; each
+distinct part of a slice is looked up, or tokenised, once.
+
 Scale.  The driver sees one count per length (at most `limit` of them) and
 makes the plan rows from them.  The rank within a length is a count over
 (length, bucket) plus a rank inside the bucket, so a length that a third of all
@@ -25,6 +28,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -37,24 +41,85 @@ from salescp.session import materialize
 from .bpe import HELD_CHARS
 from .common import slices_of_rows, worker_store
 
-CACHES = 1_000_000, 250_000  # parts and chunks: about 250 MB of a worker
+CACHES = 1_000_000, 250_000  # parts and chunks that are not cut: at most about 250 MB of a worker
 MAX_BROADCAST_PLAN = 200_000  # rows of 6 numbers: about 10 MB
 
-# Chunks in which lower-casing and cutting at letters, digits and other signs need no context.
+# Chunks (between spaces) in which lower-casing and cutting at letters, digits and other signs need no context.
 _PLAIN = re.compile("[!-&(-;=-~À-ÖØ-öø-ÿ]+")
-_PARTS = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+
+# What a byte of UTF-8 is: every plain sign beyond ASCII is 0xC3 and one more byte, and a letter.
+_GAP, _LETTER, _DIGIT, _SIGN, _OTHER = range(5)
+_KIND = np.full(256, _OTHER, dtype=np.uint8)
+_KIND[[ord("\n"), ord(" ")]] = _GAP
+_KIND[ord("!"):ord("~") + 1] = _SIGN
+_KIND[[ord("'"), ord("<")]] = _OTHER
+_KIND[ord("0"):ord("9") + 1] = _DIGIT
+_KIND[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), 0xC3, *range(0x80, 0xC0)]] = _LETTER
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A"):ord("Z") + 1] += 32
+
+
+def cut_parts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(parts of these texts in order, the number of parts before each text and in all).
+
+    A plain chunk is cut, in lower case, into runs of letters, single digits and
+    runs of other signs; any other chunk is one part, as it stands.
+    """
+    texts = texts.fill_null("").cast(pa.large_string())
+    edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[edges[0]:edges[-1]]
+    edges = edges - edges[0]
+    if not len(data):
+        return pa.array([], pa.large_string()), np.zeros(len(texts) + 1, np.int64)
+    kind = _KIND[data]
+    two = np.flatnonzero(data == 0xC3)
+    second = data[np.minimum(two + 1, len(data) - 1)]
+    kind[two[(second == 0x97) | (second == 0xB7)]] = _OTHER  # the signs for times and divided by
+    lower = _LOWER[data]
+    lower[two[second < 0x9F] + 1] += 0x20
+    opens = np.zeros(len(data) + 1, dtype=bool)
+    opens[edges] = True
+    starts = opens[:-1] | (kind == _DIGIT)
+    starts[1:] |= kind[1:] != kind[:-1]
+    rest = np.flatnonzero(kind == _OTHER)
+    if len(rest):
+        filled = kind != _GAP
+        begin, end = opens[:-1].copy(), opens[1:].copy()
+        begin[1:] |= ~filled[:-1]
+        end[:-1] |= ~filled[1:]
+        begin, end = np.flatnonzero(begin & filled), np.flatnonzero(end & filled) + 1
+        whole = np.unique(np.searchsorted(begin, rest, side="right") - 1)
+        step = np.zeros(len(data) + 1, dtype=np.int8)
+        step[begin[whole]] += 1
+        step[end[whole]] -= 1
+        inside = np.cumsum(step[:-1], dtype=np.int8).view(bool)
+        starts[inside] = False
+        starts[begin[whole]] = True
+        lower[inside] = data[inside]
+    kept = kind != _GAP
+    starts &= kept
+    at = np.flatnonzero(starts)
+    lower = lower[kept]
+    bounds = np.append(np.flatnonzero(starts[kept]), len(lower))
+    parts = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(bounds), pa.py_buffer(lower))
+    return parts, np.searchsorted(at, edges)
 
 
 class CachedTokenizer:
-    """A `tokenizers` tokenizer whose white space separates, with a bounded cache by chunk."""
+    """A `tokenizers` tokenizer whose white space separates, with bounded caches of the parts and of the
+    chunks that are not cut."""
 
     def __init__(self, path: str, part_entries: int = CACHES[0], chunk_entries: int = CACHES[1]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocab = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values(), default=0) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocab.items() if suffix and token.endswith(suffix)]] = True
         self.limits, self.held, self.held_parts = (part_entries, chunk_entries), 0, 0
-        self.chunks: dict[str, bytes] = {"": b""}
+        self.chunks: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     @classmethod
@@ -64,31 +129,64 @@ class CachedTokenizer:
             store[path, caches] = cls(path, *caches)
         return store[path, caches]
 
-    def prepare(self, texts: list[str]) -> None:
-        """Tokenise every chunk of these texts that is not in the cache."""
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """Ids of each of these parts; those that are not in the caches are tokenised."""
         if len(self.chunks) > self.limits[1] or self.held > HELD_CHARS:
-            self.chunks, self.held = {"": b""}, 0
+            self.chunks, self.held = {}, 0
         if len(self.parts) > self.limits[0] or self.held_parts > HELD_CHARS:
             self.parts, self.held_parts = {}, 0
-        need: set[str] = set()
-        for t in texts:
-            need.update(t.replace("\n", " ").split(" "))
-        need.difference_update(self.chunks)
-        self.held += sum(map(len, need))
-        cut = {c: _PARTS.findall(c.lower()) if _PLAIN.fullmatch(c) else [c] for c in need}
-        new = list({p for ps in cut.values() for p in ps}.difference(self.parts))
-        self.held_parts += sum(map(len, new))
-        for at in range(0, len(new), 10_000):
-            some = new[at:at + 10_000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.parts[p] = np.array(e.ids, dtype="<u4").tobytes()
-        get = self.parts.__getitem__
-        for c, ps in cut.items():
-            self.chunks[c] = get(ps[0]) if len(ps) == 1 else b"".join(map(get, ps))
+        found = list(map(self.parts.get, parts))
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            found[k] = self.chunks.get(parts[k])
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        for at in range(0, len(missing), 10_000):
+            some = missing[at:at + 10_000]
+            plain = [k for k in some if _PLAIN.fullmatch(parts[k])]
+            for k, ids in zip(plain, self._words([parts[k] for k in plain])):
+                found[k] = self.parts[parts[k]] = ids
+                self.held_parts += len(parts[k])
+            other = sorted(set(some).difference(plain))
+            for k, ids in zip(other, self._each([parts[k] for k in other])):
+                found[k] = self.chunks[parts[k]] = ids
+                self.held += len(parts[k])
+        return found
+
+    def _each(self, parts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def _words(self, parts: list[str], together: int = 200) -> list[bytes]:
+        """Ids of plain parts, each of which is one word to the tokenizer: many go as one text, and a token that
+        ends a word tells them apart."""
+        lists = [parts[k:k + together] for k in range(0, len(parts), together)]
+        out: list[bytes] = []
+        for some, e in zip(lists, self.tokenizer.encode_batch_fast([" ".join(x) for x in lists], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            ends = 4 * np.flatnonzero(self.ends_word[ids]) + 4
+            raw = ids.tobytes()
+            if len(ends) != len(some) or ends[-1] != len(raw):  # a tokenizer without such tokens
+                out += self._each(some)
+                continue
+            starts = [0, *ends.tolist()]
+            out += [raw[lo:hi] for lo, hi in zip(starts, starts[1:])]
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[memoryview, np.ndarray]:
+        """(little-endian unsigned 32-bit ids of all texts, the byte at which each begins and the last ends)."""
+        parts, first = cut_parts(texts)
+        if not len(parts):
+            return memoryview(b""), first
+        coded = parts.dictionary_encode()
+        ids = pa.array(self._known(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        edges = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:ids.offset + len(ids) + 1]
+        return memoryview(ids.buffers()[2] or b""), edges[first]
+
+    def prepare(self, texts: list[str]) -> None:
+        """Fill the caches with what these texts hold."""
+        self.encode(pa.array(texts, pa.string()))
 
     def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of a whole text, after `prepare`."""
-        return b"".join(map(self.chunks.__getitem__, text.replace("\n", " ").split(" ")))
+        """Little-endian unsigned 32-bit ids of a whole text (quick after `prepare`)."""
+        return bytes(self.encode(pa.array([text], pa.string()))[0])
 
 
 def tokenise(docs: DataFrame, path: str, limit: int = 4096, end_id: int = 1, with_ids: bool = False,
@@ -105,12 +203,11 @@ def tokenise(docs: DataFrame, path: str, limit: int = 4096, end_id: int = 1, wit
     def run(batches):
         tokenizer = CachedTokenizer.of_worker(path, caches)
         for whole in batches:
-            for batch in slices_of_rows(whole, 1, batch_chars):  # the texts of one slice at a time become Python strings
+            for batch in slices_of_rows(whole, 1, batch_chars):  # the parts of one slice at a time are held
                 source, number, start, length, crc, ids = [], [], [], [], [], []
-                texts = [t or "" for t in batch.column(1).to_pylist()]
-                tokenizer.prepare(texts)
-                for at, text in enumerate(texts):
-                    raw = tokenizer.ids(text) + end
+                held, edges = tokenizer.encode(batch.column(1))
+                for at in range(batch.num_rows):
+                    raw = bytes(held[edges[at]:edges[at + 1]]) + end
                     for k, b in enumerate(range(0, len(raw), 4 * limit)):
                         piece = raw[b:b + 4 * limit]
                         source.append(at), number.append(k), start.append(b // 4)

@@ -2,12 +2,15 @@
 
 import base64
 import hashlib
+import json
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from llm.conftest import ODD
@@ -141,6 +144,47 @@ def test_cached_tokenizer_is_the_library():
         assert np.frombuffer(own.ids(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids
 
 
+def test_parts_are_those_of_the_pattern():
+    cut, rng = re.compile("[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall, random.Random(8)
+    more = ["Ab1!c", "É", "Þßÿ×", "a÷b", "a'b c", "Don't\nSTOP", "<A> b", "12 3", "\n \n", "x\x7fY z", "A\u0301B c", "漢A b"]
+    texts = [None, *more, "", *(text_of(rng, rng.choice([0, 1, 2, 5, 20])) for _ in range(400)), "é"]
+    for some in (pa.array(texts), pa.array(texts).slice(3, 200), pa.array(["", None]), pa.array([], pa.string()), pa.array(["   "])):
+        parts, first = packing.cut_parts(some)
+        expect = [[p for c in (t or "").replace("\n", " ").split(" ") if c
+                   for p in (cut(c.lower()) if packing._PLAIN.fullmatch(c) else [c])] for t in some.to_pylist()]
+        assert [parts.slice(a, b - a).to_pylist() for a, b in zip(first, first[1:])] == expect
+
+
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **kwargs):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **kwargs)
+
+
+def test_new_words_go_to_the_library_together(tmp_path):
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdeé") for _ in range(9)) for _ in range(4000)]
+    texts = [" ".join(words[a:a + 50]) + ", it's\n" for a in range(0, len(words), 50)]
+    path = P.path("word_bpe_49k.json")
+    described = json.loads(open(path).read())
+    described["model"] |= {"end_of_word_suffix": None, "merges": [], "vocab": {c: i for i, c in enumerate("abcdeÃ©,")}}
+    described["added_tokens"] = []
+    (tmp_path / "no_suffix.json").write_text(json.dumps(described))
+    for file, most in ((path, 60), (f"{tmp_path}/no_suffix.json", 5000)):
+        own, lib = packing.CachedTokenizer(file, 1500, 5), Tokenizer.from_file(file)
+        own.tokenizer = Counted(own.tokenizer)
+        raw, edges = own.encode(pa.array([*texts, None, ""]))
+        assert [np.frombuffer(raw[a:b], "<u4").tolist() for a, b in zip(edges, edges[1:])] == \
+            [lib.encode(t, add_special_tokens=False).ids for t in [*texts, "", ""]]
+        assert own.tokenizer.texts <= most
+        assert [np.frombuffer(own.ids(t), "<u4").tolist() for t in texts[:9]] == [lib.encode(t, add_special_tokens=False).ids for t in texts[:9]]
+
+
 def check_packing(rows, limit):
     by_sequence = defaultdict(list)
     for r in rows:
