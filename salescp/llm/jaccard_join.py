@@ -10,20 +10,30 @@ ones are only probed.
    of the set; equal sets are one class from here on.
 2. List lengths: all shingles of all documents are counted, as sorted, packed
    fingerprints.  The (at most `known_lengths`) longest lists' fingerprints and
-   rounded lengths are broadcast, a table of bounded size.  Lengths only order
-   the lists; every order gives the same links.
-3. Candidates: each class posts its n - T + 1 shortest lists.  Within a list, sorted
+   rounded lengths are broadcast, a table of bounded size; so are rounded counts of
+   all words (in 2**18 slots by hash), by whose sum the other lists' lengths are
+   estimated: a shingle of rare words has a short list.  Lengths only order the
+   lists; every order gives the same links.
+3. Candidates: each class posts its n - T + 1 shortest lists and T // 12 more, so
+   that linking sets meet in 1 + T // 12 of them at least (T of the smaller).  The
+   lists' true lengths are known once they are together: lists of one class go, and
+   each class leaves as many of its longest as both sides of a link can spare, half
+   of T // 12.  So a passage or a chance meeting joins no two documents, and the long
+   documents of a large table are not chained into one group.  Within a list, sorted
    by set size, neighbours within the size bound are chained: a number of edges
    below the list's length, yet every pair that can link is connected.
 4. Search: each connected set of candidates is one group, in blocks of about
    `block` shingles; groups of several blocks are searched for each pair of blocks
    whose sizes can link.  Inside, DivideSkip: the short lists are merged with a
    heap, entries that already belong to the document's component are left out,
-   and the long lists are probed by binary search for what is left.
+   and the long lists are probed by binary search for what is left.  Only texts
+   of candidates are shuffled: a bitmap of their ids, of bounded size, is
+   broadcast and drops nearly all others first.
 5. Components over the links found (a spanning set of them per group), then over
    classes; class members take over the component.
 
 No pair of a group is emitted, exact copies never meet, and nothing is capped.
+Shuffle files go as each step ends, written tables once the components are known.
 
 Defined results: a text without a word (null, empty, white space) has an empty
 set and links with nothing; fewer words than `words` make one shingle; rows
@@ -45,12 +55,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescp.session import materialize
+from salescp.session import drop_materialized, materialize, scratch, shuffles_go
 
 from .common import components
 
 _CLEAN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz     ")
 _CHUNK = 1 << 20
+SPARE = 12  # a class posts a list more for so many of its required overlap
+LONG = 4096  # lists of more classes count as this long
 MOST_LARGE = 1_000_000  # classes that are dealt by id, at most
 
 
@@ -93,8 +105,8 @@ class Shingler:
             out[k] = int.from_bytes(blake2b(data[starts[k]:ends[k]], digest_size=8).digest(), "little")
         return out
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        """Sorted distinct 64-bit hashes of the shingles of the whole text."""
+    def of_words(self, text: str | None) -> np.ndarray:
+        """Hash of each word of the whole text."""
         data = (text or "").encode().translate(_CLEAN)
         parts, at = [], 0
         while at < len(data):  # very long texts in pieces that end at a space
@@ -102,14 +114,35 @@ class Shingler:
             end = len(data) if end < 0 else end
             parts.append(self._words(data[at:end]))
             at = end
-        h = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
-        if not len(h):
-            return h
+        return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
+
+    def _each(self, h: np.ndarray) -> np.ndarray:
+        """Hash of the shingle at each place, of the hashes of one word or more."""
         w = min(self.words, len(h))
         s = h[:len(h) - w + 1].copy()
         for k in range(1, w):
             s = _mix(s) + h[k:len(h) - w + 1 + k]
-        return np.unique(_mix(s + np.uint64(w)))
+        return _mix(s + np.uint64(w))
+
+    def of_hashes(self, h: np.ndarray) -> np.ndarray:
+        if not len(h):
+            return h
+        s = np.sort(self._each(h))  # np.unique hashes first, which takes longer
+        return s[np.concatenate(([True], s[1:] != s[:-1]))]
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        """Sorted distinct 64-bit hashes of the shingles of the whole text."""
+        return self.of_hashes(self.of_words(text))
+
+    def weighed(self, h: np.ndarray, levels: np.ndarray):
+        """The same of one word or more, and for each shingle the sum of its words' levels."""
+        s = self._each(h)
+        order = np.argsort(s)
+        s = s[order]
+        once = np.concatenate(([True], s[1:] != s[:-1]))
+        w = min(self.words, len(h))
+        up_to = np.concatenate(([0], np.cumsum(levels[_slot(h)], dtype=np.int64)))
+        return s[once], (up_to[w:] - up_to[:-w])[order[once]]
 
 
 def set_key(shingles: np.ndarray) -> int:
@@ -135,12 +168,23 @@ def _sets(docs: DataFrame, words: int, emit, schema: str) -> DataFrame:
 # List lengths: fingerprints are the top FINGER bits of a shingle's hash, dealt to 2**b buckets by their top b bits.
 FINGER = 40
 LEVELS = 256
+# Word counts: 2**SLOTS slots by the top bits of a word's hash, added up in ranges of 2**RANGE slots.
+SLOTS = 18
+RANGE = 12
 
 
 def _level(counts):
     return np.minimum(LEVELS - 1, np.floor(4 * np.log2(counts))).astype(np.uint8)
 
 
+def _slot(words: np.ndarray) -> np.ndarray:
+    return (words >> np.uint64(64 - SLOTS)).astype(np.int64)
+
+
+def _word_levels(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(LEVELS - 1, np.floor(8 * np.log2(counts + 1.0))).astype(np.uint8)
+
+
 def _pack(values: np.ndarray) -> bytes:
     """Sorted numbers as differences, byte by byte of the needed width."""
     gaps = np.diff(values, prepend=np.uint64(0))
@@ -178,73 +222,99 @@ def _add_batches(blobs, again, times):
 
 
 def list_lengths(docs: DataFrame, words: int, total: int, known: int, per_bucket: int = 1 << 20):
-    """(fingerprints, levels) of at most `known` longest inverted lists over all documents.
+    """(fingerprints, levels) of at most `known` longest inverted lists over all documents; levels of word slots.
 
     Equal sets that meet in one batch count once.  `total` is the number of postings.
     """
     bits = min(24, max(4, (total // per_bucket).bit_length()))
 
-    def emit(shingler, batch):
-        seen, sets = set(), []
-        for text in batch.column(1).to_pylist():
-            s = shingler(text)
-            key = s.tobytes() if len(s) < 4 else set_key(s)
-            if len(s) and key not in seen:
-                seen.add(key)
-                sets.append(s)
-        if not sets:
-            return
-        columns = zip(*_count_batch(sets, bits))
-        yield pa.RecordBatch.from_arrays(
+    def rows(columns):
+        return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
             names=["bucket", "blob", "again", "times"])
 
+    def emit(batches):
+        shingler, used = Shingler(words), np.zeros(1 << SLOTS, dtype=np.int64)
+        for batch in batches:
+            seen, sets, slots = set(), [], []
+            for text in batch.column(1).to_pylist():
+                h = shingler.of_words(text)
+                s = shingler.of_hashes(h)
+                key = s.tobytes() if len(s) < 4 else set_key(s)
+                if len(s) and key not in seen:
+                    seen.add(key)
+                    sets.append(s)
+                    slots.append(_slot(h))
+            if sets:
+                used += np.bincount(np.concatenate(slots), minlength=1 << SLOTS)
+                yield rows(zip(*_count_batch(sets, bits)))
+        if used.any():  # a task's word counts, under the numbers below 0
+            ranges = used.astype("<i8").reshape(-1, 1 << RANGE)
+            yield rows(zip(*[(-1 - k, x.tobytes(), b"", b"") for k, x in enumerate(ranges)]))
+
     def count(key, frame):
+        if key[0] < 0:
+            total = sum(np.frombuffer(x, dtype="<i8") for x in frame["blob"])
+            return pd.DataFrame([(int(key[0]), _word_levels(total).tobytes(), 0)], columns=["level", "fingers", "n"])
         # the bucket's fingerprints that occur again, with the level of their count
         f, n = _add_batches(frame["blob"], frame["again"], frame["times"])
         f, level = f[n > 1] + np.uint64(int(key[0]) << (FINGER - bits)), _level(n[n > 1])
         out = [(int(x), f[level == x].astype("<u8").tobytes(), int((level == x).sum())) for x in np.unique(level)]
         return pd.DataFrame(out, columns=["level", "fingers", "n"])
 
-    packed = _sets(docs, words, emit, "bucket bigint, blob binary, again binary, times binary")
+    packed = docs.mapInArrow(emit, "bucket bigint, blob binary, again binary, times binary")
     counted = materialize(packed.groupBy("bucket").applyInPandas(count, "level int, fingers binary, n bigint"))
+    used = {r["level"]: bytes(r["fingers"]) for r in counted.where("level < 0").collect()}
+    used = np.frombuffer(b"".join(used.get(-1 - k, bytes(1 << RANGE)) for k in range(1 << (SLOTS - RANGE))), dtype=np.uint8)
     least, room = LEVELS, known
-    for r in counted.groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():
+    for r in counted.where("level >= 0").groupBy("level").agg(F.sum("n").alias("n")).orderBy(F.desc("level")).collect():
         if r["n"] > room:
             break
         least, room = r["level"], room - r["n"]
     rows = [(r["level"], np.frombuffer(bytes(r["fingers"]), dtype="<u8"))
             for r in counted.where(F.col("level") >= least).select("level", "fingers").toLocalIterator()]
     if not rows:
-        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint8)
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint8), used
     f = np.concatenate([x for _, x in rows])
     level = np.repeat(np.array([x for x, _ in rows], dtype=np.uint8), [len(x) for _, x in rows])
     order = np.argsort(f)
-    return f[order], level[order]
+    return f[order], level[order], used
+
+
+def _least(values: np.ndarray, k: int) -> np.ndarray:
+    """Places of the `k` least values; of equal ones the first."""
+    if k >= len(values):
+        return np.arange(len(values))
+    last = np.partition(values, k - 1)[k - 1]
+    below = np.flatnonzero(values < last)
+    return np.concatenate((below, np.flatnonzero(values == last)[:k - len(below)]))
 
 
 def postings(docs: DataFrame, words: int, num: int, den: int, lengths) -> DataFrame:
-    """(shingle, class, n): each class's shortest lists; equal sets of one batch post once."""
+    """(h, c, n): shingle, class and its size, for each class's shortest lists; equal sets of one batch post once."""
     shared = docs.sparkSession.sparkContext.broadcast(lengths)
 
     def emit(shingler, batch):
-        fingers, levels = shared.value
+        fingers, levels, used = shared.value
         seen, out = set(), []
         for text in batch.column(1).to_pylist():
-            s = shingler(text)
-            n = len(s)
-            if not n:
+            h = shingler.of_words(text)
+            if not len(h):
                 continue
+            s, guess = shingler.weighed(h, used)
+            n = len(s)
             key = set_key(s)
             if key in seen:
                 continue
             seen.add(key)
-            level = np.zeros(n, dtype=np.uint8)
+            level = np.zeros(n, dtype=np.int64)
             if len(fingers):
                 f = s >> np.uint64(64 - FINGER)
                 at = np.minimum(np.searchsorted(fingers, f), len(fingers) - 1)
-                level = np.where(fingers[at] == f, levels[at], 0).astype(np.uint8)
-            short = s[np.argsort(level, kind="stable")[:n - required(n, num, den) + 1]]
+                level = np.where(fingers[at] == f, levels[at], 0).astype(np.int64)
+            level = (level << 32) + guess  # unknown lists first, of rare words before others
+            t = required(n, num, den)
+            short = s[_least(level, n - t + 1 + t // SPARE)]
             out.append((short, key, n))
         if out:
             sizes = [len(s) for s, _, _ in out]
@@ -256,6 +326,49 @@ def postings(docs: DataFrame, words: int, num: int, den: int, lengths) -> DataFr
     return _sets(docs, words, emit, "h bigint, c bigint, n int")
 
 
+def _met(batches):
+    """(h, c, n, m) of postings sorted by (h, n, c), each once: m classes in the list, two or more."""
+
+    def lists(h, c, n, long):
+        ends = np.flatnonzero(np.concatenate((h[1:] != h[:-1], [True]))) + 1
+        size = np.diff(ends, prepend=0)
+        m = np.minimum(size, LONG).astype(np.int32)
+        if h[0] == long:
+            m[0] = LONG
+        m = np.repeat(m, size)
+        return pa.RecordBatch.from_arrays([pa.array(x[m > 1]) for x in (h, c, n, m)], names=["h", "c", "n", "m"])
+
+    # the last list is held, as it may go on; of one that has more than LONG classes, a single row
+    held, long = [np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.int32)], None
+    for batch in batches:
+        h, c, n = (np.concatenate((x, y.to_numpy(zero_copy_only=False))) for x, y in zip(held, batch.columns))
+        if not len(h):
+            continue
+        once = np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))
+        h, c, n = h[once], c[once], n[once]
+        last, went_on = int(np.searchsorted(h, h[-1])), long
+        if h[-1] == long or len(h) - last > LONG:
+            last, long = len(h) - 1, h[-1]
+        if last:
+            yield lists(h[:last], c[:last], n[:last], went_on)
+        held = [x[last:] for x in (h, c, n)]
+    if len(held[0]):
+        yield lists(*held, long)
+
+
+def chains(posted: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): neighbours in the lists of `posted` (h, c, n), once each class has left out its longest lists."""
+    met = materialize(posted.repartition("h").sortWithinPartitions("h", "n", "c")
+                      .mapInArrow(_met, "h bigint, c bigint, n int, m int"))
+    least = F.expr(f"((n * {num}L + {den - 1}) div {den} * {num} + {den - 1}) div {den}")  # required(required(n))
+    rank = F.row_number().over(Window.partitionBy("c").orderBy(F.desc("m"), "h"))
+    kept = met.withColumn("spare", F.floor(least / (2 * SPARE))).withColumn("rank", rank).where("rank > spare")
+    w = Window.partitionBy("h").orderBy("n", "c")
+    return (kept.select("c", "n", F.lag("c").over(w).alias("d"), F.lag("n").over(w).alias("k"))
+            .where((F.col("c") != F.col("d")) & (F.col("k") * den >= F.col("n") * num))
+            .select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")))
+
+
 def divide_skip(sets: list[np.ndarray], num: int, den: int, split: int = 0) -> list[tuple[int, int]]:
     """Links (x, y) that connect every pair of linking sets; `sets` ascend in size.
 
@@ -316,6 +429,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     text_hash (xxhash64 of the text) tells rows that repeat an id apart.
     """
     docs = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
+    with shuffles_go(docs.sparkSession):
+        return _near_duplicates(docs, words, num, den, id_col, known_lengths, block, deal)
+
+
+def _near_duplicates(docs: DataFrame, words: int, num: int, den: int, id_col: str, known_lengths: int, block: int,
+                     deal: int) -> DataFrame:
     kind = docs.schema[0].dataType.simpleString()
 
     def sizes_of(shingler, batch):
@@ -331,14 +450,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     classes = (sizes.where("_id is not null and c is not null").groupBy("c")
                .agg(F.min("_id").alias("_rep"), F.first("n").alias("n"), F.count("*").alias("members")))
     total, rows = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    lengths = list_lengths(real, words, total, known_lengths)
-    w = Window.partitionBy("h").orderBy("n", "c")
-    chained = (postings(real, words, num, den, lengths)
-               .select("c", "n", F.lag("c").over(w).alias("d"), F.lag("n").over(w).alias("k"))
-               .where((F.col("c") != F.col("d")) & (F.col("k") * den >= F.col("n") * num)))
-    groups = components(chained.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")))
-    links = materialize(_search(real, classes, groups, words, num, den, block))
+    with scratch() as used:
+        lengths = list_lengths(real, words, total, known_lengths)
+        groups = components(chains(postings(real, words, num, den, lengths), num, den))
+        links = materialize(_search(real, classes, groups, words, num, den, block))
     joined = components(links)
+    drop_materialized(docs.sparkSession, used)
     known = (classes.drop("members").join(joined, F.col("c") == F.col("node"), "left")
              .select("c", "_rep", F.coalesce("component", "c").alias("root")))
     least = known.groupBy("root").agg(F.min("_rep").alias("component_id"))
@@ -372,6 +489,16 @@ def _in_blocks(found: DataFrame, block: int, deal: int = 1 << 16) -> DataFrame:
             .drop("deal", "rank", "before"))
 
 
+def _may_be(docs: DataFrame, ids: DataFrame, bits: int = 24) -> DataFrame:
+    """The rows of `docs` whose `_id` is among `ids` (_rep), and few others: a bitmap of 2**`bits` ids by hash is broadcast."""
+    place = lambda c: F.expr(f"pmod(xxhash64({c}), {1 << bits}L)")
+    bitmap = (ids.select(place("_rep").alias("at")).groupBy(F.shiftright("at", 6).alias("_word"))
+              .agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("_bits")))
+    docs = docs.withColumn("_at", place("_id"))
+    hit = (F.shiftright("_at", 6) == F.col("_word")) & F.expr("shiftright(_bits, cast(_at & 63 as int)) & 1 = 1")
+    return docs.join(F.broadcast(bitmap), hit, "left_semi").drop("_at")
+
+
 def _search(docs: DataFrame, classes: DataFrame, groups: DataFrame, words: int, num: int, den: int,
             block: int) -> DataFrame:
     """(a, b): links between classes, searched within each group of candidates."""
@@ -391,7 +518,7 @@ def _search(docs: DataFrame, classes: DataFrame, groups: DataFrame, words: int,
     bundles = max(1, volume // block)  # groups of one block are searched together, about a block at a time
     wanted = (placed.join(tasks, ["g", "part"], "left")
               .select("c", "_rep", "g", "part", F.col("tasks").alias("tasks")))
-    with_text = docs.join(wanted, F.col("_id") == F.col("_rep")).select("c", "g", "part", "tasks", "_text")
+    with_text = _may_be(docs, found).join(wanted, F.col("_id") == F.col("_rep")).select("c", "g", "part", "tasks", "_text")
 
     def sets_of(batches):
         shingler = Shingler(words)

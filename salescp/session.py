@@ -100,6 +100,21 @@ def scratch():
         _OPEN[:] = [p for p in _OPEN if p is not paths]
 
 
+@contextmanager
+def shuffles_go(spark: SparkSession):
+    """Inside the block a query's shuffle files go as it ends, not when the driver happens to collect its garbage.
+
+    For queries that run once: a frame that is run again makes its shuffles anew.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def note_written(*paths: str) -> None:
     """Count these paths among those of the innermost open `scratch()` block."""
     if _OPEN:

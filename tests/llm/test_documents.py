@@ -14,6 +14,7 @@ from llm.conftest import ODD
 from conftest import SF_ORACLE
 from pyspark.sql import functions as F
 
+from salescp import session
 from salescp.llm import jaccard_join, language_id, line_dedup, pii, quality, queries
 
 MULTI = P.path("byte_bpe_multi_50k.tiktoken")
@@ -539,3 +540,77 @@ def test_blocks_of_a_hot_group_are_numbered_in_buckets(spark):
 
 def test_jaccard_of_nothing(make_docs):
     assert jaccard_join.near_duplicates(make_docs([])).collect() == []
+
+
+def test_jaccard_word_counts_and_posted_lists(spark, make_docs):
+    """Long documents of common words that share a short passage are no candidates of each other."""
+    rng = np.random.default_rng(5)
+    common, rows = [f"of{k}" for k in range(4)], []
+    for k in range(40):
+        words = [common[rng.integers(4)] if rng.random() < 0.6 else f"w{k}x{j}" for j in range(400)]
+        at = 10 * (k // 2)
+        words[at:at + 10] = [f"passage{k // 2}y{j}" for j in range(10)]  # of two neighbours each
+        rows.append((k, " ".join(words)))
+    rows += [(100 + k, rows[k][1].replace("x399", "x39")) for k in range(3)]  # near copies of the first three
+    docs = make_docs(rows).select(F.col("doc_id").alias("_id"), F.col("text").alias("_text")).repartition(3)
+    lengths = jaccard_join.list_lengths(docs, 5, 16_000, 0)
+    counts = Counter(int(s) for _, t in rows for s in jaccard_join._slot(jaccard_join.Shingler().of_words(t)))
+    assert len(lengths[0]) == 0 and len(lengths[2]) == 1 << jaccard_join.SLOTS
+    assert {k: int(lengths[2][k]) for k in counts} == {k: int(np.floor(8 * np.log2(n + 1))) for k, n in counts.items()}
+    shingler = jaccard_join.Shingler()
+    key = {jaccard_join.set_key(shingler(t)): i for i, t in rows}
+    posted = jaccard_join.postings(docs, 5, 80, 100, lengths)
+    edges = {frozenset((key[r.a], key[r.b])) for r in jaccard_join.chains(posted, 80, 100).collect()}
+    assert edges == {frozenset((k, 100 + k)) for k in range(3)}
+
+
+def test_jaccard_lists_that_go_on_over_batches():
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    rows = sorted({(int(h), int(c) % 60, int(c) % 7) for h, c in zip(rng.integers(0, 30, 400), rng.integers(0, 500, 400))} |
+                  {(10, c, 0) for c in range(100, 180)}, key=lambda r: (r[0], r[2], r[1]))
+    rows = sorted({(h, c): (h, c, c % 7) for h, c, _ in rows}.values(), key=lambda r: (r[0], r[2], r[1]))
+    size = Counter(h for h, _, _ in rows)
+    twice = [r for r in rows for _ in range(1 + r[1] % 2)]
+    old, jaccard_join.LONG = jaccard_join.LONG, 20
+    try:
+        for step in (1, 7, 1000):
+            batches = [pa.RecordBatch.from_arrays([pa.array([r[k] for r in twice[a:a + step]], t) for k, t in
+                                                   enumerate((pa.int64(), pa.int64(), pa.int32()))], names=["h", "c", "n"])
+                       for a in range(0, len(twice), step)]
+            got = [tuple(r.values()) for b in jaccard_join._met([batches[0].slice(0, 0), *batches]) for r in b.to_pylist()]
+            assert [r[:3] for r in got] == [r for r in rows if size[r[0]] > 1]
+            assert all(m == min(20, size[h]) for h, _, _, m in got)
+    finally:
+        jaccard_join.LONG = old
+
+
+def test_jaccard_bitmap_keeps_all_that_are_wanted(spark, make_docs):
+    docs = make_docs([(k, "t") for k in range(500)]).select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+    kept = [r._id for r in jaccard_join._may_be(docs, docs.where("_id % 10 = 3").withColumnRenamed("_id", "_rep")).collect()]
+    assert sorted(kept) == list(range(3, 500, 10))
+    some = [r._id for r in jaccard_join._may_be(docs, docs.where("_id % 10 = 3").withColumnRenamed("_id", "_rep"), bits=7).collect()]
+    assert set(kept) <= set(some) and len(some) == len(set(some))
+
+
+def test_jaccard_leaves_no_shuffle_files_and_few_tables(spark, make_docs, tmp_path):
+    text = " ".join(f"w{k}" for k in range(60))
+    docs = make_docs([(1, text), (2, text + " tail"), (3, "other words"), (4, None)])
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        blocks = disk.getAllBlocks()
+        return {b.toString() for b in (blocks.apply(k) for k in range(blocks.size())) if b.isShuffle()}
+
+    before = shuffles()
+    with session.scratch() as paths:
+        found = jaccard_join.near_duplicates(docs)
+        for _ in range(20):  # files go a moment later
+            if not shuffles() - before:
+                break
+            time.sleep(0.5)
+        assert not shuffles() - before
+        assert len(paths) == 2  # sizes and components
+        assert {r.doc_id: r.component_id for r in found.collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    session.drop_materialized(spark, paths)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) in (None, "false")
