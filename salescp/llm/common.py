@@ -34,6 +34,19 @@ def worker_store(name: str) -> dict:
     return held[1]
 
 
+def let_go() -> None:
+    """Give memory that is free in this worker back to the system: workers outlive their tasks, and
+    Arrow's pool and the C library else keep what a task has used."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim is not None:
+        trim(0)
+
+
 def slices_of_rows(batch, at: int, limit: int):
     """An Arrow batch in slices of rows whose column `at` (text) has about `limit` bytes, one row at least."""
     import numpy as np

@@ -57,7 +57,7 @@ from pyspark.sql import functions as F
 
 from salescp.session import drop_materialized, materialize, scratch, shuffles_go
 
-from .common import components
+from .common import components, let_go
 
 _CLEAN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz     ")
 _CHUNK = 1 << 20
@@ -161,6 +161,7 @@ def _sets(docs: DataFrame, words: int, emit, schema: str) -> DataFrame:
         shingler = Shingler(words)
         for batch in batches:
             yield from emit(shingler, batch)
+        let_go()
 
     return docs.mapInArrow(run, schema)
 
@@ -251,6 +252,7 @@ def list_lengths(docs: DataFrame, words: int, total: int, known: int, per_bucket
         if used.any():  # a task's word counts, under the numbers below 0
             ranges = used.astype("<i8").reshape(-1, 1 << RANGE)
             yield rows(zip(*[(-1 - k, x.tobytes(), b"", b"") for k, x in enumerate(ranges)]))
+        let_go()
 
     def count(key, frame):
         if key[0] < 0:
@@ -354,6 +356,7 @@ def _met(batches):
         held = [x[last:] for x in (h, c, n)]
     if len(held[0]):
         yield lists(*held, long)
+    let_go()
 
 
 def chains(posted: DataFrame, num: int, den: int) -> DataFrame:
@@ -527,6 +530,7 @@ def _search(docs: DataFrame, classes: DataFrame, groups: DataFrame, words: int,
             keep = [set_key(s) == c for s, c in zip(sets, batch.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array([s.tobytes() for s in sets], pa.binary())],
                                              names=["c", "g", "part", "tasks", "s"]).filter(pa.array(keep, pa.bool_()))
+        let_go()
 
     sets = with_text.mapInArrow(sets_of, "c bigint, g bigint, part int, tasks array<struct<i: int, j: int>>, s binary")
     keyed = sets.select("c", "g", "part", "s", F.explode(F.coalesce(

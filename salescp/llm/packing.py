@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from salescp.session import materialize
 
 from .bpe import HELD_CHARS
-from .common import slices_of_rows, worker_store
+from .common import let_go, slices_of_rows, worker_store
 
 CACHES = 1_000_000, 250_000  # parts and chunks that are not cut: at most about 250 MB of a worker
 MAX_BROADCAST_PLAN = 200_000  # rows of 6 numbers: about 10 MB
@@ -201,6 +201,7 @@ def tokenise(docs: DataFrame, path: str, limit: int = 4096, end_id: int = 1, wit
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches):
+        let_go()  # of what earlier operators' tasks have left
         tokenizer = CachedTokenizer.of_worker(path, caches)
         for whole in batches:
             for batch in slices_of_rows(whole, 1, batch_chars):  # the parts of one slice at a time are held

@@ -9,6 +9,7 @@ from llm.test_documents import plain_components, plain_line_dedup
 
 import __spark_entry__
 import corpus_pipeline
+from salescp import session
 from salescp.llm import pii
 
 
@@ -85,6 +86,16 @@ def test_one_row_of_each_near_duplicate_component_stays(spark, make_docs):
     assert got == Counter([(5, first[0]), (5, other), (None, "alone here"), (7, None), (7, None), (None, "")])
 
 
+def test_near_dups_keeps_only_the_tables_that_its_result_reads(spark, make_docs):
+    text = " ".join(f"w{k}" for k in range(60))
+    with session.scratch() as paths:
+        out = corpus_pipeline.near_dup_stage(spark, make_docs([(1, text), (2, text + " tail"), (3, "other words")]), "")
+    assert sorted(r.doc_id for r in out.collect()) == [1, 3]
+    there = [p for p in paths if spark.sparkContext._jvm.java.io.File(p.removeprefix("file:")).exists()]
+    assert len(there) == 2  # the rows and what was found of each
+    session.drop_materialized(spark, paths)
+
+
 def test_registered():
     names = set(__spark_entry__.queries())
     assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
